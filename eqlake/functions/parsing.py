@@ -38,7 +38,7 @@ def parse_yyyymmdd(c) -> Column:
     """FN2: strict ``YYYYMMDD`` parse; missing or malformed text gives null."""
     t = trimmed(c)
     ok = ~is_missing_string(c) & t.rlike(_DATE_PATTERN)
-    return F.when(ok, F.try_to_date(t, F.lit("yyyyMMdd")))
+    return F.when(ok, F.try_to_date(t, "yyyyMMdd"))
 
 
 def date_invalid(c, required: bool = True) -> Column:
@@ -53,7 +53,7 @@ def parse_number(c) -> Column:
     """FN3: strict numeric parse to double; missing or malformed text gives null."""
     t = trimmed(c)
     ok = ~is_missing_string(c) & F.lower(t).rlike(_NUMERIC_PATTERN)
-    return F.when(ok, F.try_cast(F.regexp_replace(F.lower(t), "infinity$", "inf"), "double"))
+    return F.when(ok, F.regexp_replace(F.lower(t), "infinity$", "inf").try_cast("double"))
 
 
 def number_invalid(c, required: bool = True) -> Column:

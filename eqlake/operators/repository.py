@@ -28,13 +28,19 @@ def _mode(adjustment: str, adjusted: bool | None) -> str:
 
 
 def daily_bars(bars, factors, ts_code, start, end, *, adjustment="none", as_of_date=None, adjusted=None) -> DataFrame:
-    """Q1 bars of one security in ``none``/``hfq``/``qfq`` mode (qfq is as-of, J6)."""
+    """Q1 bars of one security in ``none``/``hfq``/``qfq`` mode (qfq is as-of, J6).
+
+    ``ts_code`` may also be a list of codes, or ``None`` for every security.
+    """
     mode = _mode(adjustment, adjusted)
+    codes = None if ts_code is None else ([ts_code] if isinstance(ts_code, str) else list(ts_code))
     if mode == "qfq":
-        out = views.qfq_asof_view(bars, factors, start, end, as_of_date, ts_codes=[ts_code])
+        out = views.qfq_asof_view(bars, factors, start, end, as_of_date, ts_codes=codes)
     else:
         src = bars if mode == "none" else views.hfq_view(bars, factors)
-        out = src.filter((F.col("ts_code") == ts_code) & F.col("trade_date").between(F.lit(start), F.lit(end)))
+        out = src.filter(F.col("trade_date").between(F.lit(start), F.lit(end)))
+        if codes is not None:
+            out = out.filter(F.col("ts_code").isin(codes))
     return out.orderBy("ts_code", "trade_date")
 
 

@@ -99,7 +99,7 @@ calc AS (
   FROM {src} WINDOW w AS (PARTITION BY ts_code ORDER BY trade_date))"""
 
 
-def processed_cte(min_periods: int = 6, src: str = "calc") -> str:
+def processed_cte(min_periods="6", src: str = "calc") -> str:
     return f"""
 qual AS (
   SELECT *, CASE WHEN raw_value IS NULL THEN
@@ -175,3 +175,60 @@ apairs AS (SELECT c.trade_date, p.fv AS a, c.fv AS b FROM fv_idx c JOIN fv_idx p
 acorr0 AS (SELECT trade_date, {corr('a', 'b')} AS c0 FROM apairs GROUP BY trade_date
            HAVING count(*) >= 5 AND count(DISTINCT a) >= 2 AND count(DISTINCT b) >= 2),
 acorr AS (SELECT trade_date, c0 AS autocorr FROM acorr0 WHERE {isfinite('c0')})"""
+
+
+def raw_ctes() -> str:
+    """Raw vendor-frame aggregates of ``events`` with the venue rule, and the rows
+    the research-universe filter keeps."""
+    u = "CAST(user_id AS VARCHAR)"
+    return f"""
+rawd AS (
+  SELECT user_id, CAST(ts AS DATE) AS d,
+         min_by(value, row(ts, event_id)) AS open, max(value) AS high, min(value) AS low,
+         max_by(value, row(ts, event_id)) AS close, count(*) AS vol, round(sum(value), 2) AS amount,
+         count(*) FILTER (WHERE event_type = 'error') AS n_error,
+         count(*) FILTER (WHERE event_type = 'signup') AS n_signup,
+         count(*) FILTER (WHERE event_type = 'purchase') AS n_purchase
+  FROM events GROUP BY 1, 2),
+rawc AS (
+  SELECT *, CASE WHEN user_id % 10 = 9 THEN '900' || lpad({u}, 4, '0') || '.SH'
+                 WHEN user_id % 10 = 8 THEN '200' || lpad({u}, 4, '0') || '.SZ'
+                 WHEN user_id % 10 = 7 THEN lpad({u}, 6, '0') || '.BJ'
+                 WHEN user_id % 2 = 0 THEN lpad({u}, 6, '0') || '.SZ'
+                 ELSE lpad({u}, 6, '0') || '.SH' END AS ts_code
+  FROM rawd),
+kept AS (
+  SELECT * FROM rawc
+  WHERE NOT ((starts_with(ts_code, '900') AND ends_with(ts_code, '.SH'))
+          OR (starts_with(ts_code, '200') AND ends_with(ts_code, '.SZ'))))"""
+
+
+def with_raw(body: str, extra: str = "") -> str:
+    return "WITH " + raw_ctes() + ("," + extra if extra else "") + "\n" + body
+
+
+def lineitem_factor_ctes() -> str:
+    """Raw values of the five registered factors over the hfq panel, stacked, with
+    each factor's minimum observation count (``mp``)."""
+    return """
+w0 AS (
+  SELECT ts_code, trade_date, hfq_close, amount,
+         count(trade_date) OVER (PARTITION BY ts_code ORDER BY trade_date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS obs,
+         lag(hfq_close, 1) OVER (PARTITION BY ts_code ORDER BY trade_date) AS c1,
+         lag(hfq_close, 5) OVER (PARTITION BY ts_code ORDER BY trade_date) AS c5,
+         lag(hfq_close, 20) OVER (PARTITION BY ts_code ORDER BY trade_date) AS c20,
+         CASE WHEN amount > 0 THEN amount END AS amt
+  FROM hfq),
+w1 AS (SELECT *, ln(hfq_close / c1) AS lr, abs(hfq_close / c1 - 1) / amt AS ill FROM w0),
+w2 AS (
+  SELECT *,
+    CASE WHEN count(lr) OVER r20 = 20 THEN stddev_samp(lr) OVER r20 END AS vol20,
+    CASE WHEN count(amt) OVER r20 = 20 THEN ln(avg(amt) OVER r20) END AS lam20,
+    CASE WHEN count(ill) OVER r20 = 20 THEN avg(ill) OVER r20 END AS ami20
+  FROM w1 WINDOW r20 AS (PARTITION BY ts_code ORDER BY trade_date ROWS BETWEEN 19 PRECEDING AND CURRENT ROW)),
+calc AS (
+  SELECT ts_code, trade_date, 'return_5d' AS factor_name, 'v1' AS factor_version, hfq_close / c5 - 1 AS raw_value, obs, 6 AS mp FROM w2
+  UNION ALL SELECT ts_code, trade_date, 'momentum_20d', 'v1', hfq_close / c20 - 1, obs, 21 FROM w2
+  UNION ALL SELECT ts_code, trade_date, 'volatility_20d', 'v1', vol20, obs, 20 FROM w2
+  UNION ALL SELECT ts_code, trade_date, 'log_amount_mean_20d', 'v1', lam20, obs, 20 FROM w2
+  UNION ALL SELECT ts_code, trade_date, 'amihud_20d', 'v1', ami20, obs, 20 FROM w2)"""

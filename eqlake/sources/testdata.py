@@ -158,7 +158,8 @@ def securities(spark: SparkSession, sf_dir: str, panel: str = "events") -> DataF
     per = d.groupBy("ts_code").agg(
         F.min("trade_date").alias("first"), F.max("trade_date").alias("last"), F.count(F.lit(1)).alias("n_days")
     )
-    per = per.crossJoin(F.broadcast(last_day))  # one-row side
+    # Attach the one-row "last panel day" aggregate (broadcast, equi join on a constant key).
+    per = per.withColumn("_one", F.lit(1)).join(F.broadcast(last_day.withColumn("_one", F.lit(1))), "_one")
     status = (
         F.when(F.col("last") == F.col("last_day"), "L").when(F.col("n_days") < 10, "P").otherwise("D")
     )
@@ -265,6 +266,18 @@ def raw_stk_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def raw_trade_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw calendar strings for the events days: weekends closed; exchange text is
+    ' sse ' on even days of month and blank on odd days (blank -> default)."""
+    d = table(spark, sf_dir, "events").select(F.to_date("ts").alias("d")).distinct()
+    return d.select(
+        F.when(F.dayofmonth("d") % 2 == 0, F.lit(" sse ")).otherwise(F.lit("")).alias("exchange"),
+        F.date_format("d", "yyyyMMdd").alias("cal_date"),
+        F.when(F.dayofweek("d").isin(1, 7), F.lit("0")).otherwise(F.lit("1")).alias("is_open"),
+        F.lit("").alias("pretrade_date"),
+    )
+
+
 def raw_adj_factor(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = _raw_daily(spark, sf_dir)
     return r.select(
@@ -280,7 +293,7 @@ def raw_daily_basic(spark: SparkSession, sf_dir: str) -> DataFrame:
     single-event days."""
     r = _raw_daily(spark, sf_dir)
     s = lambda c: c.cast("string")
-    pe = F.when(F.col("n_purchase") > 0, s(F.round(F.col("close") / F.col("n_purchase"), 4))).otherwise(F.lit(""))
+    pe = F.when(F.col("n_purchase") > 0, s(F.col("close") * F.col("n_purchase"))).otherwise(F.lit(""))
     vr = s(F.col("n_signup") - F.col("n_error"))
     shares = F.when(F.col("vol") > 1, s(F.col("vol") * 1000)).otherwise(F.lit("0"))
     return r.select(
