@@ -620,3 +620,14 @@ grid AS (SELECT ts_code, d0, unnest(generate_series(0, max(bin))) AS bin FROM ag
 def q_resample_5d(spark, sf_dir):
     h = Research(spark, sf_dir).hfq.select("ts_code", "trade_date", F.col("hfq_close").alias("close"), "volume")
     return TS.resample_days(h, 5)
+
+
+# ---------------------------------------------------------------------------
+# ETL of the test panel from raw rows (not materialised): the cost of building
+# the processed bars table itself.
+# ---------------------------------------------------------------------------
+
+
+@register("lineitem_daily_bars_etl", O.with_panel("lineitem", f"SELECT {', '.join(S.DAILY_OHLCV_COLUMNS)} FROM ohlcv"))
+def q_lineitem_daily_bars_etl(spark, sf_dir):
+    return Research(spark, sf_dir, "lineitem", materialize=False).bars

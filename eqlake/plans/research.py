@@ -1,11 +1,16 @@
-"""Lazy research frames over a test-data panel (bars -> views -> factors -> labels).
+"""Research frames over a test-data panel (bars -> views -> factors -> labels).
 
-``Research(spark, sf_dir, panel)`` wires the operators the way the batch jobs do,
-without writing anything: every attribute is a lazy DataFrame.
+``Research(spark, sf_dir, panel)`` wires the operators the way the batch jobs do.
+The processed panel tables (bars, adjustment factors) are built once from the
+source tables and kept as written Parquet in the shared checkpoint folder, the
+way the ETL layer keeps its processed store; everything downstream is lazy.
 """
 
 from __future__ import annotations
 
+import hashlib
+import os
+import uuid
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,30 +20,72 @@ from eqlake.operators import factors as FX
 from eqlake.operators import labels as LB
 from eqlake.operators import processing as PR
 from eqlake.operators import views as V
+from eqlake.session import checkpoint_dir
 from eqlake.sources import testdata as TD
+from eqlake.sources.store import fs_delete, fs_exists, fs_rename, has_parquet
+
+
+def _source_key(sf_dir: str, panel: str) -> str:
+    """Identity of a derived panel: source folder, panel and the source files' size/mtime."""
+    src = "events" if panel == "events" else "lineitem"
+    path = os.path.join(sf_dir, f"{src}.parquet")
+    try:
+        st = os.stat(path)
+        stamp = f"{st.st_size}:{int(st.st_mtime)}"
+    except OSError:
+        stamp = "na"
+    return hashlib.sha1(f"{os.path.abspath(sf_dir)}|{panel}|{stamp}".encode()).hexdigest()[:16]
+
+
+def materialized(spark: SparkSession, sf_dir: str, panel: str, name: str, build) -> DataFrame:
+    """The panel table ``name`` as a written Parquet table in the shared checkpoint
+    folder (``spark.checkpoint.dir``), built once from the source tables.
+
+    This is the ETL step of the test data: later queries read the processed table
+    (column pruning + filter pushdown) instead of re-aggregating raw rows in every
+    branch of a plan. Written to a unique staging path, then renamed.
+    """
+    root = f"{checkpoint_dir(spark).rstrip('/')}/eqlake-panels/{_source_key(sf_dir, panel)}"
+    target = f"{root}/{name}"
+    if not has_parquet(spark, target):
+        staging = f"{root}/_tmp-{name}-{uuid.uuid4().hex}"
+        build().write.mode("overwrite").parquet(staging)
+        if not has_parquet(spark, target):
+            if fs_exists(spark, target):
+                fs_delete(spark, target)
+            fs_rename(spark, staging, target)
+        else:
+            fs_delete(spark, staging)
+    return spark.read.parquet(target)
 
 
 class Research:
-    def __init__(self, spark: SparkSession, sf_dir: str, panel: str = "events") -> None:
+    def __init__(self, spark: SparkSession, sf_dir: str, panel: str = "events", *, materialize: bool = True) -> None:
         self.spark = spark
         self.sf_dir = sf_dir
         self.panel_name = panel
+        self.materialize = materialize
+
+    def _table(self, name: str, build) -> DataFrame:
+        if not self.materialize:
+            return build()
+        return materialized(self.spark, self.sf_dir, self.panel_name, name, build)
 
     @cached_property
     def bars(self) -> DataFrame:
-        return TD.ohlcv(self.spark, self.sf_dir, self.panel_name)
+        return self._table("ohlcv", lambda: TD.ohlcv(self.spark, self.sf_dir, self.panel_name))
 
     @cached_property
     def adj(self) -> DataFrame:
-        return TD.adj_factor(self.spark, self.sf_dir, self.panel_name)
+        return self._table("adj_factor", lambda: TD.adj_factor(self.spark, self.sf_dir, self.panel_name))
 
     @cached_property
     def calendar(self) -> DataFrame:
-        return TD.trade_calendar(self.spark, self.sf_dir, self.panel_name)
+        return TD.calendar_between(self.bars)
 
     @cached_property
     def calendar_weekdays(self) -> DataFrame:
-        return TD.trade_calendar(self.spark, self.sf_dir, self.panel_name, weekends_closed=True)
+        return TD.calendar_between(self.bars, weekends_closed=True)
 
     @cached_property
     def hfq(self) -> DataFrame:

@@ -37,48 +37,76 @@ def _code(col: str, suffix: str):
     return F.concat(F.lpad(F.col(col).cast("string"), 6, "0"), F.lit(suffix))
 
 
+def _first_last(df: DataFrame, keys, order_key: str, value: str, tie_lo, tie_hi, extra_aggs, final_aggs) -> DataFrame:
+    """Open/close = value at the smallest/largest ordering tuple, as two hash aggregates.
+
+    The ordering tuple is (``order_key`` (a long), tie-breaker). Level 1 groups by
+    ``keys + order_key`` and resolves the tie-breaker (``tie_lo``/``tie_hi`` pick
+    the value at the smallest/largest tie-breaker); level 2 takes ``min_by`` /
+    ``max_by`` over the now unique long key. Only fixed-width buffers are used,
+    so both levels run as HashAggregate with map-side partial aggregation (a
+    struct ordering would force a sort-based aggregate).
+    """
+    lvl1 = df.groupBy(*keys, order_key).agg(tie_lo.alias("_lo"), tie_hi.alias("_hi"), *extra_aggs)
+    return lvl1.groupBy(*keys).agg(
+        F.min_by("_lo", order_key).alias("open"), F.max_by("_hi", order_key).alias("close"), *final_aggs
+    )
+
+
 def _daily(spark: SparkSession, sf_dir: str, panel: str) -> DataFrame:
     """One row per security-day with OHLCV plus the counters used for flags."""
     if panel == "events":
-        e = table(spark, sf_dir, "events")
-        order = F.struct("ts", "event_id")
-        return (
-            e.groupBy("user_id", F.to_date("ts").alias("trade_date"))
-            .agg(
-                F.min_by("value", order).alias("open"),
-                F.max("value").alias("high"),
-                F.min("value").alias("low"),
-                F.max_by("value", order).alias("close"),
-                F.count(F.lit(1)).cast("double").alias("volume"),
-                F.round(F.sum("value"), 2).alias("amount"),
-                F.count_if(F.col("event_type") == "error").alias("n_flag"),
-                F.count_if(F.col("event_type") == "signup").alias("n_action"),
-                F.max(F.col("event_type") != "error").alias("has_factor"),
-            )
-            .withColumn("ts_code", _code("user_id", ".SZ"))
-            .drop("user_id")
+        # Ordering tuple (ts, event_id): level-1 key = ts in microseconds, tie-breaker event_id.
+        e = table(spark, sf_dir, "events").select(
+            "user_id", F.to_date("ts").alias("trade_date"), F.unix_micros(F.col("ts").cast("timestamp")).alias("_k"),
+            "event_id", "value", "event_type",
         )
+        d = _first_last(
+            e, ["user_id", "trade_date"], "_k", "value",
+            F.min_by("value", "event_id"), F.max_by("value", "event_id"),
+            [
+                F.max("value").alias("_high"), F.min("value").alias("_low"), F.count(F.lit(1)).alias("_n"),
+                F.sum("value").alias("_sum"),
+                F.count_if(F.col("event_type") == "error").alias("_flag"),
+                F.count_if(F.col("event_type") == "signup").alias("_action"),
+                F.max(F.col("event_type") != "error").alias("_hasf"),
+            ],
+            [
+                F.max("_high").alias("high"), F.min("_low").alias("low"), F.sum("_n").cast("double").alias("volume"),
+                F.round(F.sum("_sum"), 2).alias("amount"), F.sum("_flag").alias("n_flag"),
+                F.sum("_action").alias("n_action"), F.max("_hasf").alias("has_factor"),
+            ],
+        )
+        return d.withColumn("ts_code", _code("user_id", ".SZ")).drop("user_id")
     if panel == "lineitem":
-        li = table(spark, sf_dir, "lineitem").withColumn(
-            "price", F.try_divide(F.col("l_extendedprice"), F.col("l_quantity"))
+        # Ordering tuple (l_orderkey, l_linenumber, l_partkey, price): level-1 key packs the
+        # first three into one long (linenumber < 8 and partkey < 2^28, as in TPC-H up to
+        # SF 1000), tie-breaker price.
+        li = table(spark, sf_dir, "lineitem")
+        packed = (
+            F.shiftleft(F.col("l_orderkey"), 31) + F.shiftleft(F.col("l_linenumber").cast("long"), 28) + F.col("l_partkey")
+        )
+        li = li.select(
+            "l_suppkey", F.to_date("l_shipdate").alias("trade_date"), packed.alias("_k"),
+            F.try_divide(F.col("l_extendedprice"), F.col("l_quantity")).alias("price"),
+            "l_quantity", "l_extendedprice", "l_returnflag", "l_linestatus",
         )
-        order = F.struct("l_orderkey", "l_linenumber", "l_partkey", "price")
-        return (
-            li.groupBy("l_suppkey", F.to_date("l_shipdate").alias("trade_date"))
-            .agg(
-                F.min_by("price", order).alias("open"),
-                F.max("price").alias("high"),
-                F.min("price").alias("low"),
-                F.max_by("price", order).alias("close"),
-                F.sum("l_quantity").alias("volume"),
-                F.round(F.sum("l_extendedprice"), 2).alias("amount"),
-                F.count_if(F.col("l_returnflag") == "A").alias("n_flag"),
-                F.count_if(F.col("l_returnflag") == "R").alias("n_action"),
-                F.max(~((F.col("l_returnflag") == "N") & (F.col("l_linestatus") == "O"))).alias("has_factor"),
-            )
-            .withColumn("ts_code", _code("l_suppkey", ".SH"))
-            .drop("l_suppkey")
+        d = _first_last(
+            li, ["l_suppkey", "trade_date"], "_k", "price", F.min("price"), F.max("price"),
+            [
+                F.max("price").alias("_high"), F.min("price").alias("_low"), F.sum("l_quantity").alias("_qty"),
+                F.sum("l_extendedprice").alias("_amt"),
+                F.count_if(F.col("l_returnflag") == "A").alias("_flag"),
+                F.count_if(F.col("l_returnflag") == "R").alias("_action"),
+                F.max(~((F.col("l_returnflag") == "N") & (F.col("l_linestatus") == "O"))).alias("_hasf"),
+            ],
+            [
+                F.max("_high").alias("high"), F.min("_low").alias("low"), F.sum("_qty").alias("volume"),
+                F.round(F.sum("_amt"), 2).alias("amount"), F.sum("_flag").alias("n_flag"),
+                F.sum("_action").alias("n_action"), F.max("_hasf").alias("has_factor"),
+            ],
         )
+        return d.withColumn("ts_code", _code("l_suppkey", ".SH")).drop("l_suppkey")
     raise ValueError(f"unknown panel: {panel}")
 
 
@@ -137,7 +165,12 @@ def trade_calendar(
     single ordered window for ``pretrade_date`` is bounded by the date range, not
     by the data volume.
     """
-    bounds = _daily(spark, sf_dir, panel).agg(F.min("trade_date").alias("lo"), F.max("trade_date").alias("hi"))
+    return calendar_between(_daily(spark, sf_dir, panel), weekends_closed=weekends_closed, exchange=exchange)
+
+
+def calendar_between(bars: DataFrame, *, weekends_closed: bool = False, exchange: str = "SSE") -> DataFrame:
+    """Calendar over every natural day between the first and last ``trade_date`` of ``bars``."""
+    bounds = bars.agg(F.min("trade_date").alias("lo"), F.max("trade_date").alias("hi"))
     days = bounds.select(F.explode(F.sequence("lo", "hi")).alias("cal_date"))
     is_open = ~F.dayofweek("cal_date").isin(1, 7) if weekends_closed else F.lit(True)
     days = days.select(F.lit(exchange).alias("exchange"), "cal_date", is_open.alias("is_open"))
