@@ -50,11 +50,11 @@ REPORT_COLUMNS = (
 
 
 def clean_factors(factors: DataFrame) -> DataFrame:
-    return factors.withColumn("_fv", finite_or_null("factor_value"))
+    return factors.select("*", finite_or_null("factor_value").alias("_fv"))
 
 
 def clean_labels(labels: DataFrame) -> DataFrame:
-    return labels.withColumn("_fr", finite_or_null("forward_return_5d"))
+    return labels.select("*", finite_or_null("forward_return_5d").alias("_fr"))
 
 
 # ---------------------------------------------------------------------------
@@ -86,18 +86,19 @@ def exact_quantiles(values: DataFrame, col: str, probs: dict[str, float], tiebre
     nparts = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
     v = values.select(F.col(col).alias("_v"), *tiebreak).filter(F.col("_v").isNotNull())
     ordered = v.repartitionByRange(nparts, "_v", *tiebreak).sortWithinPartitions("_v", *tiebreak)
-    ided = ordered.withColumn("_id", F.monotonically_increasing_id())
-    ided = ided.withColumn("_pid", F.shiftright("_id", 33)).withColumn(
-        "_local", F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))
+    mid = F.monotonically_increasing_id()
+    ided = ordered.select("*", mid.alias("_id")).select(
+        "*", F.shiftright("_id", 33).alias("_pid"), F.col("_id").bitwiseAND(F.lit((1 << 33) - 1)).alias("_local")
     )
     counts = ided.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
     # One row per partition: bounded by spark.sql.shuffle.partitions.
     wo = Window.orderBy("_pid")
-    counts = counts.withColumn(
-        "_offset", F.coalesce(F.sum("_cnt").over(wo.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    ).withColumn("_n", F.sum("_cnt").over(Window.partitionBy()))
-    g = ided.join(F.broadcast(counts.select("_pid", "_offset", "_n")), "_pid")
-    g = g.withColumn("_gpos", F.col("_offset") + F.col("_local"))
+    counts = counts.select(
+        "_pid",
+        F.coalesce(F.sum("_cnt").over(wo.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_offset"),
+        F.sum("_cnt").over(Window.partitionBy()).alias("_n"),
+    )
+    g = ided.join(F.broadcast(counts), "_pid").select("_v", "_n", (F.col("_offset") + F.col("_local")).alias("_gpos"))
     aggs = [F.max("_n").alias("_n")]
     for name, p in probs.items():
         pos = F.lit(p) * (F.col("_n") - 1)
@@ -126,8 +127,8 @@ def factor_distribution(factors: DataFrame) -> DataFrame:
         F.min("_fv").alias("min"),
         F.max("_fv").alias("max"),
     )
-    base = base.withColumn(
-        "missing_value_rate", F.lit(1.0) - F.try_divide(F.col("_valid").cast("double"), F.col("row_count").cast("double"))
+    base = base.select(
+        "*", (F.lit(1.0) - F.try_divide(F.col("_valid").cast("double"), F.col("row_count").cast("double"))).alias("missing_value_rate")
     )
     q = exact_quantiles(fc, "_fv", {"p25": 0.25, "median": 0.5, "p75": 0.75}, tiebreak=("ts_code", "trade_date"))
     j = _one_row_join(base, q)
@@ -139,10 +140,10 @@ def factor_distribution(factors: DataFrame) -> DataFrame:
 
 def _one_row_join(*frames: DataFrame) -> DataFrame:
     """Combine one-row aggregates side by side (equi join on a constant key)."""
-    out = frames[0].withColumn("_one", F.lit(1))
+    out = frames[0].select("*", F.lit(1).alias("_one"))
     for f in frames[1:]:
-        out = out.join(F.broadcast(f.withColumn("_one", F.lit(1))), "_one")
-    return out.drop("_one")
+        out = out.join(F.broadcast(f.select("*", F.lit(1).alias("_one"))), "_one")
+    return out
 
 
 # ---------------------------------------------------------------------------
@@ -160,21 +161,21 @@ def evaluation_pairs(factors: DataFrame, labels: DataFrame) -> DataFrame:
 def ranked_pairs(pairs: DataFrame) -> DataFrame:
     """E1 eligibility + ranks + quintile, all windows partitioned by ``trade_date``."""
     wd = Window.partitionBy("trade_date")
-    e = (
-        pairs.withColumn("_n", F.count(F.lit(1)).over(wd))
-        .withColumn("_f_lo", F.min("_fv").over(wd))
-        .withColumn("_f_hi", F.max("_fv").over(wd))
-        .withColumn("_r_lo", F.min("_fr").over(wd))
-        .withColumn("_r_hi", F.max("_fr").over(wd))
-    )
+    e = pairs.withColumns({
+        "_n": F.count(F.lit(1)).over(wd),
+        "_f_lo": F.min("_fv").over(wd),
+        "_f_hi": F.max("_fv").over(wd),
+        "_r_lo": F.min("_fr").over(wd),
+        "_r_hi": F.max("_fr").over(wd),
+    })
     e = e.filter(
         (F.col("_n") >= MIN_CROSS_SECTION_SIZE) & (F.col("_f_lo") < F.col("_f_hi")) & (F.col("_r_lo") < F.col("_r_hi"))
     )
-    return (
-        e.withColumn("_rf", average_rank("_fv", "trade_date"))
-        .withColumn("_rr", average_rank("_fr", "trade_date"))
-        .withColumn("_q", position_quantile(["_fv", "ts_code"], "trade_date", QUANTILE_COUNT))
-    )
+    return e.withColumns({
+        "_rf": average_rank("_fv", "trade_date"),
+        "_rr": average_rank("_fr", "trade_date"),
+        "_q": position_quantile(["_fv", "ts_code"], "trade_date", QUANTILE_COUNT),
+    })
 
 
 def favoured_quantile(higher_is_better: bool | None) -> int:
@@ -197,14 +198,14 @@ def daily_metrics(ranked: DataFrame, higher_is_better: bool | None) -> DataFrame
         F.count(F.lit(1)).alias("n_pairs"),
     ]
     aggs += [F.avg(F.when(F.col("_q") == k, F.col("_fr"))).alias(f"q{k}") for k in range(1, QUANTILE_COUNT + 1)]
-    d = ranked.groupBy("trade_date").agg(*aggs).filter(F.col("ic").isNotNull() & F.col("rank_ic").isNotNull())
     if higher_is_better is True:
         ls = F.col(f"q{QUANTILE_COUNT}") - F.col("q1")
     elif higher_is_better is False:
         ls = F.col("q1") - F.col(f"q{QUANTILE_COUNT}")
     else:
         ls = F.lit(None).cast("double")
-    return d.withColumn("long_short", ls)
+    d = ranked.groupBy("trade_date").agg(*aggs)
+    return d.filter(F.col("ic").isNotNull() & F.col("rank_ic").isNotNull()).select("*", ls.alias("long_short"))
 
 
 def ic_summary(daily: DataFrame) -> DataFrame:
@@ -219,13 +220,8 @@ def ic_summary(daily: DataFrame) -> DataFrame:
         F.avg("long_short").alias("long_short_return"),
     )
     std = finite_or_null("rank_ic_5d_std")
-    return s.withColumn("rank_ic_5d_std", std).withColumn(
-        "ic_ir",
-        F.when(
-            F.col("rank_ic_5d_std").isNotNull() & (F.abs(F.col("rank_ic_5d_std")) >= F.lit(ZERO_STD)),
-            F.col("rank_ic_5d_mean") / F.col("rank_ic_5d_std"),
-        ),
-    )
+    ok = std.isNotNull() & (F.abs(std) >= F.lit(ZERO_STD))
+    return s.withColumns({"rank_ic_5d_std": std, "ic_ir": F.when(ok, F.col("rank_ic_5d_mean") / std)})
 
 
 # ---------------------------------------------------------------------------
@@ -240,15 +236,15 @@ def turnover_by_date(ranked: DataFrame, daily: DataFrame, higher_is_better: bool
     if not fav:
         return spark.createDataFrame([], "trade_date date, turnover double")
     # One row per eligible date: bounded by the date range.
-    idx = daily.select("trade_date").withColumn("_k", F.row_number().over(Window.orderBy("trade_date")))
+    idx = daily.select("trade_date", F.row_number().over(Window.orderBy("trade_date")).alias("_k"))
     members = ranked.filter(F.col("_q") == fav).select("ts_code", "trade_date").join(F.broadcast(idx), "trade_date")
     wp = Window.partitionBy("ts_code").orderBy("_k").rangeBetween(-1, -1)
-    members = members.withColumn("_in_prev", F.count(F.lit(1)).over(wp))
+    members = members.select("_k", "trade_date", F.count(F.lit(1)).over(wp).alias("_in_prev"))
     per_k = members.groupBy("_k", "trade_date").agg(
         F.count(F.lit(1)).alias("_size"), F.sum("_in_prev").alias("_overlap")
     )
     w = Window.orderBy("_k")
-    per_k = per_k.withColumn("_prev_size", F.lag("_size").over(w)).withColumn("_prev_k", F.lag("_k").over(w))
+    per_k = per_k.select("*", F.lag("_size").over(w).alias("_prev_size"))
     t = F.lit(1.0) - F.col("_overlap").cast("double") * F.least(
         F.lit(1.0) / F.col("_size").cast("double"), F.lit(1.0) / F.col("_prev_size").cast("double")
     )
@@ -263,7 +259,7 @@ def autocorr_by_date(factors: DataFrame) -> DataFrame:
     didx = calendar_index(fc.select("trade_date"))  # every factor date, valid or not
     v = fc.filter(F.col("_fv").isNotNull()).select("ts_code", "trade_date", "_fv").join(F.broadcast(didx), "trade_date")
     wp = Window.partitionBy("ts_code").orderBy("_cidx").rangeBetween(-1, -1)
-    v = v.withColumn("_prev", F.first("_fv").over(wp)).filter(F.col("_prev").isNotNull())
+    v = v.select("trade_date", "_fv", F.first("_fv").over(wp).alias("_prev")).filter(F.col("_prev").isNotNull())
     g = v.groupBy("trade_date").agg(
         F.count(F.lit(1)).alias("_n"),
         F.min("_prev").alias("_a_lo"), F.max("_prev").alias("_a_hi"),
@@ -319,7 +315,7 @@ def validate_factor(factors: DataFrame, labels: DataFrame, universe: DataFrame,
         parts.append(cov)
     j = _one_row_join(*parts)
     cols = [F.lit(metadata.name).alias("factor_name"), F.lit(metadata.version).alias("factor_version")]
-    cols += [F.col(c) for c in REPORT_COLUMNS[2:]]
+    cols += [F.col(c) for c in REPORT_COLUMNS[2:]]  # drops the join key
     if with_coverage:
         cols.append(F.col("coverage_by_date"))
     return j.select(*cols)

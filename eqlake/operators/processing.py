@@ -24,7 +24,7 @@ PROCESSORS = ("raw", "rank_pct")
 def observation_count(df: DataFrame) -> DataFrame:
     """Running count of the security's rows (non-null dates) up to the row."""
     w = Window.partitionBy("ts_code").orderBy("trade_date").rowsBetween(Window.unboundedPreceding, 0)
-    return df.withColumn("_obs", F.count("trade_date").over(w))
+    return df.select("*", F.count("trade_date").over(w).alias("_obs"))
 
 
 def quality_status(raw: str = "raw_value", obs: str = "_obs", min_periods=None):
@@ -39,19 +39,18 @@ def quality_status(raw: str = "raw_value", obs: str = "_obs", min_periods=None):
 
 def _apply_processor(df: DataFrame, processor: str, group_cols) -> DataFrame:
     valid = F.when(F.col("quality_status") == "valid", F.col("raw_value"))
-    df = df.withColumn("_valid_raw", valid)
+    keep = [c for c in S.PROCESSED_FACTOR_COLUMNS if c not in ("factor_value", "processed_value")]
     if processor == "raw":
-        out = df.withColumn("factor_value", F.col("_valid_raw")).withColumn(
-            "processed_value", F.lit(None).cast("double")
-        )
+        out = df.select(*keep, valid.alias("factor_value"), F.lit(None).cast("double").alias("processed_value"))
     else:
         # One hash exchange on (trade_date, factor) serves the count and both
         # rank windows (the (date, factor, value) partitions are sub-clusters).
-        cnt = F.count("_valid_raw").over(Window.partitionBy(*group_cols))
-        df = df.withColumn("_n_valid", cnt).withColumn("_is_valid", F.col("_valid_raw").isNotNull())
+        df = df.select(*keep, valid.alias("_valid_raw"))
+        df = df.select("*", F.count("_valid_raw").over(Window.partitionBy(*group_cols)).alias("_n_valid"),
+                       F.col("_valid_raw").isNotNull().alias("_is_valid"))
         rank = average_rank("_valid_raw", [*group_cols, "_is_valid"])
         pct = F.when(F.col("_is_valid"), F.try_divide(rank, F.col("_n_valid").cast("double")))
-        out = df.withColumn("processed_value", pct).withColumn("factor_value", F.col("processed_value"))
+        out = df.select(*keep, pct.alias("processed_value")).select("*", F.col("processed_value").alias("factor_value"))
     return out.select(*S.PROCESSED_FACTOR_COLUMNS)
 
 
@@ -62,9 +61,8 @@ def process_factor_result(result: DataFrame, metadata: FactorMetadata, processor
     require_columns(result, S.CALCULATOR_RESULT_COLUMNS, "calculator result")
     if check_identity:
         identity_check(result, metadata.name, metadata.version, "calculator result")
-    prepared = observation_count(result).withColumn(
-        "quality_status", quality_status(min_periods=metadata.min_periods)
-    )
+    prepared = observation_count(result)
+    prepared = prepared.select("*", quality_status(min_periods=metadata.min_periods).alias("quality_status"))
     return _apply_processor(prepared, processor, ["trade_date"])
 
 
@@ -74,5 +72,5 @@ def process_long(long: DataFrame, metadatas, processor: str) -> DataFrame:
         raise ValueError(f"unsupported processor: {processor}")
     mins = F.create_map(*[x for m in metadatas for x in (F.lit(f"{m.name}@{m.version}"), F.lit(m.min_periods))])
     key = F.concat_ws("@", "factor_name", "factor_version")
-    prepared = long.withColumn("quality_status", quality_status(min_periods=mins[key]))
+    prepared = long.select("*", quality_status(min_periods=mins[key]).alias("quality_status"))
     return _apply_processor(prepared, processor, ["trade_date", "factor_name", "factor_version"])
