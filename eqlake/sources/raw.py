@@ -56,10 +56,6 @@ def raw_schema(columns: Sequence[str]) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType(), True) for c in columns])
 
 
-def _date_key(c) -> F.Column:
-    return F.date_format(c, "yyyyMMdd")
-
-
 def write_raw_csv(df: DataFrame, path: str, *, mode: str = "overwrite") -> None:
     """SK1: header CSV, strings as given."""
     df.write.mode(mode).option("header", True).csv(path)
@@ -83,13 +79,24 @@ def landed_dates(spark: SparkSession, raw_root: str, source: str, dataset: str)
     return sorted(out)
 
 
-def land(df: DataFrame, raw_root: str, task: ETLTask, *, date_column: str = "trade_date") -> dict:
+def _write_header_only(spark: SparkSession, path: str, columns: Sequence[str]) -> None:
+    jp = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = jp.getFileSystem(spark._jsc.hadoopConfiguration())
+    out = fs.create(jp, True)
+    out.write(bytearray((",".join(columns) + "\n").encode("utf-8")))
+    out.close()
+
+
+def land(df: DataFrame, raw_root: str, task: ETLTask, *, date_column: str = "trade_date",
+         expected_dates: Sequence[_dt.date] | None = None) -> dict:
     """SK2: land a raw frame.
 
     Snapshot datasets are always overwritten. Daily datasets are split by the
     frame's ``date_column`` (``YYYYMMDD`` text); days already landed are skipped
     unless ``task.force`` (then only those days are replaced: dynamic partition
-    overwrite). ``dry_run`` counts and writes nothing.
+    overwrite). ``dry_run`` counts and writes nothing. ``expected_dates``: days
+    that must be present even without rows (an empty vendor answer lands as a
+    header-only file, which counts as present).
     """
     spark = df.sparkSession
     if task.dataset in SNAPSHOT_DATASETS:
@@ -120,6 +127,14 @@ def land(df: DataFrame, raw_root: str, task: ETLTask, *, date_column: str = "tra
         .partitionBy("year", "month", "file_date")
         .csv(dataset_root(raw_root, task))
     )
+    if expected_dates:
+        skip = set(skipped)
+        have = set(landed_dates(spark, raw_root, task.source, task.dataset))
+        for d in expected_dates:
+            if d in have or d in skip:
+                continue
+            folder = f"{dataset_root(raw_root, task)}/year={d.year}/month={d.month:02d}/file_date={d:%Y%m%d}"
+            _write_header_only(spark, f"{folder}/part-empty.csv", [c for c in df.columns])
     return {"dataset": task.dataset, "rows": None, "skipped_dates": skipped}
 
 

@@ -248,7 +248,12 @@ class Store:
                     touched_archive.write.mode("overwrite").partitionBy("year").parquet(f"{staging}/archive")
             self._swap_in(f"{staging}/live", self.path(dataset), ("year", "month"))
             if touched_archive is not None:
+                kept_years = {d for d in sub_dirs(self.spark, f"{staging}/archive") if d.startswith("year=")}
                 self._swap_in(f"{staging}/archive", self.archive_path(dataset), ("year",))
+                # A touched archived year whose every key was replaced has nothing left.
+                for y in years:
+                    if f"year={y}" not in kept_years:
+                        fs_delete(self.spark, f"{self.archive_path(dataset)}/year={y}")
         finally:
             fs_delete(self.spark, staging)
         return counts
