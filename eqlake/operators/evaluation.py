@@ -27,6 +27,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from eqlake.functions.ranking import materialize, ranks_in_group
 from eqlake.functions.stats import average_rank, finite_or_null, position_quantile, safe_corr
 from eqlake.operators.contracts import identity_check, reject_duplicate_keys, require_columns, require_date_subset
 from eqlake.operators.factors import FactorMetadata
@@ -90,6 +91,8 @@ def exact_quantiles(values: DataFrame, col: str, probs: dict[str, float], tiebre
     ided = ordered.select("*", mid.alias("_id")).select(
         "*", F.shiftright("_id", 33).alias("_pid"), F.col("_id").bitwiseAND(F.lit((1 << 33) - 1)).alias("_local")
     )
+    # Read by two branches below: materialise once so both see the same placement.
+    ided = materialize(ided)
     counts = ided.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
     # One row per partition: bounded by spark.sql.shuffle.partitions.
     wo = Window.orderBy("_pid")
@@ -158,8 +161,36 @@ def evaluation_pairs(factors: DataFrame, labels: DataFrame) -> DataFrame:
     return fc.join(lc, KEY, "inner").filter(F.col("_fv").isNotNull() & F.col("_fr").isNotNull())
 
 
-def ranked_pairs(pairs: DataFrame) -> DataFrame:
-    """E1 eligibility + ranks + quintile, all windows partitioned by ``trade_date``."""
+# "window": windows partitioned by trade_date (one shuffle; one task per date, whose
+#   size is bounded by the listed universe on that date);
+# "range": positions from a global range partition, so a hot date is split across
+#   tasks (more stages, one checkpoint);
+# "auto": a one-row probe of the largest date; "range" when it exceeds
+#   HOT_GROUP_ROWS, else "window".
+RANK_STRATEGY = "window"
+HOT_GROUP_ROWS = 20_000_000
+
+
+def choose_strategy(df: DataFrame, group_cols, strategy: str | None) -> str:
+    s = strategy or RANK_STRATEGY
+    if s != "auto":
+        return s
+    biggest = df.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+    return "range" if biggest > HOT_GROUP_ROWS else "window"
+
+
+def ranked_pairs(pairs: DataFrame, strategy: str | None = None) -> DataFrame:
+    """E1 eligibility + average-tie ranks of factor and label + position quintile."""
+    if choose_strategy(pairs, ["trade_date"], strategy) == "range":
+        elig = pairs.groupBy("trade_date").agg(
+            F.count(F.lit(1)).alias("_n"), F.min("_fv").alias("_f_lo"), F.max("_fv").alias("_f_hi"),
+            F.min("_fr").alias("_r_lo"), F.max("_fr").alias("_r_hi"),
+        )
+        ok = (F.col("_n") >= MIN_CROSS_SECTION_SIZE) & (F.col("_f_lo") < F.col("_f_hi")) & (F.col("_r_lo") < F.col("_r_hi"))
+        # One row per date: calendar-bounded broadcast.
+        e = pairs.join(F.broadcast(elig.filter(ok).select("trade_date")), "trade_date")
+        e = ranks_in_group(e, ["trade_date"], "_fv", ["ts_code"], avg_rank="_rf", quantile="_q", n_groups=QUANTILE_COUNT)
+        return ranks_in_group(e, ["trade_date"], "_fr", ["ts_code"], avg_rank="_rr")
     wd = Window.partitionBy("trade_date")
     e = pairs.withColumns({
         "_n": F.count(F.lit(1)).over(wd),
@@ -293,12 +324,12 @@ def validate_inputs(factors, labels, universe, metadata: FactorMetadata) -> None
 
 
 def validate_factor(factors: DataFrame, labels: DataFrame, universe: DataFrame, metadata: FactorMetadata, *,
-                    check_inputs: bool = True, with_coverage: bool = True) -> DataFrame:
+                    check_inputs: bool = True, with_coverage: bool = True, strategy: str | None = None) -> DataFrame:
     """One-row report (``REPORT_COLUMNS`` + ``coverage_by_date`` array)."""
     if check_inputs:
         validate_inputs(factors, labels, universe, metadata)
     pairs = evaluation_pairs(factors, labels)
-    ranked = ranked_pairs(pairs)
+    ranked = ranked_pairs(pairs, strategy)
     daily = daily_metrics(ranked, metadata.higher_is_better)
     summary = ic_summary(daily)
     turnover = turnover_by_date(ranked, daily, metadata.higher_is_better).agg(F.avg("turnover").alias("turnover"))
