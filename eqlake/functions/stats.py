@@ -17,14 +17,23 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _finite_sql(name: str) -> str:
+    q = f"`{name}`"
+    return f"({q} IS NOT NULL AND NOT isnan({q}) AND abs({q}) < double('inf'))"
+
+
 def is_finite(c) -> Column:
     """Not null, not NaN, not +-inf. (``isnan(null)`` is false, so test null first.)"""
+    if isinstance(c, str):  # one SQL expression: fewer driver round trips
+        return F.expr(_finite_sql(c))
     x = _col(c)
     return x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(INF))
 
 
 def finite_or_null(c) -> Column:
     """FN8: keep finite values, everything else becomes null."""
+    if isinstance(c, str):
+        return F.expr(f"CASE WHEN {_finite_sql(c)} THEN `{c}` END")
     x = _col(c)
     return F.when(is_finite(x), x)
 
@@ -81,10 +90,10 @@ def position_quantile(order_cols, partition_cols, n_groups: int = 5) -> Column:
 
 def round_doubles(df, digits: int = 9, exclude=()):
     """Round every double column (for order-insensitive comparisons of aggregates)."""
-    cols = []
+    exprs = []
     for f in df.schema.fields:
         if f.dataType.typeName() == "double" and f.name not in exclude:
-            cols.append(F.round(F.col(f.name), digits).alias(f.name))
+            exprs.append(f"round(`{f.name}`, {digits}) AS `{f.name}`")
         else:
-            cols.append(F.col(f.name))
-    return df.select(*cols)
+            exprs.append(f"`{f.name}`")
+    return df.selectExpr(*exprs)

@@ -27,7 +27,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from eqlake.functions.ranking import materialize, ranks_in_group
+from eqlake.functions.ranking import materialize as _materialize
+from eqlake.functions.ranking import ranks_in_group
 from eqlake.functions.stats import average_rank, finite_or_null, position_quantile, safe_corr
 from eqlake.operators.contracts import identity_check, reject_duplicate_keys, require_columns, require_date_subset
 from eqlake.operators.factors import FactorMetadata
@@ -51,6 +52,8 @@ REPORT_COLUMNS = (
 
 
 def clean_factors(factors: DataFrame) -> DataFrame:
+    if "_fv" in factors.columns:
+        return factors
     return factors.select("*", finite_or_null("factor_value").alias("_fv"))
 
 
@@ -92,7 +95,7 @@ def exact_quantiles(values: DataFrame, col: str, probs: dict[str, float], tiebre
         "*", F.shiftright("_id", 33).alias("_pid"), F.col("_id").bitwiseAND(F.lit((1 << 33) - 1)).alias("_local")
     )
     # Read by two branches below: materialise once so both see the same placement.
-    ided = materialize(ided)
+    ided = _materialize(ided)
     counts = ided.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
     # One row per partition: bounded by spark.sql.shuffle.partitions.
     wo = Window.orderBy("_pid")
@@ -324,10 +327,15 @@ def validate_inputs(factors, labels, universe, metadata: FactorMetadata) -> None
 
 
 def validate_factor(factors: DataFrame, labels: DataFrame, universe: DataFrame, metadata: FactorMetadata, *,
-                    check_inputs: bool = True, with_coverage: bool = True, strategy: str | None = None) -> DataFrame:
+                    check_inputs: bool = True, with_coverage: bool = True, strategy: str | None = None,
+                    materialize: bool = True) -> DataFrame:
     """One-row report (``REPORT_COLUMNS`` + ``coverage_by_date`` array)."""
     if check_inputs:
         validate_inputs(factors, labels, universe, metadata)
+    if materialize:
+        # The factor panel feeds four branches (pairs, distribution, autocorrelation,
+        # coverage): compute it once into the shared checkpoint folder.
+        factors = _materialize(clean_factors(factors).select(*FACTOR_COLUMNS, "_fv"))
     pairs = evaluation_pairs(factors, labels)
     ranked = ranked_pairs(pairs, strategy)
     daily = daily_metrics(ranked, metadata.higher_is_better)
