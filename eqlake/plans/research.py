@@ -27,7 +27,7 @@ from eqlake.sources.store import fs_delete, fs_exists, fs_rename, has_parquet
 
 def _source_key(sf_dir: str, panel: str) -> str:
     """Identity of a derived panel: source folder, panel and the source files' size/mtime."""
-    src = "events" if panel == "events" else "lineitem"
+    src = "lineitem" if panel == "lineitem" else "events"
     path = os.path.join(sf_dir, f"{src}.parquet")
     try:
         st = os.stat(path)

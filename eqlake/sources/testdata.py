@@ -240,6 +240,14 @@ def _raw_code():
 
 
 def _raw_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per-user-day aggregates behind every raw frame, built once per session as a
+    written table in the shared checkpoint folder (the "landed" raw data)."""
+    from eqlake.plans.research import materialized
+
+    return materialized(spark, sf_dir, "events-raw", "raw_daily", lambda: _raw_daily_build(spark, sf_dir))
+
+
+def _raw_daily_build(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events")
     order = F.struct("ts", "event_id")
     return e.groupBy("user_id", F.to_date("ts").alias("d")).agg(
