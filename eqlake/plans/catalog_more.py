@@ -631,3 +631,53 @@ def q_resample_5d(spark, sf_dir):
 @register("lineitem_daily_bars_etl", O.with_panel("lineitem", f"SELECT {', '.join(S.DAILY_OHLCV_COLUMNS)} FROM ohlcv"))
 def q_lineitem_daily_bars_etl(spark, sf_dir):
     return Research(spark, sf_dir, "lineitem", materialize=False).bars
+
+
+# ---------------------------------------------------------------------------
+# N6 security snapshot, QC5/QC6 contracts on derived frames
+# ---------------------------------------------------------------------------
+
+_SEC_SQL = """
+sec AS (
+  SELECT ts_code, split_part(ts_code, '.', 1) AS symbol, 'security ' || ts_code AS name,
+         CAST(NULL AS VARCHAR) AS area, CAST(NULL AS VARCHAR) AS industry, CAST(NULL AS VARCHAR) AS fullname,
+         CAST(NULL AS VARCHAR) AS enname, CAST(NULL AS VARCHAR) AS cnspell, 'main' AS market, 'SZSE' AS exchange,
+         'CNY' AS curr_type,
+         CASE WHEN max(trade_date) = (SELECT max(trade_date) FROM daily) THEN 'L' WHEN count(*) < 10 THEN 'P' ELSE 'D' END AS list_status,
+         strftime(min(trade_date), '%Y%m%d') AS list_date,
+         CASE WHEN max(trade_date) <> (SELECT max(trade_date) FROM daily) AND count(*) >= 10 THEN strftime(max(trade_date), '%Y%m%d') END AS delist_date,
+         'N' AS is_hs, CAST(NULL AS VARCHAR) AS act_name, CAST(NULL AS VARCHAR) AS act_ent_type
+  FROM daily GROUP BY ts_code)"""
+
+
+@register("security_snapshot", O.with_panel("events", "SELECT * FROM sec", _SEC_SQL))
+def q_security_snapshot(spark, sf_dir):
+    return N.normalize_stock_basic(TD.securities(spark, sf_dir, "events"))
+
+
+@register(
+    "contract_violations_security",
+    O.with_panel("events", "SELECT ts_code, 'list_status_domain' AS rule FROM sec WHERE list_status NOT IN ('L', 'D', 'P')", _SEC_SQL),
+)
+def q_contract_violations_security(spark, sf_dir):
+    return QC.violation_rows(TD.securities(spark, sf_dir, "events"), "security", ["ts_code"])
+
+
+@register(
+    "contract_violations_calendar",
+    O.with_panel("lineitem", "SELECT cal_date, 'is_open_missing' AS rule FROM calw WHERE is_open IS NULL"),
+)
+def q_contract_violations_calendar(spark, sf_dir):
+    return QC.violation_rows(Research(spark, sf_dir, "lineitem").calendar_weekdays, "calendar", ["cal_date"])
+
+
+@register(
+    "contract_violations_index",
+    O.with_panel("lineitem", """
+SELECT ts_code, trade_date, 'high_below_low' AS rule FROM ohlcv WHERE high < low
+UNION ALL SELECT ts_code, trade_date, 'price_not_positive' FROM ohlcv WHERE least(open, high, low, close) <= 0"""),
+)
+def q_contract_violations_index(spark, sf_dir):
+    # the supplier price series used as index bars (no pre_close)
+    bars = Research(spark, sf_dir, "lineitem").bars.select(*S.INDEX_DAILY_COLUMNS)
+    return QC.violation_rows(bars, "index_daily", ["ts_code", "trade_date"])

@@ -145,3 +145,11 @@ def test_land_and_load_end_to_end(spark, tmp_root):
     R.land(cal_raw, raw_root, R.ETLTask("trade-calendar", "vendor", days[0], days[1]))
     assert J.load(spark, st, raw_root, R.ETLTask("trade-calendar", "vendor", days[0], days[1])) == 2
     assert ST.calendar_status(st.read_dim("dim_trade_calendar")).first().open_count == 2
+
+
+def test_column_comments_are_stored(spark, tmp_root):
+    st = Store(spark, tmp_root)
+    df = spark.createDataFrame([("000001.SZ", D(2024, 1, 2), 1.5)], S.ADJ_FACTOR_SCHEMA)
+    st.write_daily("adj_factor", df, date_column="trade_date", key_columns=S.DAILY_KEY, columns=S.ADJ_FACTOR_COLUMNS)
+    meta = st.read("adj_factor").schema["cumulative_factor"].metadata
+    assert meta.get("comment") == S.COLUMN_COMMENTS["cumulative_factor"]
