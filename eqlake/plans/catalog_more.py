@@ -681,3 +681,75 @@ def q_contract_violations_index(spark, sf_dir):
     # the supplier price series used as index bars (no pre_close)
     bars = Research(spark, sf_dir, "lineitem").bars.select(*S.INDEX_DAILY_COLUMNS)
     return QC.violation_rows(bars, "index_daily", ["ts_code", "trade_date"])
+
+
+# ---------------------------------------------------------------------------
+# E3-E5 per-date slices, QC9/QC10 as queries, SK8 logical merge
+# ---------------------------------------------------------------------------
+
+from eqlake.plans.catalog import _eval_inputs, _eval_sql  # noqa: E402
+
+
+def _daily(spark, sf_dir):
+    r, factors = _eval_inputs(spark, sf_dir)
+    ranked = EV.ranked_pairs(EV.evaluation_pairs(factors, r.labels))
+    return EV.daily_metrics(ranked, FX.RETURN_5D.higher_is_better)
+
+
+@register("daily_rank_ic", _eval_sql("events", "SELECT trade_date, round(rank_ic, 9) AS rank_ic FROM dmet"))
+def q_daily_rank_ic(spark, sf_dir):
+    return _r(_daily(spark, sf_dir).select("trade_date", "rank_ic"))
+
+
+@register(
+    "quintile_returns",
+    _eval_sql("events", "SELECT trade_date, " + ", ".join(f"round(q{k}, 9) AS q{k}" for k in range(1, 6)) + " FROM dmet"),
+)
+def q_quintile_returns(spark, sf_dir):
+    return _r(_daily(spark, sf_dir).select("trade_date", *[f"q{k}" for k in range(1, 6)]))
+
+
+@register("long_short", _eval_sql("events", "SELECT trade_date, round(long_short, 9) AS long_short FROM dmet"))
+def q_long_short(spark, sf_dir):
+    return _r(_daily(spark, sf_dir).select("trade_date", "long_short"))
+
+
+@register(
+    "identity_check",
+    O.with_panel("lineitem", "SELECT DISTINCT factor_name, factor_version FROM ranked", _PIPE_CTES),
+)
+def q_identity_check(spark, sf_dir):
+    return pipeline_frame(spark, sf_dir).select("factor_name", "factor_version").distinct()
+
+
+@register(
+    "date_subset",
+    O.with_panel(
+        "lineitem",
+        "SELECT DISTINCT trade_date FROM ranked WHERE trade_date NOT IN (SELECT cal_date FROM calw WHERE is_open)",
+        _PIPE_CTES,
+    ),
+)
+def q_date_subset(spark, sf_dir):
+    """QC10: factor dates that the weekday calendar does not list as open."""
+    r = Research(spark, sf_dir, "lineitem")
+    open_days = r.calendar_weekdays.filter("is_open").select(F.col("cal_date").alias("trade_date"))
+    return QC.dates_not_in(pipeline_frame(spark, sf_dir), open_days)
+
+
+@register(
+    "archive_merge",
+    O.with_panel("lineitem", """
+SELECT ts_code, trade_date, close FROM (
+  SELECT *, row_number() OVER (PARTITION BY ts_code, trade_date ORDER BY seq DESC) AS rn FROM (
+    SELECT ts_code, trade_date, close, 0 AS seq FROM ohlcv WHERE year(trade_date) = 1996
+    UNION ALL SELECT ts_code, trade_date, high AS close, 1 AS seq FROM ohlcv WHERE year(trade_date) = 1996 AND is_st))
+WHERE rn = 1"""),
+)
+def q_archive_merge(spark, sf_dir):
+    """SK8 logical result: an archived year (older) merged with corrected month rows
+    (newer; here the supplier-days flagged ``is_st`` re-issued with close = high)."""
+    bars = Research(spark, sf_dir, "lineitem").bars.filter(F.year("trade_date") == 1996)
+    old = bars.select("ts_code", "trade_date", "close", F.lit(0).alias("_seq"))
+    new = bars.filter("is_st").select("ts_code", "trade_date", F.col("high").alias("close"), F.lit(1).alias("_seq"))
+    return SK.keep_last(old.unionByName(new), ["ts_code", "trade_date"], "_seq").drop("_seq")
