@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eqlake import schemas as S
+from eqlake.functions.ranking import materialize
 from eqlake.operators import evaluation as EV
 from eqlake.operators import factors as FX
 from eqlake.operators import labels as LB
@@ -109,6 +110,8 @@ def run_factor_pipeline(spark: SparkSession, store: Store, factor_names: Sequenc
         raise ValueError(f"empty input panel: start={warm}, end={end_date}")
     out = factor_frame(bars, adj, metas, start_date, end_date, warm, processor)
     if dry_run:
+        # Checked and summarised without a write: compute it once (shared checkpoint folder).
+        out = materialize(out)
         check_factor_output(out, start_date, end_date)
         s = summarize_output(out).first()
         written = ()
@@ -153,7 +156,8 @@ def run_factor_validation(spark: SparkSession, store: Store, factor_name: str, s
     last = trade_dates[-1]
     panel = Q.daily_panel(prune_months(bars, start_date, last), prune_months(adj, start_date, last), start_date, last, ["hfq_open"])
     td = spark.createDataFrame([(d,) for d in trade_dates], "trade_date date")
-    labels = LB.forward_return_5d(panel, td)
+    # The labels feed the input checks and the report: compute them once.
+    labels = materialize(LB.forward_return_5d(panel, td))
     universe = panel.filter(F.col("trade_date").between(F.lit(start_date), F.lit(end_date))).select("ts_code", "trade_date")
     report = EV.validate_factor(factors, labels, universe, metadata)
     return report.first().asDict(recursive=True)
