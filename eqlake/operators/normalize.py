@@ -64,10 +64,6 @@ def raise_first_failure(df: DataFrame, checks: Sequence[tuple[str, Column, Colum
             raise ValueError(f"{msg}: {vals}")
 
 
-def _opt(df: DataFrame, c: str) -> Column:
-    return F.col(c) if c in df.columns else F.lit(None).cast("string")
-
-
 # ---------------------------------------------------------------------------
 # N5 research universe
 # ---------------------------------------------------------------------------

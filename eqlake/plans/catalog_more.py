@@ -35,10 +35,6 @@ MID = D(2024, 1, 15)
 RANGE = (D(2024, 1, 5), D(2024, 1, 25))
 
 
-def _rd(cols, doubles):
-    return ", ".join(f"round({c}, 9) AS {c}" if c in doubles else c for c in cols)
-
-
 # ---------------------------------------------------------------------------
 # J4-J7, W5, Q1-Q8
 # ---------------------------------------------------------------------------

@@ -25,7 +25,6 @@ from eqlake.operators import normalize as N
 from eqlake.operators import processing as PR
 from eqlake.operators import repository as Q
 from eqlake.operators import status as ST
-from eqlake.operators import views as V
 from eqlake.operators.contracts import check_factor_output
 from eqlake.sources import raw as R
 from eqlake.sources.store import Store, prune_months
@@ -285,4 +284,4 @@ def build_task(dataset: str, source: str, start: str | None, end: str | None, *,
 
 
 __all__ = ["run_factor_pipeline", "run_factor_validation", "load", "backfill", "archive", "status", "missing",
-           "run_daily", "build_task", "summarize_output", "factor_frame", "V"]
+           "run_daily", "build_task", "summarize_output", "factor_frame"]

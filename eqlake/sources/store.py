@@ -22,7 +22,7 @@ import datetime as _dt
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eqlake import schemas as S
@@ -396,4 +396,4 @@ def _as_date(v):
     return _dt.date.fromisoformat(str(v))
 
 
-__all__ = ["Store", "keep_last", "prune_months", "daily_month_keys", "Window"]
+__all__ = ["Store", "keep_last", "prune_months", "daily_month_keys", "upsert_frames", "replace_rows"]
