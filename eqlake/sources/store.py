@@ -81,10 +81,23 @@ def sub_dirs(spark: SparkSession, p: str) -> list[str]:
 def keep_last(df: DataFrame, key_columns: Sequence[str], order_col: str) -> DataFrame:
     """SK4: one row per key, the one with the largest ``order_col`` (arrival order).
 
-    ``max_by`` over a struct of the row is a partial (map-side) aggregate, so a
-    key with a huge number of duplicates is combined before the shuffle.
+    * integral ``order_col`` (unique within a key, e.g. a staged arrival sequence or
+      a source rank where each source holds a key at most once):
+      ``max(order_col)`` per key as a hash aggregate with map-side partial
+      aggregation, then an equi join on ``(keys, order_col)``. Because the sequence
+      is part of the join key, the rows of a hot key hash across many partitions.
+    * any other ordering (e.g. a struct): ``max_by(struct(row), order_col)`` per
+      key, a partial aggregate (sort based, spills).
     """
     others = [c for c in df.columns if c not in key_columns]
+    dtype = df.schema[order_col].dataType.typeName()
+    if dtype in ("long", "integer", "short", "byte"):
+        latest = df.groupBy(*key_columns).agg(F.max(order_col).alias("_latest"))
+        cond = F.col(f"r.{order_col}") == F.col("l._latest")
+        for k in key_columns:  # null-safe: a null key is a group of its own, as in groupBy
+            cond = cond & F.col(f"r.{k}").eqNullSafe(F.col(f"l.{k}"))
+        kept = df.alias("r").join(latest.alias("l"), cond, "left_semi")
+        return kept.select(*key_columns, *others)
     packed = F.struct(*[F.col(c) for c in others])
     agg = df.groupBy(*key_columns).agg(F.max_by(packed, F.col(order_col)).alias("_row"))
     return agg.select(*key_columns, *[F.col(f"_row.{c}").alias(c) for c in others])

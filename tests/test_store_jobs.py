@@ -153,3 +153,15 @@ def test_column_comments_are_stored(spark, tmp_root):
     st.write_daily("adj_factor", df, date_column="trade_date", key_columns=S.DAILY_KEY, columns=S.ADJ_FACTOR_COLUMNS)
     meta = st.read("adj_factor").schema["cumulative_factor"].metadata
     assert meta.get("comment") == S.COLUMN_COMMENTS["cumulative_factor"]
+
+
+def test_keep_last_paths_agree(spark):
+    from eqlake.sources.store import keep_last
+
+    rows = [("a", 1, 10.0, 0), ("a", 1, 11.0, 5), ("a", 1, 12.0, 3), ("b", 2, 1.0, 1), (None, 3, 7.0, 2), (None, 3, 8.0, 4)]
+    df = spark.createDataFrame(rows, "k string, d int, v double, seq long")
+    key = lambda t: tuple(str(x) for x in t)
+    hashed = sorted((tuple(r) for r in keep_last(df, ["k", "d"], "seq").collect()), key=key)
+    structed = sorted((tuple(r) for r in keep_last(df.withColumn("seq", F.struct("seq")), ["k", "d"], "seq")
+                       .withColumn("seq", F.col("seq.seq")).collect()), key=key)
+    assert hashed == structed == sorted([("a", 1, 11.0, 5), ("b", 2, 1.0, 1), (None, 3, 8.0, 4)], key=key)
