@@ -9,7 +9,6 @@ way the ETL layer keeps its processed store; everything downstream is lazy.
 from __future__ import annotations
 
 import hashlib
-import os
 import uuid
 from functools import cached_property
 
@@ -25,16 +24,19 @@ from eqlake.sources import testdata as TD
 from eqlake.sources.store import fs_delete, fs_exists, fs_rename, has_parquet
 
 
-def _source_key(sf_dir: str, panel: str) -> str:
-    """Identity of a derived panel: source folder, panel and the source files' size/mtime."""
+def _source_key(spark: SparkSession, sf_dir: str, panel: str) -> str:
+    """Identity of a derived panel: source folder, panel and the source file's
+    length/modification time (Hadoop FileSystem, so any shared file system works)."""
     src = "lineitem" if panel == "lineitem" else "events"
-    path = os.path.join(sf_dir, f"{src}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{src}.parquet"
     try:
-        st = os.stat(path)
-        stamp = f"{st.st_size}:{int(st.st_mtime)}"
-    except OSError:
+        jp = spark._jvm.org.apache.hadoop.fs.Path(path)
+        fs = jp.getFileSystem(spark._jsc.hadoopConfiguration())
+        summary = fs.getContentSummary(jp)
+        stamp = f"{summary.getLength()}:{fs.getFileStatus(jp).getModificationTime()}"
+    except Exception:  # noqa: BLE001 - missing source: the build itself reports it
         stamp = "na"
-    return hashlib.sha1(f"{os.path.abspath(sf_dir)}|{panel}|{stamp}".encode()).hexdigest()[:16]
+    return hashlib.sha1(f"{path}|{panel}|{stamp}".encode()).hexdigest()[:16]
 
 
 def materialized(spark: SparkSession, sf_dir: str, panel: str, name: str, build) -> DataFrame:
@@ -45,7 +47,7 @@ def materialized(spark: SparkSession, sf_dir: str, panel: str, name: str, build)
     (column pruning + filter pushdown) instead of re-aggregating raw rows in every
     branch of a plan. Written to a unique staging path, then renamed.
     """
-    root = f"{checkpoint_dir(spark).rstrip('/')}/eqlake-panels/{_source_key(sf_dir, panel)}"
+    root = f"{checkpoint_dir(spark).rstrip('/')}/eqlake-panels/{_source_key(spark, sf_dir, panel)}"
     target = f"{root}/{name}"
     if not has_parquet(spark, target):
         staging = f"{root}/_tmp-{name}-{uuid.uuid4().hex}"
