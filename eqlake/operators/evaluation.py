@@ -120,10 +120,20 @@ def exact_quantiles(values: DataFrame, col: str, probs: dict[str, float], tiebre
     return a.select(*out)
 
 
-def factor_distribution(factors: DataFrame) -> DataFrame:
-    """AG6 + AG7: counts, missing rate and distribution of valid values (one row)."""
+# Up to this many valid values the exact ``percentile`` aggregate is used: its
+# buffer (distinct value -> count) then has a proven bound in the final task.
+# Above it, ``exact_quantiles`` keeps the values distributed.
+SINGLE_TASK_QUANTILE_MAX = 200_000
+_PROBS = {"p25": 0.25, "median": 0.5, "p75": 0.75}
+
+
+def factor_distribution(factors: DataFrame, *, quantiles: str = "auto") -> DataFrame:
+    """AG6 + AG7: counts, missing rate and distribution of valid values (one row).
+
+    ``quantiles``: "auto" (count the valid values, then pick), "aggregate" or "distributed".
+    """
     fc = clean_factors(factors)
-    base = fc.agg(
+    aggs = [
         F.count(F.lit(1)).alias("row_count"),
         F.count_distinct("trade_date").alias("trade_date_count"),
         F.count_distinct("ts_code").alias("security_count"),
@@ -132,13 +142,21 @@ def factor_distribution(factors: DataFrame) -> DataFrame:
         F.stddev_samp("_fv").alias("std"),
         F.min("_fv").alias("min"),
         F.max("_fv").alias("max"),
-    )
+    ]
+    mode = quantiles
+    if mode == "auto":
+        n_valid = fc.agg(F.count("_fv")).first()[0]
+        mode = "aggregate" if n_valid <= SINGLE_TASK_QUANTILE_MAX else "distributed"
+    if mode == "aggregate":
+        pct = F.percentile(F.col("_fv"), F.array(*[F.lit(p) for p in _PROBS.values()]))
+        base = fc.agg(*aggs, pct.alias("_q"))
+        base = base.select("*", *[F.col("_q")[i].alias(name) for i, name in enumerate(_PROBS)])
+    else:
+        base = _one_row_join(fc.agg(*aggs), exact_quantiles(fc, "_fv", _PROBS, tiebreak=("ts_code", "trade_date")))
     base = base.select(
         "*", (F.lit(1.0) - F.try_divide(F.col("_valid").cast("double"), F.col("row_count").cast("double"))).alias("missing_value_rate")
     )
-    q = exact_quantiles(fc, "_fv", {"p25": 0.25, "median": 0.5, "p75": 0.75}, tiebreak=("ts_code", "trade_date"))
-    j = _one_row_join(base, q)
-    return j.select(
+    return base.select(
         "row_count", "trade_date_count", "security_count", "missing_value_rate", "mean",
         finite_or_null("std").alias("std"), "min", "p25", "median", "p75", "max",
     )

@@ -180,3 +180,12 @@ def test_exact_quantiles_linear(spark):
     df = spark.createDataFrame([(float(x),) for x in [1, 2, 3, 4, 10]], "v double")
     r = EV.exact_quantiles(df, "v", {"p25": 0.25, "p50": 0.5, "p90": 0.9}).first()
     assert r.p25 == pytest.approx(2.0) and r.p50 == pytest.approx(3.0) and r.p90 == pytest.approx(7.6)
+
+
+def test_distribution_quantile_paths_agree(spark):
+    f = factors_df(spark, [D(2024, 1, 2), D(2024, 1, 3)], [[1, 2, 3, 4, 10, None], [2, 2, 7, float("inf"), 5, 1]])
+    a = EV.factor_distribution(f, quantiles="aggregate").first().asDict()
+    b = EV.factor_distribution(f, quantiles="distributed").first().asDict()
+    for k in a:
+        assert a[k] == pytest.approx(b[k]), k
+    assert a["median"] == pytest.approx(2.5) and a["row_count"] == 12
