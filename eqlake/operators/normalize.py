@@ -159,9 +159,11 @@ def limit_prices(stk_limit: DataFrame | None) -> DataFrame | None:
         parse_number("down_limit").alias("down_limit"),
         "_seq",
     )
+    # ``_seq`` is unique per row, so both max_by pick the same (last) row; scalar
+    # values keep the aggregate hash-based with map-side partial aggregation.
     return lim.groupBy("ts_code", "trade_date").agg(
-        F.max_by(F.struct("up_limit", "down_limit"), "_seq").alias("_lim")
-    ).select("ts_code", "trade_date", F.col("_lim.up_limit").alias("up_limit"), F.col("_lim.down_limit").alias("down_limit"))
+        F.max_by("up_limit", "_seq").alias("up_limit"), F.max_by("down_limit", "_seq").alias("down_limit")
+    )
 
 
 def limit_status(open_col: Column, close_col: Column, up: Column | None, down: Column | None) -> Column:
