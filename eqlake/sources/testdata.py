@@ -248,19 +248,27 @@ def _raw_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _raw_daily_build(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = table(spark, sf_dir, "events")
-    order = F.struct("ts", "event_id")
-    return e.groupBy("user_id", F.to_date("ts").alias("d")).agg(
-        F.min_by("value", order).alias("open"),
-        F.max("value").alias("high"),
-        F.min("value").alias("low"),
-        F.max_by("value", order).alias("close"),
-        F.count(F.lit(1)).alias("vol"),
-        F.round(F.sum("value"), 2).alias("amount"),
-        F.count_if(F.col("event_type") == "error").alias("n_error"),
-        F.count_if(F.col("event_type") == "signup").alias("n_signup"),
-        F.count_if(F.col("event_type") == "purchase").alias("n_purchase"),
+    # Same ordering tuple (ts, event_id) and two-level hash aggregation as the panels.
+    e = table(spark, sf_dir, "events").select(
+        "user_id", F.to_date("ts").alias("d"), F.unix_micros(F.col("ts").cast("timestamp")).alias("_k"),
+        "event_id", "value", "event_type",
     )
+    return _first_last(
+        e, ["user_id", "d"], "_k", "value",
+        F.min_by("value", "event_id"), F.max_by("value", "event_id"),
+        [
+            F.max("value").alias("_high"), F.min("value").alias("_low"), F.count(F.lit(1)).alias("_n"),
+            F.sum("value").alias("_sum"),
+            F.count_if(F.col("event_type") == "error").alias("_err"),
+            F.count_if(F.col("event_type") == "signup").alias("_sig"),
+            F.count_if(F.col("event_type") == "purchase").alias("_pur"),
+        ],
+        [
+            F.max("_high").alias("high"), F.min("_low").alias("low"), F.sum("_n").alias("vol"),
+            F.round(F.sum("_sum"), 2).alias("amount"), F.sum("_err").alias("n_error"),
+            F.sum("_sig").alias("n_signup"), F.sum("_pur").alias("n_purchase"),
+        ],
+    ).select("user_id", "d", "open", "high", "low", "close", "vol", "amount", "n_error", "n_signup", "n_purchase")
 
 
 def raw_daily_ohlcv(spark: SparkSession, sf_dir: str) -> DataFrame:
