@@ -61,6 +61,11 @@ def materialized(spark: SparkSession, sf_dir: str, panel: str, name: str, build)
     return spark.read.parquet(target)
 
 
+# Read handles of the written panel tables, per (session, folder, panel, table): the
+# tables stay in place for the session, so later queries skip the listing and footer reads.
+_TABLES: dict = {}
+
+
 class Research:
     def __init__(self, spark: SparkSession, sf_dir: str, panel: str = "events", *, materialize: bool = True) -> None:
         self.spark = spark
@@ -71,7 +76,12 @@ class Research:
     def _table(self, name: str, build) -> DataFrame:
         if not self.materialize:
             return build()
-        return materialized(self.spark, self.sf_dir, self.panel_name, name, build)
+        key = (id(self.spark._jsparkSession), self.sf_dir.rstrip("/"), self.panel_name, name)
+        df = _TABLES.get(key)
+        if df is None:
+            df = materialized(self.spark, self.sf_dir, self.panel_name, name, build)
+            _TABLES[key] = df
+        return df
 
     @cached_property
     def bars(self) -> DataFrame:
