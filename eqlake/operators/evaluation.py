@@ -186,9 +186,10 @@ def evaluation_pairs(factors: DataFrame, labels: DataFrame) -> DataFrame:
 #   size is bounded by the listed universe on that date);
 # "range": positions from a global range partition, so a hot date is split across
 #   tasks (more stages, one checkpoint);
-# "auto": a one-row probe of the largest date; "range" when it exceeds
-#   HOT_GROUP_ROWS, else "window".
-RANK_STRATEGY = "window"
+# "auto" (default): a one-row probe of the largest date; "range" when it exceeds
+#   HOT_GROUP_ROWS, else "window". ``validate_factor`` probes its checkpointed factor
+#   panel, which bounds the pairs per date.
+RANK_STRATEGY = "auto"
 HOT_GROUP_ROWS = 20_000_000
 
 
@@ -354,6 +355,10 @@ def validate_factor(factors: DataFrame, labels: DataFrame, universe: DataFrame,
         # The factor panel feeds four branches (pairs, distribution, autocorrelation,
         # coverage): compute it once into the shared checkpoint folder.
         factors = _materialize(clean_factors(factors).select(*FACTOR_COLUMNS, "_fv"))
+    if (strategy or RANK_STRATEGY) == "auto":
+        # The factor rows of a date bound its evaluation pairs: probe the (checkpointed)
+        # factor panel instead of the joined pairs.
+        strategy = choose_strategy(factors, ["trade_date"], "auto")
     pairs = evaluation_pairs(factors, labels)
     ranked = ranked_pairs(pairs, strategy)
     daily = daily_metrics(ranked, metadata.higher_is_better)

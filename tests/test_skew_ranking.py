@@ -56,3 +56,16 @@ def test_range_strategy_matches_window_on_panel(spark):
             assert rr[k] == pytest.approx(v, abs=1e-12), k
         else:
             assert rr[k] == v, k
+
+
+def test_auto_strategy_switches_on_hot_date(spark, monkeypatch):
+    r = Research(spark, SMALL)
+    factors = r.processed().select(*EV.FACTOR_COLUMNS)
+    assert EV.choose_strategy(factors, ["trade_date"], "auto") == "window"
+    monkeypatch.setattr(EV, "HOT_GROUP_ROWS", 5)
+    assert EV.choose_strategy(factors, ["trade_date"], "auto") == "range"
+    auto = EV.validate_factor(factors, r.labels, r.universe, FX.RETURN_5D, check_inputs=False).first().asDict()
+    win = EV.validate_factor(factors, r.labels, r.universe, FX.RETURN_5D, check_inputs=False, strategy="window").first().asDict()
+    for k, v in win.items():
+        if isinstance(v, float):
+            assert auto[k] == pytest.approx(v, abs=1e-12), k
