@@ -189,7 +189,7 @@ def evaluation_pairs(factors: DataFrame, labels: DataFrame) -> DataFrame:
 # "auto" (default): a one-row probe of the largest date; "range" when it exceeds
 #   HOT_GROUP_ROWS, else "window". ``validate_factor`` probes its checkpointed factor
 #   panel, which bounds the pairs per date.
-RANK_STRATEGY = "auto"
+RANK_STRATEGY = "auto"  # used by validate_factor
 HOT_GROUP_ROWS = 20_000_000
 
 
@@ -202,8 +202,13 @@ def choose_strategy(df: DataFrame, group_cols, strategy: str | None) -> str:
 
 
 def ranked_pairs(pairs: DataFrame, strategy: str | None = None) -> DataFrame:
-    """E1 eligibility + average-tie ranks of factor and label + position quintile."""
-    if choose_strategy(pairs, ["trade_date"], strategy) == "range":
+    """E1 eligibility + average-tie ranks of factor and label + position quintile.
+
+    ``strategy`` defaults to "window" here ("auto" would probe the pairs, i.e.
+    evaluate them once more); ``validate_factor`` resolves "auto" on its
+    checkpointed factor panel instead.
+    """
+    if choose_strategy(pairs, ["trade_date"], strategy or "window") == "range":
         elig = pairs.groupBy("trade_date").agg(
             F.count(F.lit(1)).alias("_n"), F.min("_fv").alias("_f_lo"), F.max("_fv").alias("_f_hi"),
             F.min("_fr").alias("_r_lo"), F.max("_fr").alias("_r_hi"),
