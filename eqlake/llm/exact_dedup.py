@@ -113,8 +113,9 @@ def exact_groups(docs: DataFrame, *, text: str = "text", keep: str = "max", roun
 def exact_dedup(docs: DataFrame, *, text: str = "text", keep: str = "max") -> DataFrame:
     """``docs`` with one row per distinct normalised text, every column kept."""
     kept = exact_groups(docs, text=text, keep=keep).where("kept").select(F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__sha"))
-    tagged = docs.withColumn("__sha2", F.sha2(ascii_lower(text_of(text)), 256))
-    out = tagged.join(kept, tagged["doc_id"].eqNullSafe(kept["__id"]) & (tagged["__sha2"] == kept["__sha"]))
+    own = F.sha2(ascii_lower(text_of(text)), 256)
+    # The digest as a prefix test: as a join key every row would compute it several times.
+    out = docs.join(kept, docs["doc_id"].eqNullSafe(kept["__id"]) & F.startswith(own, F.col("__sha")))
     # Rows that share id and text survive the join together; one of them stays.
     return out.dropDuplicates(["__id", "__sha"]).select(*[F.col(f"`{c}`") for c in docs.columns])
 

@@ -9,10 +9,14 @@ their registers (how many are greater, less and equal), and those that might rea
 threshold are verified on their full sets. Verified links make components.
 
 No bucket is expanded into all its pairs. First each class of a bucket is compared with one
-representative, the bucket's smallest: a group of copies becomes a star. Then only buckets
-that still hold several components are looked at again: a bucket of up to ``PAIRS_UP_TO``
-classes pairs those of different components; a larger one is split by a second band (all
-other bands in turn, so that a similar pair has many chances), and the parts pair theirs.
+representative, the class that meets most others: a group of copies becomes a star around
+what they were copied from. Then only buckets that still hold several components are looked
+at again, and only classes outside the representative's component that can link at all: a
+shingle that no other class of these buckets has is common to no pair, so ``c`` of ``n``
+shingles bound the similarity with a set of size m by c / (n + m - c). Copies with too many
+changes of their own fall out here. The rest meet the classes of other components, and a pair
+leaves the join only if the sets' bitmaps allow the threshold: a bit that one set has and the
+other has not stands for a shingle at least that they don't share. Neither bound loses a link.
 
 With 30 bands of 5 registers a pair at similarity 0.8 shares no band with probability 7e-6,
 and one at 0.9 with probability 1e-11.
@@ -41,7 +45,7 @@ REGISTERS = BANDS * ROWS
 BASE, RATE, TOP = 1.001, 20.0, 65_534
 #: Estimates this far below the threshold are not verified: over 5 standard deviations at 150 registers.
 MARGIN = 0.17
-PAIRS_UP_TO = 64
+BITS = 2_048
 
 
 class SetSketch:
@@ -194,32 +198,17 @@ def near_groups(docs: DataFrame, *, text: str = "text", k: int = 4, percent: int
     classes = fix(classes.withColumn("node", F.monotonically_increasing_id()))
 
     rows = classes.select("node", F.explode(band_keys()).alias("key"))
-    shared = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("rep")).where("n > 1")
-    members = fix(rows.join(shared, "key"))
-
-    stars = members.where("node <> rep").select(*_ordered("node", "rep")).distinct()
-    involved = members.select("node").distinct().join(classes.select("node", "doc_id", "digest"), "node")
-    whole = docs.select("doc_id", text_of(text).alias("t")).join(involved.select("node", "doc_id", F.col("digest").alias("want")), "doc_id", "inner")
-    again = _prepared(whole.select(F.struct("node", "want").alias("doc_id"), "t"), "t", k)
-    # Rows may share a doc_id and differ in text: the digest tells which one the class stands for.
-    sets = again.where(F.col("digest") == F.col("doc_id.want")).select("doc_id.node", "shingles").dropDuplicates(["node"])
-    sets = fix(sets)
-
+    shared = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    met = rows.join(shared, "key")
+    members = fix(met.join(met.groupBy("node").agg(F.sum("n").alias("meets")), "node").select("key", "node", "meets"))
+    heads = members.groupBy("key").agg(F.max(F.struct("meets", "node"))["node"].alias("rep"))
+    stars = fix(members.join(heads, "key").where("node <> rep").select(*_ordered("node", "rep")).distinct())
+    sets = fix(_sets(docs, members, classes, text, k))
     first = fix(verified(_might_link(stars, classes, percent), sets, percent))
     found = components(first)
 
-    # Buckets that still hold several components.
-    labelled = members.select("key", "node").join(found, "node", "left").select("key", "node", F.coalesce("comp", "node").alias("comp"))
-    labelled = fix(labelled)
-    open_ = labelled.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("key", "n")
-    rest = fix(labelled.join(open_, "key"))
-    left = _across(rest.where(F.col("n") <= PAIRS_UP_TO).select("key", "node", "comp"))
-    large = rest.where(F.col("n") > PAIRS_UP_TO).join(classes.select("node", "sketch"), "node")
-    second = large.select("key", "node", "comp", F.explode(band_keys()).alias("other")).where("other <> key")
-    second = second.select(F.xxhash64("key", "other").alias("key"), "node", "comp")
-    parts = second.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("key")
-    right = _across(second.join(parts, "key", "left_semi"))
-    more = left.unionByName(right).distinct().join(stars, ["a", "b"], "left_anti")
+    rest = fix(_open(members, found, sets, percent))
+    more = _across(rest, percent).join(stars, ["a", "b"], "left_anti")
     later = fix(verified(_might_link(more, classes, percent), sets, percent))
     if later.take(1):
         found = components(first.unionByName(later))
@@ -238,11 +227,57 @@ def near_groups(docs: DataFrame, *, text: str = "text", k: int = 4, percent: int
     )
 
 
-def _across(members: DataFrame) -> DataFrame:
-    """Pairs of classes of different components within a bucket."""
-    x = members.select("key", F.col("node").alias("x"), F.col("comp").alias("cx"))
-    y = members.select("key", F.col("node").alias("y"), F.col("comp").alias("cy"))
-    return x.join(y, "key").where("x < y and cx <> cy").select(F.col("x").alias("a"), F.col("y").alias("b")).distinct()
+def _sets(docs: DataFrame, members: DataFrame, classes: DataFrame, text: str, k: int) -> DataFrame:
+    """(node, shingles) of the classes that share a band, from the whole text of one of their rows."""
+    wanted = members.select("node").distinct().join(classes.select("node", "doc_id", F.hex("digest").alias("want")), "node")
+    rows = docs.select("doc_id", text_of(text).alias("t")).join(wanted, "doc_id")
+    again = _prepared(rows.select(F.struct("node", "want").alias("doc_id"), "t"), "t", k)
+    # Rows may share a doc_id and differ in text: the digest tells which one the class stands for.
+    # (As a prefix test, so that it is no join key that all rows would have to compute.)
+    own = again.where(F.startswith(F.hex("digest"), F.col("doc_id.want")))
+    return own.select("doc_id.node", "shingles").dropDuplicates(["node"])
+
+
+def _open(members: DataFrame, found: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Rows of the buckets that hold several components: key, node, comp, main (the component of the
+    class that meets most), n, most (the largest size of a set that the class can link with), bits."""
+    labelled = members.join(found, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    several = labelled.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.max(F.struct("meets", "node", "comp"))["comp"].alias("main"))
+    rest = fix(labelled.join(several.where("lo < hi").select("key", "main"), "key").select("key", "node", "comp", "main"))
+    inside = sets.join(rest.select("node").distinct(), "node", "left_semi")
+    # Shingles of one class only: counted per shingle first, so that common ones cost little.
+    alone = inside.select("node", F.explode("shingles").alias("h")).groupBy("h").agg(F.count(F.lit(1)).alias("df"), F.min("node").alias("node"))
+    alone = alone.where("df = 1").groupBy("node").agg(F.count(F.lit(1)).alias("own"))
+    sizes = inside.mapInArrow(_bitmaps, "node bigint, n bigint, bits array<bigint>").join(alone, "node", "left")
+    # J <= c / (n + m - c) reaches p/100 only while p (n + m) <= (100 + p) c.
+    most = F.floor((F.lit(100 + percent) * (F.col("n") - F.coalesce("own", F.lit(0)))) / F.lit(percent)) - F.col("n")
+    return rest.join(sizes.select("node", "n", most.alias("most"), "bits"), "node")
+
+
+def _bitmaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """node, size and bitmap of each set."""
+    for b in batches:
+        sets = b.column(1)
+        at, values = sets.offsets.to_numpy(), sets.values.to_numpy(zero_copy_only=False).view(np.uint64)
+        marks = np.zeros((b.num_rows, BITS), dtype=bool)
+        owner = np.repeat(np.arange(b.num_rows), np.diff(at))
+        marks[owner, (values[at[0] : at[-1]] % np.uint64(BITS)).astype(np.int64)] = True
+        words = np.packbits(marks, axis=1).view(np.int64)
+        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(np.diff(at), pa.int64()), pa.array(list(words), pa.list_(pa.int64()))], names=["node", "n", "bits"])
+
+
+def _across(rest: DataFrame, percent: int) -> DataFrame:
+    """Candidate pairs of different components within buckets, one of them outside the main component."""
+    least = rest.groupBy("key").agg(F.min("n").alias("least"))
+    minor = rest.join(least, "key").where("comp <> main and most >= least")
+    side = lambda df, x: df.select("key", *[F.col(c).alias(c + x) for c in ("node", "comp", "n", "most", "bits")])
+    both = side(minor, "x").join(side(rest, "y"), "key")
+    only = lambda x, y: sum((F.bit_count(F.get(f"bits{x}", i).bitwiseAND(F.bitwise_not(F.get(f"bits{y}", i)))) for i in range(BITS // 64)), F.lit(0))
+    needed = F.lit(percent) * (F.col("nx") + F.col("ny"))  # of 100 + percent times the intersection
+    fits = (F.col("compx") != F.col("compy")) & (F.col("ny") <= F.col("mostx")) & (F.col("nx") <= F.col("mosty"))
+    fits &= F.least("nx", "ny") * (100 + percent) >= needed
+    fits &= ((F.col("nx") - only("x", "y")) * (100 + percent) >= needed) & ((F.col("ny") - only("y", "x")) * (100 + percent) >= needed)
+    return both.where(fits).select(*_ordered("nodex", "nodey")).distinct()
 
 
 def near_dedup(docs: DataFrame, *, text: str = "text", k: int = 5, percent: int = 80) -> DataFrame:
@@ -250,8 +285,9 @@ def near_dedup(docs: DataFrame, *, text: str = "text", k: int = 5, percent: int
     the group's id and text one stays; documents without words all stay."""
     groups = near_groups(docs, text=text, k=k, percent=percent).where(F.col("kept") & F.col("is_head"))
     kept = groups.select(F.col("doc_id").alias("__id"), F.col("digest").alias("__digest"), (F.col("n_shingles") == 0).alias("__empty")).distinct()
-    tagged = docs.withColumn("__own", F.unhex(F.sha2(F.array_join(words_of(ascii_lower(text_of(text))), " "), 256)))
-    out = tagged.join(kept, tagged["doc_id"].eqNullSafe(kept["__id"]) & (tagged["__own"] == kept["__digest"]))
+    own = F.sha2(F.array_join(words_of(ascii_lower(text_of(text))), " "), 256)
+    # The digest as a prefix test: as a join key every row would compute it several times.
+    out = docs.join(kept, docs["doc_id"].eqNullSafe(kept["__id"]) & F.startswith(own, F.lower(F.hex("__digest"))))
     # Rows that share id and words: one of a group stays.
     unique = F.when(F.col("__empty"), F.monotonically_increasing_id()).otherwise(F.lit(-1))
     return out.withColumn("__row", unique).dropDuplicates(["__id", "__digest", "__row"]).select(*[F.col(f"`{c}`") for c in docs.columns])
