@@ -198,6 +198,12 @@ def encode_ids(chunks: list[str], path: str, join: int = 400) -> Iterator[bytes]
     return iter(out)
 
 
+@lru_cache(maxsize=2)
+def _chunks(path: str) -> ChunkCache:
+    """One cache per worker process, so that its tasks share what they learn."""
+    return ChunkCache(lambda chunks: encode_ids(chunks, path))
+
+
 _MANIFEST = "file int, path string, n_docs bigint, n_tokens bigint, n_bytes bigint"
 
 
@@ -211,7 +217,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer_path: str, *, end_
     end = struct.pack("<I", end_id)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = ChunkCache(lambda chunks: encode_ids(chunks, tokenizer_path))
+        cache = _chunks(tokenizer_path)
         store, root = open_store(folder)
         writer = sink = file = None
         done = 0
