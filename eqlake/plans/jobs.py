@@ -80,26 +80,27 @@ def _views(store: Store):
     return bars, adj, cal
 
 
-def factor_frame(bars: DataFrame, adj: DataFrame, metadatas, start, end, warmup_start, processor: str) -> DataFrame:
+def factor_frame(bars: DataFrame, adj: DataFrame, metadatas, start, end, warmup_start, processor: str, registry=None) -> DataFrame:
     """Panel (hfq, warm-up included) -> all calculators in one window pass ->
     processor -> clipped to the request. Lazy."""
     fields = list(dict.fromkeys(f for m in metadatas for f in m.required_fields))
     panel = Q.daily_panel(prune_months(bars, warmup_start, end), prune_months(adj, warmup_start, end), warmup_start, end, fields)
-    wide = PR.observation_count(FX.compute_wide(panel, metadatas))
+    wide = PR.observation_count(FX.compute_wide(panel, metadatas, registry))
     out = PR.process_long(FX.wide_to_long(wide, metadatas), metadatas, processor)
     return out.filter(F.col("trade_date").between(F.lit(start), F.lit(end)))
 
 
 def run_factor_pipeline(spark: SparkSession, store: Store, factor_names: Sequence[str], start_date, end_date, *,
-                        factor_version: str = "v1", processor: str = "raw", dry_run: bool = False) -> FactorRunSummary:
-    """PL1: compute, process, check and (unless ``dry_run``) store factors."""
+                        factor_version: str = "v1", processor: str = "raw", dry_run: bool = False,
+                        registry: FX.FactorRegistry | None = None) -> FactorRunSummary:
+    """PL1: compute, process, check and (unless ``dry_run``) store factors. A ``registry`` with
+    factors of its own runs their calculators (F4)."""
     names = _validate_task(factor_names, start_date, end_date, processor)
-    registry = FX.build_default_registry()
+    registry = registry or FX.build_default_registry()
     metas = []
     for n in names:
         m = registry.get(n, factor_version)
-        if (m.name, m.version) not in FX.RAW_VALUE_BUILDERS:
-            raise NotImplementedError(f"no calculator for name={m.name}, version={m.version}")
+        registry.calculator(m)
         metas.append(m)
     bars, adj, cal = _views(store)
     open_days = cal.filter((F.col("exchange") == "SSE") & F.col("is_open"))
@@ -107,24 +108,17 @@ def run_factor_pipeline(spark: SparkSession, store: Store, factor_names: Sequenc
     input_rows = prune_months(bars, warm, end_date).filter(F.col("trade_date").between(F.lit(warm), F.lit(end_date))).count()
     if input_rows == 0:
         raise ValueError(f"empty input panel: start={warm}, end={end_date}")
-    out = factor_frame(bars, adj, metas, start_date, end_date, warm, processor)
-    if dry_run:
-        # Checked and summarised without a write: compute it once (shared checkpoint folder).
-        out = materialize(out)
-        check_factor_output(out, start_date, end_date)
-        s = summarize_output(out).first()
-        written = ()
-    else:
-        counts = store.write_factor_results(out)
-        written = tuple(sorted(counts))
-        store.refresh_views()
-        stored = prune_months(store.read("factors"), start_date, end_date).filter(
-            F.col("factor_name").isin(list(names)) & (F.col("factor_version") == factor_version)
-        )
-        check_factor_output(stored.select(*S.PROCESSED_FACTOR_COLUMNS), start_date, end_date)
-        s = summarize_output(stored).first()
+    # Computed once into the shared checkpoint folder; checked and summarised before anything is
+    # stored, so a bad run leaves the store as it is and older rows never enter the summary.
+    out = materialize(factor_frame(bars, adj, metas, start_date, end_date, warm, processor, registry))
+    check_factor_output(out, start_date, end_date)
+    s = summarize_output(out).first()
     if s["output_row_count"] == 0:
         raise ValueError(f"no factor rows in the requested range: start={start_date}, end={end_date}")
+    written = ()
+    if not dry_run:
+        written = tuple(sorted(store.write_factor_results(out)))
+        store.refresh_views()
     return FactorRunSummary(
         names, factor_version, start_date, end_date, warm, input_rows, s["output_row_count"], written,
         s["missing_value_rate"], s["valid_rate"], processor, dry_run,
@@ -173,6 +167,14 @@ DATASET_COLUMNS = {
 }
 
 
+#: Raw columns that files may lack.
+OPTIONAL_RAW = {
+    "daily-ohlcv": ("pre_close", "change", "pct_chg"),
+    "adj-factor": (),
+    "daily-basic": tuple(c for c in S.RAW_DAILY_BASIC_COLUMNS if c not in S.DAILY_KEY),
+}
+
+
 def load(spark: SparkSession, store: Store, raw_root: str, task: R.ETLTask) -> int:
     """Normalise the task's raw files and upsert them; returns loaded rows."""
     if task.dataset == "trade-calendar":
@@ -180,8 +182,8 @@ def load(spark: SparkSession, store: Store, raw_root: str, task: R.ETLTask) -> i
         cal = N.clip_calendar(N.normalize_trade_calendar(raw, task), task)
         if task.dry_run:
             return cal.count()
-        exchanges = [r[0] for r in cal.select("exchange").distinct().collect()]  # a handful of exchanges
-        pred = F.col("exchange").isin(exchanges) & F.col("cal_date").between(F.lit(task.start_date), F.lit(task.end_date))
+        # The task's exchange in the task's range, also when no row came.
+        pred = (F.col("exchange") == task.exchange) & F.col("cal_date").between(F.lit(task.start_date), F.lit(task.end_date))
         return store.replace_dimension("dim_trade_calendar", cal, pred, S.TRADE_CALENDAR_COLUMNS)
     if task.dataset == "stock-basic":
         sec = N.normalize_stock_basic(R.read_raw(spark, raw_root, task))
@@ -191,7 +193,7 @@ def load(spark: SparkSession, store: Store, raw_root: str, task: R.ETLTask) -> i
     if task.dataset not in DATASET_COLUMNS:
         raise NotImplementedError(f"no loader for dataset={task.dataset}")
     target, columns, raw_cols = DATASET_COLUMNS[task.dataset]
-    raw = R.read_raw(spark, raw_root, task).drop("year", "month", "file_date")
+    raw = R.read_raw(spark, raw_root, task, [c for c in raw_cols if c not in OPTIONAL_RAW[task.dataset]]).drop("year", "month", "file_date")
     if task.dataset == "daily-ohlcv":
         limits = R.read_same_day(spark, raw_root, task, "stk-limit", S.RAW_STK_LIMIT_COLUMNS)
         need_st = task.end_date >= N.STOCK_ST_AVAILABLE_START_DATE

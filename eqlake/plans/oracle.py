@@ -12,7 +12,7 @@ def panel_ctes(panel: str = "events") -> str:
     if panel == "events":
         daily = """
 daily AS (
-  SELECT lpad(CAST(user_id AS VARCHAR), 6, '0') || '.SZ' AS ts_code,
+  SELECT lpad(CAST(user_id AS VARCHAR), greatest(6, length(CAST(user_id AS VARCHAR)))::INT, '0') || '.SZ' AS ts_code,
          CAST(ts AS DATE) AS trade_date,
          min_by(value, row(ts, event_id)) AS open,
          max(value) AS high,
@@ -28,7 +28,7 @@ daily AS (
         daily = """
 li AS (SELECT *, l_extendedprice / l_quantity AS price FROM lineitem),
 daily AS (
-  SELECT lpad(CAST(l_suppkey AS VARCHAR), 6, '0') || '.SH' AS ts_code,
+  SELECT lpad(CAST(l_suppkey AS VARCHAR), greatest(6, length(CAST(l_suppkey AS VARCHAR)))::INT, '0') || '.SH' AS ts_code,
          CAST(l_shipdate AS DATE) AS trade_date,
          min_by(price, row(l_orderkey, l_linenumber, l_partkey, price)) AS open,
          max(price) AS high,
@@ -191,11 +191,11 @@ rawd AS (
          count(*) FILTER (WHERE event_type = 'purchase') AS n_purchase
   FROM events GROUP BY 1, 2),
 rawc AS (
-  SELECT *, CASE WHEN user_id % 10 = 9 THEN '900' || lpad({u}, 4, '0') || '.SH'
-                 WHEN user_id % 10 = 8 THEN '200' || lpad({u}, 4, '0') || '.SZ'
-                 WHEN user_id % 10 = 7 THEN lpad({u}, 6, '0') || '.BJ'
-                 WHEN user_id % 2 = 0 THEN lpad({u}, 6, '0') || '.SZ'
-                 ELSE lpad({u}, 6, '0') || '.SH' END AS ts_code
+  SELECT *, CASE WHEN user_id % 10 = 9 THEN '900' || lpad({u}, greatest(4, length({u}))::INT, '0') || '.SH'
+                 WHEN user_id % 10 = 8 THEN '200' || lpad({u}, greatest(4, length({u}))::INT, '0') || '.SZ'
+                 WHEN user_id % 10 = 7 THEN lpad({u}, greatest(6, length({u}))::INT, '0') || '.BJ'
+                 WHEN user_id % 2 = 0 THEN lpad({u}, greatest(6, length({u}))::INT, '0') || '.SZ'
+                 ELSE lpad({u}, greatest(6, length({u}))::INT, '0') || '.SH' END AS ts_code
   FROM rawd),
 kept AS (
   SELECT * FROM rawc

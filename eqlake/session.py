@@ -51,8 +51,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster the operator sets ``spark.checkpoint.dir`` to a shared folder
-    (HDFS/object store); it is read and used as is. Only when it is unset (tests,
-    a laptop) a private scratch folder is created and registered.
+    (HDFS/object store); it is read and used as is. Only when it is unset and the
+    master is local (tests, a laptop) a private scratch folder is created and registered;
+    a cluster without the setting is an error.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir", None
@@ -60,6 +61,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         spark.sparkContext.setCheckpointDir(configured)
         return configured
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
     scratch = tempfile.mkdtemp(prefix="eqlake-ckpt-")
     spark.conf.set("spark.checkpoint.dir", scratch)
     spark.sparkContext.setCheckpointDir(scratch)

@@ -138,34 +138,59 @@ def land(df: DataFrame, raw_root: str, task: ETLTask, *, date_column: str = "tra
     return {"dataset": task.dataset, "rows": None, "skipped_dates": skipped}
 
 
+def _in_range(df: DataFrame, task: ETLTask) -> DataFrame:
+    """Rows of the day folders inside the task range (partition pruning)."""
+    fd = F.col("file_date").cast("string")
+    lo, hi = task.start_date, task.end_date
+    days = F.col("year").between(lo.year, hi.year) & (fd >= F.lit(f"{lo:%Y%m%d}")) & (fd <= F.lit(f"{hi:%Y%m%d}"))
+    return df.filter(days).withColumn("file_date", fd)
+
+
+def _layouts(spark: SparkSession, base: str, task: ETLTask, required: Sequence[str]) -> list[tuple[list[str], list[str]]]:
+    """(header columns, files) of each column order found. The header is the line that names the
+    first required column; a file without all required names is an error."""
+    lines = spark.read.text(base)
+    if task.dataset not in SNAPSHOT_DATASETS:
+        lines = _in_range(lines, task)
+    lines = lines.select(F.col("_metadata.file_path").alias("file"), "value")
+    headers = lines.groupBy("file").agg(F.min(F.when(F.col("value").contains(required[0]), F.col("value"))).alias("header"))
+    # One row per column order; the file lists are as long as the calendar.
+    found = [(r["header"], sorted(r["files"])) for r in headers.groupBy("header").agg(F.collect_list("file").alias("files")).collect()]
+    out = []
+    for header, files in sorted(found, key=lambda x: x[1]):
+        names = [c.strip().strip('"') for c in (header or "").lstrip("\ufeff").split(",")]
+        missing = [c for c in required if c not in names]
+        if missing:
+            raise ValueError(f"raw files lack columns {missing}: {files[:3]}")
+        out.append((names, files))
+    return out
+
+
 def read_raw(spark: SparkSession, raw_root: str, task: ETLTask, columns: Sequence[str] | None = None) -> DataFrame:
     """SC1 + SC2: all-string scan of the dataset's files inside the task range.
 
-    With ``columns`` the header of every file must match that list (no
-    positional re-mapping of differently ordered files).
+    With ``columns`` (the required names) every file is read by its own header, so files may
+    order their columns differently; files of one order are one scan. A file that lacks a
+    required column is an error; columns that only some files have are null in the others.
     """
     base = dataset_root(raw_root, task)
+    snapshot = task.dataset in SNAPSHOT_DATASETS
     reader = spark.read.option("header", True).option("mode", "FAILFAST")
-    if columns is not None:
-        reader = reader.schema(raw_schema(columns)).option("enforceSchema", False)
-    if task.dataset in SNAPSHOT_DATASETS:
-        return reader.csv(base)
-    if columns is not None:
-        reader = reader.schema(
-            T.StructType(raw_schema(columns).fields + [
-                T.StructField("year", T.IntegerType()), T.StructField("month", T.IntegerType()),
-                T.StructField("file_date", T.StringType()),
-            ])
-        )
-    df = reader.option("basePath", base).csv(base)
-    lo, hi = task.start_date, task.end_date
-    fd = F.col("file_date").cast("string")
-    pruned = df.filter(
-        (F.col("year").between(lo.year, hi.year))
-        & (fd >= F.lit(lo.strftime("%Y%m%d")))
-        & (fd <= F.lit(hi.strftime("%Y%m%d")))
-    )
-    return pruned.withColumn("file_date", fd)
+    if columns is None:
+        return reader.csv(base) if snapshot else _in_range(reader.option("basePath", base).csv(base), task)
+    folders = [] if snapshot else [T.StructField("year", T.IntegerType()), T.StructField("month", T.IntegerType()), T.StructField("file_date", T.StringType())]
+    frames = []
+    for names, files in _layouts(spark, base, task, columns):
+        schema = T.StructType([*raw_schema(names).fields, *folders])
+        frame = spark.read.option("header", True).option("mode", "FAILFAST").option("enforceSchema", False).schema(schema)
+        frames.append(frame.csv(files) if snapshot else frame.option("basePath", base).csv(files))
+    if not frames:
+        empty = spark.createDataFrame([], T.StructType([*raw_schema(columns).fields, *folders]))
+        return empty
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f, allowMissingColumns=True)
+    return out if snapshot else _in_range(out, task)
 
 
 def read_same_day(spark: SparkSession, raw_root: str, task: ETLTask, dataset: str, columns=None, *, required: bool = True) -> DataFrame | None:

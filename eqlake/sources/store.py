@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eqlake import schemas as S
+from eqlake.functions.ranking import materialize
 from eqlake.operators.contracts import require_columns, validate_identifier
 
 DIMENSIONS = {"dim_trade_calendar": S.CALENDAR_SCHEMA, "dim_security": S.SECURITY_SCHEMA}
@@ -326,15 +327,21 @@ class Store:
         try:
             merged.write.mode("overwrite").partitionBy("year").parquet(staging)
             self._swap_in(staging, self.archive_path(dataset), ("year",))
-            fs_delete(self.spark, f"{self.path(dataset)}/year={year}")
+            # Only the months that were compacted go; other files in the year's folder stay.
+            folder = f"{self.path(dataset)}/year={year}"
+            for d in month_dirs:
+                fs_delete(self.spark, f"{folder}/{d}")
+            jp, fs = _path(self.spark, folder)
+            if not len(fs.listStatus(jp)):
+                fs_delete(self.spark, folder)
         finally:
             fs_delete(self.spark, staging)
         return f"{self.archive_path(dataset)}/year={year}"
 
     def replace_dimension(self, name: str, df: DataFrame, delete_where: Column | None, columns: Sequence[str]) -> int:
         """SK9: delete the rows matching ``delete_where`` (``None`` = all) and insert
-        ``df`` as one swap. An empty ``df`` still deletes. The old table stays in
-        place until the new one is fully written."""
+        ``df`` as one swap; returns the number of inserted rows. An empty ``df`` still
+        deletes. The old table stays in place until the new one is fully written."""
         validate_identifier(name)
         for c in columns:
             validate_identifier(c)
@@ -348,8 +355,12 @@ class Store:
         target = self.dim_path(name)
         staging = self._staging()
         backup = f"{staging}-old"
-        out.coalesce(1).write.mode("overwrite").parquet(staging)  # dimension tables are small
-        n = self.spark.read.parquet(staging).count()
+        marked = new.withColumn("_new", F.lit(True))
+        if out is not new:
+            marked = marked.unionByName(kept.withColumn("_new", F.lit(False)))
+        marked = materialize(marked)
+        n = marked.where("_new").count()
+        marked.drop("_new").write.mode("overwrite").parquet(staging)
         if fs_exists(self.spark, target):
             fs_rename(self.spark, target, backup)
         try:

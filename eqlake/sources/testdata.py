@@ -3,7 +3,7 @@
 Two panels, both plain Spark aggregations of the given tables (their size grows
 with the tables):
 
-* ``events``: security = user (``lpad(user_id, 6, '0') || '.SZ'``), trade date =
+* ``events``: security = user (id padded to at least six digits, ``.SZ``), trade date =
   day of ``ts``; open/close = first/last value by ``(ts, event_id)``, high/low =
   max/min, volume = event count, amount = sum of values.
 * ``lineitem``: security = supplier (``.SH``), trade date = ship day; price =
@@ -33,24 +33,38 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def _digits(col: str, width: int):
+    """The id as text, padded to at least ``width`` digits; longer ids stay whole."""
+    text = F.col(col).cast("string")
+    return F.lpad(text, F.greatest(F.length(text), F.lit(width)), F.lit("0"))
+
+
 def _code(col: str, suffix: str):
-    return F.concat(F.lpad(F.col(col).cast("string"), 6, "0"), F.lit(suffix))
+    return F.concat(_digits(col, 6), F.lit(suffix))
+
 
+#: How counters are merged from one level to the next (the others are sums).
+_MERGE = {"_high": F.max, "_low": F.min, "_hasf": F.max}
 
-def _first_last(df: DataFrame, keys, order_key: str, value: str, tie_lo, tie_hi, extra_aggs, final_aggs) -> DataFrame:
-    """Open/close = value at the smallest/largest ordering tuple, as two hash aggregates.
 
-    The ordering tuple is (``order_key`` (a long), tie-breaker). Level 1 groups by
-    ``keys + order_key`` and resolves the tie-breaker (``tie_lo``/``tie_hi`` pick
-    the value at the smallest/largest tie-breaker); level 2 takes ``min_by`` /
-    ``max_by`` over the now unique long key. Only fixed-width buffers are used,
-    so both levels run as HashAggregate with map-side partial aggregation (a
-    struct ordering would force a sort-based aggregate).
+def _first_last(df: DataFrame, keys, order_cols, value: str, tie_lo, tie_hi, counters, final_aggs) -> DataFrame:
+    """Open/close = value at the smallest/largest tuple of ``order_cols`` and a tie-breaker.
+
+    One hash aggregate per ordering column, last column first: the lowest level groups by
+    ``keys + order_cols`` and resolves the tie-breaker (``tie_lo``/``tie_hi``); each level
+    above takes ``min_by``/``max_by`` over the column that the level below made unique.
+    Buffers are single numbers, so every level is a HashAggregate and the columns may
+    hold any number. Rows are dealt by ``keys`` and the first ordering column, which all
+    levels but the last share: a busy security-day stays spread over many tasks.
     """
-    lvl1 = df.groupBy(*keys, order_key).agg(tie_lo.alias("_lo"), tie_hi.alias("_hi"), *extra_aggs)
-    return lvl1.groupBy(*keys).agg(
-        F.min_by("_lo", order_key).alias("open"), F.max_by("_hi", order_key).alias("close"), *final_aggs
-    )
+    rows = df.repartition(*keys, order_cols[0]) if len(order_cols) > 1 else df
+    lvl = rows.groupBy(*keys, *order_cols).agg(tie_lo.alias("_lo"), tie_hi.alias("_hi"), *[c.alias(n) for n, c in counters.items()])
+    for i in range(len(order_cols) - 1, 0, -1):
+        merged = [_MERGE.get(c, F.sum)(c).alias(c) for c in counters]
+        last = order_cols[i]
+        lvl = lvl.groupBy(*keys, *order_cols[:i]).agg(F.min_by("_lo", last).alias("_lo"), F.max_by("_hi", last).alias("_hi"), *merged)
+    first = order_cols[0]
+    return lvl.groupBy(*keys).agg(F.min_by("_lo", first).alias("open"), F.max_by("_hi", first).alias("close"), *final_aggs)
 
 
 def _daily(spark: SparkSession, sf_dir: str, panel: str) -> DataFrame:
@@ -62,15 +76,15 @@ def _daily(spark: SparkSession, sf_dir: str, panel: str) -> DataFrame:
             "event_id", "value", "event_type",
         )
         d = _first_last(
-            e, ["user_id", "trade_date"], "_k", "value",
+            e, ["user_id", "trade_date"], ["_k"], "value",
             F.min_by("value", "event_id"), F.max_by("value", "event_id"),
-            [
-                F.max("value").alias("_high"), F.min("value").alias("_low"), F.count(F.lit(1)).alias("_n"),
-                F.sum("value").alias("_sum"),
-                F.count_if(F.col("event_type") == "error").alias("_flag"),
-                F.count_if(F.col("event_type") == "signup").alias("_action"),
-                F.max(F.col("event_type") != "error").alias("_hasf"),
-            ],
+            {
+                "_high": F.max("value"), "_low": F.min("value"), "_n": F.count(F.lit(1)),
+                "_sum": F.sum("value"),
+                "_flag": F.count_if(F.col("event_type") == "error"),
+                "_action": F.count_if(F.col("event_type") == "signup"),
+                "_hasf": F.max(F.col("event_type") != "error"),
+            },
             [
                 F.max("_high").alias("high"), F.min("_low").alias("low"), F.sum("_n").cast("double").alias("volume"),
                 F.round(F.sum("_sum"), 2).alias("amount"), F.sum("_flag").alias("n_flag"),
@@ -79,27 +93,23 @@ def _daily(spark: SparkSession, sf_dir: str, panel: str) -> DataFrame:
         )
         return d.withColumn("ts_code", _code("user_id", ".SZ")).drop("user_id")
     if panel == "lineitem":
-        # Ordering tuple (l_orderkey, l_linenumber, l_partkey, price): level-1 key packs the
-        # first three into one long (linenumber < 8 and partkey < 2^28, as in TPC-H up to
-        # SF 1000), tie-breaker price.
+        # Ordering tuple (l_orderkey, l_linenumber, l_partkey), tie-breaker price.
+        order = ["l_orderkey", "l_linenumber", "l_partkey"]
         li = table(spark, sf_dir, "lineitem")
-        packed = (
-            F.shiftleft(F.col("l_orderkey"), 31) + F.shiftleft(F.col("l_linenumber").cast("long"), 28) + F.col("l_partkey")
-        )
         li = li.select(
-            "l_suppkey", F.to_date("l_shipdate").alias("trade_date"), packed.alias("_k"),
+            "l_suppkey", F.to_date("l_shipdate").alias("trade_date"), *order,
             F.try_divide(F.col("l_extendedprice"), F.col("l_quantity")).alias("price"),
             "l_quantity", "l_extendedprice", "l_returnflag", "l_linestatus",
         )
         d = _first_last(
-            li, ["l_suppkey", "trade_date"], "_k", "price", F.min("price"), F.max("price"),
-            [
-                F.max("price").alias("_high"), F.min("price").alias("_low"), F.sum("l_quantity").alias("_qty"),
-                F.sum("l_extendedprice").alias("_amt"),
-                F.count_if(F.col("l_returnflag") == "A").alias("_flag"),
-                F.count_if(F.col("l_returnflag") == "R").alias("_action"),
-                F.max(~((F.col("l_returnflag") == "N") & (F.col("l_linestatus") == "O"))).alias("_hasf"),
-            ],
+            li, ["l_suppkey", "trade_date"], order, "price", F.min("price"), F.max("price"),
+            {
+                "_high": F.max("price"), "_low": F.min("price"), "_qty": F.sum("l_quantity"),
+                "_amt": F.sum("l_extendedprice"),
+                "_flag": F.count_if(F.col("l_returnflag") == "A"),
+                "_action": F.count_if(F.col("l_returnflag") == "R"),
+                "_hasf": F.max(~((F.col("l_returnflag") == "N") & (F.col("l_linestatus") == "O"))),
+            },
             [
                 F.max("_high").alias("high"), F.min("_low").alias("low"), F.sum("_qty").alias("volume"),
                 F.round(F.sum("_amt"), 2).alias("amount"), F.sum("_flag").alias("n_flag"),
@@ -228,8 +238,7 @@ def securities(spark: SparkSession, sf_dir: str, panel: str = "events") -> DataF
 
 def _raw_code():
     u = F.col("user_id")
-    six = F.lpad(u.cast("string"), 6, "0")
-    four = F.lpad(u.cast("string"), 4, "0")
+    six, four = _digits("user_id", 6), _digits("user_id", 4)
     return (
         F.when(u % 10 == 9, F.concat(F.lit("900"), four, F.lit(".SH")))
         .when(u % 10 == 8, F.concat(F.lit("200"), four, F.lit(".SZ")))
@@ -254,15 +263,15 @@ def _raw_daily_build(spark: SparkSession, sf_dir: str) -> DataFrame:
         "event_id", "value", "event_type",
     )
     return _first_last(
-        e, ["user_id", "d"], "_k", "value",
+        e, ["user_id", "d"], ["_k"], "value",
         F.min_by("value", "event_id"), F.max_by("value", "event_id"),
-        [
-            F.max("value").alias("_high"), F.min("value").alias("_low"), F.count(F.lit(1)).alias("_n"),
-            F.sum("value").alias("_sum"),
-            F.count_if(F.col("event_type") == "error").alias("_err"),
-            F.count_if(F.col("event_type") == "signup").alias("_sig"),
-            F.count_if(F.col("event_type") == "purchase").alias("_pur"),
-        ],
+        {
+            "_high": F.max("value"), "_low": F.min("value"), "_n": F.count(F.lit(1)),
+            "_sum": F.sum("value"),
+            "_err": F.count_if(F.col("event_type") == "error"),
+            "_sig": F.count_if(F.col("event_type") == "signup"),
+            "_pur": F.count_if(F.col("event_type") == "purchase"),
+        },
         [
             F.max("_high").alias("high"), F.min("_low").alias("low"), F.sum("_n").alias("vol"),
             F.round(F.sum("_sum"), 2).alias("amount"), F.sum("_err").alias("n_error"),

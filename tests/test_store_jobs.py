@@ -85,15 +85,28 @@ def test_archive_year(spark, tmp_root):
     assert "v_daily_ohlcv" in names and spark.table("v_daily_ohlcv").count() == 2
 
 
+def test_archive_keeps_foreign_files(spark, tmp_root):
+    st = Store(spark, tmp_root)
+    kw = dict(date_column="trade_date", key_columns=S.DAILY_KEY, columns=S.DAILY_OHLCV_COLUMNS)
+    st.write_daily("ohlcv", _bars(spark, [("000001.SZ", D(2023, 1, 3), 8.0)]), **kw)
+    note = f"{tmp_root}/processed/ohlcv/year=2023/_notes.txt"
+    with open(note, "w") as f:
+        f.write("mine")
+    J.archive(st, "daily-ohlcv", 2023, today=D(2024, 6, 1))
+    assert fs_exists(spark, note) and [r.close for r in st.read("ohlcv").collect()] == [8.0]
+
+
 def test_replace_dimension(spark, tmp_root):
     st = Store(spark, tmp_root)
     cal = spark.createDataFrame([("SSE", D(2024, 1, d), True, None) for d in range(1, 6)], S.CALENDAR_SCHEMA)
     assert st.replace_dimension("dim_trade_calendar", cal, None, S.TRADE_CALENDAR_COLUMNS) == 5
     new = spark.createDataFrame([("SSE", D(2024, 1, 2), False, None)], S.CALENDAR_SCHEMA)
     pred = F.col("cal_date").between(F.lit(D(2024, 1, 2)), F.lit(D(2024, 1, 3)))
-    assert st.replace_dimension("dim_trade_calendar", new, pred, S.TRADE_CALENDAR_COLUMNS) == 4
+    assert st.replace_dimension("dim_trade_calendar", new, pred, S.TRADE_CALENDAR_COLUMNS) == 1  # inserted rows
+    assert st.read_dim("dim_trade_calendar").count() == 4
     empty = spark.createDataFrame([], S.CALENDAR_SCHEMA)
-    assert st.replace_dimension("dim_trade_calendar", empty, F.col("cal_date") == F.lit(D(2024, 1, 5)), S.TRADE_CALENDAR_COLUMNS) == 3
+    assert st.replace_dimension("dim_trade_calendar", empty, F.col("cal_date") == F.lit(D(2024, 1, 5)), S.TRADE_CALENDAR_COLUMNS) == 0
+    assert st.read_dim("dim_trade_calendar").count() == 3
 
 
 def test_missing_dates_and_status(spark, tmp_root):
