@@ -9,15 +9,44 @@ ids are the concatenation of its chunks' ids. Words repeat a lot, chunks as well
 from __future__ import annotations
 
 import re
+import string
 from collections.abc import Callable, Iterable
 
 _CUT = re.compile(r" (?=\S)")
+_NO_CUT = re.compile(r" (?!\S)")
+_LETTERS = frozenset(string.ascii_letters + "".join(map(chr, [*range(0xC0, 0xD7), *range(0xD8, 0xF7), *range(0xF8, 0x100)])))
+_SIGNS = string.punctuation.replace("'", "")
 
 
 def cut(text: str) -> list[str]:
     """Chunks of a text; their concatenation is the text."""
-    first, *rest = _CUT.split(text)
-    return [first, *[" " + x for x in rest]] if first else [" " + x for x in rest]
+    if "\0" in text or _NO_CUT.search(text):
+        first, *rest = _CUT.split(text)
+        chunks = [first, *[" " + x for x in rest]]
+    else:  # every space is a cut
+        chunks = text.replace(" ", "\0 ").split("\0")
+    return chunks if chunks[0] else chunks[1:]
+
+
+def may_split(chunk: str) -> bool:
+    """False where ``parts`` would return the chunk as it is."""
+    return "\n" in chunk or chunk[-1:] not in _LETTERS
+
+
+def parts(chunk: str) -> list[str]:
+    """Pieces of a chunk whose ids are the chunk's ids: the pattern splits around a newline
+    between two non-spaces, and between a letter and signs (but for the apostrophe)."""
+    head, newline, tail = chunk.partition("\n")
+    if not newline:
+        return _word_and_signs(chunk)
+    if head and tail and not head[-1].isspace() and not tail[0].isspace():
+        return [*_word_and_signs(head), newline, *_word_and_signs(tail)]
+    return [chunk]
+
+
+def _word_and_signs(piece: str) -> list[str]:
+    word = piece.rstrip(_SIGNS)
+    return [word, piece[len(word) :]] if len(word) < len(piece) and word and word[-1] in _LETTERS else [piece]
 
 
 class ChunkCache:

@@ -41,7 +41,7 @@ from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from eqlake.llm.chunks import ChunkCache, cut, groups_by_size
+from eqlake.llm.chunks import ChunkCache, cut, groups_by_size, may_split, parts
 from eqlake.llm.common import fix, register, shuffle_partitions, table, text_of
 from eqlake.session import checkpoint_dir
 
@@ -163,45 +163,43 @@ def _token_bytes(path: str) -> np.ndarray:
 
 
 def encode_ids(chunks: list[str], path: str, join: int = 400) -> Iterator[bytes]:
-    """Ids of each chunk, as bytes. Chunks that start with a space and a non-space can follow any
-    other chunk without changing its ids, so hundreds of them go to the library as one text; the
-    ids are dealt back by the bytes they stand for."""
+    """Ids of each chunk, as bytes. Two kinds can follow each other without changing their ids, so
+    hundreds of them go to the library as one text, and the ids are dealt back by the bytes they
+    stand for: a space and non-spaces; non-spaces, each behind a newline that is a token of its own."""
     t, widths = _tokenizer(path), _token_bytes(path)
-    texts: list[str] = []
-    members: list[list[int]] = []
-    run: list[int] = []
-    for i, c in enumerate(chunks):
-        if len(c) > 1 and c[0] == " " and not c[1].isspace():
-            run.append(i)
-            if len(run) == join:
-                members.append(run)
-                run = []
-        else:
-            members.append([i])
-    if run:
-        members.append(run)
-    out: list[bytes] = [b""] * len(chunks)
-    for k in range(0, len(members), 64):
-        part = members[k : k + 64]
-        texts = ["".join(chunks[i] for i in m) for m in part]
-        for m, e in zip(part, t.encode_batch_fast(texts, add_special_tokens=False)):
+    kinds: tuple[list[str], list[str], list[str]] = [], [], []
+    for c in chunks:
+        words = c.split()
+        extra = len(c) - len(words[0]) if len(words) == 1 else 2
+        kinds[0 if extra == 1 and c[0] == " " else 1 if extra == 0 else 2].append(c)
+    runs = [(kind[k : k + join], lead) for kind, lead in zip(kinds, ("", "\n")) for k in range(0, len(kind), join)]
+    runs += [([c], "") for c in kinds[2]]
+    out: dict[str, bytes] = {}
+    for k in range(0, len(runs), 64):
+        part = runs[k : k + 64]
+        texts = [lead + lead.join(run) for run, lead in part]
+        for (run, lead), e in zip(part, t.encode_batch_fast(texts, add_special_tokens=False)):
             ids = np.array(e.ids, dtype="<u4")
-            if len(m) == 1:
-                out[m[0]] = ids.tobytes()
-                continue
-            ends = np.cumsum([len(chunks[i].encode()) for i in m])
-            stops = np.searchsorted(np.cumsum(widths[ids]), ends) + 1
-            raw, start = ids.tobytes(), 0
-            for i, stop in zip(m, stops.tolist()):
-                out[i] = raw[4 * start : 4 * stop]
-                start = stop
-    return iter(out)
+            sizes = np.fromiter(map(len, map(str.encode, run)), np.int64, len(run)) + len(lead)
+            stops = np.searchsorted(np.cumsum(widths[ids]), np.cumsum(sizes)) + 1
+            starts = np.concatenate([[0], stops[:-1]]) + len(lead)
+            raw = ids.tobytes()
+            out.update(zip(run, [raw[a:b] for a, b in zip((4 * starts).tolist(), (4 * stops).tolist())]))
+    return map(out.__getitem__, chunks)
 
 
 @lru_cache(maxsize=2)
 def _chunks(path: str) -> ChunkCache:
-    """One cache per worker process, so that its tasks share what they learn."""
-    return ChunkCache(lambda chunks: encode_ids(chunks, path))
+    """One cache per worker process, so that its tasks share what they learn. The pieces of
+    unknown chunks have a cache of their own: words come with many signs behind them."""
+    pieces = ChunkCache(lambda new: encode_ids(new, path))
+
+    def encode(chunks: list[str]) -> list[bytes]:
+        split = {c: parts(c) for c in chunks if may_split(c)}
+        known = pieces.learn([[c for c in chunks if c not in split], *split.values()])
+        return [b"".join(map(known.__getitem__, split[c])) if c in split else known[c] for c in chunks]
+
+    return ChunkCache(encode)
 
 
 _MANIFEST = "file int, path string, n_docs bigint, n_tokens bigint, n_bytes bigint"

@@ -116,6 +116,29 @@ def test_bpe_random_strings(tiktoken_encoding):
 # --- 3 ------------------------------------------------------------------------------------
 
 
+def test_cached_pieces_give_the_library_ids():
+    """Chunks cut at spaces, and their pieces, have the ids that the library gives the whole text."""
+    import public_tokenizers as P
+
+    from eqlake.llm.chunks import cut, may_split, parts
+
+    path = P.path("byte_bpe_50k.json")
+    library, cache = token_files._tokenizer(path), token_files._chunks(path)
+    rng = random.Random(4)
+    signs = ["a", "b", "é", "ß", "½", "Ⅷ", "1", " ", " ", "  ", "\n", "\n", "\t", "'", "'s", ",", ".", "!", "_", "%", "\0", "\x1c",
+             "\u00a0", "\u2003", "中", "😀", "the", "<|endoftext|>", "\u0301", "×", "'ll"]
+    texts = ["", " ", "\n", "x" * 5000, "end.\nStart of it's 'own', (so)", *("".join(rng.choices(signs, k=rng.randint(1, 14))) for _ in range(5000))]
+    for t in texts:
+        chunks = cut(t)
+        assert "".join(chunks) == t
+        for c in chunks:
+            assert "".join(parts(c)) == c and (may_split(c) or parts(c) == [c])
+    known = cache.learn([cut(t) for t in texts])
+    for t in texts:
+        want = np.array(library.encode(t, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        assert b"".join(known[c] for c in cut(t)) == want, repr(t)
+
+
 def test_token_files(spark, docs, empty, tmp_path):
     from tokenizers import Tokenizer
 
