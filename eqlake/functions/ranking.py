@@ -37,9 +37,9 @@ def materialize(df: DataFrame) -> DataFrame:
 
 
 def group_positions(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str], *, pos: str = "_pos",
-                    size: str = "_gn", num_partitions: int | None = None) -> DataFrame:
-    """Add ``pos`` (0-based position in ``order_cols`` order within the group) and
-    ``size`` (group row count)."""
+                    size: str = "_gn", pid: str | None = None, num_partitions: int | None = None) -> DataFrame:
+    """Add ``pos`` (0-based position in ``order_cols`` order within the group), ``size``
+    (group row count) and, if named, ``pid`` (number of the row's range partition)."""
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
     keys = [*group_cols, *order_cols]
@@ -55,22 +55,27 @@ def group_positions(df: DataFrame, group_cols: Sequence[str], order_cols: Sequen
         F.coalesce(F.sum("_c").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"),
         F.sum("_c").over(Window.partitionBy(*group_cols)).alias(size),
     )
-    j = ided.join(F.broadcast(per), ["_pid", *group_cols])
-    return j.select(*cols, (F.col("_off") + F.col("_local") - F.col("_first")).alias(pos), size)
+    keys = ["_pid", *group_cols]
+    per = per.withColumnsRenamed({c: f"_per_{c}" for c in keys})
+    j = ided.join(F.broadcast(per), [F.col(c).eqNullSafe(F.col(f"_per_{c}")) for c in keys])
+    extra = [F.col("_pid").alias(pid)] if pid else []
+    return j.select(*cols, (F.col("_off") + F.col("_local") - F.col("_first")).alias(pos), size, *extra)
 
 
 def ranks_in_group(df: DataFrame, group_cols: Sequence[str], value: str, unique_cols: Sequence[str], *,
                    avg_rank: str | None = None, quantile: str | None = None, n_groups: int = 5,
                    group_size: str | None = None, num_partitions: int | None = None) -> DataFrame:
     """Average-tie rank of ``value`` and/or position quantile in (``value``,
-    ``unique_cols``) order, both within ``group_cols``. Rows with a null ``value``
-    must be filtered out first.
+    ``unique_cols``) order, both within ``group_cols`` (no nulls there). Rows with a
+    null ``value`` come first and get no rank; put them in a group of their own.
 
-    * average rank = mean of the 1-based positions of the tied run = (first + last)/2 + 1;
-      the run bounds come from a grouped (partial) aggregate on (group, value);
+    * average rank = mean of the 1-based positions of the tied run = (first + last)/2 + 1.
+      A run's bounds are aggregated per range partition and then over its partitions (a
+      few rows), and return to the rows on (partition, group, value): a value that
+      most rows share meets them in as many tasks as it has partitions;
     * quantile = floor(position * n_groups / group size) + 1 (not ``ntile``).
     """
-    p = group_positions(df, group_cols, [value, *unique_cols], pos="_p", size="_gsize", num_partitions=num_partitions)
+    p = group_positions(df, group_cols, [value, *unique_cols], pos="_p", size="_gsize", pid="_part", num_partitions=num_partitions)
     out_cols = [c for c in df.columns]
     extra = []
     if group_size:
@@ -78,9 +83,10 @@ def ranks_in_group(df: DataFrame, group_cols: Sequence[str], value: str, unique_
     if quantile:
         extra.append((F.floor(F.col("_p") * F.lit(n_groups) / F.col("_gsize")) + 1).cast("int").alias(quantile))
     if avg_rank:
-        runs = p.groupBy(*group_cols, value).agg(
-            ((F.min("_p") + F.max("_p")).cast("double") / F.lit(2.0) + F.lit(1.0)).alias(avg_rank)
-        )
-        p = p.join(runs, [*group_cols, value])
+        keys = [*group_cols, value]
+        runs = p.filter(F.col(value).isNotNull()).groupBy("_part", *keys).agg(F.min("_p").alias("_lo"), F.max("_p").alias("_hi"))
+        run = Window.partitionBy(*keys)
+        mean = (F.min("_lo").over(run) + F.max("_hi").over(run)).cast("double") / F.lit(2.0) + F.lit(1.0)
+        p = p.join(runs.select("_part", *keys, mean.alias(avg_rank)), ["_part", *keys], "left")
         extra.append(F.col(avg_rank))
     return p.select(*out_cols, *extra)

@@ -1,11 +1,10 @@
 """Factor evaluation (E1-E8) and factor statistics (AG5-AG7).
 
-The reference loops over dates in Python; here every per-date quantity is a
-grouped aggregate or a window partitioned by ``trade_date`` so the whole daily
-metric table comes out of one shuffle on ``trade_date``:
+Every per-date quantity is a grouped aggregate over the ranked pairs, which are
+written once. Ranks come from range partitions (``functions.ranking``), so no
+date and no tied value has to fit one task:
 
-* E1 eligible dates: >= 5 pairs and >= 2 distinct values on both sides
-  (``min < max``), via window aggregates on the same partitioning;
+* E1 eligible dates: >= 5 pairs and >= 2 distinct values on both sides (``min < max``);
 * E2/E3 Pearson IC on values and Spearman RankIC on average-tie ranks, with a
   correlation that never raises (``safe_corr``);
 * E4/E5 quintile by position in (factor, ts_code) order, mean label per quintile,
@@ -29,7 +28,7 @@ from pyspark.sql import functions as F
 
 from eqlake.functions.ranking import materialize as _materialize
 from eqlake.functions.ranking import ranks_in_group
-from eqlake.functions.stats import average_rank, finite_or_null, position_quantile, safe_corr
+from eqlake.functions.stats import finite_or_null, safe_corr
 from eqlake.operators.contracts import identity_check, reject_duplicate_keys, require_columns, require_date_subset
 from eqlake.operators.factors import FactorMetadata
 from eqlake.operators.labels import calendar_index
@@ -39,9 +38,6 @@ QUANTILE_COUNT = 5
 FACTOR_COLUMNS = ("ts_code", "trade_date", "factor_name", "factor_value", "factor_version")
 LABEL_COLUMNS = ("ts_code", "trade_date", "forward_return_5d")
 KEY = ["ts_code", "trade_date"]
-# Relative threshold under which a sample std counts as zero (ic_ir undefined):
-# partial-aggregate merge order can leave ~1e-17 where the exact answer is 0.
-ZERO_STD = 1e-12
 
 REPORT_COLUMNS = (
     "factor_name", "factor_version", "start_date", "end_date", "row_count", "trade_date_count", "security_count",
@@ -120,18 +116,11 @@ def exact_quantiles(values: DataFrame, col: str, probs: dict[str, float], tiebre
     return a.select(*out)
 
 
-# Up to this many valid values the exact ``percentile`` aggregate is used: its
-# buffer (distinct value -> count) then has a proven bound in the final task.
-# Above it, ``exact_quantiles`` keeps the values distributed.
-SINGLE_TASK_QUANTILE_MAX = 200_000
 _PROBS = {"p25": 0.25, "median": 0.5, "p75": 0.75}
 
 
-def factor_distribution(factors: DataFrame, *, quantiles: str = "auto") -> DataFrame:
-    """AG6 + AG7: counts, missing rate and distribution of valid values (one row).
-
-    ``quantiles``: "auto" (count the valid values, then pick), "aggregate" or "distributed".
-    """
+def factor_distribution(factors: DataFrame) -> DataFrame:
+    """AG6 + AG7: counts, missing rate and distribution of valid values (one row)."""
     fc = clean_factors(factors)
     aggs = [
         F.count(F.lit(1)).alias("row_count"),
@@ -143,16 +132,7 @@ def factor_distribution(factors: DataFrame, *, quantiles: str = "auto") -> DataF
         F.min("_fv").alias("min"),
         F.max("_fv").alias("max"),
     ]
-    mode = quantiles
-    if mode == "auto":
-        n_valid = fc.agg(F.count("_fv")).first()[0]
-        mode = "aggregate" if n_valid <= SINGLE_TASK_QUANTILE_MAX else "distributed"
-    if mode == "aggregate":
-        pct = F.percentile(F.col("_fv"), F.array(*[F.lit(p) for p in _PROBS.values()]))
-        base = fc.agg(*aggs, pct.alias("_q"))
-        base = base.select("*", *[F.col("_q")[i].alias(name) for i, name in enumerate(_PROBS)])
-    else:
-        base = _one_row_join(fc.agg(*aggs), exact_quantiles(fc, "_fv", _PROBS, tiebreak=("ts_code", "trade_date")))
+    base = _one_row_join(fc.agg(*aggs), exact_quantiles(fc, "_fv", _PROBS, tiebreak=("ts_code", "trade_date")))
     base = base.select(
         "*", (F.lit(1.0) - F.try_divide(F.col("_valid").cast("double"), F.col("row_count").cast("double"))).alias("missing_value_rate")
     )
@@ -182,58 +162,20 @@ def evaluation_pairs(factors: DataFrame, labels: DataFrame) -> DataFrame:
     return fc.join(lc, KEY, "inner").filter(F.col("_fv").isNotNull() & F.col("_fr").isNotNull())
 
 
-# "window": windows partitioned by trade_date (one shuffle; one task per date, whose
-#   size is bounded by the listed universe on that date);
-# "range": positions from a global range partition, so a hot date is split across
-#   tasks (more stages, one checkpoint);
-# "auto" (default): a one-row probe of the largest date; "range" when it exceeds
-#   HOT_GROUP_ROWS, else "window". ``validate_factor`` probes its checkpointed factor
-#   panel, which bounds the pairs per date.
-RANK_STRATEGY = "auto"  # used by validate_factor
-HOT_GROUP_ROWS = 20_000_000
-
-
-def choose_strategy(df: DataFrame, group_cols, strategy: str | None) -> str:
-    s = strategy or RANK_STRATEGY
-    if s != "auto":
-        return s
-    biggest = df.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
-    return "range" if biggest > HOT_GROUP_ROWS else "window"
-
-
-def ranked_pairs(pairs: DataFrame, strategy: str | None = None) -> DataFrame:
+def ranked_pairs(pairs: DataFrame) -> DataFrame:
     """E1 eligibility + average-tie ranks of factor and label + position quintile.
 
-    ``strategy`` defaults to "window" here ("auto" would probe the pairs, i.e.
-    evaluate them once more); ``validate_factor`` resolves "auto" on its
-    checkpointed factor panel instead.
-    """
-    if choose_strategy(pairs, ["trade_date"], strategy or "window") == "range":
-        elig = pairs.groupBy("trade_date").agg(
-            F.count(F.lit(1)).alias("_n"), F.min("_fv").alias("_f_lo"), F.max("_fv").alias("_f_hi"),
-            F.min("_fr").alias("_r_lo"), F.max("_fr").alias("_r_hi"),
-        )
-        ok = (F.col("_n") >= MIN_CROSS_SECTION_SIZE) & (F.col("_f_lo") < F.col("_f_hi")) & (F.col("_r_lo") < F.col("_r_hi"))
-        # One row per date: calendar-bounded broadcast.
-        e = pairs.join(F.broadcast(elig.filter(ok).select("trade_date")), "trade_date")
-        e = ranks_in_group(e, ["trade_date"], "_fv", ["ts_code"], avg_rank="_rf", quantile="_q", n_groups=QUANTILE_COUNT)
-        return ranks_in_group(e, ["trade_date"], "_fr", ["ts_code"], avg_rank="_rr")
-    wd = Window.partitionBy("trade_date")
-    e = pairs.withColumns({
-        "_n": F.count(F.lit(1)).over(wd),
-        "_f_lo": F.min("_fv").over(wd),
-        "_f_hi": F.max("_fv").over(wd),
-        "_r_lo": F.min("_fr").over(wd),
-        "_r_hi": F.max("_fr").over(wd),
-    })
-    e = e.filter(
-        (F.col("_n") >= MIN_CROSS_SECTION_SIZE) & (F.col("_f_lo") < F.col("_f_hi")) & (F.col("_r_lo") < F.col("_r_hi"))
+    Written once: the metrics, the eligible dates and the turnover read it. A rank within a
+    date doesn't depend on other dates, so the dates are chosen after the ranks are known."""
+    by_factor = ranks_in_group(pairs, ["trade_date"], "_fv", ["ts_code"], avg_rank="_rf", quantile="_q", n_groups=QUANTILE_COUNT)
+    ranked = _materialize(ranks_in_group(by_factor, ["trade_date"], "_fr", ["ts_code"], avg_rank="_rr"))
+    dates = ranked.groupBy("trade_date").agg(
+        F.count(F.lit(1)).alias("_n"), F.min("_fv").alias("_f_lo"), F.max("_fv").alias("_f_hi"),
+        F.min("_fr").alias("_r_lo"), F.max("_fr").alias("_r_hi"),
     )
-    return e.withColumns({
-        "_rf": average_rank("_fv", "trade_date"),
-        "_rr": average_rank("_fr", "trade_date"),
-        "_q": position_quantile(["_fv", "ts_code"], "trade_date", QUANTILE_COUNT),
-    })
+    ok = (F.col("_n") >= MIN_CROSS_SECTION_SIZE) & (F.col("_f_lo") < F.col("_f_hi")) & (F.col("_r_lo") < F.col("_r_hi"))
+    # One row per date: calendar-bounded broadcast.
+    return ranked.join(F.broadcast(dates.filter(ok).select("trade_date")), "trade_date")
 
 
 def favoured_quantile(higher_is_better: bool | None) -> int:
@@ -273,13 +215,15 @@ def ic_summary(daily: DataFrame) -> DataFrame:
         F.avg("rank_ic").alias("rank_ic_5d_mean"),
         F.stddev_samp("rank_ic").alias("rank_ic_5d_std"),
         F.count("rank_ic").alias("rank_ic_5d_count"),
+        # Equal values have no spread, whatever rounding leaves of their variance.
+        (F.min("rank_ic") < F.max("rank_ic")).alias("_spread"),
         F.avg(F.when(F.col("rank_ic") > 0, F.lit(1.0)).otherwise(F.lit(0.0))).alias("positive_ic_ratio"),
         *[F.avg(f"q{k}").alias(f"q{k}_return") for k in range(1, QUANTILE_COUNT + 1)],
         F.avg("long_short").alias("long_short_return"),
     )
     std = finite_or_null("rank_ic_5d_std")
-    ok = std.isNotNull() & (F.abs(std) >= F.lit(ZERO_STD))
-    return s.withColumns({"rank_ic_5d_std": std, "ic_ir": F.when(ok, F.col("rank_ic_5d_mean") / std)})
+    ok = std.isNotNull() & F.col("_spread") & (std != 0)
+    return s.withColumns({"rank_ic_5d_std": std, "ic_ir": F.when(ok, F.col("rank_ic_5d_mean") / std)}).drop("_spread")
 
 
 # ---------------------------------------------------------------------------
@@ -351,8 +295,7 @@ def validate_inputs(factors, labels, universe, metadata: FactorMetadata) -> None
 
 
 def validate_factor(factors: DataFrame, labels: DataFrame, universe: DataFrame, metadata: FactorMetadata, *,
-                    check_inputs: bool = True, with_coverage: bool = True, strategy: str | None = None,
-                    materialize: bool = True) -> DataFrame:
+                    check_inputs: bool = True, with_coverage: bool = True, materialize: bool = True) -> DataFrame:
     """One-row report (``REPORT_COLUMNS`` + ``coverage_by_date`` array)."""
     if check_inputs:
         validate_inputs(factors, labels, universe, metadata)
@@ -360,13 +303,10 @@ def validate_factor(factors: DataFrame, labels: DataFrame, universe: DataFrame,
         # The factor panel feeds four branches (pairs, distribution, autocorrelation,
         # coverage): compute it once into the shared checkpoint folder.
         factors = _materialize(clean_factors(factors).select(*FACTOR_COLUMNS, "_fv"))
-    if (strategy or RANK_STRATEGY) == "auto":
-        # The factor rows of a date bound its evaluation pairs: probe the (checkpointed)
-        # factor panel instead of the joined pairs.
-        strategy = choose_strategy(factors, ["trade_date"], "auto")
     pairs = evaluation_pairs(factors, labels)
-    ranked = ranked_pairs(pairs, strategy)
-    daily = daily_metrics(ranked, metadata.higher_is_better)
+    ranked = ranked_pairs(pairs)
+    # One row per eligible date, read by the summary and the turnover.
+    daily = _materialize(daily_metrics(ranked, metadata.higher_is_better))
     summary = ic_summary(daily)
     turnover = turnover_by_date(ranked, daily, metadata.higher_is_better).agg(F.avg("turnover").alias("turnover"))
     autocorr = autocorr_by_date(factors).agg(F.avg("autocorr").alias("factor_autocorr_1d"))

@@ -15,14 +15,11 @@ from pyspark.sql import functions as F
 
 from eqlake import schemas as S
 from eqlake.functions.ranking import ranks_in_group
-from eqlake.functions.stats import average_rank, is_finite
+from eqlake.functions.stats import is_finite
 from eqlake.operators.contracts import identity_check, require_columns
 from eqlake.operators.factors import FactorMetadata
 
 PROCESSORS = ("raw", "rank_pct")
-# "window": per-date windows (default); "range": skew-safe positions
-# (see functions.ranking and evaluation.RANK_STRATEGY).
-RANK_STRATEGY = "window"
 
 
 def observation_count(df: DataFrame) -> DataFrame:
@@ -41,32 +38,21 @@ def quality_status(raw: str = "raw_value", obs: str = "_obs", min_periods=None):
     )
 
 
-def _apply_processor(df: DataFrame, processor: str, group_cols, strategy: str | None = None) -> DataFrame:
+def _apply_processor(df: DataFrame, processor: str, group_cols) -> DataFrame:
     valid = F.when(F.col("quality_status") == "valid", F.col("raw_value"))
     keep = [c for c in S.PROCESSED_FACTOR_COLUMNS if c not in ("factor_value", "processed_value")]
     if processor == "raw":
         out = df.select(*keep, valid.alias("factor_value"), F.lit(None).cast("double").alias("processed_value"))
-    elif (strategy or RANK_STRATEGY) == "range":
-        df = df.select(*keep, valid.alias("_valid_raw"))
-        ranked = ranks_in_group(df.filter(F.col("_valid_raw").isNotNull()), group_cols, "_valid_raw", ["ts_code"],
-                                avg_rank="_rank", group_size="_n_valid")
-        ranked = ranked.select(*keep, (F.col("_rank") / F.col("_n_valid").cast("double")).alias("processed_value"))
-        rest = df.filter(F.col("_valid_raw").isNull()).select(*keep, F.lit(None).cast("double").alias("processed_value"))
-        out = ranked.unionByName(rest).select("*", F.col("processed_value").alias("factor_value"))
-    else:
-        # One hash exchange on (trade_date, factor) serves the count and both
-        # rank windows (the (date, factor, value) partitions are sub-clusters).
-        df = df.select(*keep, valid.alias("_valid_raw"))
-        df = df.select("*", F.count("_valid_raw").over(Window.partitionBy(*group_cols)).alias("_n_valid"),
-                       F.col("_valid_raw").isNotNull().alias("_is_valid"))
-        rank = average_rank("_valid_raw", [*group_cols, "_is_valid"])
-        pct = F.when(F.col("_is_valid"), F.try_divide(rank, F.col("_n_valid").cast("double")))
-        out = df.select(*keep, pct.alias("processed_value")).select("*", F.col("processed_value").alias("factor_value"))
-    return out.select(*S.PROCESSED_FACTOR_COLUMNS)
+        return out.select(*S.PROCESSED_FACTOR_COLUMNS)
+    df = df.select(*keep, valid.alias("_valid_raw")).withColumn("_is_valid", F.col("_valid_raw").isNotNull())
+    # Valid rows are a group of their own within the date, so its size is their number; a date
+    # is split over range partitions however many rows it has.
+    ranked = ranks_in_group(df, [*group_cols, "_is_valid"], "_valid_raw", ["ts_code"], avg_rank="_rank", group_size="_n_valid")
+    out = ranked.select(*keep, (F.col("_rank") / F.col("_n_valid").cast("double")).alias("processed_value"))
+    return out.select("*", F.col("processed_value").alias("factor_value")).select(*S.PROCESSED_FACTOR_COLUMNS)
 
 
-def process_factor_result(result: DataFrame, metadata: FactorMetadata, processor: str, *, check_identity: bool = True,
-                          strategy: str | None = None) -> DataFrame:
+def process_factor_result(result: DataFrame, metadata: FactorMetadata, processor: str, *, check_identity: bool = True) -> DataFrame:
     """P1 + P2/P3 for one factor's calculator result."""
     if processor not in PROCESSORS:
         raise ValueError(f"unsupported processor: {processor}")
@@ -75,14 +61,14 @@ def process_factor_result(result: DataFrame, metadata: FactorMetadata, processor
         identity_check(result, metadata.name, metadata.version, "calculator result")
     prepared = observation_count(result)
     prepared = prepared.select("*", quality_status(min_periods=metadata.min_periods).alias("quality_status"))
-    return _apply_processor(prepared, processor, ["trade_date"], strategy)
+    return _apply_processor(prepared, processor, ["trade_date"])
 
 
-def process_long(long: DataFrame, metadatas, processor: str, strategy: str | None = None) -> DataFrame:
+def process_long(long: DataFrame, metadatas, processor: str) -> DataFrame:
     """P1-P3 for a stacked multi-factor result that already carries ``_obs``."""
     if processor not in PROCESSORS:
         raise ValueError(f"unsupported processor: {processor}")
     mins = F.create_map(*[x for m in metadatas for x in (F.lit(f"{m.name}@{m.version}"), F.lit(m.min_periods))])
     key = F.concat_ws("@", "factor_name", "factor_version")
     prepared = long.select("*", quality_status(min_periods=mins[key]).alias("quality_status"))
-    return _apply_processor(prepared, processor, ["trade_date", "factor_name", "factor_version"], strategy)
+    return _apply_processor(prepared, processor, ["trade_date", "factor_name", "factor_version"])

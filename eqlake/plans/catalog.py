@@ -164,7 +164,7 @@ SELECT round(avg(ic), 9) AS ic_5d_mean, round(avg(rank_ic), 9) AS rank_ic_5d_mea
        round(avg(CASE WHEN rank_ic > 0 THEN 1.0 ELSE 0.0 END)::DOUBLE, 9) AS positive_ic_ratio,
        round(avg(q1), 9) AS q1_return, round(avg(q2), 9) AS q2_return, round(avg(q3), 9) AS q3_return,
        round(avg(q4), 9) AS q4_return, round(avg(q5), 9) AS q5_return, round(avg(long_short), 9) AS long_short_return,
-       round(CASE WHEN abs(stddev_samp(rank_ic)) >= 1e-12 THEN avg(rank_ic) / stddev_samp(rank_ic) END, 9) AS ic_ir
+       round(CASE WHEN min(rank_ic) < max(rank_ic) THEN avg(rank_ic) / stddev_samp(rank_ic) END, 9) AS ic_ir
 FROM dmet"""
 
 

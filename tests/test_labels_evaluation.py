@@ -2,6 +2,7 @@ import datetime as dt
 from dataclasses import replace
 
 import pytest
+from pyspark.sql import functions as F
 
 from eqlake.operators import evaluation as EV
 from eqlake.operators import factors as FX
@@ -182,10 +183,10 @@ def test_exact_quantiles_linear(spark):
     assert r.p25 == pytest.approx(2.0) and r.p50 == pytest.approx(3.0) and r.p90 == pytest.approx(7.6)
 
 
-def test_distribution_quantile_paths_agree(spark):
+def test_distribution_quantiles_match_percentile(spark):
     f = factors_df(spark, [D(2024, 1, 2), D(2024, 1, 3)], [[1, 2, 3, 4, 10, None], [2, 2, 7, float("inf"), 5, 1]])
-    a = EV.factor_distribution(f, quantiles="aggregate").first().asDict()
-    b = EV.factor_distribution(f, quantiles="distributed").first().asDict()
-    for k in a:
-        assert a[k] == pytest.approx(b[k]), k
+    a = EV.factor_distribution(f).first().asDict()
+    want = EV.clean_factors(f).agg(*[F.percentile("_fv", p).alias(n) for n, p in (("p25", 0.25), ("median", 0.5), ("p75", 0.75))]).first()
+    for k, v in want.asDict().items():
+        assert a[k] == pytest.approx(v), k
     assert a["median"] == pytest.approx(2.5) and a["row_count"] == 12

@@ -1,7 +1,7 @@
 """The range-partitioned (skew-safe) ranking gives the same answers as the
 per-date windows, including a date that holds most of the rows and ties."""
 
-import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from conftest import SMALL
@@ -41,31 +41,37 @@ def test_range_ranks_equal_window_ranks(spark):
     assert a == b
 
 
-def test_range_strategy_matches_window_on_panel(spark):
-    r = Research(spark, SMALL)
-    calc = r.calc()
-    w = PR.process_factor_result(calc, FX.RETURN_5D, "rank_pct", check_identity=False, strategy="window")
-    g = PR.process_factor_result(calc, FX.RETURN_5D, "rank_pct", check_identity=False, strategy="range")
+def test_one_value_may_hold_most_rows(spark):
+    # One date, and 1,900 of its 2,000 rows share one value; nulls get no rank.
+    rows = [(D(2024, 1, 2), f"{i:06d}.SZ", float(i) if i < 50 else 0.0 if i < 1950 else None) for i in range(2000)]
+    df = spark.createDataFrame(rows, "trade_date date, ts_code string, v double").withColumn("ok", F.col("v").isNotNull())
+    got = ranks_in_group(df, ["trade_date", "ok"], "v", ["ts_code"], avg_rank="r", group_size="n", num_partitions=16)
+    want = df.select("*", F.when(F.col("ok"), average_rank("v", ["trade_date", "ok"])).alias("r"),
+                     F.count(F.lit(1)).over(Window.partitionBy("trade_date", "ok")).alias("n"))
+    a = sorted(got.select("ts_code", "ok", "n", F.coalesce("r", F.lit(-1.0))).collect())
+    assert len(a) == 2000
+    assert a == sorted(want.select("ts_code", "ok", "n", F.coalesce("r", F.lit(-1.0))).collect())
+
+
+def test_rank_pct_matches_windows_on_panel(spark):
+    calc = Research(spark, SMALL).calc()
+    raw = PR.process_factor_result(calc, FX.RETURN_5D, "raw", check_identity=False)
+    valid = F.col("factor_value").isNotNull()
+    rank = average_rank("factor_value", [F.col("trade_date"), valid])
+    n = F.count("factor_value").over(Window.partitionBy("trade_date"))
+    want = raw.select("ts_code", "trade_date", F.when(valid, rank / n).alias("processed_value"))
+    got = PR.process_factor_result(calc, FX.RETURN_5D, "rank_pct", check_identity=False)
     key = lambda df: sorted((x.ts_code, x.trade_date, None if x.processed_value is None else round(x.processed_value, 12)) for x in df.collect())
-    assert key(w) == key(g)
-    factors = r.processed().select(*EV.FACTOR_COLUMNS)
-    rw = EV.validate_factor(factors, r.labels, r.universe, FX.RETURN_5D, check_inputs=False, strategy="window").first().asDict()
-    rr = EV.validate_factor(factors, r.labels, r.universe, FX.RETURN_5D, check_inputs=False, strategy="range").first().asDict()
-    for k, v in rw.items():
-        if isinstance(v, float):
-            assert rr[k] == pytest.approx(v, abs=1e-12), k
-        else:
-            assert rr[k] == v, k
+    assert key(got) == key(want)
 
 
-def test_auto_strategy_switches_on_hot_date(spark, monkeypatch):
+def test_ranked_pairs_match_windows_on_panel(spark):
     r = Research(spark, SMALL)
-    factors = r.processed().select(*EV.FACTOR_COLUMNS)
-    assert EV.choose_strategy(factors, ["trade_date"], "auto") == "window"
-    monkeypatch.setattr(EV, "HOT_GROUP_ROWS", 5)
-    assert EV.choose_strategy(factors, ["trade_date"], "auto") == "range"
-    auto = EV.validate_factor(factors, r.labels, r.universe, FX.RETURN_5D, check_inputs=False).first().asDict()
-    win = EV.validate_factor(factors, r.labels, r.universe, FX.RETURN_5D, check_inputs=False, strategy="window").first().asDict()
-    for k, v in win.items():
-        if isinstance(v, float):
-            assert auto[k] == pytest.approx(v, abs=1e-12), k
+    pairs = EV.evaluation_pairs(r.processed().select(*EV.FACTOR_COLUMNS), r.labels)
+    got = EV.ranked_pairs(pairs)
+    windows = pairs.select("ts_code", "trade_date", average_rank("_fv", "trade_date").alias("_rf"),
+                           average_rank("_fr", "trade_date").alias("_rr"), position_quantile(["_fv", "ts_code"], "trade_date").alias("_q"))
+    want = windows.join(got.select("trade_date").distinct(), "trade_date", "left_semi")
+    cols = ["ts_code", "trade_date", "_rf", "_rr", "_q"]
+    a = sorted(tuple(x) for x in got.select(*cols).collect())
+    assert a and a == sorted(tuple(x) for x in want.select(*cols).collect())
