@@ -234,32 +234,52 @@ def missing(spark: SparkSession, store: Store, task: R.ETLTask, raw_root: str |
 
 
 DAILY_STEPS = ("daily-ohlcv", "adj-factor", "daily-basic")
+#: Checked for the day after every load: what was loaded, then what is only landed.
+DAILY_CHECKS = (*DAILY_STEPS, "stock-st", "stk-limit", "suspend-d")
+
+
+@dataclass(frozen=True)
+class DailyStep:
+    """One step of the daily job; ``result`` is the loaded rows, or the missing-date result."""
+
+    action: str
+    dataset: str
+    result: int | ST.MissingDateResult
+
+
+@dataclass(frozen=True)
+class DailyRun:
+    source: str
+    trade_date: _dt.date
+    is_open: bool
+    steps: tuple[DailyStep, ...]
 
 
 def run_daily(spark: SparkSession, store: Store, raw_root: str, source: str, trade_date: _dt.date, *,
-              force: bool = False, dry_run: bool = False) -> list[tuple[str, str]]:
-    """Calendar + securities first; stop (successfully) on a closed day; then
-    load each daily dataset and check missing dates. The first failure stops."""
-    steps: list[tuple[str, str]] = []
+              force: bool = False, dry_run: bool = False) -> DailyRun:
+    """Calendar + securities first; stop (successfully) on a closed day; then load each
+    daily dataset, and check all six for missing dates once everything is loaded. The first
+    failure stops; a missing date is a result, not a failure."""
+    steps: list[DailyStep] = []
+
+    def run_load(ds: str) -> None:
+        task = R.ETLTask(ds, source, trade_date, trade_date, force=force, dry_run=dry_run)
+        steps.append(DailyStep("load", ds, load(spark, store, raw_root, task)))
+
     for ds in ("trade-calendar", "stock-basic"):
-        load(spark, store, raw_root, R.ETLTask(ds, source, trade_date, trade_date, force=force, dry_run=dry_run))
-        steps.append(("load", ds))
+        run_load(ds)
     cal = store.read_dim("dim_trade_calendar")
     row = None
     if cal is not None:
         row = cal.filter((F.col("exchange") == "SSE") & (F.col("cal_date") == F.lit(trade_date))).select("is_open").limit(1).collect()
     if not row:
         raise ValueError(f"no calendar row for {trade_date}")
-    if not row[0][0]:
-        steps.append(("closed", trade_date.isoformat()))
-        return steps
-    for ds in DAILY_STEPS:
-        task = R.ETLTask(ds, source, trade_date, trade_date, force=force, dry_run=dry_run)
-        load(spark, store, raw_root, task)
-        steps.append(("load", ds))
-        missing(spark, store, R.ETLTask(ds, source, trade_date, trade_date), raw_root)
-        steps.append(("missing", ds))
-    return steps
+    if row[0][0]:
+        for ds in DAILY_STEPS:
+            run_load(ds)
+        for ds in DAILY_CHECKS:
+            steps.append(DailyStep("missing", ds, missing(spark, store, R.ETLTask(ds, source, trade_date, trade_date), raw_root)))
+    return DailyRun(source, trade_date, bool(row[0][0]), tuple(steps))
 
 
 def parse_cli_date(text: str) -> _dt.date:
@@ -286,4 +306,4 @@ def build_task(dataset: str, source: str, start: str | None, end: str | None, *,
 
 
 __all__ = ["run_factor_pipeline", "run_factor_validation", "load", "backfill", "archive", "status", "missing",
-           "run_daily", "build_task", "summarize_output", "factor_frame"]
+           "run_daily", "DailyRun", "DailyStep", "build_task", "summarize_output", "factor_frame"]

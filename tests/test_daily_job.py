@@ -19,8 +19,8 @@ def _land_common(spark, raw_root):
 def test_daily_job_stops_on_closed_day(spark, tmp_root):
     raw_root, st = f"{tmp_root}/raw", Store(spark, f"{tmp_root}/store")
     _land_common(spark, raw_root)
-    steps = J.run_daily(spark, st, raw_root, "vendor", CLOSED)
-    assert steps[-1] == ("closed", CLOSED.isoformat())
+    run = J.run_daily(spark, st, raw_root, "vendor", CLOSED)
+    assert not run.is_open and [(x.action, x.dataset) for x in run.steps] == [("load", "trade-calendar"), ("load", "stock-basic")]
     assert st.read_dim("dim_security").count() == 1
 
 
@@ -36,8 +36,13 @@ def test_daily_job_open_day(spark, tmp_root):
     basic = {c: "1" for c in S.RAW_DAILY_BASIC_COLUMNS}
     basic.update(ts_code="000001.SZ", trade_date=k)
     R.land(strings(spark, S.RAW_DAILY_BASIC_COLUMNS, [tuple(basic[c] for c in S.RAW_DAILY_BASIC_COLUMNS)]), raw_root, t("daily-basic"))
-    steps = J.run_daily(spark, st, raw_root, "vendor", OPEN)
-    assert ("missing", "daily-basic") in steps
+    run = J.run_daily(spark, st, raw_root, "vendor", OPEN)
+    assert run.is_open and [x.dataset for x in run.steps[:5]] == ["trade-calendar", "stock-basic", *J.DAILY_STEPS]
+    assert [x.result for x in run.steps[2:5]] == [1, 1, 1]
+    checks = {x.dataset: x.result.missing_dates for x in run.steps[5:]}
+    # Every check comes after every load; the day of the suspensions was not landed.
+    assert all(x.action == "missing" for x in run.steps[5:])
+    assert checks == {**dict.fromkeys(J.DAILY_CHECKS, ()), "suspend-d": (OPEN,)}
     bar = st.read("ohlcv").first()
     assert bar.limit_status == 2 and bar.is_st is False
     assert st.read("adj_factor").first().cumulative_factor == 1.5
