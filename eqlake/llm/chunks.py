@@ -11,6 +11,9 @@ from __future__ import annotations
 import re
 import string
 from collections.abc import Callable, Iterable
+from weakref import WeakSet
+
+import pyarrow as pa
 
 _CUT = re.compile(r" (?=\S)")
 _NO_CUT = re.compile(r" (?!\S)")
@@ -49,6 +52,18 @@ def _word_and_signs(piece: str) -> list[str]:
     return [word, piece[len(word) :]] if len(word) < len(piece) and word and word[-1] in _LETTERS else [piece]
 
 
+#: Every cache of this worker process.
+_CACHES: WeakSet[ChunkCache] = WeakSet()
+
+
+def release_caches() -> None:
+    """Empty the caches that earlier tasks left in this worker: Spark reuses its processes, and
+    what one operator has cached would count against the memory of the next one."""
+    for cache in list(_CACHES):
+        cache.clear()
+    pa.default_memory_pool().release_unused()
+
+
 class ChunkCache:
     """chunk -> what ``encode`` makes of it, for at most ``limit`` chunks and ``limit_chars`` characters.
 
@@ -58,13 +73,17 @@ class ChunkCache:
 
     def __init__(self, encode: Callable[[list[str]], Iterable], limit: int = 600_000, limit_chars: int = 16_000_000):
         self.encode, self.limit, self.limit_chars = encode, limit, limit_chars
+        self.clear()
+        _CACHES.add(self)
+
+    def clear(self) -> None:
         self.known: dict[str, object] = {}
         self.chars = 0
 
     def learn(self, docs: list[list[str]]) -> dict[str, object]:
         """Make every chunk of ``docs`` known and return the mapping."""
         if len(self.known) > self.limit or self.chars > self.limit_chars:
-            self.known, self.chars = {}, 0
+            self.clear()
         missing = list({c for d in docs for c in d}.difference(self.known))
         self.known.update(zip(missing, self.encode(missing)))
         self.chars += sum(map(len, missing))

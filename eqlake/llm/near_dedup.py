@@ -38,6 +38,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from eqlake.llm.chunks import release_caches
 from eqlake.llm.common import ascii_lower, fix, register, table, text_of, words_of
 
 BANDS, ROWS = 30, 5
@@ -121,6 +122,7 @@ def sketch_documents(docs: DataFrame, *, text: str = "text", k: int = 4) -> Data
     """doc_id, digest, n_shingles, sketch (little-endian 16-bit registers) of every document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_caches()
         sketcher = SetSketch()
         for b in batches:
             sets = b.column(2)

@@ -13,7 +13,7 @@ import pytest
 
 from conftest import SMALL
 from eqlake.llm import bpe, exact_dedup, language_id, mixing, near_dedup, quality, secrets, token_files, toxicity, warc
-from eqlake.llm.chunks import ChunkCache, cut
+from eqlake.llm.chunks import ChunkCache, cut, release_caches
 from eqlake.llm.queries import ORACLE, QUERIES
 
 P = pytest.importorskip("public_tokenizers")
@@ -516,3 +516,13 @@ def test_pipeline_stages(spark):
             assert len(after) == len(before)
         else:
             assert docs.columns == columns
+
+
+def test_released_caches_are_filled_again():
+    asked: list[list[str]] = []
+    cache = ChunkCache(lambda new: asked.append(sorted(new)) or [c.upper() for c in new])
+    assert cache.learn([["a", " b"], ["a"]]) == {"a": "A", " b": " B"}
+    release_caches()
+    assert cache.known == {} and cache.chars == 0
+    assert cache.learn([["a"]]) == {"a": "A"} and cache.chars == 1
+    assert asked == [[" b", "a"], ["a"]]
