@@ -29,6 +29,8 @@ from eqlake import schemas as S
 from eqlake.functions.ranking import materialize
 from eqlake.operators.contracts import require_columns, validate_identifier
 
+#: Views derived from bars and adjustment factors.
+PRICE_VIEWS = ("v_daily_hfq", "v_daily_qfq_latest", "v_daily_adj")
 DIMENSIONS = {"dim_trade_calendar": S.CALENDAR_SCHEMA, "dim_security": S.SECURITY_SCHEMA}
 
 
@@ -171,18 +173,16 @@ class Store:
 
     def register_views(self) -> list[str]:
         """SC5/SC6: (re)create temp views for every present dataset and the derived
-        price views when both bars and factors exist. Returns the view names."""
+        price views when both bars and factors exist. Views whose inputs are gone are
+        dropped. Returns the view names."""
         from eqlake.operators import views as V
 
         names = []
         for dataset, view in S.PROCESSED_DATASETS.items():
             df = self.read(dataset)
-            if df is None:
-                if self.spark.catalog.tableExists(view):
-                    self.spark.catalog.dropTempView(view)
-                continue
-            df.createOrReplaceTempView(view)
-            names.append(view)
+            if df is not None:
+                df.createOrReplaceTempView(view)
+                names.append(view)
         for dim in DIMENSIONS:
             df = self.read_dim(dim)
             if df is not None:
@@ -193,7 +193,9 @@ class Store:
             V.hfq_view(bars, adj).createOrReplaceTempView("v_daily_hfq")
             V.qfq_latest_view(bars, adj).createOrReplaceTempView("v_daily_qfq_latest")
             V.adj_alias_view(bars, adj).createOrReplaceTempView("v_daily_adj")
-            names += ["v_daily_hfq", "v_daily_qfq_latest", "v_daily_adj"]
+            names += PRICE_VIEWS
+        for gone in {*S.PROCESSED_DATASETS.values(), *DIMENSIONS, *PRICE_VIEWS} - set(names):
+            self.spark.catalog.dropTempView(gone)
         return names
 
     refresh_views = register_views

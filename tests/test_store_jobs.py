@@ -96,6 +96,18 @@ def test_archive_keeps_foreign_files(spark, tmp_root):
     assert fs_exists(spark, note) and [r.close for r in st.read("ohlcv").collect()] == [8.0]
 
 
+def test_views_without_inputs_are_dropped(spark, tmp_root):
+    st = Store(spark, f"{tmp_root}/full")
+    kw = dict(date_column="trade_date", key_columns=S.DAILY_KEY)
+    st.write_daily("ohlcv", _bars(spark, [("000001.SZ", D(2023, 1, 3), 8.0)]), columns=S.DAILY_OHLCV_COLUMNS, **kw)
+    factor = spark.createDataFrame([("000001.SZ", D(2023, 1, 3), 2.0)], "ts_code string, trade_date date, cumulative_factor double")
+    st.write_daily("adj_factor", factor, columns=factor.columns, **kw)
+    names = st.register_views()
+    assert {"v_daily_ohlcv", "v_adj_factor", "v_daily_hfq", "v_daily_qfq_latest", "v_daily_adj"} <= set(names)
+    assert Store(spark, f"{tmp_root}/empty").register_views() == []
+    assert not any(st.relation_exists(n) for n in names)
+
+
 def test_replace_dimension(spark, tmp_root):
     st = Store(spark, tmp_root)
     cal = spark.createDataFrame([("SSE", D(2024, 1, d), True, None) for d in range(1, 6)], S.CALENDAR_SCHEMA)
