@@ -164,11 +164,13 @@ def shard_quotas(quotas: DataFrame, n_sources: int, n_blocks: int, shards: int =
     return path.select("idx", F.aggregate("path", root, down).alias("per_shard"))
 
 
-def draws(docs: DataFrame, *, text: str = "text", weights: Sequence[float] = WEIGHTS, share: float = SHARE, cap: float = CAP,
+def draws(docs: DataFrame, *, text: str = "text", row: str | None = None, weights: Sequence[float] = WEIGHTS, share: float = SHARE, cap: float = CAP,
           shards: int = SHARDS, block_words: int = BLOCK_WORDS, seed: int = 1) -> tuple[DataFrame, DataFrame]:
     """(rows, draws): rows has row, doc_id, size, source_size, target for every document; draws has
-    row, copy, words, shard, shuffle_key for every time that a document is taken."""
-    rows = docs.select("doc_id", "source", word_count(text).alias("size")).withColumn("row", F.monotonically_increasing_id())
+    row, copy, words, shard, shuffle_key for every time that a document is taken. ``row`` names a
+    column of row numbers that ``docs`` has already."""
+    number = F.col(row) if row else F.monotonically_increasing_id()
+    rows = docs.select("doc_id", "source", word_count(text).alias("size"), number.alias("row"))
     rows = fix(rows.withColumn("u", _uniform(F.lit(seed), "doc_id", "size")))
     sources = fix(source_targets(rows, weights, share, cap))
     # Passes over the source's permutation: `full` whole ones and `rest` words of one more.
@@ -202,17 +204,13 @@ def mix(docs: DataFrame, **options) -> DataFrame:
 def draw_documents(docs: DataFrame, **options) -> DataFrame:
     """The mix as rows of ``docs``: a document once per time it is taken; one taken in part counts
     from half its words. Shards are written in ``shuffle_key`` order."""
-    rows, taken = draws(docs, **options)
-    whole = taken.join(rows.select("row", "doc_id", "size"), "row").where("2 * words >= size")
-    picks = whole.groupBy("doc_id", "size").agg(F.sort_array(F.collect_list(F.struct("shard", "shuffle_key"))).alias("picks"))
-    repeats = rows.groupBy("doc_id", "size").agg(F.count(F.lit(1)).alias("n_rows"))
-    picks = picks.join(repeats, ["doc_id", "size"]).select(F.col("doc_id").alias("__id"), F.col("size").alias("__size"), "picks", "n_rows")
-    sized = docs.withColumn("__words", word_count(options.get("text", "text")))
-    joined = sized.join(picks, sized["doc_id"].eqNullSafe(picks["__id"]) & (F.col("__words") == F.col("__size")))
-    # Rows that repeat an id and a size share its draws evenly.
-    share = F.ceil(F.size("picks") / F.col("n_rows")).cast("int")
-    out = joined.withColumn("__pick", F.explode(F.slice("picks", F.lit(1), share)))
-    return out.sortWithinPartitions("__pick.shard", "__pick.shuffle_key").select(*[F.col(f"`{c}`") for c in docs.columns])
+    # Rows are numbered once with their texts, as ids may be null or repeat.
+    numbered = fix(docs.withColumn("__row", F.monotonically_increasing_id()))
+    rows, taken = draws(numbered, row="__row", **options)
+    whole = taken.join(rows.select("row", "size"), "row").where("2 * words >= size")
+    whole = whole.select(F.col("row").alias("__row"), F.col("shard").alias("__shard"), F.col("shuffle_key").alias("__key"))
+    out = numbered.join(whole, "__row")
+    return out.sortWithinPartitions("__shard", "__key").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 @register("op1_mixing")

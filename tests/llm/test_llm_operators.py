@@ -310,6 +310,23 @@ def test_mixing(spark, docs, empty):
     assert mixing.draw_documents(docs).columns == docs.columns
 
 
+def test_drawn_documents_are_the_drawn_rows(spark):
+    """Null ids, and ids that repeat in other sources with another text of the same size."""
+    rng = random.Random(6)
+    rows = [(None if i % 3 == 0 else i % 7, f"t{i} " + " ".join(["w"] * 9), None, rng.choice(["a", "b", "b", "c", "c", None]), None, "s", "i", "r", "t") for i in range(600)]
+    frame = spark.createDataFrame(rows, SCHEMA).repartition(4)
+    want = _targets(Counter({s: 10 * sum(r[3] == s for r in rows) for s in {r[3] for r in rows}}))
+    copies = Counter((r["doc_id"], r["text"], r["source"]) for r in mixing.draw_documents(frame, block_words=100).collect())
+    assert set(copies) <= {(r[0], r[1], r[3]) for r in rows}
+    assert max(copies.values()) <= 2
+    for s in want:
+        taken = 10 * sum(n for (_, _, source), n in copies.items() if source == s)
+        assert abs(taken - want[s]) <= 10
+        # Whole passes come first: all documents of a source are taken equally often but for one.
+        times = [copies[(r[0], r[1], s)] for r in rows if r[3] == s]
+        assert max(times) - min(times) <= 1
+
+
 def test_splitting_tree_is_exact_and_hypergeometric(spark):
     from pyspark.sql import functions as F
 
