@@ -41,6 +41,7 @@ KINDS: dict[str, tuple[str, int, int, str]] = {
     "token": (r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]{0,63}[0-9])[A-Za-z0-9+/_-]{40,}", 0, 40, r"[A-Za-z0-9+/_-]{40}"),
     "endpoint": (r"(?i)\b(?:https?|jdbc:[a-z0-9]+|[a-z]+sql|mongodb|redis|amqp|s3)://[^\s\"'<>]+", 0, 8, r"://"),
 }
+BLANK = r"\n[\x20\t\r]*\n"
 BASE = ("assign", "access", "hex")
 _ORDER = {kind: i for i, kind in enumerate(KINDS)}
 
@@ -58,9 +59,10 @@ def _matches(text: Column, kind: str) -> Column:
 
 
 def _breaks(text: Column) -> Column:
-    """Array of the positions at which a blank line ends a scope."""
-    pieces = F.split(text, r"\n[\x20\t\r]*\n", -1)
-    return F.transform(pieces, lambda v: F.length(v))
+    """Array with each blank line's distance in code points: from the end of the one before to its own end."""
+    found = F.regexp_extract_all(text, F.lit(BLANK), F.lit(0))
+    pieces = F.slice(F.split(text, BLANK, -1), 1, F.size(found))
+    return F.zip_with(pieces, found, lambda p, m: F.length(p) + F.length(m))
 
 
 def find_spans(docs: DataFrame, *, text: str = "text", reach: int = REACH) -> tuple[DataFrame, DataFrame]:
@@ -85,8 +87,8 @@ def find_spans(docs: DataFrame, *, text: str = "text", reach: int = REACH) -> tu
     least = F.element_at(F.create_map(*[F.lit(v) for k, i in _ORDER.items() for v in (i, KINDS[k][2])]), F.col("kind"))
     parts = parts.withColumn("end", end).where(F.col("c") >= least).select("row", "kind", (F.col("end") - F.col("m")).alias("start"), "end")
     # Scope: how many blank lines come before, a running sum over parts and breaks together.
-    breaks = found.where(F.size("pieces") > 1).select("row", F.posexplode("pieces").alias("k", "p"))
-    length = F.sum(F.col("p") + 1).over(Window.partitionBy("row").orderBy("k").rowsBetween(Window.unboundedPreceding, 0))
+    breaks = found.where(F.size("pieces") > 0).select("row", F.posexplode("pieces").alias("k", "p"))
+    length = F.sum("p").over(Window.partitionBy("row").orderBy("k").rowsBetween(Window.unboundedPreceding, 0))
     breaks = breaks.select("row", F.lit(-1).alias("kind"), length.alias("start"), length.alias("end"))
     scope = F.sum((F.col("kind") == -1).cast("int")).over(Window.partitionBy("row").orderBy("start", "kind").rowsBetween(Window.unboundedPreceding, 0))
     parts = parts.unionByName(breaks).withColumn("scope", scope).where("kind >= 0")

@@ -374,6 +374,43 @@ def test_secrets(spark, docs, empty):
     assert secrets.scan(empty).count() == 0
 
 
+def _linked(text, reach):
+    """All spans by brute force: parts of one scope whose gap is at most ``reach``."""
+    breaks = [m.start() for m in re.finditer(secrets.BLANK, text)]
+    parts = []
+    for kind, (pattern, group, least, _) in secrets.KINDS.items():
+        parts += [(m.start(), kind, m.end(), sum(b < m.start() for b in breaks)) for m in re.finditer("(?a)" + pattern.replace("(?i)", "(?i:", 1) + ")" if "(?i)" in pattern else pattern, text) if len(m[group]) >= least]
+
+    def near(p, kinds):
+        return any(q[1] in kinds and q[3] == p[3] and max(q[0] - p[2], p[0] - q[2]) <= reach for q in parts)
+
+    out = []
+    for p in parts:
+        secret, ident = near(p, ("assign", "hex", "token")), near(p, ("access", "ident"))
+        if p[1] in secrets.BASE or {"ident": secret, "token": ident, "endpoint": secret and ident}[p[1]]:
+            out.append((p[0], list(secrets.KINDS).index(p[1]), p[2]))
+    return ",".join(f"{list(secrets.KINDS)[k]}:{a}:{b}" for a, k, b in sorted(out))
+
+
+def test_scopes_of_many_paragraphs(spark):
+    rng = random.Random(8)
+    long = lambda: "".join(rng.choice("abcdefghijkXYZ0123456789") for _ in range(50)) + "7"
+    parts = [lambda: "user: alice", long, lambda: "https://db.example.com/x", lambda: "é😀 " * 4]
+    texts = []
+    for gaps in (["\n\n"], ["\n\n", "\n \t\n", "\n" + " " * 30 + "\r\n"]):
+        text = ""
+        for _ in range(300):
+            words = [rng.choice(FILLER) for _ in range(rng.randint(0, 50))]
+            for _ in range(rng.randint(0, 3)):
+                words.insert(rng.randint(0, len(words)), rng.choice(parts)())
+            text += " ".join(words) + rng.choice(gaps)
+        texts.append(text + "user: bob " + long())
+    texts.append("x" * 29_000)
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["spans"] for r in secrets.scan(frame, reach=10**6).collect()}
+    assert got == {i: _linked(t, 10**6) for i, t in enumerate(texts)}
+
+
 # --- 4 ------------------------------------------------------------------------------------
 
 
