@@ -4,8 +4,10 @@ Base spans are found by patterns per kind (assign, access, hex). Weak parts say
 themselves: names of accounts, long mixed tokens, addresses of endpoints. They are reported
 only when complementary parts stand near in the same scope, a run of lines without a blank
 one: an identifier when a secret is within ``REACH`` code points, a secret when an access
-identifier or an account is, an endpoint when both are. The interval join of the parts is a
-range frame over their positions within (document, scope), linear in the number of parts.
+identifier or an account is, an endpoint when both are. Nearness is the gap between the end of
+the earlier part and the start of the later one, so long parts reach as far as short ones. The
+interval join is a running maximum of ends within (document, scope), linear in the number of
+parts but for its sort.
 
 All of it is DataFrame expressions. Positions come from splitting a text at its matches:
 a match starts after the pieces and matches before it, a running sum over the exploded
@@ -92,9 +94,16 @@ def find_spans(docs: DataFrame, *, text: str = "text", reach: int = REACH) -> tu
     breaks = breaks.select("row", F.lit(-1).alias("kind"), length.alias("start"), length.alias("end"))
     scope = F.sum((F.col("kind") == -1).cast("int")).over(Window.partitionBy("row").orderBy("start", "kind").rowsBetween(Window.unboundedPreceding, 0))
     parts = parts.unionByName(breaks).withColumn("scope", scope).where("kind >= 0")
-    near = Window.partitionBy("row", "scope").orderBy("start").rangeBetween(-reach, reach)
-    kind = lambda *names: F.max(F.col("kind").isin([_ORDER[n] for n in names])).over(near)
-    parts = parts.withColumn("has_secret", kind("assign", "hex", "token")).withColumn("has_ident", kind("access", "ident"))
+    # A part is near if it starts before this one's end + reach and ends after its start - reach: parts stand
+    # at their starts, questions of weak parts at end + reach, and the largest end up to there decides.
+    of = lambda *names: F.when(F.col("kind").isin([_ORDER[n] for n in names]), F.col("end"))
+    none = F.lit(None).cast("bigint")
+    stands = F.struct(F.col("start").alias("at"), F.lit(0).alias("asks"), of("assign", "hex", "token").alias("secret"), of("access", "ident").alias("id"))
+    asks = F.struct((F.col("end") + reach).alias("at"), F.lit(1).alias("asks"), none.alias("secret"), none.alias("id"))
+    events = parts.select("row", "scope", "kind", "start", "end", F.explode(F.array(stands, asks)).alias("e")).select("row", "scope", "kind", "start", "end", "e.*")
+    before = Window.partitionBy("row", "scope").orderBy("at", "asks").rowsBetween(Window.unboundedPreceding, 0)
+    near = lambda c: F.coalesce(F.max(c).over(before) >= F.col("start") - reach, F.lit(False))
+    parts = events.withColumn("has_secret", near("secret")).withColumn("has_ident", near("id")).where("asks = 1")
     reported = (
         (F.col("kind") < len(BASE))
         | ((F.col("kind") == _ORDER["ident"]) & F.col("has_secret"))
