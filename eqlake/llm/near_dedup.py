@@ -23,7 +23,8 @@ and one at 0.9 with probability 1e-11.
 
 Defined results: null and empty texts and texts without words have the empty set, are linked
 with nothing and are kept; a text with fewer words than a shingle is one shingle; equal texts
-are linked; component_id is the smallest doc_id of the component; a null doc_id comes last;
+are linked; component_id is the smallest doc_id of the component; a null doc_id comes last, and of a
+component without any id the rows with the least digest are kept;
 repeated rows get equal results; an empty table gives no rows; extra columns are ignored by
 ``near_groups`` and kept by ``near_dedup``.
 """
@@ -221,10 +222,12 @@ def near_groups(docs: DataFrame, *, text: str = "text", k: int = 4, percent: int
     named = ids.join(heads, "comp").select(F.col("digest").alias("__digest"), F.col("head.doc_id").alias("component_id"), F.col("head.digest").alias("head"))
     out = sketched.join(named, sketched["digest"] == named["__digest"], "left")
     alone = F.col("n_shingles") == 0
+    # Of a component without any id, the head's rows are kept.
+    named_or_head = F.col("component_id").isNotNull() | (F.col("digest") == F.col("head"))
     return out.select(
         "doc_id", "digest", "n_shingles",
         F.when(alone, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
-        F.coalesce(alone | F.col("doc_id").eqNullSafe(F.col("component_id")), F.lit(False)).alias("kept"),
+        F.coalesce(alone | (F.col("doc_id").eqNullSafe(F.col("component_id")) & named_or_head), F.lit(False)).alias("kept"),
         (alone | (F.col("digest") == F.col("head"))).alias("is_head"),
     )
 
@@ -232,7 +235,11 @@ def near_groups(docs: DataFrame, *, text: str = "text", k: int = 4, percent: int
 def _sets(docs: DataFrame, members: DataFrame, classes: DataFrame, text: str, k: int) -> DataFrame:
     """(node, shingles) of the classes that share a band, from the whole text of one of their rows."""
     wanted = members.select("node").distinct().join(classes.select("node", "doc_id", F.hex("digest").alias("want")), "node")
-    rows = docs.select("doc_id", text_of(text).alias("t")).join(wanted, "doc_id")
+    rows = docs.select("doc_id", text_of(text).alias("t")).join(wanted, "doc_id").select("node", "want", "t")
+    # Rows without an id are known by their words: one row of each class, met on its digest.
+    own = F.sha2(F.array_join(words_of(ascii_lower(F.col("t"))), " "), 256)
+    nameless = docs.where(F.col("doc_id").isNull()).select(text_of(text).alias("t")).select(F.upper(own).alias("want"), "t").dropDuplicates(["want"])
+    rows = rows.unionByName(nameless.join(wanted.where(F.col("doc_id").isNull()), "want").select("node", "want", "t"))
     again = _prepared(rows.select(F.struct("node", "want").alias("doc_id"), "t"), "t", k)
     # Rows may share a doc_id and differ in text: the digest tells which one the class stands for.
     # (As a prefix test, so that it is no join key that all rows would have to compute.)

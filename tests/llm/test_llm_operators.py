@@ -254,6 +254,24 @@ def test_near_groups_against_all_pairs(spark, docs, empty):
     assert near_dedup.near_groups(empty).count() == 0
 
 
+def test_near_copies_without_ids(spark):
+    """Near copies that have no id, and a chain from one id to another over a text without one."""
+    rng = random.Random(12)
+    words = lambda n: [f"w{rng.randint(0, 10**6)}" for _ in range(n)]
+    alone, middle = words(100), words(200)
+    bridge, first, last = (" ".join(w) for w in (middle, [*middle[:-15], *words(15)], [*words(15), *middle[15:]]))
+    rows = [(None, " ".join(alone)), (None, " ".join([*alone[:-3], "x", "y", "z"])), (None, " ".join(["x", *alone[1:]])), (9, first), (None, bridge), (4, last), (None, bridge), (None, "")]
+    want = _components(rows, 4)
+    assert want[3] == want[4] == want[5] == 4 and len(_set(first, 4) & _set(last, 4)) * 100 < 80 * len(_set(first, 4) | _set(last, 4))
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = near_dedup.near_groups(frame).collect()
+    assert sorted(str((r["doc_id"], r["n_shingles"], r["component_id"])) for r in got) == sorted(str((d, len(_set(t, 4)), want[i])) for i, (d, t) in enumerate(rows))
+    assert sum(r["kept"] for r in got) == 3  # one of the group without ids, 4, the empty text
+    kept = near_dedup.near_dedup(frame, k=4).collect()
+    assert sorted((r["doc_id"] is None, r["doc_id"] or 0) for r in kept) == [(False, 4), (True, 0), (True, 0)]
+    assert len({r["text"] for r in kept if r["doc_id"] is None} & {t for d, t in rows[:3]}) == 1
+
+
 def test_setsketch_merges_and_estimates():
     rng = np.random.default_rng(0)
     pool = rng.integers(0, 1 << 63, 1300, dtype=np.uint64)
