@@ -5,7 +5,8 @@ Words are screened first: a word stays only if its rate of toxic texts is above
 gives among as many words as were tried (exact binomial tail). Identity terms always stay.
 For every labelled sentence with identity terms, the terms are swapped for those of another
 group and for a neutral word; training penalises the squared change of the sentence's score,
-so that a mention of a group by itself moves no score.
+so that a mention of a group by itself moves no score. All pairs of the sample count: they are
+cut down to the model's features and equal ones are counted in Spark.
 
 The model is fitted in numpy on at most ``MAX_TOXIC`` toxic and ``MAX_OTHER`` other labelled
 documents (the documented bound; chosen by hash among rows that are not held out; weights make
@@ -22,6 +23,7 @@ from __future__ import annotations
 import math
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,7 +37,6 @@ from eqlake.llm.common import held_out, register, table, text_of
 THRESHOLD = 0.3
 MAX_TOXIC, MAX_OTHER = 4_000, 8_000
 HASH_BITS = 22
-MAX_FEATURES = 256
 
 #: Identity terms by group; terms of a group stand in the same place of each list.
 IDENTITY = (
@@ -104,29 +105,52 @@ class Model:
         return 1.0 / (1.0 + math.exp(-max(-60.0, min(60.0, z))))
 
 
-def train(rows: list[tuple[int, float, list[int]]], pairs: list[tuple[list[int], list[int]]], *, penalty: float = 4.0, ridge: float = 1e-3, steps: int = 400) -> Model:
-    """Fit on (label, weight, features) and counterfactual pairs. Deterministic for the same rows in any order."""
-    rows = sorted(rows)
-    if not rows or all(y == 0 for y, _, _ in rows):
-        return Model({}, -math.inf)
+class _Rows:
+    """A 0/1 matrix by the positions of its ones, so that memory follows the words that are kept."""
+
+    def __init__(self, lists: list[list[int]], column: dict[int, int]):
+        found = [sorted({column[f] for f in fs if f in column}) for fs in lists]
+        self.shape = len(lists), len(column)
+        self.row = np.repeat(np.arange(len(found)), [len(fs) for fs in found])
+        self.column = np.array([i for fs in found for i in fs], np.int64)
+
+    def times(self, w: np.ndarray) -> np.ndarray:
+        return np.bincount(self.row, w[self.column], self.shape[0])
+
+    def back(self, v: np.ndarray) -> np.ndarray:
+        return np.bincount(self.column, v[self.row], self.shape[1])
+
+
+def screen(rows: list[tuple[int, float, list[int]]]) -> list[int]:
+    """The features that a model of (label, weight, features) has: every word that passes the test, and the identity terms."""
     size = 1 << HASH_BITS
-    y = np.array([r[0] for r in rows], float)
-    weight = np.array([r[1] for r in rows], float)
     n_all = np.bincount(np.concatenate([np.array(r[2], np.int64) for r in rows]), minlength=size)
     n_toxic = np.bincount(np.concatenate([np.array(r[2], np.int64) for r in rows if r[0] == 1]), minlength=size)
-    rate = min(1 - 1e-9, max(1e-9, y.mean()))
+    rate = min(1 - 1e-9, max(1e-9, float(np.mean([r[0] for r in rows]))))
     tried = np.flatnonzero((n_all >= 3) & (n_toxic > n_all * rate))
     total = max(1, int((n_all >= 3).sum()))
     tails = sorted((_tail(int(n_toxic[f]), int(n_all[f]), rate), int(f)) for f in tried)
-    kept = [f for t, f in tails[:MAX_FEATURES] if t * total < 0.5]
     identity = {feature(t) for t in [*_GROUP, NEUTRAL]}
-    column = {f: i for i, f in enumerate(dict.fromkeys([*kept, *sorted(identity)]))}
+    return list(dict.fromkeys([*(f for t, f in tails if t * total < 0.5), *sorted(identity)]))
+
+
+def learnable(rows: list[tuple[int, float, list[int]]]) -> bool:
+    return any(y == 1 for y, _, _ in rows)
 
-    def matrix(lists: list[list[int]]) -> np.ndarray:
-        m = np.zeros((len(lists), len(column)), np.float32)
-        for i, fs in enumerate(lists):
-            m[i, [column[f] for f in fs if f in column]] = 1
-        return m
+
+def train(rows: list[tuple[int, float, list[int]]], pairs: list[tuple[list[int], list[int]]], counts: list[int] | None = None, *, penalty: float = 4.0, ridge: float = 1e-3, steps: int = 400) -> Model:
+    """Fit on (label, weight, features) and counterfactual pairs, each standing for ``counts`` equal ones.
+    Deterministic for the same rows in any order."""
+    rows = sorted(rows)
+    if not learnable(rows):
+        return Model({}, -math.inf)
+    y = np.array([r[0] for r in rows], float)
+    weight = np.array([r[1] for r in rows], float)
+    column = {f: i for i, f in enumerate(screen(rows))}
+    often = np.ones(len(pairs)) if counts is None else np.array(counts, float)
+
+    def matrix(lists: list[list[int]]) -> _Rows:
+        return _Rows(lists, column)
 
     x = matrix([r[2] for r in rows])
     before, after = matrix([a for a, _ in pairs]), matrix([b for _, b in pairs])
@@ -134,12 +158,12 @@ def train(rows: list[tuple[int, float, list[int]]], pairs: list[tuple[list[int],
     share = weight / weight.sum()
     first, second = np.zeros(len(w) + 1), np.zeros(len(w) + 1)
     for step in range(1, steps + 1):
-        error = share * (1 / (1 + np.exp(-np.clip(x @ w + b, -60, 60))) - y)
-        g, gb = x.T @ error + ridge * w, error.sum()
+        error = share * (1 / (1 + np.exp(-np.clip(x.times(w) + b, -60, 60))) - y)
+        g, gb = x.back(error) + ridge * w, error.sum()
         if len(pairs):
-            p, q = (1 / (1 + np.exp(-np.clip(m @ w + b, -60, 60))) for m in (before, after))
-            change = 2 * penalty * (p - q) / len(pairs)
-            g = g + before.T @ (change * p * (1 - p)) - after.T @ (change * q * (1 - q))
+            p, q = (1 / (1 + np.exp(-np.clip(m.times(w) + b, -60, 60))) for m in (before, after))
+            change = 2 * penalty * (p - q) * often / often.sum()
+            g = g + before.back(change * p * (1 - p)) - after.back(change * q * (1 - q))
             gb += (change * (p * (1 - p) - q * (1 - q))).sum()
         g = np.append(g, gb)
         first += 0.1 * (g - first)
@@ -150,7 +174,8 @@ def train(rows: list[tuple[int, float, list[int]]], pairs: list[tuple[list[int],
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
-    """Model from the labelled rows that are not held out. Only the bounded sample reaches the driver."""
+    """Model from the labelled rows that are not held out. Only the bounded sample's words reach the
+    driver, and of its counterfactual pairs the distinct ones over the model's features, with counts."""
     known = labels.where(F.col("doc_id").isNotNull() & ~held_out() & F.col("toxic").isin(0, 1)).select("doc_id", "toxic").distinct()
     counts = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
     limits = {1: MAX_TOXIC, 0: MAX_OTHER}
@@ -161,19 +186,32 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts, ys = b.column(0).to_pylist(), b.column(1).to_pylist()
-            pairs = [counterfactuals(t) for t in texts]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(ys, pa.int32()), pa.array([features(t) for t in texts], pa.list_(pa.int32())), pa.array([[a for a, _ in p] for p in pairs], pa.list_(pa.list_(pa.int32()))), pa.array([[a for _, a in p] for p in pairs], pa.list_(pa.list_(pa.int32())))],
-                names=["toxic", "features", "before", "after"],
-            )
+            yield pa.RecordBatch.from_arrays([pa.array(ys, pa.int32()), pa.array([features(t) for t in texts], pa.list_(pa.int32()))], names=["toxic", "features"])
 
-    found = sample.select("text", F.col("toxic").cast("int")).mapInArrow(run, "toxic int, features array<int>, before array<array<int>>, after array<array<int>>")
-    rows, pairs = [], []
+    found = sample.select("text", F.col("toxic").cast("int")).mapInArrow(run, "toxic int, features array<int>")
+    rows = []
     for r in found.toLocalIterator():
         y = r["toxic"]
         rows.append((y, max(1.0, counts[y] / limits[y]), r["features"]))
-        pairs += zip(r["before"], r["after"])
-    return train(rows, sorted(pairs)[:20_000])
+    if not learnable(rows):
+        return train(rows, [])
+    pairs = sorted((r["before"], r["after"], r["n"]) for r in swaps(sample.select("text"), screen(rows)).toLocalIterator())
+    return train(rows, [(a, b) for a, b, _ in pairs], [n for _, _, n in pairs])
+
+
+def swaps(texts: DataFrame, kept: list[int]) -> DataFrame:
+    """before, after, n: every counterfactual pair of the texts over the features ``kept``; equal ones are counted."""
+    known = frozenset(kept)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            met = Counter(tuple(tuple(sorted(known.intersection(x))) for x in pair) for t in b.column(0).to_pylist() for pair in counterfactuals(t))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([p[0] for p in met], pa.list_(pa.int32())), pa.array([p[1] for p in met], pa.list_(pa.int32())), pa.array(list(met.values()), pa.int64())],
+                names=["before", "after", "n"],
+            )
+
+    return texts.mapInArrow(run, "before array<int>, after array<int>, n bigint").groupBy("before", "after").agg(F.sum("n").alias("n"))
 
 
 def score_documents(docs: DataFrame, model: Model, *, keep: list[str] | None = None, at_most: float | None = None) -> DataFrame:

@@ -506,6 +506,29 @@ def test_toxicity_learns_and_swaps_do_not_matter():
     assert toxicity.train([], []).score("x") == 0.0
 
 
+def test_every_counterfactual_pair_and_every_screened_word_counts(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    # One text of 11,000 sentences (22,000 pairs) on one group, and a rare one on another.
+    texts = ["all men rest. " * 11_000, *["the deaf are vermin."] * 40, *["a lazy dog sleeps."] * 200]
+    ids = [i for i in range(2000) if zlib.crc32(str(i).encode()) % 4 != 2][: len(texts)]
+    docs = spark.createDataFrame(list(zip(ids, texts)), "doc_id long, text string")
+    labels = docs.select("doc_id", F.col("text").contains("vermin").cast("int").alias("toxic"))
+    given = []
+    train = toxicity.train
+    monkeypatch.setattr(toxicity, "train", lambda rows, pairs, *a, **k: given.append((rows, pairs, *a)) or train(rows, pairs, *a, **k))
+    model = toxicity.fit(docs, labels)
+    rows, pairs, *counts = given[0]
+    assert sum(counts[0]) == 22_080 and len(pairs) == 4
+    assert any(toxicity.feature("deaf") in before for before, _ in pairs)
+    every = train(rows, [p for t in texts for p in toxicity.counterfactuals(t)])
+    assert all(abs(every.weights.get(f, 0) - w) < 1e-6 for f, w in model.weights.items()) and abs(every.bias - model.bias) < 1e-6
+    # 300 marking words: none is dropped.
+    words = ["".join(chr(97 + i // 26**k % 26) for k in range(3)) + "mark" for i in range(300)]
+    rows = [(1, 1.0, toxicity.features(" ".join(words)))] * 20 + [(0, 1.0, toxicity.features("a lazy dog"))] * 200
+    assert set(toxicity.features(" ".join(words))) <= set(train(rows, []).weights)
+
+
 def test_toxicity_query_held_out(spark, docs, empty):
     got = {r["doc_id"]: r for r in QUERIES["op8_toxicity"](spark, SMALL.replace("0.001", "0.01")).collect()}
     assert all(r["held_out"] == (zlib.crc32(str(d).encode()) % 4 == 2) and 0 <= r["score"] <= 1 for d, r in got.items())
