@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -62,3 +64,25 @@ def fix(df: DataFrame) -> DataFrame:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
+def on_equal(rows: DataFrame, values: DataFrame, keys: list[str], *, how: str = "left", share: int = 1000) -> DataFrame:
+    """``rows`` joined with ``values`` (at most one row per key) on ``keys``, nulls equal to nulls.
+
+    Keys that more than one in ``share`` rows have are at most ``share`` keys: their values are
+    broadcast, so their rows stay where they are. The other keys' rows are shuffled, and no task
+    gets more than that share of one key. ``rows`` is read twice: give it fixed."""
+    total = rows.count()
+    hot = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") * share > total)
+    hot = fix(hot.select(*[F.col(f"`{k}`").alias(f"__{i}") for i, k in enumerate(keys)]))
+    others = [F.col(f"`{c}`") for c in values.columns if c not in keys]
+    right = values.select(*[F.col(f"`{k}`").alias(f"__{i}") for i, k in enumerate(keys)], *others)
+    both = [F.col(f"__{i}") for i in range(len(keys))]
+    same = [F.col(f"`{k}`").eqNullSafe(c) for k, c in zip(keys, both)]
+    few = hot.select(*[c.alias(f"__h{i}") for i, c in enumerate(both)])
+    is_few = lambda cols: reduce(and_, [c.eqNullSafe(F.col(f"__h{i}")) for i, c in enumerate(cols)])
+    own = [F.col(f"`{k}`") for k in keys]
+    hot_values = right.join(F.broadcast(few), is_few(both), "left_semi")
+    hot_rows = rows.join(F.broadcast(few), is_few(own), "left_semi").join(F.broadcast(hot_values), reduce(and_, same), how)
+    rest = rows.join(F.broadcast(few), is_few(own), "left_anti").join(right, reduce(and_, same), how)
+    return hot_rows.drop(*[f"__{i}" for i in range(len(keys))]).unionByName(rest.drop(*[f"__{i}" for i in range(len(keys))]))
