@@ -2,18 +2,20 @@
 
 Layout under ``root``::
 
-    processed/<dataset>/year=YYYY/month=MM/part-*.parquet   live months
-    processed/_archive/<dataset>/year=YYYY/part-*.parquet   compacted years (separate root,
-                                                           so no mixed-depth partition folders)
-    dims/<name>/part-*.parquet                             dimension tables (calendar, securities)
-    _staging/<uuid>/...                                    staged writes, removed after the swap
-
-Invariant: a key lives in exactly one place (a live month or an archived year).
-Upserts read only the touched partitions (partition pruning on ``year``/``month``),
-merge with ``left_anti`` + ``unionByName`` (new rows win), stage the result, and
-replace exactly those partitions (dynamic partition overwrite). A failed job
-leaves the old partitions intact; the staged copy also cuts the lineage between
-reading and overwriting the same partitions.
+    processed/<dataset>/year=YYYY/month=M/commit=<id>/part-*.parquet     live months
+    processed/<dataset>/_log/<version>.json                              versions (see ``snapshots``)
+    processed/_archive/<dataset>/year=YYYY/commit=<id>/part-*.parquet    compacted years
+    dims/<name>/commit=<id>/part-*.parquet, dims/<name>/_log             small tables
+    _staging/<uuid>/...                                                  incoming batches
+
+Every write makes new ``commit=`` folders and publishes one manifest that names the folders of
+the new version; nothing that a version names is written again. An upsert reads only the touched
+months, merges (new rows win) and writes them once. Readers resolve one version, so a key is in
+exactly one place whenever a writer stops. Writers that touch the same months at the same time
+retry on the version that won. The schema is in the manifest, so a read opens no footers.
+
+Folders of versions older than the newest ``keep_versions`` are removed after a commit; an
+archived year's months at once. ``sweep`` removes what writers left that stopped on the way.
 """
 
 from __future__ import annotations
@@ -21,66 +23,34 @@ from __future__ import annotations
 import datetime as _dt
 import uuid
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from eqlake import schemas as S
 from eqlake.functions.ranking import materialize
 from eqlake.operators.contracts import require_columns, validate_identifier
+from eqlake.sources.snapshots import Part, Snapshot, SnapshotLog, fs_delete, fs_exists, fs_path, fs_rename, sub_dirs
 
 #: Views derived from bars and adjustment factors.
 PRICE_VIEWS = ("v_daily_hfq", "v_daily_qfq_latest", "v_daily_adj")
 DIMENSIONS = {"dim_trade_calendar": S.CALENDAR_SCHEMA, "dim_security": S.SECURITY_SCHEMA}
 
 
-# ---------------------------------------------------------------------------
-# File-system helpers (Hadoop FileSystem: works for local, HDFS and object stores)
-# ---------------------------------------------------------------------------
-
-
-def _path(spark: SparkSession, p: str):
-    jp = spark._jvm.org.apache.hadoop.fs.Path(p)
-    return jp, jp.getFileSystem(spark._jsc.hadoopConfiguration())
-
-
-def fs_exists(spark: SparkSession, p: str) -> bool:
-    jp, fs = _path(spark, p)
-    return bool(fs.exists(jp))
-
-
-def fs_delete(spark: SparkSession, p: str) -> None:
-    jp, fs = _path(spark, p)
-    if fs.exists(jp):
-        fs.delete(jp, True)
-
-
-def fs_rename(spark: SparkSession, src: str, dst: str) -> None:
-    js, fs = _path(spark, src)
-    jd, _ = _path(spark, dst)
-    if not fs.rename(js, jd):
-        raise OSError(f"rename failed: {src} -> {dst}")
-
-
 def has_parquet(spark: SparkSession, p: str) -> bool:
-    jp, fs = _path(spark, p.rstrip("/") + "/**/*.parquet")
     if not fs_exists(spark, p):
         return False
     for pattern in ("/*.parquet", "/*/*.parquet", "/*/*/*.parquet"):
-        g, fs2 = _path(spark, p.rstrip("/") + pattern)
+        g, fs2 = fs_path(spark, p.rstrip("/") + pattern)
         st = fs2.globStatus(g)
         if st is not None and len(st) > 0:
             return True
     return False
 
 
-def sub_dirs(spark: SparkSession, p: str) -> list[str]:
-    jp, fs = _path(spark, p)
-    if not fs.exists(jp):
-        return []
-    return [s.getPath().getName() for s in fs.listStatus(jp) if s.isDirectory()]
-
-
 def keep_last(df: DataFrame, key_columns: Sequence[str], order_col: str) -> DataFrame:
     """SK4: one row per key, the one with the largest ``order_col`` (arrival order).
 
@@ -107,24 +77,37 @@ def keep_last(df: DataFrame, key_columns: Sequence[str], order_col: str) -> Data
 
 
 def upsert_frames(old: DataFrame, new: DataFrame, key_columns: Sequence[str]) -> DataFrame:
-    """Logical core of SK3/SK10: stored rows whose key is in ``new`` are replaced."""
-    survivors = old.join(new.select(*key_columns), list(key_columns), "left_anti")
-    return survivors.unionByName(new, allowMissingColumns=True)
+    """Core of SK3/SK10: stored rows whose key is in ``new`` are replaced."""
+    return without_keys(old, new, key_columns).unionByName(new, allowMissingColumns=True)
+
+
+def without_keys(old: DataFrame, new: DataFrame, key_columns: Sequence[str]) -> DataFrame:
+    """Rows of ``old`` whose key ``new`` doesn't hold; null keys are keys like others, as in ``keep_last``."""
+    keys = new.select(*[F.col(k).alias(f"_new_{k}") for k in key_columns])
+    same = [F.col(k).eqNullSafe(F.col(f"_new_{k}")) for k in key_columns]
+    return old.join(keys, reduce(and_, same), "left_anti")
 
 
 def replace_rows(old: DataFrame, new: DataFrame, delete_where: Column | None) -> DataFrame:
-    """Logical core of SK9: drop rows matching ``delete_where`` (None = all), add ``new``."""
+    """Core of SK9: drop rows matching ``delete_where`` (None = all), add ``new``."""
     if delete_where is None:
         return new
     return old.filter(~F.coalesce(delete_where, F.lit(False))).unionByName(new)
 
 
 class Store:
+    #: Versions whose folders are kept, for readers that resolved one before the last commits.
+    keep_versions = 8
+    #: Rows of one file of a month, about.
+    rows_per_file = 4_000_000
+    #: Times that a commit starts again because another writer was first.
+    attempts = 20
+
     def __init__(self, spark: SparkSession, root: str) -> None:
         self.spark = spark
         self.root = root.rstrip("/")
 
-    # -- paths ---------------------------------------------------------------
+    # -- paths and versions --------------------------------------------------
     def path(self, dataset: str) -> str:
         return f"{self.root}/processed/{validate_identifier(dataset)}"
 
@@ -137,27 +120,99 @@ class Store:
     def _staging(self) -> str:
         return f"{self.root}/_staging/{uuid.uuid4().hex}"
 
+    def log(self, dataset: str) -> SnapshotLog:
+        return SnapshotLog(self.spark, self.path(dataset))
+
+    def dim_log(self, name: str) -> SnapshotLog:
+        return SnapshotLog(self.spark, self.dim_path(name))
+
+    def _reached(self, step: str) -> None:
+        """Called after each step of a write; tests stop a write here."""
+
+    def _commit(self, log: SnapshotLog, reads, build) -> Snapshot:
+        """Publish ``build(base)`` = (schema, parts), which depends on the parts ``reads(base)`` names.
+
+        If another writer publishes first, its version is the base, and only if it changed one of
+        those parts is the work done again."""
+        for _ in range(self.attempts):
+            base = log.current()
+            depends = reads(base)
+            schema, parts = build(base)
+            self._reached("written")
+            head = base
+            while all(head.parts.get(k) == base.parts.get(k) for k in depends):
+                done = head.changed(schema, parts)
+                if log.publish(done):
+                    self._reached("published")
+                    return done
+                head = log.current()
+            for p in parts.values():
+                if p is not None:
+                    fs_delete(self.spark, f"{self.root}/{p.folder}")
+        raise RuntimeError(f"other writers were first {self.attempts} times: {log.folder}")
+
+    def _tidy(self, log: SnapshotLog, keep: int) -> None:
+        """Remove the folders that only versions before the newest ``keep`` name."""
+        for folder in log.forget(keep):
+            path = f"{self.root}/{folder}"
+            fs_delete(self.spark, path)
+            self._drop_empty(path)
+
+    def _drop_empty(self, path: str) -> None:
+        """Remove the partition folders above ``path`` that hold nothing any more."""
+        jp, fs = fs_path(self.spark, path)
+        parent = jp.getParent()
+        while "=" in parent.getName() and fs.exists(parent) and not len(fs.listStatus(parent)):
+            fs.delete(parent, False)
+            parent = parent.getParent()
+
+    def sweep(self, dataset: str, older_than_hours: float = 168.0) -> list[str]:
+        """Remove ``commit=`` folders that no version names and that were made so long ago that no
+        writer can still be at work on them; returns them."""
+        log = self.log(dataset)
+        named = set().union(*[log.read(v).folders() for v in log.versions()])
+        before = _dt.datetime.now().timestamp() - older_than_hours * 3600
+        gone = []
+        for pattern in (f"{self.path(dataset)}/year=*/month=*/commit=*", f"{self.archive_path(dataset)}/year=*/commit=*"):
+            jp, fs = fs_path(self.spark, pattern)
+            for s in fs.globStatus(jp) or []:
+                path = s.getPath().toUri().getPath()
+                folder = "processed/" + path.rsplit("/processed/", 1)[1]
+                if folder not in named and s.getModificationTime() / 1000 <= before:
+                    fs.delete(s.getPath(), True)
+                    self._drop_empty(path)
+                    gone.append(folder)
+        return sorted(gone)
+
     # -- reads (SC5) ---------------------------------------------------------
     def _columns(self, dataset: str) -> list[str]:
         schema = S.DATASET_SCHEMAS.get(dataset)
         return [f.name for f in schema.fields] if schema is not None else []
 
-    def read_live(self, dataset: str) -> DataFrame | None:
-        p = self.path(dataset)
-        if not has_parquet(self.spark, p):
-            return None
-        return self.spark.read.option("mergeSchema", True).parquet(p)
-
-    def read_archive(self, dataset: str) -> DataFrame | None:
-        p = self.archive_path(dataset)
-        if not has_parquet(self.spark, p):
+    def _scan(self, snapshot: Snapshot, base: str, keys: Sequence[str]) -> DataFrame | None:
+        """The rows of some parts; their schema is the version's, so no footer is opened."""
+        folders = [f"{self.root}/{snapshot.parts[k].folder}" for k in sorted(keys)]
+        if not folders:
             return None
-        return self.spark.read.option("mergeSchema", True).parquet(p)
-
-    def read(self, dataset: str) -> DataFrame | None:
-        """Live months ∪ archived years, unified by column name; ``None`` when absent."""
-        live, arch = self.read_live(dataset), self.read_archive(dataset)
-        frames = [f for f in (live, arch) if f is not None]
+        return self.spark.read.schema(snapshot.schema).option("basePath", base).parquet(*folders).drop("commit")
+
+    def read_live(self, dataset: str, snapshot: Snapshot | None = None, months: Sequence[str] | None = None) -> DataFrame | None:
+        """Live months (all, or the named ones) of one version."""
+        snapshot = snapshot or self.log(dataset).current()
+        keys = [k for k in snapshot.parts if _is_month(k) and (months is None or k in months)]
+        return self._scan(snapshot, self.path(dataset), keys)
+
+    def read_archive(self, dataset: str, snapshot: Snapshot | None = None, years: Sequence[str] | None = None) -> DataFrame | None:
+        snapshot = snapshot or self.log(dataset).current()
+        keys = [k for k in snapshot.parts if not _is_month(k) and (years is None or k in years)]
+        return self._scan(snapshot, self.archive_path(dataset), keys)
+
+    def read(self, dataset: str, version: int | None = None) -> DataFrame | None:
+        """Live months and archived years of one version (the newest, unless one is named), united
+        by column name; ``None`` when absent."""
+        log = self.log(dataset)
+        snapshot = log.current() if version is None else log.read(version)
+        frames = [f for f in (self.read_live(dataset, snapshot), self.read_archive(dataset, snapshot)) if f is not None]
         if not frames:
             return None
         out = frames[0]
@@ -168,8 +223,10 @@ class Store:
         return out.select(*cols, *extra, *[c for c in ("year", "month") if c in out.columns])
 
     def read_dim(self, name: str) -> DataFrame | None:
-        p = self.dim_path(name)
-        return self.spark.read.parquet(p) if has_parquet(self.spark, p) else None
+        snapshot = self.dim_log(name).current()
+        if not snapshot.parts:
+            return None
+        return self.spark.read.schema(snapshot.schema).parquet(f"{self.root}/{snapshot.parts[''].folder}")
 
     def register_views(self) -> list[str]:
         """SC5/SC6: (re)create temp views for every present dataset and the derived
@@ -229,56 +286,84 @@ class Store:
         require_columns(df, [date_column, *key_columns, *columns], "daily frame")
         seq = order_col or "_seq"
         batch = df if order_col else df.withColumn("_seq", F.monotonically_increasing_id())
-        batch = batch.select(*columns, seq).withColumn(date_column, F.to_date(F.col(date_column)))
+        batch = batch.select(*columns, F.col(seq).alias("_seq")).withColumn(date_column, F.to_date(F.col(date_column)))
         batch = batch.withColumn("year", F.year(date_column)).withColumn("month", F.month(date_column))
         staging = self._staging()
         try:
             # Stage the incoming batch once: the upstream plan (e.g. normalisation) runs a
             # single time, the arrival sequence is fixed, and every later step (counts,
-            # dedup, anti joins, archive rewrite) reads the staged copy.
+            # dedup, merge, archive rewrite, a retry) reads the staged copy.
             batch.write.mode("overwrite").parquet(f"{staging}/batch")
-            batch = self.spark.read.parquet(f"{staging}/batch")
-            counts = {
-                (r["year"], r["month"]): r["n"]
-                for r in batch.groupBy("year", "month").agg(F.count(F.lit(1)).alias("n")).collect()
-            }  # one row per touched month
-            if not counts:
-                return {}
-            new = keep_last(batch, list(key_columns), seq).drop(seq)
-            months = sorted(counts)
-            years = sorted({y for y, _ in months})
-            month_pred = F.lit(False)
-            for y, m in months:
-                month_pred = month_pred | ((F.col("year") == y) & (F.col("month") == m))
-            keys_new = new.select(*key_columns)
-            live = self.read_live(dataset)
-            merged = new
-            if live is not None:
-                old = live.filter(month_pred)  # partition pruning: touched months only
-                survivors = old.join(keys_new, list(key_columns), "left_anti")
-                merged = survivors.unionByName(new, allowMissingColumns=True)
-            merged = self._conform(merged, columns, date_column, ("year", "month"))
-            merged.write.mode("overwrite").partitionBy("year", "month").parquet(f"{staging}/live")
-            arch = self.read_archive(dataset)
-            touched_archive = None
-            if arch is not None:
-                arch_years = arch.filter(F.col("year").isin(years))
-                if arch_years.limit(1).count():
-                    touched_archive = arch_years.join(keys_new, list(key_columns), "left_anti")
-                    touched_archive = self._conform(touched_archive, columns, date_column, ("year",))
-                    touched_archive.write.mode("overwrite").partitionBy("year").parquet(f"{staging}/archive")
-            self._swap_in(f"{staging}/live", self.path(dataset), ("year", "month"))
-            if touched_archive is not None:
-                kept_years = {d for d in sub_dirs(self.spark, f"{staging}/archive") if d.startswith("year=")}
-                self._swap_in(f"{staging}/archive", self.archive_path(dataset), ("year",))
-                # A touched archived year whose every key was replaced has nothing left.
-                for y in years:
-                    if f"year={y}" not in kept_years:
-                        fs_delete(self.spark, f"{self.archive_path(dataset)}/year={y}")
+            self._reached("staged")
+            batch = self.spark.read.schema(batch.schema).parquet(f"{staging}/batch")
+            return self.upsert_staged(dataset, batch, date_column=date_column, key_columns=key_columns, columns=columns)
         finally:
             fs_delete(self.spark, staging)
+
+    def upsert_staged(self, dataset: str, batch: DataFrame, *, date_column: str, key_columns: Sequence[str],
+                      columns: Sequence[str]) -> dict[tuple[int, int], int]:
+        """Upsert rows that are written already, with their ``_seq``, ``year`` and ``month``."""
+        counts = {
+            (r["year"], r["month"]): r["n"]
+            for r in batch.groupBy("year", "month").agg(F.count(F.lit(1)).alias("n")).collect()
+        }  # one row per touched month
+        if not counts:
+            return {}
+        if any(y is None for y, _ in counts):
+            raise ValueError(f"{counts[(None, None)]} rows have no {date_column}")
+        new = keep_last(batch, list(key_columns), "_seq").drop("_seq")
+        months = {_month_key(y, m): n for (y, m), n in counts.items()}
+        years = sorted({str(y) for y, _ in counts})
+
+        def build(base: Snapshot) -> tuple[T.StructType, dict[str, Part | None]]:
+            live = self.read_live(dataset, base, list(months))
+            merged = new if live is None else upsert_frames(live, new, key_columns)
+            merged = self._conform(merged, columns, date_column, ("year", "month"))
+            rows = {k: n + (base.parts[k].rows if k in base.parts else 0) for k, n in months.items()}
+            parts = dict(self._write_parts(dataset, merged, rows, date_column, key_columns))
+            for y in years:
+                if y in base.parts:
+                    parts |= self._without_replaced(dataset, base, y, new, date_column, key_columns, columns)
+            return self._schema(merged), parts
+
+        self._commit(self.log(dataset), lambda base: [*months, *years], build)
+        self._tidy(self.log(dataset), self.keep_versions)
         return counts
 
+    def _without_replaced(self, dataset: str, base: Snapshot, year: str, new: DataFrame, date_column, key_columns, columns) -> dict[str, Part | None]:
+        """An archived year without the keys that came again (they are live now); untouched if none did."""
+        old = self.read_archive(dataset, base, [year])
+        kept = without_keys(old, new, key_columns)
+        part = self._write_parts(dataset, self._conform(kept, columns, date_column, ("year",)), {year: base.parts[year].rows}, date_column, key_columns)
+        return part or {year: None}
+
+    def _write_parts(self, dataset: str, df: DataFrame, rows: dict[str, int], date_column: str, key_columns: Sequence[str]) -> dict[str, Part]:
+        """Write the months (or years) of ``df`` as new folders, about ``rows_per_file`` rows a file,
+        and say what is in them. ``rows``: about how many rows each one has."""
+        monthly = "month" in df.columns
+        root = self.path(dataset) if monthly else self.archive_path(dataset)
+        by = ["year", "month"] if monthly else ["year"]
+        commit = f"c{uuid.uuid4().hex}"
+        files = {k: -(-max(n, 1) // self.rows_per_file) for k, n in rows.items()}
+        key = F.format_string("%04d-%02d", "year", "month") if monthly else F.col("year").cast("string")
+        per = F.element_at(F.create_map(*[F.lit(x) for kv in files.items() for x in kv]), key)
+        spread = F.pmod(F.xxhash64(*key_columns), per.cast("bigint"))
+        dealt = df.withColumn("commit", F.lit(commit)).repartition(sum(files.values()), *by, spread)
+        order = [date_column, *[k for k in key_columns if k != date_column]]
+        dealt.sortWithinPartitions(*by, *order).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by, "commit").parquet(root)
+        self._reached("files")
+        written = self.spark.read.schema(df.drop(*by).schema).option("basePath", root)
+        folders = {k: f"{root}/{_folder(k)}/commit={commit}" for k in rows}
+        present = [f for f in folders.values() if fs_exists(self.spark, f)]
+        if not present:
+            return {}
+        found = written.parquet(*present).groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.sort_array(F.collect_set(date_column)).alias("dates")).collect()
+        out = {}
+        for r in found:  # one row per written month, with its dates
+            k = _month_key(r["year"], r["month"]) if monthly else str(r["year"])
+            out[k] = Part(folders[k][len(self.root) + 1 :], r["n"], tuple(r["dates"]))
+        return out
+
     def _conform(self, df: DataFrame, columns, date_column, part_cols) -> DataFrame:
         out = df.withColumn(date_column, F.to_date(F.col(date_column)))
         if "year" not in out.columns:
@@ -291,91 +376,62 @@ class Store:
             cols.append(F.col(c).alias(c, metadata=meta) if meta else F.col(c))
         return out.select(*cols, *part_cols)
 
-    def _swap_in(self, staged: str, target: str, part_cols) -> None:
-        """Replace exactly the staged partitions of ``target`` (dynamic overwrite)."""
-        if not has_parquet(self.spark, staged):
-            return
-        (
-            self.spark.read.parquet(staged)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(*part_cols)
-            .parquet(target)
-        )
+    @staticmethod
+    def _schema(df: DataFrame) -> T.StructType:
+        """What a manifest says of the stored columns: all may be null, as in any Parquet read."""
+        return T.StructType([T.StructField(f.name, f.dataType, True, f.metadata) for f in df.schema.fields if f.name not in ("year", "month")])
 
     def archive_year(self, dataset: str, year: int, *, key_columns: Sequence[str], columns: Sequence[str],
                      date_column: str = "trade_date", today: _dt.date | None = None) -> str:
         """SK8: compact the live months of a finished year into the archive root.
 
-        Archived rows come first, months after (months win on a key); the month
-        partitions are removed after the archive is written.
-        """
+        Archived rows come first, months after (months win on a key). One version replaces the
+        months by the year; then older versions' folders are removed. Other files stay."""
         today = today or _dt.date.today()
         if year >= today.year:
             raise ValueError("only finished years can be archived")
-        live = self.read_live(dataset)
-        month_dirs = [d for d in sub_dirs(self.spark, f"{self.path(dataset)}/year={year}") if d.startswith("month=")]
-        if live is None or not month_dirs:
-            raise FileNotFoundError("no month files to archive")
-        months = live.filter(F.col("year") == year).withColumn("_seq", F.lit(1))
-        frames = months
-        arch = self.read_archive(dataset)
-        if arch is not None:
-            old = arch.filter(F.col("year") == year).withColumn("_seq", F.lit(0))
-            frames = old.unionByName(months, allowMissingColumns=True)
-        merged = keep_last(frames.select(*columns, "_seq"), list(key_columns), "_seq").drop("_seq")
-        merged = self._conform(merged, columns, date_column, ("year",))
-        staging = self._staging()
-        try:
-            merged.write.mode("overwrite").partitionBy("year").parquet(staging)
-            self._swap_in(staging, self.archive_path(dataset), ("year",))
-            # Only the months that were compacted go; other files in the year's folder stay.
-            folder = f"{self.path(dataset)}/year={year}"
-            for d in month_dirs:
-                fs_delete(self.spark, f"{folder}/{d}")
-            jp, fs = _path(self.spark, folder)
-            if not len(fs.listStatus(jp)):
-                fs_delete(self.spark, folder)
-        finally:
-            fs_delete(self.spark, staging)
+        months = [_month_key(year, m) for m in range(1, 13)]
+
+        def build(base: Snapshot) -> tuple[T.StructType, dict[str, Part | None]]:
+            live = self.read_live(dataset, base, months)
+            if live is None:
+                raise FileNotFoundError("no month files to archive")
+            merged = live.select(*columns)
+            old = self.read_archive(dataset, base, [str(year)])
+            if old is not None:
+                merged = upsert_frames(old.select(*columns), merged, key_columns)
+            merged = self._conform(merged, columns, date_column, ("year",))
+            rows = sum(base.parts[k].rows for k in [*months, str(year)] if k in base.parts)
+            parts = self._write_parts(dataset, merged, {str(year): rows}, date_column, key_columns)
+            return self._schema(merged), {**dict.fromkeys(months), **parts}
+
+        self._commit(self.log(dataset), lambda base: [*months, str(year)], build)
+        self._tidy(self.log(dataset), 1)
         return f"{self.archive_path(dataset)}/year={year}"
 
     def replace_dimension(self, name: str, df: DataFrame, delete_where: Column | None, columns: Sequence[str]) -> int:
         """SK9: delete the rows matching ``delete_where`` (``None`` = all) and insert
-        ``df`` as one swap; returns the number of inserted rows. An empty ``df`` still
-        deletes. The old table stays in place until the new one is fully written."""
+        ``df`` as one version; returns the number of inserted rows. An empty ``df`` still
+        deletes. On an error the old version stays."""
         validate_identifier(name)
         for c in columns:
             validate_identifier(c)
         require_columns(df, columns, name)
-        new = df.select(*columns)
-        old = self.read_dim(name)
-        out = new
-        if old is not None and delete_where is not None:
-            kept = old.filter(~F.coalesce(delete_where, F.lit(False))).select(*columns)
-            out = kept.unionByName(new)
-        target = self.dim_path(name)
-        staging = self._staging()
-        backup = f"{staging}-old"
-        marked = new.withColumn("_new", F.lit(True))
-        if out is not new:
-            marked = marked.unionByName(kept.withColumn("_new", F.lit(False)))
-        marked = materialize(marked)
-        n = marked.where("_new").count()
-        marked.drop("_new").write.mode("overwrite").parquet(staging)
-        if fs_exists(self.spark, target):
-            fs_rename(self.spark, target, backup)
-        try:
-            jp, fs = _path(self.spark, target)
-            parent = jp.getParent()
-            if not fs.exists(parent):
-                fs.mkdirs(parent)
-            fs_rename(self.spark, staging, target)
-        except Exception:
-            if fs_exists(self.spark, backup):
-                fs_rename(self.spark, backup, target)
-            raise
-        fs_delete(self.spark, backup)
+        new = materialize(df.select(*columns))
+        n = new.count()
+
+        def build(base: Snapshot) -> tuple[T.StructType, dict[str, Part | None]]:
+            out = new
+            if base.parts:
+                old = self.spark.read.schema(base.schema).parquet(f"{self.root}/{base.parts[''].folder}")
+                out = replace_rows(old.select(*columns), new, delete_where)
+            folder = f"dims/{name}/commit=c{uuid.uuid4().hex}"
+            out.write.parquet(f"{self.root}/{folder}")
+            self._reached("files")
+            return self._schema(out), {"": Part(folder, self.spark.read.schema(out.schema).parquet(f"{self.root}/{folder}").count())}
+
+        self._commit(self.dim_log(name), lambda base: [""], build)
+        self._tidy(self.dim_log(name), self.keep_versions)
         return n
 
     def write_factor_results(self, df: DataFrame, order_col: str | None = None) -> dict[tuple[int, int], int]:
@@ -397,10 +453,18 @@ class Store:
         )
 
 
-def daily_month_keys(df: DataFrame, date_column: str = "trade_date") -> DataFrame:
-    """Partition predicate helper: distinct (year, month) of a frame's dates."""
-    d = F.to_date(F.col(date_column))
-    return df.select(F.year(d).alias("year"), F.month(d).alias("month")).distinct()
+def _month_key(year: int, month: int) -> str:
+    return f"{year:04d}-{month:02d}"
+
+
+def _is_month(key: str) -> bool:
+    return "-" in key
+
+
+def _folder(key: str) -> str:
+    """Partition folder of a part: a month's or a year's."""
+    year, _, month = key.partition("-")
+    return f"year={int(year)}/month={int(month)}" if month else f"year={int(year)}"
 
 
 def prune_months(df: DataFrame, start, end) -> DataFrame:
@@ -422,4 +486,5 @@ def _as_date(v):
     return _dt.date.fromisoformat(str(v))
 
 
-__all__ = ["Store", "keep_last", "prune_months", "daily_month_keys", "upsert_frames", "replace_rows"]
+__all__ = ["Store", "keep_last", "prune_months", "upsert_frames", "without_keys", "replace_rows", "has_parquet",
+           "fs_delete", "fs_exists", "fs_rename", "sub_dirs"]
