@@ -24,8 +24,14 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# Characters that count as white space around a value (ASCII blanks and line ends,
+# separators, no-break and other Unicode spaces).
+WHITE_SPACE = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+
+
 def trimmed(c) -> Column:
-    return F.trim(_col(c).cast("string"))
+    """The text without white space of any kind at its ends."""
+    return F.btrim(_col(c).cast("string"), F.lit(WHITE_SPACE))
 
 
 def is_missing_string(c) -> Column:

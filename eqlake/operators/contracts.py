@@ -112,6 +112,7 @@ def _rules_adj_factor() -> list[tuple[str, Column]]:
     ]
 
 
+# Valuation fields that may not be negative.
 DAILY_BASIC_NON_NEGATIVE = (
     "close", "turnover_rate", "turnover_rate_f", "volume_ratio", "dv_ratio", "dv_ttm", "total_share",
     "float_share", "free_share", "total_mv", "circ_mv",

@@ -2,17 +2,20 @@
 
 Each normaliser is one projection over the raw all-string frame plus, for
 bars, two left joins against the same-day auxiliary lists (keyed by
-``(ts_code, trade_date)`` so that many days go through one job). Parsing and
-range checks run on every raw row; the research-universe filter (N5) runs
-after them; record contracts run on the kept rows. With ``validate=True`` the
-checks are enforced by bounded actions (one aggregate of error counts, then a
-``limit(3)`` sample of the first failing check).
+``(ts_code, trade_date)`` so that many days go through one job). The checks are
+columns of the same projection (``checked_*``): per row the failed checks in
+their order (parsing and ranges of every raw row, contracts of the rows that
+the research-universe filter N5 keeps), and the anomalies of valuations. So a
+load parses its raw rows once: it stages the checked rows, adds up the failures
+of what it staged, and publishes nothing if there are any. ``normalize_*`` with
+``validate=True`` adds them up in one aggregate of its own.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,7 +33,7 @@ from eqlake.functions.parsing import (
     parse_yyyymmdd,
     trimmed,
 )
-from eqlake.operators.contracts import enforce, require_columns
+from eqlake.operators.contracts import RULES, require_columns
 from eqlake.sources.raw import ETLTask
 
 # First trading day of the Beijing exchange; B-share code prefixes.
@@ -39,29 +42,90 @@ B_SHARE_PREFIXES = (("900", ".SH"), ("200", ".SZ"))
 # ST lists exist from this date on; before it price loads do not need one.
 STOCK_ST_AVAILABLE_START_DATE = _dt.date(2016, 1, 1)
 
+# Valuation fields by their marker for missing values.
 VALUATION_MINUS_ONE = ("pe", "pe_ttm")
 VALUATION_ZERO_IF_MISSING_OR_NEGATIVE = ("volume_ratio", "dv_ratio", "dv_ttm")
 VALUATION_SIZE_FIELDS = ("turnover_rate", "turnover_rate_f", "total_share", "free_share", "float_share", "total_mv", "circ_mv")
 
 
 # ---------------------------------------------------------------------------
-# check helper
+# checks as columns
 # ---------------------------------------------------------------------------
 
+#: Columns that a checked frame has besides the normalised ones.
+CHECK_COLUMNS = ("_kept", "_failed", "_anomalies")
+_FAILED = "array<struct<no: int, message: string, value: string>>"
 
-def raise_first_failure(df: DataFrame, checks: Sequence[tuple[str, Column, Column]]) -> None:
-    """``checks`` = (message, failing-row predicate, value to sample).
 
-    One aggregate counts all failures; the first failing check is sampled with
-    ``limit(3)``.
-    """
-    if not checks:
-        return
-    counts = df.agg(*[F.count_if(F.coalesce(pred, F.lit(False))).alias(f"c{i}") for i, (_, pred, _) in enumerate(checks)]).first()
-    for i, (msg, pred, sample) in enumerate(checks):
-        if counts[f"c{i}"]:
-            vals = [r[0] for r in df.filter(F.coalesce(pred, F.lit(False))).select(sample.cast("string")).limit(3).collect()]
-            raise ValueError(f"{msg}: {vals}")
+def failed_checks(checks: Sequence[tuple[str, Column, Column]], first: int = 0) -> Column:
+    """The checks (message, failing-row predicate, value to show) that a row fails, in order."""
+    each = [
+        F.when(F.coalesce(pred, F.lit(False)), F.struct(F.lit(first + i).alias("no"), F.lit(msg).alias("message"), value.cast("string").alias("value")))
+        for i, (msg, pred, value) in enumerate(checks)
+    ]
+    return F.array_compact(F.array(*each)).cast(_FAILED) if each else F.expr(f"cast(array() as {_FAILED})")
+
+
+def contract_checks(kind: str, label: str) -> list[tuple[str, Column, Column]]:
+    shown = F.concat_ws(", ", F.concat(F.lit("ts_code="), F.col("ts_code")), F.concat(F.lit("trade_date="), F.col("trade_date").cast("string")))
+    return [(f"{label} contract check failed: {name}", cond, shown) for name, cond in RULES[kind]()]
+
+
+@dataclass(frozen=True)
+class CheckReport:
+    """Failures and anomalies of a checked frame: (message or field, rows, up to three samples) each."""
+
+    rows: int
+    failures: tuple[tuple[str, int, tuple[str, ...]], ...]
+    anomalies: tuple[tuple[str, int, tuple[str, ...]], ...]
+
+    def raise_failures(self) -> None:
+        if self.failures:
+            message, n, samples = self.failures[0]
+            raise ValueError(f"{message}: {list(samples)} ({n} rows)")
+
+
+def check_report(checked: DataFrame) -> CheckReport:
+    """Count the kept rows, failures and anomalies of a checked frame in one aggregate: as many rows
+    as there are checks reach the driver. Samples are the least, the largest and any value."""
+    code = F.col("ts_code") if "ts_code" in checked.columns else F.lit(None).cast("string")
+
+    def event(kind: str, no, message, value) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), no.alias("no"), message.alias("message"), value.alias("value"))
+
+    kept = F.array(event("kept", F.lit(0), F.lit(""), F.lit(None).cast("string")))
+    events = F.concat(
+        F.when(F.col("_kept"), kept).otherwise(F.slice(kept, 1, 0)),
+        F.transform("_failed", lambda x: event("failed", x["no"], x["message"], x["value"])),
+        F.transform("_anomalies", lambda x: event("anomaly", F.lit(0), x, code)),
+    )
+    each = checked.select(F.explode(events).alias("x")).select("x.*")
+    value = F.col("value")
+    counts = each.groupBy("kind", "no", "message").agg(
+        F.count(F.lit(1)).alias("n"), F.min(value).alias("v1"), F.any_value(value, True).alias("v2"), F.max(value).alias("v3")
+    )
+    found = sorted(counts.collect(), key=lambda r: (r["kind"], r["no"], r["message"]))
+
+    def named(kind: str) -> tuple[tuple[str, int, tuple[str, ...]], ...]:
+        samples = lambda r: tuple(sorted({v for v in (r["v1"], r["v2"], r["v3"]) if v is not None}))
+        return tuple((r["message"], r["n"], samples(r)) for r in found if r["kind"] == kind)
+
+    return CheckReport(sum(r["n"] for r in found if r["kind"] == "kept"), named("failed"), named("anomaly"))
+
+
+def normalised(checked: DataFrame, validate: bool) -> DataFrame:
+    """The kept rows of a checked frame; with ``validate`` any failure is an error."""
+    if validate:
+        check_report(checked).raise_failures()
+    return checked.where("_kept").drop(*CHECK_COLUMNS)
+
+
+def _no_anomalies() -> Column:
+    return F.expr("cast(array() as array<string>)").alias("_anomalies")
+
+
+def _place(raw: DataFrame) -> list[str]:
+    return ["_position"] if "_position" in raw.columns else []
 
 
 # ---------------------------------------------------------------------------
@@ -74,13 +138,13 @@ def _as_date(c: Column, dtype) -> Column:
         return c
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
         return F.to_date(c)
-    s = F.trim(c.cast("string"))
+    s = trimmed(c)
     return F.coalesce(F.try_to_date(s, "yyyyMMdd"), F.try_to_date(s, "yyyy-MM-dd"))
 
 
 def research_universe_mask(df: DataFrame, date_column: str = "trade_date") -> Column:
     """True for rows N5 removes: B shares, and BJ codes before the BJ opening day."""
-    code = F.trim(F.col("ts_code").cast("string"))
+    code = trimmed("ts_code")
     d = _as_date(F.col(date_column), df.schema[date_column].dataType)
     b = F.lit(False)
     for prefix, suffix in B_SHARE_PREFIXES:
@@ -104,27 +168,28 @@ def filter_research_universe(df: DataFrame, date_column: str = "trade_date") ->
 # ---------------------------------------------------------------------------
 
 
-def normalize_trade_calendar(raw: DataFrame, task: ETLTask | None = None, *, validate: bool = True) -> DataFrame:
+def checked_trade_calendar(raw: DataFrame) -> DataFrame:
     require_columns(raw, ["cal_date", "is_open"], "trade-calendar raw")
     exch = clean_exchange("exchange") if "exchange" in raw.columns else F.lit("SSE")
-    out = raw.select(
+    before = "pretrade_date" in raw.columns
+    checks = [
+        ("invalid date in cal_date", date_invalid("cal_date"), trimmed("cal_date")),
+        ("is_open must not be empty", is_missing_string("is_open"), F.col("is_open")),
+        ("is_open must be 0 or 1", ~is_missing_string("is_open") & parse_is_open("is_open").isNull(), trimmed("is_open")),
+    ]
+    if before:
+        checks.append(("invalid date in pretrade_date", date_invalid("pretrade_date", required=False), trimmed("pretrade_date")))
+    return raw.select(
         exch.alias("exchange"),
         parse_yyyymmdd("cal_date").alias("cal_date"),
         parse_is_open("is_open").alias("is_open"),
-        (parse_yyyymmdd("pretrade_date") if "pretrade_date" in raw.columns else F.lit(None).cast("date")).alias(
-            "pretrade_date"
-        ),
+        (parse_yyyymmdd("pretrade_date") if before else F.lit(None).cast("date")).alias("pretrade_date"),
+        F.lit(True).alias("_kept"), failed_checks(checks).alias("_failed"), _no_anomalies(),
     )
-    if validate:
-        checks = [
-            ("invalid date in cal_date", date_invalid("cal_date"), trimmed("cal_date")),
-            ("is_open must not be empty", is_missing_string("is_open"), F.col("is_open")),
-            ("is_open must be 0 or 1", ~is_missing_string("is_open") & parse_is_open("is_open").isNull(), trimmed("is_open")),
-        ]
-        if "pretrade_date" in raw.columns:
-            checks.append(("invalid date in pretrade_date", date_invalid("pretrade_date", required=False), trimmed("pretrade_date")))
-        raise_first_failure(raw, checks)
-    return out
+
+
+def normalize_trade_calendar(raw: DataFrame, task: ETLTask | None = None, *, validate: bool = True) -> DataFrame:
+    return normalised(checked_trade_calendar(raw), validate)
 
 
 # ---------------------------------------------------------------------------
@@ -138,7 +203,7 @@ def st_flags(stock_st: DataFrame | None) -> DataFrame | None:
         return None
     st = filter_research_universe(stock_st)
     return (
-        st.select(F.trim("ts_code").alias("ts_code"), parse_yyyymmdd("trade_date").alias("trade_date"))
+        st.select(trimmed("ts_code").alias("ts_code"), parse_yyyymmdd("trade_date").alias("trade_date"))
         .filter(F.col("ts_code").isNotNull())
         .distinct()
         .withColumn("_st", F.lit(True))
@@ -146,21 +211,21 @@ def st_flags(stock_st: DataFrame | None) -> DataFrame | None:
 
 
 def limit_prices(stk_limit: DataFrame | None) -> DataFrame | None:
-    """Limit list after N5; numbers parsed leniently (bad text -> null); the last
-    row per (code, day) in arrival order wins."""
+    """Limit list after N5; numbers parsed leniently (bad text -> null); the last row per
+    (code, day) wins, in the order of the files where the frame carries ``_position``."""
     if stk_limit is None:
         return None
     require_columns(stk_limit, ["ts_code", "up_limit", "down_limit"], "stk-limit raw")
-    lim = filter_research_universe(stk_limit).withColumn("_seq", F.monotonically_increasing_id())
+    order = F.col("_position") if _place(stk_limit) else F.monotonically_increasing_id()
+    lim = filter_research_universe(stk_limit.withColumn("_seq", order))
     lim = lim.select(
-        F.trim("ts_code").alias("ts_code"),
+        trimmed("ts_code").alias("ts_code"),
         parse_yyyymmdd("trade_date").alias("trade_date"),
         parse_number("up_limit").alias("up_limit"),
         parse_number("down_limit").alias("down_limit"),
         "_seq",
     )
-    # ``_seq`` is unique per row, so both max_by pick the same (last) row; scalar
-    # values keep the aggregate hash-based with map-side partial aggregation.
+    # ``_seq`` is unique per row, so both max_by pick the same (last) row.
     return lim.groupBy("ts_code", "trade_date").agg(
         F.max_by("up_limit", "_seq").alias("up_limit"), F.max_by("down_limit", "_seq").alias("down_limit")
     )
@@ -187,93 +252,94 @@ def _range_check(task: ETLTask | None, label: str):
     return [(f"{label} raw trade_date outside the task range", (d < F.lit(task.start_date)) | (d > F.lit(task.end_date)), d)]
 
 
-def normalize_daily_ohlcv(raw: DataFrame, task: ETLTask | None = None, *, stock_st: DataFrame | None = None,
-                          stk_limit: DataFrame | None = None, suspend_d: DataFrame | None = None,
-                          validate: bool = True) -> DataFrame:
-    """N2. ``suspend_d`` is accepted and ignored (as upstream)."""
+def checked_daily_ohlcv(raw: DataFrame, task: ETLTask | None = None, *, stock_st: DataFrame | None = None,
+                        stk_limit: DataFrame | None = None) -> DataFrame:
+    """N2 of every raw row, with its failed checks."""
     require_columns(raw, S.RAW_DAILY_OHLCV_REQUIRED, "daily-ohlcv raw")
-    if validate:
-        checks = [("invalid date in trade_date", date_invalid("trade_date"), trimmed("trade_date"))]
-        checks += _range_check(task, "daily-ohlcv")
-        for c in ("open", "high", "low", "close", "amount", "vol"):
-            checks.append((f"invalid number in {c}", number_invalid(c), trimmed(c)))
-        for c in ("pre_close", "change", "pct_chg"):
-            if c in raw.columns:
-                checks.append((f"invalid number in {c}", number_invalid(c, required=False), trimmed(c)))
-        raise_first_failure(raw, checks)
+    optional = [c for c in ("pre_close", "change", "pct_chg") if c in raw.columns]
+    checks = [("invalid date in trade_date", date_invalid("trade_date"), trimmed("trade_date"))]
+    checks += _range_check(task, "daily-ohlcv")
+    checks += [(f"invalid number in {c}", number_invalid(c), trimmed(c)) for c in ("open", "high", "low", "close", "amount", "vol")]
+    checks += [(f"invalid number in {c}", number_invalid(c, required=False), trimmed(c)) for c in optional]
     bars = raw.select(
-        F.trim("ts_code").alias("ts_code"),
+        trimmed("ts_code").alias("ts_code"),
         parse_yyyymmdd("trade_date").alias("trade_date"),
         *[parse_number(c).alias(c) for c in ("open", "high", "low", "close")],
-        *[(parse_number(c) if c in raw.columns else F.lit(None).cast("double")).alias(c) for c in ("pre_close", "change", "pct_chg")],
+        *[(parse_number(c) if c in optional else F.lit(None).cast("double")).alias(c) for c in ("pre_close", "change", "pct_chg")],
         parse_number("vol").alias("volume"),
         parse_number("amount").alias("amount"),
+        failed_checks(checks).alias("_raw_failed"),
+        *_place(raw),
     )
-    bars = filter_research_universe(bars)
+    bars = bars.withColumn("_kept", ~research_universe_mask(bars))
     st = st_flags(stock_st)
+    is_st = F.lit(False)
     if st is not None:
         bars = bars.join(st, ["ts_code", "trade_date"], "left")
         is_st = F.coalesce(F.col("_st"), F.lit(False))
-    else:
-        is_st = F.lit(False)
     lim = limit_prices(stk_limit)
+    status = limit_status(F.col("open"), F.col("close"), None, None)
     if lim is not None:
         bars = bars.join(lim, ["ts_code", "trade_date"], "left")
         status = limit_status(F.col("open"), F.col("close"), F.col("up_limit"), F.col("down_limit"))
-    else:
-        status = limit_status(F.col("open"), F.col("close"), None, None)
     out = bars.select(
         "ts_code", "trade_date", "open", "high", "low", "close", "pre_close", "change", "pct_chg", "volume", "amount",
-        F.lit(False).alias("is_suspended"), is_st.alias("is_st"), status.alias("limit_status"),
+        F.lit(False).alias("is_suspended"), is_st.alias("is_st"), status.alias("limit_status"), "_kept", "_raw_failed", *_place(raw),
     )
-    if validate:
-        enforce(out, "ohlcv", "daily bar")
-    return out
+    return _with_contract(out, "ohlcv", "daily bar", len(checks))
 
 
-def normalize_adj_factor(raw: DataFrame, task: ETLTask | None = None, *, validate: bool = True) -> DataFrame:
-    """N3."""
+def _with_contract(df: DataFrame, kind: str, label: str, first: int, anomalies: Column | None = None) -> DataFrame:
+    """Failed checks of the raw row, then of the record's contract if the row is kept."""
+    own = F.when(F.col("_kept"), failed_checks(contract_checks(kind, label), first)).otherwise(F.expr(f"cast(array() as {_FAILED})"))
+    return df.select("*", F.concat("_raw_failed", own).alias("_failed"), anomalies if anomalies is not None else _no_anomalies()).drop("_raw_failed")
+
+
+def normalize_daily_ohlcv(raw: DataFrame, task: ETLTask | None = None, *, stock_st: DataFrame | None = None,
+                          stk_limit: DataFrame | None = None, validate: bool = True) -> DataFrame:
+    """N2."""
+    return normalised(checked_daily_ohlcv(raw, task, stock_st=stock_st, stk_limit=stk_limit), validate)
+
+
+def checked_adj_factor(raw: DataFrame, task: ETLTask | None = None) -> DataFrame:
     require_columns(raw, S.RAW_ADJ_FACTOR_COLUMNS, "adj-factor raw")
-    if validate:
-        checks = [("invalid date in trade_date", date_invalid("trade_date"), trimmed("trade_date"))]
-        checks += _range_check(task, "adj-factor")
-        checks.append(("invalid number in adj_factor", number_invalid("adj_factor"), trimmed("adj_factor")))
-        raise_first_failure(raw, checks)
+    checks = [("invalid date in trade_date", date_invalid("trade_date"), trimmed("trade_date"))]
+    checks += _range_check(task, "adj-factor")
+    checks.append(("invalid number in adj_factor", number_invalid("adj_factor"), trimmed("adj_factor")))
     out = raw.select(
-        F.trim("ts_code").alias("ts_code"),
+        trimmed("ts_code").alias("ts_code"),
         parse_yyyymmdd("trade_date").alias("trade_date"),
         parse_number("adj_factor").alias("cumulative_factor"),
+        failed_checks(checks).alias("_raw_failed"),
+        *_place(raw),
     )
-    out = filter_research_universe(out)
-    if validate:
-        enforce(out, "adj_factor", "adjustment factor")
-    return out
+    return _with_contract(out.withColumn("_kept", ~research_universe_mask(out)), "adj_factor", "adjustment factor", len(checks))
 
 
-def normalize_daily_basic(raw: DataFrame, task: ETLTask | None = None, *, suspend_d: DataFrame | None = None,
-                          previous_records=None, validate: bool = True, apply_markers: bool = True) -> DataFrame:
-    """N4 with the vendor markers: pe/pe_ttm missing -> -1; volume_ratio, dv_ratio,
-    dv_ttm missing or negative -> 0; the seven size fields missing or <= 0 -> 0
-    (counted by ``daily_basic_anomalies``); close/pb/ps/ps_ttm stay null."""
+def normalize_adj_factor(raw: DataFrame, task: ETLTask | None = None, *, validate: bool = True) -> DataFrame:
+    """N3."""
+    return normalised(checked_adj_factor(raw, task), validate)
+
+
+def checked_daily_basic(raw: DataFrame, task: ETLTask | None = None, *, apply_markers: bool = True) -> DataFrame:
+    """N4 of every raw row, with its failed checks and the size fields that were missing or not above zero."""
     require_columns(raw, S.RAW_DAILY_BASIC_REQUIRED, "daily-basic raw")
     fields = S.DAILY_BASIC_COLUMNS[2:]
-    if validate:
-        checks = [("invalid date in trade_date", date_invalid("trade_date"), trimmed("trade_date"))]
-        checks += _range_check(task, "daily-basic")
-        for c in fields:
-            if c in raw.columns:
-                checks.append((f"invalid number in {c}", number_invalid(c, required=False), trimmed(c)))
-        raise_first_failure(raw, checks)
+    checks = [("invalid date in trade_date", date_invalid("trade_date"), trimmed("trade_date"))]
+    checks += _range_check(task, "daily-basic")
+    checks += [(f"invalid number in {c}", number_invalid(c, required=False), trimmed(c)) for c in fields if c in raw.columns]
     parsed = raw.select(
-        F.trim("ts_code").alias("ts_code"),
+        trimmed("ts_code").alias("ts_code"),
         parse_yyyymmdd("trade_date").alias("trade_date"),
         *[(parse_number(c) if c in raw.columns else F.lit(None).cast("double")).alias(c) for c in fields],
+        failed_checks(checks).alias("_raw_failed"),
+        *_place(raw),
     )
-    parsed = filter_research_universe(parsed)
-    if not apply_markers:
-        return parsed
+    parsed = parsed.withColumn("_kept", ~research_universe_mask(parsed))
+    odd = F.array_compact(F.array(*[F.when(F.col(c).isNull() | (F.col(c) <= 0), F.lit(c)) for c in VALUATION_SIZE_FIELDS]))
+    parsed = parsed.withColumn("_odd", F.when(F.col("_kept"), odd).otherwise(F.slice(odd, 1, 0)))
     cols = []
-    for c in fields:
+    for c in fields if apply_markers else ():
         x = F.col(c)
         if c in VALUATION_MINUS_ONE:
             cols.append(F.coalesce(x, F.lit(-1.0)).alias(c))
@@ -283,16 +349,21 @@ def normalize_daily_basic(raw: DataFrame, task: ETLTask | None = None, *, suspen
             cols.append(F.when(x.isNull() | (x <= 0), F.lit(0.0)).otherwise(x).alias(c))
         else:
             cols.append(x)
-    out = parsed.select("ts_code", "trade_date", *cols)
-    if validate:
-        enforce(out, "daily_basic", "daily valuation")
-    return out
+    out = parsed.select("ts_code", "trade_date", *(cols or fields), "_kept", "_raw_failed", "_odd", *_place(raw))
+    return _with_contract(out, "daily_basic", "daily valuation", len(checks), F.col("_odd").alias("_anomalies")).drop("_odd")
+
+
+def normalize_daily_basic(raw: DataFrame, task: ETLTask | None = None, *, validate: bool = True, apply_markers: bool = True) -> DataFrame:
+    """N4 with the vendor markers: pe/pe_ttm missing -> -1; volume_ratio, dv_ratio,
+    dv_ttm missing or negative -> 0; the seven size fields missing or <= 0 -> 0
+    (anomalies of the report); close/pb/ps/ps_ttm stay null."""
+    return normalised(checked_daily_basic(raw, task, apply_markers=apply_markers), validate)
 
 
 def daily_basic_anomalies(raw: DataFrame) -> DataFrame:
     """Count of size-field anomalies (missing or <= 0) per field, after N5: one row per field."""
     parsed = raw.select(
-        F.trim("ts_code").alias("ts_code"), parse_yyyymmdd("trade_date").alias("trade_date"),
+        trimmed("ts_code").alias("ts_code"), parse_yyyymmdd("trade_date").alias("trade_date"),
         *[(parse_number(c) if c in raw.columns else F.lit(None).cast("double")).alias(c) for c in VALUATION_SIZE_FIELDS],
     )
     parsed = filter_research_universe(parsed)

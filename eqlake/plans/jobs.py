@@ -10,6 +10,7 @@ summary never recomputes the whole plan.
 from __future__ import annotations
 
 import datetime as _dt
+import logging
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -29,6 +30,8 @@ from eqlake.operators.contracts import check_factor_output
 from eqlake.sources import raw as R
 from eqlake.sources.store import Store, prune_months
 
+log = logging.getLogger("eqlake.jobs")
+
 
 @dataclass(frozen=True)
 class FactorRunSummary:
@@ -175,40 +178,79 @@ OPTIONAL_RAW = {
 }
 
 
+@dataclass(frozen=True)
+class LoadResult:
+    """What a load did: kept raw rows, the months they went to, and the anomalies of valuations as
+    (field, rows, up to three codes)."""
+
+    dataset: str
+    rows: int
+    months: tuple[tuple[int, int], ...] = ()
+    anomalies: tuple[tuple[str, int, tuple[str, ...]], ...] = ()
+
+
 def load(spark: SparkSession, store: Store, raw_root: str, task: R.ETLTask) -> int:
     """Normalise the task's raw files and upsert them; returns loaded rows."""
+    return load_checked(spark, store, raw_root, task).rows
+
+
+def load_checked(spark: SparkSession, store: Store, raw_root: str, task: R.ETLTask, *, days: Sequence[_dt.date] | None = None,
+                 need_st: bool | None = None) -> LoadResult:
+    """O2 / N8 with its report.
+
+    The raw rows are read and parsed once, into a staged copy that holds every row with its failed
+    checks. If any check failed, the failing rows go to the quarantine folder, nothing is published
+    and the first failure is raised. Rows of a key keep the order of the files and of their lines.
+    ``days`` restricts a daily load to the files of some days; ``need_st`` says whether the ST list
+    must be there (default: from the day on that such lists exist)."""
     if task.dataset == "trade-calendar":
         raw = R.read_raw(spark, raw_root, task)
         cal = N.clip_calendar(N.normalize_trade_calendar(raw, task), task)
         if task.dry_run:
-            return cal.count()
+            return LoadResult(task.dataset, cal.count())
         # The task's exchange in the task's range, also when no row came.
         pred = (F.col("exchange") == task.exchange) & F.col("cal_date").between(F.lit(task.start_date), F.lit(task.end_date))
-        return store.replace_dimension("dim_trade_calendar", cal, pred, S.TRADE_CALENDAR_COLUMNS)
+        return LoadResult(task.dataset, store.replace_dimension("dim_trade_calendar", cal, pred, S.TRADE_CALENDAR_COLUMNS))
     if task.dataset == "stock-basic":
         sec = N.normalize_stock_basic(R.read_raw(spark, raw_root, task))
         if task.dry_run:
-            return sec.count()
-        return store.replace_dimension("dim_security", sec, None, S.SECURITY_COLUMNS)
+            return LoadResult(task.dataset, sec.count())
+        return LoadResult(task.dataset, store.replace_dimension("dim_security", sec, None, S.SECURITY_COLUMNS))
     if task.dataset not in DATASET_COLUMNS:
         raise NotImplementedError(f"no loader for dataset={task.dataset}")
     target, columns, raw_cols = DATASET_COLUMNS[task.dataset]
-    raw = R.read_raw(spark, raw_root, task, [c for c in raw_cols if c not in OPTIONAL_RAW[task.dataset]]).drop("year", "month", "file_date")
+    keys = None if days is None else [f"{d:%Y%m%d}" for d in days]
+
+    def of_days(frame: DataFrame | None) -> DataFrame | None:
+        if frame is None:
+            return None
+        return (frame if keys is None else frame.filter(F.col("file_date").isin(keys))).drop("year", "month", "file_date")
+
+    raw = of_days(R.read_raw(spark, raw_root, task, [c for c in raw_cols if c not in OPTIONAL_RAW[task.dataset]], position=True))
     if task.dataset == "daily-ohlcv":
-        limits = R.read_same_day(spark, raw_root, task, "stk-limit", S.RAW_STK_LIMIT_COLUMNS)
-        need_st = task.end_date >= N.STOCK_ST_AVAILABLE_START_DATE
-        st = R.read_same_day(spark, raw_root, task, "stock-st", S.RAW_STOCK_ST_COLUMNS, required=need_st)
-        limits = limits.drop("year", "month", "file_date") if limits is not None else None
-        st = st.drop("year", "month", "file_date") if st is not None else None
-        df = N.normalize_daily_ohlcv(raw, task, stock_st=st, stk_limit=limits)
+        need = task.end_date >= N.STOCK_ST_AVAILABLE_START_DATE if need_st is None else need_st
+        limits = R.read_same_day(spark, raw_root, task, "stk-limit", S.RAW_STK_LIMIT_COLUMNS, position=True, days=days)
+        st = R.read_same_day(spark, raw_root, task, "stock-st", S.RAW_STOCK_ST_COLUMNS, required=need, days=days)
+        checked = N.checked_daily_ohlcv(raw, task, stock_st=of_days(st), stk_limit=of_days(limits))
     elif task.dataset == "adj-factor":
-        df = N.normalize_adj_factor(raw, task)
+        checked = N.checked_adj_factor(raw, task)
     else:
-        df = N.normalize_daily_basic(raw, task)
+        checked = N.checked_daily_basic(raw, task)
     if task.dry_run:
-        return df.count()
-    counts = store.write_daily(target, df, date_column="trade_date", key_columns=S.DAILY_KEY, columns=columns)
-    return int(sum(counts.values()))
+        report = N.check_report(checked)
+        report.raise_failures()
+        return LoadResult(task.dataset, report.rows, (), report.anomalies)
+    with store.staged(checked.withColumn("year", F.year("trade_date")).withColumn("month", F.month("trade_date"))) as staged:
+        report = N.check_report(staged)
+        if report.failures:
+            where = store.quarantine(target, staged.where(F.size("_failed") > 0))
+            log.error("%s: %d checks failed, rows in %s", task.dataset, len(report.failures), where)
+            report.raise_failures()
+        for field, n, codes in report.anomalies:
+            log.error("%s: %s missing or not above zero in %d rows, e.g. %s", task.dataset, field, n, ", ".join(codes))
+        batch = staged.where("_kept").drop(*N.CHECK_COLUMNS).withColumnRenamed("_position", "_seq")
+        counts = store.upsert_staged(target, batch, date_column="trade_date", key_columns=S.DAILY_KEY, columns=columns)
+    return LoadResult(task.dataset, report.rows, tuple(sorted(counts)), report.anomalies)
 
 
 def backfill(spark: SparkSession, store: Store, raw_root: str, task: R.ETLTask, frame: DataFrame) -> int:
@@ -305,5 +347,5 @@ def build_task(dataset: str, source: str, start: str | None, end: str | None, *,
     return R.ETLTask(dataset, source, s, e, force=force, dry_run=dry_run)
 
 
-__all__ = ["run_factor_pipeline", "run_factor_validation", "load", "backfill", "archive", "status", "missing",
+__all__ = ["run_factor_pipeline", "run_factor_validation", "load", "load_checked", "LoadResult", "backfill", "archive", "status", "missing",
            "run_daily", "DailyRun", "DailyStep", "build_task", "summarize_output", "factor_frame"]

@@ -12,8 +12,10 @@ touched folders are listed and read.
 
 from __future__ import annotations
 
+import csv
 import datetime as _dt
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,6 +26,11 @@ from pyspark.sql import types as T
 SNAPSHOT_DATASETS = ("trade-calendar", "stock-basic")
 DAILY_DATASETS = ("daily-ohlcv", "adj-factor", "daily-basic", "stock-st", "stk-limit", "suspend-d")
 
+#: Rows of a landed file at most.
+RECORDS_PER_FILE = 2_000_000
+#: Files whose first lines are read at the same time while a scan is planned.
+HEADER_READERS = 32
+
 
 @dataclass(frozen=True)
 class ETLTask:
@@ -102,8 +109,7 @@ def land(df: DataFrame, raw_root: str, task: ETLTask, *, date_column: str = "tra
     if task.dataset in SNAPSHOT_DATASETS:
         n = df.count() if task.dry_run else None
         if not task.dry_run:
-            # A snapshot is one dimension table (thousands of rows): one file.
-            write_raw_csv(df.coalesce(1), dataset_root(raw_root, task))
+            write_raw_csv(df, dataset_root(raw_root, task))
         return {"dataset": task.dataset, "rows": n, "skipped_dates": []}
     d = F.to_date(F.col(date_column), "yyyyMMdd")
     framed = df.withColumn("year", F.year(d)).withColumn("month", F.lpad(F.month(d).cast("string"), 2, "0")).withColumn(
@@ -119,11 +125,17 @@ def land(df: DataFrame, raw_root: str, task: ETLTask, *, date_column: str = "tra
             framed = framed.filter(~F.col("file_date").isin(keys))
     if task.dry_run:
         return {"dataset": task.dataset, "rows": framed.count(), "skipped_dates": skipped}
+    # A large day is several tasks and files, whose names keep the order of arrival.
+    order = ("file_date", "_arrival")
     (
-        framed.repartition("year", "month", "file_date")
+        framed.withColumn("_arrival", F.monotonically_increasing_id())
+        .repartitionByRange(*order)
+        .sortWithinPartitions(*order)
+        .drop("_arrival")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("header", True)
+        .option("maxRecordsPerFile", RECORDS_PER_FILE)
         .partitionBy("year", "month", "file_date")
         .csv(dataset_root(raw_root, task))
     )
@@ -146,57 +158,111 @@ def _in_range(df: DataFrame, task: ETLTask) -> DataFrame:
     return df.filter(days).withColumn("file_date", fd)
 
 
-def _layouts(spark: SparkSession, base: str, task: ETLTask, required: Sequence[str]) -> list[tuple[list[str], list[str]]]:
-    """(header columns, files) of each column order found. The header is the line that names the
-    first required column; a file without all required names is an error."""
-    lines = spark.read.text(base)
-    if task.dataset not in SNAPSHOT_DATASETS:
-        lines = _in_range(lines, task)
-    lines = lines.select(F.col("_metadata.file_path").alias("file"), "value")
-    headers = lines.groupBy("file").agg(F.min(F.when(F.col("value").contains(required[0]), F.col("value"))).alias("header"))
-    # One row per column order; the file lists are as long as the calendar.
-    found = [(r["header"], sorted(r["files"])) for r in headers.groupBy("header").agg(F.collect_list("file").alias("files")).collect()]
+def raw_files(spark: SparkSession, base: str, task: ETLTask) -> list[str]:
+    """Raw files of a dataset inside the task's range, in path order (the folders of a day name its
+    date, so this is the order of the days too). Lists the folders of the range's months only."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    lo, hi = task.start_date, task.end_date
+    if task.dataset in SNAPSHOT_DATASETS:
+        patterns = [f"{base}/*"]
+    else:
+        months = range(lo.year * 12 + lo.month - 1, hi.year * 12 + hi.month)
+        patterns = [f"{base}/year={m // 12}/month={name}/file_date=*/*" for m in months for name in sorted({f"{m % 12 + 1:02d}", str(m % 12 + 1)})]
     out = []
-    for header, files in sorted(found, key=lambda x: x[1]):
-        names = [c.strip().strip('"') for c in (header or "").lstrip("\ufeff").split(",")]
+    for pattern in patterns:
+        path = jvm.org.apache.hadoop.fs.Path(pattern)
+        for st in path.getFileSystem(conf).globStatus(path) or []:
+            p = st.getPath()
+            if not st.isFile() or p.getName().startswith(("_", ".")):
+                continue
+            day = p.getParent().getName().partition("file_date=")[2]
+            if task.dataset in SNAPSHOT_DATASETS or f"{lo:%Y%m%d}" <= day <= f"{hi:%Y%m%d}":
+                out.append(p.toString())
+    return sorted(out)
+
+
+def _header(spark: SparkSession, file: str) -> str:
+    """First line of a file (through its codec, if it is compressed); no more than a block is read."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path(file)
+    stream = path.getFileSystem(conf).open(path)
+    try:
+        codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(path)
+        source = codec.createInputStream(stream) if codec is not None else stream
+        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(source, "UTF-8"))
+        return reader.readLine() or ""
+    finally:
+        stream.close()
+
+
+def header_names(line: str) -> list[str]:
+    """Column names of a header line: the byte-order mark, quotes and outer blanks don't count."""
+    return [c.strip() for c in next(csv.reader([line.lstrip("\ufeff")]), [])]
+
+
+def _layouts(spark: SparkSession, base: str, task: ETLTask, required: Sequence[str]) -> list[tuple[list[str], list[str]]]:
+    """(header columns, files) of each column order found. Every file is planned by its own first
+    line; a file without all required names is an error."""
+    files = raw_files(spark, base, task)
+    with ThreadPoolExecutor(HEADER_READERS) as pool:
+        lines = list(pool.map(lambda f: _header(spark, f), files))
+    out: dict[tuple[str, ...], list[str]] = {}
+    for file, line in zip(files, lines):
+        names = header_names(line)
         missing = [c for c in required if c not in names]
         if missing:
-            raise ValueError(f"raw files lack columns {missing}: {files[:3]}")
-        out.append((names, files))
-    return out
+            raise ValueError(f"raw files lack columns {missing}: {file}")
+        out.setdefault(tuple(names), []).append(file)
+    return [(list(names), found) for names, found in out.items()]
 
 
-def read_raw(spark: SparkSession, raw_root: str, task: ETLTask, columns: Sequence[str] | None = None) -> DataFrame:
+def read_raw(spark: SparkSession, raw_root: str, task: ETLTask, columns: Sequence[str] | None = None, *, position: bool = False) -> DataFrame:
     """SC1 + SC2: all-string scan of the dataset's files inside the task range.
 
     With ``columns`` (the required names) every file is read by its own header, so files may
-    order their columns differently; files of one order are one scan. A file that lacks a
-    required column is an error; columns that only some files have are null in the others.
+    order their columns differently; files of one order are one scan, and their rows are read once.
+    A file that lacks a required column is an error; columns that only some files have are null in
+    the others.
+
+    ``position`` adds ``_position`` (path, block, row), which orders all rows as they arrived: by
+    file (a correction beside a file of its day has a name after it), then by place in the file. Row numbers are compared within a block only, so the order is
+    the same however often a task runs and wherever the blocks are read.
     """
     base = dataset_root(raw_root, task)
     snapshot = task.dataset in SNAPSHOT_DATASETS
     reader = spark.read.option("header", True).option("mode", "FAILFAST")
     if columns is None:
-        return reader.csv(base) if snapshot else _in_range(reader.option("basePath", base).csv(base), task)
+        frame = reader.csv(base) if snapshot else reader.option("basePath", base).csv(base)
+        frame = _positioned(frame) if position else frame
+        return frame if snapshot else _in_range(frame, task)
     folders = [] if snapshot else [T.StructField("year", T.IntegerType()), T.StructField("month", T.IntegerType()), T.StructField("file_date", T.StringType())]
     frames = []
     for names, files in _layouts(spark, base, task, columns):
         schema = T.StructType([*raw_schema(names).fields, *folders])
-        frame = spark.read.option("header", True).option("mode", "FAILFAST").option("enforceSchema", False).schema(schema)
-        frames.append(frame.csv(files) if snapshot else frame.option("basePath", base).csv(files))
+        # The schema is these files' own header, so it is applied as it stands.
+        frame = spark.read.option("header", True).option("mode", "FAILFAST").option("enforceSchema", True).schema(schema)
+        frame = frame.csv(files) if snapshot else frame.option("basePath", base).csv(files)
+        frames.append(_positioned(frame) if position else frame)
     if not frames:
         empty = spark.createDataFrame([], T.StructType([*raw_schema(columns).fields, *folders]))
-        return empty
+        none = F.lit(None).cast("struct<path: string, block: bigint, row: bigint>")
+        return empty.withColumn("_position", none) if position else empty
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f, allowMissingColumns=True)
     return out if snapshot else _in_range(out, task)
 
 
-def read_same_day(spark: SparkSession, raw_root: str, task: ETLTask, dataset: str, columns=None, *, required: bool = True) -> DataFrame | None:
+def _positioned(frame: DataFrame) -> DataFrame:
+    place = F.struct(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"))
+    return frame.select("*", place.alias("_position"))
+
+
+def read_same_day(spark: SparkSession, raw_root: str, task: ETLTask, dataset: str, columns=None, *, required: bool = True,
+                  position: bool = False, days: Sequence[_dt.date] | None = None) -> DataFrame | None:
     """SC4: auxiliary dataset (``stock-st`` / ``stk-limit``) over the same range.
 
-    With ``required`` every landed price day must have an auxiliary day.
+    With ``required`` every landed price day (or each of ``days``) must have an auxiliary day.
     """
     aux_task = ETLTask(dataset, task.source, task.start_date, task.end_date, task.exchange)
     have = set(landed_dates(spark, raw_root, task.source, dataset))
@@ -205,8 +271,8 @@ def read_same_day(spark: SparkSession, raw_root: str, task: ETLTask, dataset: st
             raise FileNotFoundError(f"missing auxiliary raw data: dataset={dataset}")
         return None
     if required:
-        price_days = [d for d in landed_dates(spark, raw_root, task.source, task.dataset) if task.start_date <= d <= task.end_date]
+        price_days = days if days is not None else [d for d in landed_dates(spark, raw_root, task.source, task.dataset) if task.start_date <= d <= task.end_date]
         missing = [d for d in price_days if d not in have]
         if missing:
             raise FileNotFoundError(f"missing auxiliary raw files for {dataset}: {[d.isoformat() for d in missing[:3]]}")
-    return read_raw(spark, raw_root, aux_task, columns)
+    return read_raw(spark, raw_root, aux_task, columns, position=position)

@@ -22,7 +22,8 @@ from __future__ import annotations
 
 import datetime as _dt
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from functools import reduce
 from operator import and_
 
@@ -288,18 +289,29 @@ class Store:
         batch = df if order_col else df.withColumn("_seq", F.monotonically_increasing_id())
         batch = batch.select(*columns, F.col(seq).alias("_seq")).withColumn(date_column, F.to_date(F.col(date_column)))
         batch = batch.withColumn("year", F.year(date_column)).withColumn("month", F.month(date_column))
+        # Stage the incoming batch once: the upstream plan (e.g. normalisation) runs a
+        # single time, the arrival sequence is fixed, and every later step (counts,
+        # dedup, merge, archive rewrite, a retry) reads the staged copy.
+        with self.staged(batch) as rows:
+            return self.upsert_staged(dataset, rows, date_column=date_column, key_columns=key_columns, columns=columns)
+
+    @contextmanager
+    def staged(self, df: DataFrame) -> Iterator[DataFrame]:
+        """``df`` written to a folder of its own, which goes at the end whatever happens."""
         staging = self._staging()
         try:
-            # Stage the incoming batch once: the upstream plan (e.g. normalisation) runs a
-            # single time, the arrival sequence is fixed, and every later step (counts,
-            # dedup, merge, archive rewrite, a retry) reads the staged copy.
-            batch.write.mode("overwrite").parquet(f"{staging}/batch")
+            df.write.mode("overwrite").parquet(f"{staging}/batch")
             self._reached("staged")
-            batch = self.spark.read.schema(batch.schema).parquet(f"{staging}/batch")
-            return self.upsert_staged(dataset, batch, date_column=date_column, key_columns=key_columns, columns=columns)
+            yield self.spark.read.schema(df.schema).parquet(f"{staging}/batch")
         finally:
             fs_delete(self.spark, staging)
 
+    def quarantine(self, dataset: str, rows: DataFrame) -> str:
+        """Keep refused rows for inspection, away from every view; returns their folder."""
+        folder = f"{self.root}/quarantine/{validate_identifier(dataset)}/run={uuid.uuid4().hex}"
+        rows.write.parquet(folder)
+        return folder
+
     def upsert_staged(self, dataset: str, batch: DataFrame, *, date_column: str, key_columns: Sequence[str],
                       columns: Sequence[str]) -> dict[tuple[int, int], int]:
         """Upsert rows that are written already, with their ``_seq``, ``year`` and ``month``."""

@@ -1,91 +1,96 @@
 """Incremental ingest of landed daily raw files into the processed store.
 
-The reference's daily job loads each newly landed day (O7). Here the same work
-runs as a Structured Streaming query: a file stream over the raw landing folder
-of one daily dataset, and ``foreachBatch`` that normalises the micro-batch
-(N2-N4, with the same-day auxiliary lists read for the batch's days) and
-upserts it into the month partitions (SK3). The upsert is idempotent (new rows
-replace rows with the same key), so a micro-batch replayed after a failure from
-the stream checkpoint gives the same store. Late or corrected files are just
-new files: their rows replace the stored ones.
+The reference's daily job loads each newly landed day (O7). Here the same work runs as a
+Structured Streaming query over the *arrivals* of files: a file stream per dataset gives the
+date and dataset of every landed file (their content isn't read), and a streaming aggregate keeps
+per date which datasets have landed. In update mode it gives every date that a batch of files
+touched; ``foreachBatch`` loads those that are complete through the batch load (files by their
+own headers, checks before publishing, upsert).
+
+* A price day waits in the state until the datasets in ``wait_for`` have landed, then loads.
+* A corrected price, limit or ST file is a new file of its date: the date is loaded again, with
+  all its files in order, and its rows replace the stored ones.
+* A batch replayed after a failure gives the same store, as upserts do.
+
+The state is one row per date.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from eqlake import schemas as S
-from eqlake.operators import normalize as N
+from eqlake.plans import jobs as J
 from eqlake.sources import raw as R
+from eqlake.sources.snapshots import fs_path
 from eqlake.sources.store import Store
 
-_RAW_COLUMNS = {
-    "daily-ohlcv": S.RAW_DAILY_OHLCV_COLUMNS,
-    "adj-factor": S.RAW_ADJ_FACTOR_COLUMNS,
-    "daily-basic": S.RAW_DAILY_BASIC_COLUMNS,
-}
-_TARGET = {
-    "daily-ohlcv": ("ohlcv", S.DAILY_OHLCV_COLUMNS),
-    "adj-factor": ("adj_factor", S.ADJ_FACTOR_COLUMNS),
-    "daily-basic": ("daily_basic", S.DAILY_BASIC_COLUMNS),
-}
-
-
-def _stream_schema(columns) -> T.StructType:
-    return T.StructType(
-        [T.StructField(c, T.StringType(), True) for c in columns]
-        + [T.StructField("year", T.IntegerType()), T.StructField("month", T.IntegerType()), T.StructField("file_date", T.StringType())]
-    )
-
-
-def process_batch(spark: SparkSession, store: Store, raw_root: str, source: str, dataset: str, batch: DataFrame) -> int:
-    """Normalise one micro-batch and upsert it; returns the number of new rows."""
-    days = sorted(
-        _dt.datetime.strptime(str(r[0]), "%Y%m%d").date() for r in batch.select("file_date").distinct().collect()
-    )  # one entry per landed day in the batch
+#: Auxiliary datasets that a price day is joined with.
+AUXILIARY = ("stk-limit", "stock-st")
+_FILES = "path string, modificationTime timestamp, length bigint, content binary"
+
+
+def arrivals(spark: SparkSession, raw_root: str, source: str, datasets: Sequence[str], *, max_files_per_trigger: int | None = None) -> DataFrame:
+    """Stream of (file_date, dataset) of every file that lands; ``datasets`` may be empty yet."""
+    out = None
+    for dataset in datasets:
+        base = R.dataset_root(raw_root, source, dataset)
+        jp, fs = fs_path(spark, base)
+        fs.mkdirs(jp)
+        reader = spark.readStream.format("binaryFile").schema(_FILES).option("pathGlobFilter", "*.csv*")
+        if max_files_per_trigger:
+            reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+        day = F.regexp_extract("path", r"/file_date=(\d{8})/[^/]*$", 1)
+        files = reader.load(base).select(day.alias("file_date"), F.lit(dataset).alias("dataset")).where("file_date <> ''")
+        out = files if out is None else out.union(files)
+    return out
+
+
+def landed_by_date(files: DataFrame) -> DataFrame:
+    """file_date, landed (the datasets that have a file of that date), files."""
+    return files.groupBy("file_date").agg(F.sort_array(F.collect_set("dataset")).alias("landed"), F.count(F.lit(1)).alias("files"))
+
+
+def complete_days(touched: DataFrame, dataset: str, wait_for: Sequence[str]) -> list[_dt.date]:
+    """Dates among ``touched`` whose files are all there (one row per date reaches the driver)."""
+    needed = [dataset, *wait_for]
+    ready = touched.where(F.size(F.array_except(F.array(*[F.lit(x) for x in needed]), "landed")) == 0)
+    return sorted(_dt.datetime.strptime(r["file_date"], "%Y%m%d").date() for r in ready.select("file_date").collect())
+
+
+def load_days(spark: SparkSession, store: Store, raw_root: str, source: str, dataset: str, days: Sequence[_dt.date], *, need_st: bool = False) -> int:
+    """Load the files of some days; returns the number of loaded rows."""
     if not days:
         return 0
     task = R.ETLTask(dataset, source, days[0], days[-1])
-    raw = batch.drop("year", "month", "file_date")
-    if dataset == "daily-ohlcv":
-        keys = [d.strftime("%Y%m%d") for d in days]
-        limits = R.read_same_day(spark, raw_root, task, "stk-limit", S.RAW_STK_LIMIT_COLUMNS, required=False)
-        st = R.read_same_day(spark, raw_root, task, "stock-st", S.RAW_STOCK_ST_COLUMNS, required=False)
-        limits = limits.filter(F.col("file_date").isin(keys)).drop("year", "month", "file_date") if limits is not None else None
-        st = st.filter(F.col("file_date").isin(keys)).drop("year", "month", "file_date") if st is not None else None
-        df = N.normalize_daily_ohlcv(raw, task, stock_st=st, stk_limit=limits)
-    elif dataset == "adj-factor":
-        df = N.normalize_adj_factor(raw, task)
-    else:
-        df = N.normalize_daily_basic(raw, task)
-    target, columns = _TARGET[dataset]
-    counts = store.write_daily(target, df, date_column="trade_date", key_columns=S.DAILY_KEY, columns=columns)
-    return int(sum(counts.values()))
+    return J.load_checked(spark, store, raw_root, task, days=days, need_st=need_st).rows
 
 
 def start_daily_ingest(spark: SparkSession, store: Store, raw_root: str, source: str, dataset: str, checkpoint: str, *,
-                       available_now: bool = False, processing_time: str | None = None, max_files_per_trigger: int | None = None):
+                       wait_for: Sequence[str] | None = None, available_now: bool = False, processing_time: str | None = None,
+                       max_files_per_trigger: int | None = None):
     """Start the ingest stream for one daily dataset; returns the ``StreamingQuery``.
 
-    ``checkpoint`` must be a shared folder (offsets + commits of the file source).
+    ``wait_for``: datasets that a date needs before it loads; for prices the limit list unless given
+    (an ST list that lands later loads the date again; name it here to wait for it as well).
+    ``checkpoint`` must be a shared folder (offsets and state).
     """
-    if dataset not in _RAW_COLUMNS:
+    if dataset not in J.DATASET_COLUMNS:
         raise ValueError(f"no streaming ingest for dataset={dataset}")
-    base = R.dataset_root(raw_root, source, dataset)
-    reader = spark.readStream.schema(_stream_schema(_RAW_COLUMNS[dataset])).option("header", True)
-    reader = reader.option("basePath", base).option("recursiveFileLookup", False)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    stream = reader.csv(base)
+    aux = AUXILIARY if dataset == "daily-ohlcv" else ()
+    waiting = tuple(wait_for) if wait_for is not None else aux[:1]
+    if not set(waiting) <= set(aux):
+        raise ValueError(f"{dataset} can't wait for {sorted(set(waiting) - set(aux))}")
+    files = arrivals(spark, raw_root, source, (dataset, *aux), max_files_per_trigger=max_files_per_trigger)
 
-    def handle(batch: DataFrame, _epoch: int) -> None:
-        process_batch(spark, store, raw_root, source, dataset, batch)
+    def handle(touched: DataFrame, _epoch: int) -> None:
+        days = complete_days(touched, dataset, waiting)
+        load_days(touched.sparkSession, store, raw_root, source, dataset, days, need_st="stock-st" in waiting)
 
-    writer = stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
+    writer = landed_by_date(files).writeStream.outputMode("update").foreachBatch(handle).option("checkpointLocation", checkpoint)
     if available_now:
         writer = writer.trigger(availableNow=True)
     elif processing_time:
