@@ -20,11 +20,15 @@ class Bitmap:
         at = (hashes >> np.uint64(64 - self.bits)).astype(np.int64)
         return (self.data[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
 
+    def holds(self, value: int) -> bool:
+        at = value >> (64 - self.bits)
+        return bool(self.data[at >> 3] >> (at & 7) & 1)
+
 
 def bitmap_of(hashes: DataFrame) -> tuple[int, bytes]:
-    """Bitmap of the column ``h``: 64 bits a hash, 2^27 in all at most. ``hashes`` is read twice."""
+    """Bitmap of the column ``h``: 1,024 bits a hash, 2^27 in all at most. ``hashes`` is read twice."""
     n = hashes.count()
-    bits = min(BITMAP_BITS, max(15, (64 * n).bit_length()))
+    bits = min(BITMAP_BITS, max(15, (1024 * n).bit_length()))
     place = F.shiftrightunsigned("h", 64 - bits) + 1
     rows = hashes.select(F.bitmap_bucket_number(place).alias("bucket"), F.bitmap_bit_position(place).alias("bit"))
     data = bytearray(1 << bits - 3)

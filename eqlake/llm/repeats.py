@@ -2,17 +2,17 @@
 
 Every byte goes that is covered by a string of ``length`` bytes which also starts elsewhere.
 
-1. Anchors. Each string of ``length`` bytes has one anchor, the gram of 32 bytes in it with the
+1. Anchors. Each string of ``length`` bytes has one anchor, the gram of 64 bytes in it with the
    least hash (the leftmost of equals). Equal strings have equal anchors at equal places. The
-   strings of one anchor are consecutive and make a window of at most 2 * length - 32 bytes.
-   Anchors whose gram occurs once in the collection are done; a bitmap of at most 2^27 bits
-   (16 MB) tells the tasks which are left, and where it gets crowded more are looked at, none less.
-2. Windows. Equal windows are collapsed with their number. The windows of a gram meet in one
-   partition, aligned at their anchors, so equal strings stand in equal columns. The collection's
+   strings of one anchor are consecutive and make a window of at most 2 * length - 64 bytes.
+   Anchors whose gram occurs once in the collection are done.
+2. Windows. The digests of the others are counted. All strings of a window that occurs twice are
+   repeated. Where a gram has several different windows, one of each is sent to the gram's
+   partition, aligned at its anchor, so equal strings stand in equal columns. The collection's
    transform is built column by column: a round inserts one symbol of every window, sorts the
    windows stably by it and updates the common prefixes: ``order`` is the order by the text read
    backwards from the column, and ``since`` the column since which two neighbours agree. A string
-   is repeated if a neighbour agrees with it for ``length`` columns, or its window occurs twice.
+   is repeated if a neighbour agrees with it for ``length`` columns.
 3. Documents. Each window's repeated strings are one run, as all of them hold the anchor. The
    runs go back to the documents and are removed.
 
@@ -21,6 +21,9 @@ by their offset from the anchor into halves, whose strings have more bytes in co
 gram, and these bytes become the new key. After eight halvings the key is the string itself, and
 equal strings have been collapsed before they were shuffled.
 
+Which grams occur twice, and which windows are to be sent, the tasks learn from bitmaps of at most
+2^27 bits (16 MB) whatever the corpus; where these get crowded more are looked at, none less.
+
 Defined results: null and empty texts have no bytes and nothing to remove; strings never cross
 documents or rows; repeated rows repeat each other; texts are bytes, whether or not a cut leaves
 valid UTF-8; a text of any length is cut into overlapping slices; an empty table gives no rows;
@@ -31,22 +34,24 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eqlake.llm.bitmaps import Bitmap, bitmap_of
-from eqlake.llm.common import fix, on_equal, register, table
+from eqlake.llm.common import fix, on_equal, register, table, written
 
-GRAM = 32
+GRAM = 64
 #: Bytes looked at together; positions in a slice have 24 bits.
 SLICE = 2_000_000
 #: Windows of one matrix, about; a gram of more different windows is divided.
 CHUNK, HOT = 20_000, 30_000
-#: Anchors, windows' bytes that a task gathers before it sends them on.
-GATHERED, GATHERED_BYTES = 2_000_000, 32_000_000
+#: Anchors that a task gathers before it sends them on.
+GATHERED = 2_000_000
 
 _RNG = np.random.default_rng(13)
 _BYTE = _RNG.integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -55,9 +60,9 @@ _PLACE = np.uint64((1 << 24) - 1)
 
 
 def gram_hashes(raw: np.ndarray) -> np.ndarray:
-    """Hash of the 32 bytes from each position on, by doubling."""
+    """Hash of the 64 bytes from each position on, by doubling."""
     h = _BYTE[raw]
-    for step in (1, 2, 4, 8, 16):
+    for step in (1, 2, 4, 8, 16, 32):
         if len(h) <= step:
             return h[:0]
         h = h[:-step] * _MUL[0] ^ h[step:]
@@ -148,75 +153,72 @@ def repeated_grams(texts: DataFrame, length: int) -> DataFrame:
 
 def _wanted(b: pa.RecordBatch, length: int, grams: Bitmap) -> Iterator[tuple[bytes, int, int, int, bytes]]:
     """(row key, start in the text, gram hash, anchor's place in the window, window) of the anchors in ``grams``."""
-    keys = b.column("row").to_pylist() if "row" in b.schema.names else [None] * b.num_rows
-    for keys, offsets, a in _anchored(keys, b.column("body").to_pylist(), length):
+    for keys, offsets, a in _anchored(b.column(0).to_pylist(), b.column(1).to_pylist(), length):
         for i in np.flatnonzero(grams.has(a.h)).tolist():
             p, first = int(a.piece[i]), int(a.first[i])
             start = first - int(a.begin[p]) + offsets[p]
             yield keys[p], start, int(a.h[i]), int(a.at[i]) - first, a.data[first : int(a.last[i]) + length]
 
 
+def _occurrence(row: bytes, start: int) -> int:
+    """64-bit hash of a window's place."""
+    return xxhash.xxh64_intdigest(row, seed=start & 0xFFFFFFFFFFFFFFFF)
+
+
+def _signed(x: int) -> int:
+    return x - (1 << 64) if x >> 63 else x
+
+
 def _digest(window: bytes) -> bytes:
     return hashlib.blake2b(window, digest_size=16).digest()
 
 
 _WINDOW = "wid binary, grp binary, low int, high int, place int, bytes binary, n bigint"
 _WINDOW_TYPES = [pa.binary(), pa.binary(), pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.int64()]
+_MEMBER = "row binary, start bigint, size int, h bigint, place bigint, wid binary"
+_MEMBER_TYPES = [pa.binary(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary()]
 
 
 def _rows(columns, types: list[pa.DataType], names: str) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, types)], names=[x.split()[0] for x in names.split(", ")])
 
 
-def windows_of(texts: DataFrame, grams, length: int) -> DataFrame:
-    """Distinct windows: digest, group (the gram), offsets that the group divides, anchor's place, bytes, number."""
+def _batches(rows: Iterator[tuple], types: list[pa.DataType], names: str, limit: int = 50_000) -> Iterator[pa.RecordBatch]:
+    while some := list(islice(rows, limit)):
+        yield _rows(zip(*some), types, names)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: dict[bytes, list] = {}
-        known, size = Bitmap(*grams.value), 0
 
-        def out() -> pa.RecordBatch:
-            rows = [(wid, h, 0, length - GRAM, place, w, n) for wid, (h, place, w, n) in found.items()]
-            return _rows(zip(*rows), _WINDOW_TYPES, _WINDOW)
+def members_of(texts: DataFrame, grams, length: int) -> DataFrame:
+    """row (key), start, size, h (gram), place (hash of row and start) and wid (digest) of every window."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = Bitmap(*grams.value)
         for b in batches:
-            for _, _, h, place, w in _wanted(b, length, known):
-                wid = _digest(w)
-                if wid in found:
-                    found[wid][3] += 1
-                    continue
-                found[wid] = [h.to_bytes(8, "little"), place, w, 1]
-                size += len(w)
-                if size > GATHERED_BYTES:
-                    yield out()
-                    found, size = {}, 0
-        if found:
-            yield out()
+            found = ((key, start, len(w), _signed(h), _signed(_occurrence(key, start)), _digest(w)) for key, start, h, _, w in _wanted(b, length, known))
+            yield from _batches(found, _MEMBER_TYPES, _MEMBER)
 
-    return _collapsed(texts.select("body").mapInArrow(run, _WINDOW))
+    return texts.mapInArrow(run, _MEMBER)
 
 
-def _collapsed(windows: DataFrame) -> DataFrame:
-    same = [F.any_value(c).alias(c) for c in ("grp", "low", "high", "place", "bytes")]
-    return windows.groupBy("wid").agg(*same, F.sum("n").alias("n"))
-
-
-def members_of(texts: DataFrame, grams, length: int) -> DataFrame:
-    """row (key), start, wid of every window."""
+def windows_at(texts: DataFrame, grams, places, length: int) -> DataFrame:
+    """Windows whose places are in a bitmap: digest, group (the gram), offsets that the group divides, anchor's place, bytes, 1."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = Bitmap(*grams.value)
+        known, sent = Bitmap(*grams.value), Bitmap(*places.value)
         for b in batches:
-            rows: list[tuple] = []
-            for key, start, _, _, w in _wanted(b, length, known):
-                rows.append((key, start, _digest(w)))
-                if len(rows) >= 100_000:
-                    yield _rows(zip(*rows), [pa.binary(), pa.int64(), pa.binary()], "row, start, wid")
-                    rows = []
-            if rows:
-                yield _rows(zip(*rows), [pa.binary(), pa.int64(), pa.binary()], "row, start, wid")
+            found = (
+                (_digest(w), h.to_bytes(8, "little"), 0, length - GRAM, place, w, 1)
+                for key, start, h, place, w in _wanted(b, length, known)
+                if sent.holds(_occurrence(key, start))
+            )
+            yield from _batches(found, _WINDOW_TYPES, _WINDOW, 5_000)
+
+    return texts.mapInArrow(run, _WINDOW)
+
 
-    return texts.mapInArrow(run, "row binary, start bigint, wid binary")
+def _collapsed(windows: DataFrame) -> DataFrame:
+    same = [F.any_value(c).alias(c) for c in ("grp", "low", "high", "place", "bytes")]
+    return windows.groupBy("wid").agg(*same, F.sum("n").alias("n"))
 
 
 def repeated_columns(windows: list[bytes], places: list[int], length: int) -> np.ndarray:
@@ -253,7 +255,7 @@ _FOUND_TYPES = [pa.binary(), pa.int32(), pa.int32(), *_WINDOW_TYPES[1:]]
 
 
 def _alone(group: list[tuple]) -> list[tuple]:
-    """The run of a group's only window, if that window occurs several times."""
+    """The run of a group's only window, if several windows collapsed into it."""
     return [(r[0], 0, len(r[5])) + (None,) * 6 for r in group if len(group) == 1 and r[6] > 1]
 
 
@@ -276,10 +278,13 @@ def _search(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: list[tuple] = []  # whole groups
         group: list[tuple] = []
-        key, is_hot = None, False
+        key, is_hot, last = None, False, None
         for b in batches:
             ready: list[tuple] = []
             for r in zip(*(b.column(i).to_pylist() for i in range(7))):
+                if r[0] == last:
+                    continue  # sent by two tasks
+                last = r[0]
                 if r[1] != key:
                     ready += _alone(group)
                     waiting += group if len(group) > 1 else []
@@ -330,7 +335,7 @@ def _halves(length: int):
 
 def repeated_runs(windows: DataFrame, length: int) -> DataFrame:
     """wid, lo, hi: the run of a window's bytes that repeated strings cover, if there is one."""
-    dealt = windows.select(*[x.split()[0] for x in _WINDOW.split(", ")]).repartition("grp").sortWithinPartitions("grp")
+    dealt = windows.select(*[x.split()[0] for x in _WINDOW.split(", ")]).repartition("grp").sortWithinPartitions("grp", "wid")
     found = fix(dealt.mapInArrow(_search(length), _FOUND))
     runs = found.where(F.col("grp").isNull()).select("wid", "lo", "hi")
     hot = found.where(F.col("grp").isNotNull()).drop("lo", "hi")
@@ -357,10 +362,16 @@ def spans_of(docs: DataFrame, *, id_col: str = "doc_id", text: str = "text", len
         raise ValueError(f"the length must be over {2 * GRAM} and at most 30000")
     body = F.coalesce(F.col(f"`{text}`").cast("binary"), F.lit("").cast("binary"))
     texts = docs.select(_row_key(id_col, body).alias("row"), body.alias("body"))
-    grams = docs.sparkSession.sparkContext.broadcast(bitmap_of(fix(repeated_grams(texts, length))))
-    runs = fix(repeated_runs(windows_of(texts, grams, length), length))
-    members = fix(members_of(texts, grams, length))
-    met = on_equal(members, runs, ["wid"], how="inner")
+    send = docs.sparkSession.sparkContext.broadcast
+    grams = send(bitmap_of(fix(repeated_grams(texts, length))))
+    members = written(members_of(texts, grams, length))
+    windows = written(members.groupBy("wid").agg(F.count(F.lit(1)).alias("n"), F.any_value("h").alias("h"), F.any_value("size").alias("size"), F.min("place").alias("place")))
+    mixed = windows.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h")
+    places = send(bitmap_of(fix(on_equal(windows, mixed, ["h"], how="left_semi").select(F.col("place").alias("h")))))
+    whole = windows.where("n > 1").select("wid", F.lit(0).alias("lo"), F.col("size").alias("hi"))
+    runs = whole.unionByName(repeated_runs(windows_at(texts, grams, places, length), length))
+    runs = fix(runs.groupBy("wid").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")))
+    met = on_equal(members.select("row", "start", "wid"), runs, ["wid"], how="inner")
     span = F.struct((F.col("start") + F.col("lo")).alias("start"), (F.col("start") + F.col("hi")).alias("end"))
     return met.groupBy("row").agg(F.collect_set(span).alias("spans"))
 
