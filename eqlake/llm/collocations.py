@@ -29,6 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -148,15 +149,15 @@ class Slice:
             if k in lengths:
                 yield k, at, h
 
-    def counted(self, at: np.ndarray, k: int) -> Iterator[tuple[str, bytes, int]]:
-        """(language, phrase, count) of the phrases of ``k`` words at ``at``, told apart by their words."""
+    def counted(self, at: np.ndarray, h: np.ndarray, k: int) -> Iterator[tuple[int, str, bytes, int]]:
+        """(hash, language, phrase, count) of the phrases of ``k`` words at ``at``, told apart by their words."""
         ids = self.codes[at]
         for j in range(1, k):
             _, ids = np.unique(ids * len(self.words) + self.codes[at + j], return_inverse=True)
         _, first, n = np.unique(ids, return_index=True, return_counts=True)
-        for p, c in zip(at[first].tolist(), n.tolist()):
+        for p, x, c in zip(at[first].tolist(), h[first].tolist(), n.tolist()):
             own = self.codes[p : p + k].tolist()
-            yield self.langs[self.lang_of[own[0]]], b" ".join([self.words[i] for i in own]), c
+            yield x, self.langs[self.lang_of[own[0]]], b" ".join([self.words[i] for i in own]), c
 
 
 def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[Slice]:
@@ -206,13 +207,17 @@ def count_words(texts: DataFrame) -> DataFrame:
     return rows.groupBy("lang", "phrase", "h").agg(F.sum("f").alias("f"))
 
 
+def hash_partitions(spark: SparkSession, mass: int) -> int:
+    """log2 of the number of hash partitions for so many phrases."""
+    split = max(shuffle_partitions(spark), mass // MASS, 2)
+    return min((split - 1).bit_length(), 20)
+
+
 def frequent_hashes(texts: DataFrame, lengths: tuple[int, ...], least: int, n_words: int, words, pairs=None) -> DataFrame:
     """Hash prefixes ``h`` of a superset of the phrases that occur ``least`` times, by Misra-Gries summaries.
 
     ``words`` and ``pairs`` are broadcast (bits, bytes) of bitmaps that a phrase must pass."""
-    spark = texts.sparkSession
-    split = max(shuffle_partitions(spark), n_words * len(lengths) // MASS, 2)
-    top = min((split - 1).bit_length(), 20)
+    top = hash_partitions(texts.sparkSession, n_words * len(lengths))
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         word_map, pair_map = Bitmap(*words.value), Bitmap(*pairs.value) if pairs is not None else None
@@ -260,20 +265,48 @@ def frequent_hashes(texts: DataFrame, lengths: tuple[int, ...], least: int, n_wo
     return dealt.mapInArrow(merge, "h bigint")
 
 
-def count_phrases(texts: DataFrame, words, pairs, longer) -> DataFrame:
-    """lang, phrase, f of every phrase in the bitmaps of pairs and longer phrases."""
+def count_phrases(texts: DataFrame, least: int, n_words: int, words, pairs, longer) -> DataFrame:
+    """lang, phrase, f of the phrases in the bitmaps of pairs and longer phrases that occur ``least`` times.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def counts() -> Iterator[dict]:
-            word_map, pair_map, long_map = (Bitmap(*x.value) for x in (words, pairs, longer))
-            for s in _slices(batches):
-                for k, at, h in s.phrases(range(2, LONGEST + 1), word_map, pair_map):
-                    at = at[long_map.has(h)] if k > 2 else at
-                    yield {(g, w): n for g, w, n in s.counted(at, k)}
+    A task counts what it holds and sends each hash partition one row of phrases and counts."""
+    top = hash_partitions(texts.sparkSession, n_words)
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        word_map, pair_map, long_map = (Bitmap(*x.value) for x in (words, pairs, longer))
+        held: dict[int, dict[tuple[str, bytes], int]] = {}
+        size = 0
 
-        yield from _sums(counts(), ["lang", "phrase", "f"], [pa.string(), pa.binary(), pa.int64()])
+        def out() -> pa.RecordBatch:
+            counts = list(held.values())
+            columns = [list(held), [[g for g, _ in c] for c in counts], [[w for _, w in c] for c in counts], [list(c.values()) for c in counts]]
+            types = [pa.int32(), pa.list_(pa.string()), pa.list_(pa.binary()), pa.list_(pa.int64())]
+            return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(columns, types)], names=["part", "langs", "phrases", "counts"])
+
+        for s in _slices(batches):
+            for k, at, h in s.phrases(range(2, LONGEST + 1), word_map, pair_map):
+                if k > 2:
+                    known = long_map.has(h)
+                    at, h = at[known], h[known]
+                for x, g, w, n in s.counted(at, h, k):
+                    own = held.setdefault(x >> 64 - top, {})
+                    size += (g, w) not in own
+                    own[g, w] = own.get((g, w), 0) + n
+            if size > COUNTED:
+                yield out()
+                held, size = {}, 0
+        if held:
+            yield out()
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["lang", "phrase", "f"]
+        total = pa.table([pa.array([], t) for t in (pa.string(), pa.binary(), pa.int64())], names=names)
+        for b in batches:
+            new = pa.table([b.column(i).flatten() for i in (1, 2, 3)], names=names)
+            total = pa.concat_tables([total, new]).group_by(names[:2]).aggregate([("f", "sum")]).rename_columns(names)
+        yield from total.filter(pc.greater_equal(total["f"], least)).to_batches()
 
-    return texts.mapInArrow(run, "lang string, phrase binary, f bigint").groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
+    sent = texts.mapInArrow(send, "part int, langs array<string>, phrases array<binary>, counts array<bigint>")
+    return sent.repartitionById(1 << top, F.col("part")).mapInArrow(merge, "lang string, phrase binary, f bigint")
 
 
 def frequent_phrases(docs: DataFrame, *, text: str = "text", lang: str = "lang", min_count: int = 100) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -290,7 +323,7 @@ def frequent_phrases(docs: DataFrame, *, text: str = "text", lang: str = "lang",
     word_map = send(bitmap_of(words.select("h")))
     pair_map = send(bitmap_of(fix(frequent_hashes(texts, (2,), min_count, n_words, word_map))))
     long_map = send(bitmap_of(fix(frequent_hashes(texts, tuple(range(3, LONGEST + 1)), min_count, n_words, word_map, pair_map))))
-    phrases = fix(count_phrases(texts, word_map, pair_map, long_map).where(F.col("f") >= min_count))
+    phrases = fix(count_phrases(texts, min_count, n_words, word_map, pair_map, long_map))
     as_text = lambda df: df.select("lang", F.col("phrase").cast("string").alias("phrase"), "f")
     return as_text(words), as_text(phrases), totals
 
