@@ -1,5 +1,8 @@
 """Within-group positions and ranks that stay parallel when one group is huge.
 
+Ranks (``ranks_in_group``) count equal values first and add the counts up in two levels, without
+sorting or writing rows. Positions (``group_positions``) need a place for every row:
+
 A window ``partitionBy(group).orderBy(value)`` puts a whole group in one task. If a
 single date (or factor) held a third of all rows, that task would sort a third of
 the data. ``group_positions`` instead range-partitions on ``(group, order...)`` —
@@ -22,7 +25,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eqlake.session import checkpoint_dir
@@ -62,31 +65,77 @@ def group_positions(df: DataFrame, group_cols: Sequence[str], order_cols: Sequen
     return j.select(*cols, (F.col("_off") + F.col("_local") - F.col("_first")).alias(pos), size, *extra)
 
 
+#: Steps of one octave in ``order_bucket``.
+OCTAVE_STEPS = 256
+#: Parts into which equal values are dealt by their codes, where the order of codes doesn't matter.
+TIE_PARTS = 16
+
+
+def order_bucket(value: Column) -> Column:
+    """A whole number that never falls while a finite ``value`` rises: 256 steps an octave, by size
+    and sign, so buckets are narrow wherever values lie; null for null."""
+    size = F.abs(value)
+    octave = F.floor(F.log2(size))
+    step = F.floor((size / F.pow(F.lit(2.0), octave) - 1.0) * OCTAVE_STEPS)
+    step = F.greatest(F.least(step, F.lit(OCTAVE_STEPS - 1)), F.lit(0))  # where log2 was rounded up
+    place = (octave + 1_100) * OCTAVE_STEPS + step
+    return F.when(size == 0, F.lit(0).cast("bigint")).when(value > 0, place).when(value < 0, -place)
+
+
 def ranks_in_group(df: DataFrame, group_cols: Sequence[str], value: str, unique_cols: Sequence[str], *,
                    avg_rank: str | None = None, quantile: str | None = None, n_groups: int = 5,
                    group_size: str | None = None, num_partitions: int | None = None) -> DataFrame:
-    """Average-tie rank of ``value`` and/or position quantile in (``value``,
-    ``unique_cols``) order, both within ``group_cols`` (no nulls there). Rows with a
-    null ``value`` come first and get no rank; put them in a group of their own.
-
-    * average rank = mean of the 1-based positions of the tied run = (first + last)/2 + 1.
-      A run's bounds are aggregated per range partition and then over its partitions (a
-      few rows), and return to the rows on (partition, group, value): a value that
-      most rows share meets them in as many tasks as it has partitions;
-    * quantile = floor(position * n_groups / group size) + 1 (not ``ntile``).
+    """Average-tie rank of ``value`` (a finite double or null) and/or position quantile in (``value``,
+    ``unique_cols``) order, both within ``group_cols`` (no nulls there). Rows with a null ``value``
+    come first and get no rank; put them in a group of their own.
+
+    The rows aren't sorted by value. They are counted in cells of equal value (and, as many rows may
+    share a value, of one part of the codes); cells are added up within value buckets, and buckets
+    within the group. So the largest sorted pieces are the cells of one bucket of one group and the
+    buckets of one group, and the largest joined one is a cell, whatever a group or a value holds.
+
+    * average rank = position of a tied run's first row + (rows of the run + 1) / 2;
+    * quantile = floor(position * n_groups / group size) + 1 (not ``ntile``), the position being the
+      cell's first one plus the row's place among the cell's codes.
+
+    Lazy: no job runs here, and ``df`` is read twice.
     """
-    p = group_positions(df, group_cols, [value, *unique_cols], pos="_p", size="_gsize", pid="_part", num_partitions=num_partitions)
-    out_cols = [c for c in df.columns]
+    # Codes in order where positions need them: parts are first characters, then cells follow the codes.
+    code = F.col(unique_cols[0])
+    part = F.coalesce(F.substring(code.cast("string"), 1, 4), F.lit("")) if quantile else F.pmod(F.xxhash64(code), F.lit(TIE_PARTS))
+    keyed = df.withColumns({"_none": F.col(value).isNull(), "_value": F.coalesce(F.col(value), F.lit(0.0)), "_bucket": order_bucket(F.col(value)), "_cell": part})
+    cell_keys = [*group_cols, "_none", "_value", "_cell"]
+    cells = keyed.groupBy(*cell_keys, "_bucket").agg(F.count(F.lit(1)).alias("_rows"))
+
+    in_group = Window.partitionBy(*group_cols)
+    upward = in_group.orderBy(F.col("_none").desc(), "_bucket")
+    before = Window.unboundedPreceding, -1
+    buckets = cells.groupBy(*group_cols, "_none", "_bucket").agg(F.sum("_rows").alias("_in_bucket"))
+    buckets = buckets.select(
+        *[F.col(c).alias(f"_b_{c}") for c in group_cols], F.col("_none").alias("_b_none"), F.col("_bucket").alias("_b_bucket"),
+        F.coalesce(F.sum("_in_bucket").over(upward.rowsBetween(*before)), F.lit(0)).alias("_offset"),
+        F.sum("_in_bucket").over(in_group).alias("_size"),
+    )
+    in_bucket = Window.partitionBy(*group_cols, "_none", "_bucket")
+    run = Window.partitionBy(*group_cols, "_none", "_bucket", "_value")
+    inner = cells.select("*", F.coalesce(F.sum("_rows").over(in_bucket.orderBy("_value", "_cell").rowsBetween(*before)), F.lit(0)).alias("_first"))
+    inner = inner.select("*", F.min("_first").over(run).alias("_run_first"), F.sum("_rows").over(run).alias("_run"))
+    same = [F.col(c) == F.col(f"_b_{c}") for c in group_cols] + [F.col("_none") == F.col("_b_none"), F.col("_bucket").eqNullSafe(F.col("_b_bucket"))]
+    places = inner.join(buckets, same).select(
+        *[F.col(c).alias(f"_k_{c}") for c in cell_keys], "_size",
+        (F.col("_offset") + F.col("_first")).alias("_p"), (F.col("_offset") + F.col("_run_first")).alias("_lo"), "_run",
+    )
+    if num_partitions:
+        keyed = keyed.repartition(num_partitions, *cell_keys)
+    if quantile:
+        keyed = keyed.withColumn("_at", F.row_number().over(Window.partitionBy(*cell_keys).orderBy(*unique_cols)) - 1)
+    p = keyed.join(places, [F.col(c) == F.col(f"_k_{c}") for c in cell_keys], "left")
     extra = []
     if group_size:
-        extra.append(F.col("_gsize").alias(group_size))
+        extra.append(F.col("_size").alias(group_size))
     if quantile:
-        extra.append((F.floor(F.col("_p") * F.lit(n_groups) / F.col("_gsize")) + 1).cast("int").alias(quantile))
+        extra.append((F.floor((F.col("_p") + F.col("_at")) * F.lit(n_groups) / F.col("_size")) + 1).cast("int").alias(quantile))
     if avg_rank:
-        keys = [*group_cols, value]
-        runs = p.filter(F.col(value).isNotNull()).groupBy("_part", *keys).agg(F.min("_p").alias("_lo"), F.max("_p").alias("_hi"))
-        run = Window.partitionBy(*keys)
-        mean = (F.min("_lo").over(run) + F.max("_hi").over(run)).cast("double") / F.lit(2.0) + F.lit(1.0)
-        p = p.join(runs.select("_part", *keys, mean.alias(avg_rank)), ["_part", *keys], "left")
-        extra.append(F.col(avg_rank))
-    return p.select(*out_cols, *extra)
+        mean = F.col("_lo").cast("double") + (F.col("_run").cast("double") + F.lit(1.0)) / F.lit(2.0)
+        extra.append(F.when(~F.col("_none"), mean).alias(avg_rank))
+    return p.select(*df.columns, *extra)

@@ -183,6 +183,8 @@ def _rules_factor() -> list[tuple[str, Column]]:
 def _rules_manifest() -> list[tuple[str, Column]]:
     return [
         ("dataset_missing", F.col("dataset").isNull()),
+        ("source_missing", F.col("source").isNull()),
+        ("version_missing", F.col("version").isNull()),
         ("row_count_negative", F.col("row_count").isNull() | (F.col("row_count") < 0)),
         ("loaded_at_missing", F.col("loaded_at").isNull()),
     ]
@@ -201,6 +203,17 @@ RULES = {
 }
 
 
+# Columns that a record may leave out, with the value it then has.
+RECORD_DEFAULTS = {"factor": {"factor_version": "default"}, "manifest": {"trade_date": None}}
+
+
+def with_defaults(df: DataFrame, kind: str) -> DataFrame:
+    """Add the columns that records of a kind may leave out; a null in a present column stays null."""
+    types = {"factor_version": "string", "trade_date": "date"}
+    absent = {c: F.lit(v).cast(types[c]) for c, v in RECORD_DEFAULTS.get(kind, {}).items() if c not in df.columns}
+    return df.withColumns(absent) if absent else df
+
+
 def violation_column(kind: str) -> Column:
     """Array of violated rule names for one record (empty when the row is valid)."""
     rules = RULES[kind]()
@@ -244,11 +257,19 @@ def reject_duplicate_keys(df: DataFrame, key_cols: Sequence[str], label: str = "
         raise ValueError(f"{label} has duplicate keys: key_columns={tuple(key_cols)}")
 
 
+def identity_conflicts(df: DataFrame, name: str, version: str) -> DataFrame:
+    """QC9: the distinct (factor_name, factor_version) that aren't the metadata's."""
+    own = F.col("factor_name").eqNullSafe(name) & F.col("factor_version").eqNullSafe(version)
+    return df.select("factor_name", "factor_version").where(~own).distinct()
+
+
 def identity_check(df: DataFrame, name: str, version: str, label: str = "factor result") -> None:
     """QC9: exactly one (factor_name, factor_version) and it equals the metadata."""
-    found = [tuple(r) for r in df.select("factor_name", "factor_version").distinct().limit(2).collect()]
-    if found != [(name, version)]:
-        raise ValueError(f"{label} identity mismatch: expected={name}:{version}, actual={sorted(found)}")
+    others = [tuple(r) for r in identity_conflicts(df, name, version).limit(2).collect()]
+    if others:
+        raise ValueError(f"{label} identity mismatch: expected={name}:{version}, also found={sorted(others, key=str)}")
+    if not df.limit(1).count():
+        raise ValueError(f"{label} identity mismatch: expected={name}:{version}, no rows")
 
 
 def dates_not_in(left: DataFrame, right: DataFrame, col: str = "trade_date") -> DataFrame:

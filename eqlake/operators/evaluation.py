@@ -1,8 +1,8 @@
 """Factor evaluation (E1-E8) and factor statistics (AG5-AG7).
 
-Every per-date quantity is a grouped aggregate over the ranked pairs, which are
-written once. Ranks come from range partitions (``functions.ranking``), so no
-date and no tied value has to fit one task:
+Every per-date quantity is a grouped aggregate over the ranked pairs. Ranks come from
+counts of equal values added up in two levels (``functions.ranking``), so no date and
+no tied value has to fit one task, and quantiles from narrowing histograms:
 
 * E1 eligible dates: >= 5 pairs and >= 2 distinct values on both sides (``min < max``);
 * E2/E3 Pearson IC on values and Spearman RankIC on average-tie ranks, with a
@@ -23,11 +23,17 @@ that get broadcast are bounded by the date range.
 
 from __future__ import annotations
 
+import math
+from bisect import bisect_left
+from collections.abc import Sequence
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from eqlake.functions.ranking import materialize as _materialize
-from eqlake.functions.ranking import ranks_in_group
+from eqlake.functions.ranking import order_bucket, ranks_in_group
 from eqlake.functions.stats import finite_or_null, safe_corr
 from eqlake.operators.contracts import identity_check, reject_duplicate_keys, require_columns, require_date_subset
 from eqlake.operators.factors import FactorMetadata
@@ -73,53 +79,71 @@ def coverage_by_date(factors: DataFrame, universe: DataFrame) -> DataFrame:
     )
 
 
-def exact_quantiles(values: DataFrame, col: str, probs: dict[str, float], tiebreak=()) -> DataFrame:
-    """Exact linear-interpolated quantiles without gathering the column in one task.
+#: Values that the selection of an order statistic may bring to the driver in the end, per statistic.
+SELECTED_VALUES = 10_000
+#: Pieces into which a selection cuts a range of values.
+SELECTION_STEPS = 4_096
+
+
+def order_statistics(values: DataFrame, col: str, n: int, ranks: Sequence[int]) -> dict[int, float]:
+    """The values at 0-based ``ranks`` of the ``n`` finite values of a column, by narrowing histograms.
+
+    The first histogram counts value buckets (``order_bucket``); each next one cuts the ranges that
+    hold a rank into equal steps, until a range has one value or few rows, which are fetched. A
+    round is one partial aggregate; what reaches the driver is bounded whatever ``n`` is."""
+    v = values.select(F.col(col).alias("v")).where(F.col("v").isNotNull())
+    stats = [F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")]
+    # Every wanted rank: the range that holds it, and its rank within the range.
+    whole = v.groupBy(order_bucket(F.col("v")).alias("at")).agg(*stats)
+    out: dict[int, float] = {}
+    open_ranks = {r: ([(x["n"], x["lo"], x["hi"]) for x in whole.collect()], r) for r in set(ranks) if 0 <= r < n}
+    while open_ranks:
+        pending: dict[int, tuple[int, float, float, int]] = {}
+        for r, (pieces, k) in open_ranks.items():
+            for size, lo, hi in sorted(pieces, key=lambda x: x[1]):
+                if k < size:
+                    break
+                k -= size
+            if lo == hi:
+                out[r] = lo
+            else:
+                pending[r] = (size, lo, hi, k)
+        if not pending:
+            break
+        small = {r: p for r, p in pending.items() if p[0] <= SELECTED_VALUES}
+        within = lambda lo, hi: F.col("v").between(F.lit(lo), F.lit(hi))
+        ranges = sorted({(lo, hi) for _, lo, hi, _ in pending.values()})
+        kept = v.where(reduce(or_, [within(lo, hi) for lo, hi in ranges]))
+        if len(small) == len(pending):
+            found = sorted(x["v"] for x in kept.collect())  # a few ranges of few values
+            for r, (_, lo, _, k) in small.items():
+                out[r] = found[bisect_left(found, lo) + k]
+            break
+        number = F.coalesce(*[F.when(within(lo, hi), F.lit(i)) for i, (lo, hi) in enumerate(ranges)])
+        step = F.coalesce(*[F.when(within(lo, hi), F.floor((F.col("v") - lo) / F.lit(hi - lo) * SELECTION_STEPS)) for lo, hi in ranges])
+        cut = kept.groupBy(number.alias("range"), step.alias("at")).agg(*stats).collect()
+        pieces = {i: [(x["n"], x["lo"], x["hi"]) for x in cut if x["range"] == i] for i in range(len(ranges))}
+        open_ranks = {r: (pieces[ranges.index((lo, hi))], k) for r, (_, lo, hi, k) in pending.items()}
+    return out
 
-    Values are range-partitioned (tie-break columns split runs of equal values)
-    and sorted within partitions; ``monotonically_increasing_id`` then encodes
-    (partition, position). Per-partition counts (one row per partition) give the
-    global offsets, and one aggregate picks the order statistics.
-    Returns one row with a column per entry of ``probs`` (null for no values).
-    """
-    spark = values.sparkSession
-    nparts = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    v = values.select(F.col(col).alias("_v"), *tiebreak).filter(F.col("_v").isNotNull())
-    ordered = v.repartitionByRange(nparts, "_v", *tiebreak).sortWithinPartitions("_v", *tiebreak)
-    mid = F.monotonically_increasing_id()
-    ided = ordered.select("*", mid.alias("_id")).select(
-        "*", F.shiftright("_id", 33).alias("_pid"), F.col("_id").bitwiseAND(F.lit((1 << 33) - 1)).alias("_local")
-    )
-    # Read by two branches below: materialise once so both see the same placement.
-    ided = _materialize(ided)
-    counts = ided.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
-    # One row per partition: bounded by spark.sql.shuffle.partitions.
-    wo = Window.orderBy("_pid")
-    counts = counts.select(
-        "_pid",
-        F.coalesce(F.sum("_cnt").over(wo.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_offset"),
-        F.sum("_cnt").over(Window.partitionBy()).alias("_n"),
-    )
-    g = ided.join(F.broadcast(counts), "_pid").select("_v", "_n", (F.col("_offset") + F.col("_local")).alias("_gpos"))
-    aggs = [F.max("_n").alias("_n")]
-    for name, p in probs.items():
-        pos = F.lit(p) * (F.col("_n") - 1)
-        aggs.append(F.max(F.when(F.col("_gpos") == F.floor(pos), F.col("_v"))).alias(f"{name}__lo"))
-        aggs.append(F.max(F.when(F.col("_gpos") == F.ceil(pos), F.col("_v"))).alias(f"{name}__hi"))
-    a = g.agg(*aggs)
-    out = []
-    for name, p in probs.items():
-        pos = F.lit(p) * (F.col("_n") - 1)
-        frac = pos - F.floor(pos)
-        lo, hi = F.col(f"{name}__lo"), F.col(f"{name}__hi")
-        out.append((lo + (hi - lo) * frac).alias(name))
-    return a.select(*out)
+
+def exact_quantiles(values: DataFrame, col: str, probs: dict[str, float]) -> DataFrame:
+    """Exact linear-interpolated quantiles of the finite values: one row with a column per entry of
+    ``probs`` (null for no values). ``values`` is read a few times: give it stored."""
+    n = values.agg(F.count(col)).first()[0]
+    at = {name: p * (n - 1) for name, p in probs.items()}
+    found = order_statistics(values, col, n, [r for x in at.values() for r in (math.floor(x), math.ceil(x))])
+    row = []
+    for x in at.values():
+        lo, hi = found.get(math.floor(x)), found.get(math.ceil(x))
+        row.append(None if lo is None else lo + (hi - lo) * (x - math.floor(x)))
+    return values.sparkSession.createDataFrame([tuple(row)], ", ".join(f"{name} double" for name in probs))
 
 
 _PROBS = {"p25": 0.25, "median": 0.5, "p75": 0.75}
 
 
-def factor_distribution(factors: DataFrame) -> DataFrame:
+def factor_distribution(factors: DataFrame, *, stored: bool = False) -> DataFrame:
     """AG6 + AG7: counts, missing rate and distribution of valid values (one row)."""
     fc = clean_factors(factors)
     aggs = [
@@ -132,7 +156,9 @@ def factor_distribution(factors: DataFrame) -> DataFrame:
         F.min("_fv").alias("min"),
         F.max("_fv").alias("max"),
     ]
-    base = _one_row_join(fc.agg(*aggs), exact_quantiles(fc, "_fv", _PROBS, tiebreak=("ts_code", "trade_date")))
+    # One narrow column, unless the caller has stored the panel.
+    stored = fc if stored else _materialize(fc.select("_fv"))
+    base = _one_row_join(fc.agg(*aggs), exact_quantiles(stored, "_fv", _PROBS))
     base = base.select(
         "*", (F.lit(1.0) - F.try_divide(F.col("_valid").cast("double"), F.col("row_count").cast("double"))).alias("missing_value_rate")
     )
@@ -165,11 +191,12 @@ def evaluation_pairs(factors: DataFrame, labels: DataFrame) -> DataFrame:
 def ranked_pairs(pairs: DataFrame) -> DataFrame:
     """E1 eligibility + average-tie ranks of factor and label + position quintile.
 
-    Written once: the metrics, the eligible dates and the turnover read it. A rank within a
-    date doesn't depend on other dates, so the dates are chosen after the ranks are known."""
+    The pairs are written once, as keys and two numbers; the ranks are read from counts of them. A
+    rank within a date doesn't depend on other dates, so the dates are chosen at the end."""
+    pairs = _materialize(pairs.select(*KEY, "_fv", "_fr"))
     by_factor = ranks_in_group(pairs, ["trade_date"], "_fv", ["ts_code"], avg_rank="_rf", quantile="_q", n_groups=QUANTILE_COUNT)
-    ranked = _materialize(ranks_in_group(by_factor, ["trade_date"], "_fr", ["ts_code"], avg_rank="_rr"))
-    dates = ranked.groupBy("trade_date").agg(
+    ranked = ranks_in_group(by_factor, ["trade_date"], "_fr", ["ts_code"], avg_rank="_rr")
+    dates = pairs.groupBy("trade_date").agg(
         F.count(F.lit(1)).alias("_n"), F.min("_fv").alias("_f_lo"), F.max("_fv").alias("_f_hi"),
         F.min("_fr").alias("_r_lo"), F.max("_fr").alias("_r_hi"),
     )
@@ -310,7 +337,7 @@ def validate_factor(factors: DataFrame, labels: DataFrame, universe: DataFrame,
     summary = ic_summary(daily)
     turnover = turnover_by_date(ranked, daily, metadata.higher_is_better).agg(F.avg("turnover").alias("turnover"))
     autocorr = autocorr_by_date(factors).agg(F.avg("autocorr").alias("factor_autocorr_1d"))
-    dist = factor_distribution(factors)
+    dist = factor_distribution(factors, stored=materialize)
     span = universe.agg(F.min("trade_date").alias("start_date"), F.max("trade_date").alias("end_date"))
     parts = [span, dist, summary, turnover, autocorr]
     if with_coverage:

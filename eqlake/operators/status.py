@@ -1,7 +1,7 @@
 """Dataset status (AG1-AG4) and missing-date checks.
 
-Status numbers are single aggregates (partial aggregation, one row out). Date
-sets are one row per day: expected days come from ``sequence(start, end)`` or
+Status numbers are single aggregates (partial aggregation, one row out); of a stored
+dataset they come from what the store keeps with each version. Date sets are one row per day: expected days come from ``sequence(start, end)`` or
 the calendar, existing days from a ``distinct`` of the dataset's dates, and the
 set difference is a ``left_anti`` join.
 """
@@ -76,10 +76,9 @@ def dataset_status(store, dataset: str) -> dict:
             return {"row_count": 0, "exchange_count": 0, "listed_count": 0, "delisted_count": 0, "paused_count": 0}
         return security_status(sec).first().asDict()
     if dataset in PROCESSED_DAILY_DATASETS:
-        df = store.read(PROCESSED_DAILY_DATASETS[dataset][0])
-        if df is None:
-            return {"start_date": None, "end_date": None, "row_count": 0, "trade_date_count": 0, "security_count": 0}
-        return daily_status(df).first().asDict()
+        # The store keeps these numbers with every version, so no rows are read.
+        none = {"start_date": None, "end_date": None, "row_count": 0, "trade_date_count": 0, "security_count": 0}
+        return store.statistics(PROCESSED_DAILY_DATASETS[dataset][0]) or none
     raise NotImplementedError(f"no status for dataset={dataset}")
 
 
@@ -158,8 +157,8 @@ def find_missing_dates(spark: SparkSession, store, task: ETLTask, raw_root: str
             (F.col("exchange") == task.exchange) & F.col("is_open") & F.col("cal_date").between(F.lit(task.start_date), F.lit(task.end_date))
         ).select("cal_date")
         if task.dataset in PROCESSED_DAILY_DATASETS:
-            df = store.read(PROCESSED_DAILY_DATASETS[task.dataset][0])
-            existing = distinct_dates(df, task.start_date, task.end_date) if df is not None else spark.createDataFrame([], "cal_date date")
+            days = [d for d in store.dates(PROCESSED_DAILY_DATASETS[task.dataset][0]) if task.start_date <= d <= task.end_date]
+            existing = spark.createDataFrame([(d,) for d in days], "cal_date date")
         elif task.dataset in RAW_ONLY_DAILY_DATASETS:
             days = [d for d in landed_dates(spark, raw_root, task.source, task.dataset) if task.start_date <= d <= task.end_date]
             existing = spark.createDataFrame([(d,) for d in days], "cal_date date")

@@ -240,3 +240,4 @@ def q_coverage_by_date(spark, sf_dir):
 
 # Part 2 registers into the same dictionaries.
 from eqlake.plans import catalog_more  # noqa: E402,F401
+from eqlake.plans import catalog_store  # noqa: E402,F401

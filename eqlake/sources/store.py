@@ -174,12 +174,14 @@ class Store:
         named = set().union(*[log.read(v).folders() for v in log.versions()])
         before = _dt.datetime.now().timestamp() - older_than_hours * 3600
         gone = []
-        for pattern in (f"{self.path(dataset)}/year=*/month=*/commit=*", f"{self.archive_path(dataset)}/year=*/commit=*"):
+        patterns = [f"{self.path(dataset)}/year=*/month=*/commit=*", f"{self.archive_path(dataset)}/year=*/commit=*", f"{self.path(dataset)}/_codes/*"]
+        for pattern in patterns:
             jp, fs = fs_path(self.spark, pattern)
             for s in fs.globStatus(jp) or []:
                 path = s.getPath().toUri().getPath()
                 folder = "processed/" + path.rsplit("/processed/", 1)[1]
-                if folder not in named and s.getModificationTime() / 1000 <= before:
+                used = folder in named or any(f.startswith(f"{folder}/") for f in named)
+                if not used and s.getModificationTime() / 1000 <= before:
                     fs.delete(s.getPath(), True)
                     self._drop_empty(path)
                     gone.append(folder)
@@ -223,6 +225,24 @@ class Store:
         extra = [c for c in out.columns if c not in cols and c not in ("year", "month")]
         return out.select(*cols, *extra, *[c for c in ("year", "month") if c in out.columns])
 
+    def dates(self, dataset: str) -> tuple[_dt.date, ...]:
+        """S6 from the manifest: the distinct dates of a dataset, in order (none where it is absent)."""
+        return tuple(sorted({d for p in self.log(dataset).current().parts.values() for d in p.dates}))
+
+    def statistics(self, dataset: str) -> dict | None:
+        """AG2 without reading rows: row count and dates from the manifest, securities from the
+        stored codes of the parts; ``None`` where the dataset is absent."""
+        parts = self.log(dataset).current().parts
+        if not parts:
+            return None
+        dates = sorted({d for p in parts.values() for d in p.dates})
+        codes = [f"{self.root}/{p.codes}" for p in parts.values() if p.codes]
+        securities = self.spark.read.schema("ts_code string").parquet(*codes).where("ts_code IS NOT NULL").distinct().count() if codes else 0
+        return {
+            "start_date": dates[0] if dates else None, "end_date": dates[-1] if dates else None, "row_count": sum(p.rows for p in parts.values()),
+            "trade_date_count": len(dates), "security_count": securities,
+        }
+
     def read_dim(self, name: str) -> DataFrame | None:
         snapshot = self.dim_log(name).current()
         if not snapshot.parts:
@@ -369,11 +389,17 @@ class Store:
         present = [f for f in folders.values() if fs_exists(self.spark, f)]
         if not present:
             return {}
-        found = written.parquet(*present).groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.sort_array(F.collect_set(date_column)).alias("dates")).collect()
+        rows = written.parquet(*present)
+        found = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.sort_array(F.collect_set(date_column)).alias("dates")).collect()
+        codes = None
+        if "ts_code" in df.columns:
+            codes = f"{self.path(dataset)}/_codes/{commit}"
+            rows.select(*by, "ts_code").distinct().repartition(*by).write.partitionBy(*by).parquet(codes)
         out = {}
         for r in found:  # one row per written month, with its dates
             k = _month_key(r["year"], r["month"]) if monthly else str(r["year"])
-            out[k] = Part(folders[k][len(self.root) + 1 :], r["n"], tuple(r["dates"]))
+            below = lambda f: f[len(self.root) + 1 :]
+            out[k] = Part(below(folders[k]), r["n"], tuple(r["dates"]), below(f"{codes}/{_folder(k)}") if codes else None)
         return out
 
     def _conform(self, df: DataFrame, columns, date_column, part_cols) -> DataFrame:

@@ -174,3 +174,28 @@ def test_manifest_survives_a_stopped_publisher(spark, tmp_root):
     assert log.publish(first) and not log.publish(first)
     open(f"{tmp_root}/t/_log/_draft-left", "w").write("{half")
     assert log.versions() == [1] and log.current().version == 1
+
+
+def test_status_reads_no_rows(spark, tmp_root):
+    import glob
+
+    from eqlake.operators import status as ST
+    from eqlake.plans import jobs as J
+    from eqlake.sources import raw as R
+
+    store = Store(spark, tmp_root)
+    rows = [(f"{i % 7:06d}.SZ", D(2023, 1 + i % 12, 1 + i % 20), float(i)) for i in range(300)] + [("x", D(2024, 2, 2), 1.0)]
+    store.write_daily("adj_factor", _adj(spark, rows), **KW)
+    store.write_daily("adj_factor", _adj(spark, NEW), **KW)
+    store.archive_year("adj_factor", 2023, key_columns=S.DAILY_KEY, columns=S.ADJ_FACTOR_COLUMNS, today=D(2024, 6, 1))
+    store.write_daily("adj_factor", _adj(spark, [("000001.SZ", D(2023, 1, 2), 5.0), ("y", D(2023, 5, 5), 6.0)]), **KW)
+    want = ST.daily_status(store.read("adj_factor")).first().asDict()
+    days = sorted(r[0] for r in store.read("adj_factor").select("trade_date").distinct().collect())
+    cal = spark.createDataFrame([("SSE", D(2024, 2, d), True, None) for d in (1, 2, 3)], S.CALENDAR_SCHEMA)
+    store.replace_dimension("dim_trade_calendar", cal, None, S.TRADE_CALENDAR_COLUMNS)
+    for f in glob.glob(f"{tmp_root}/processed/**/commit=*/*.parquet", recursive=True):
+        os.rename(f, f"{f}.away")
+    assert ST.dataset_status(store, "adj-factor") == want and list(store.dates("adj_factor")) == days
+    missing = J.missing(spark, store, R.ETLTask("adj-factor", "vendor", D(2024, 2, 1), D(2024, 2, 3)))
+    assert missing.existing_dates == (D(2024, 2, 2),) and missing.missing_dates == (D(2024, 2, 1), D(2024, 2, 3))
+    assert store.statistics("ohlcv") is None and ST.dataset_status(store, "daily-ohlcv")["row_count"] == 0
