@@ -84,7 +84,7 @@ def order_bucket(value: Column) -> Column:
 
 def ranks_in_group(df: DataFrame, group_cols: Sequence[str], value: str, unique_cols: Sequence[str], *,
                    avg_rank: str | None = None, quantile: str | None = None, n_groups: int = 5,
-                   group_size: str | None = None, num_partitions: int | None = None) -> DataFrame:
+                   group_size: str | None = None, num_partitions: int | None = None, stored: DataFrame | None = None) -> DataFrame:
     """Average-tie rank of ``value`` (a finite double or null) and/or position quantile in (``value``,
     ``unique_cols``) order, both within ``group_cols`` (no nulls there). Rows with a null ``value``
     come first and get no rank; put them in a group of their own.
@@ -98,14 +98,17 @@ def ranks_in_group(df: DataFrame, group_cols: Sequence[str], value: str, unique_
     * quantile = floor(position * n_groups / group size) + 1 (not ``ntile``), the position being the
       cell's first one plus the row's place among the cell's codes.
 
-    Lazy: no job runs here, and ``df`` is read twice.
+    Lazy: no job runs here. ``df`` is read twice, unless ``stored`` holds the same rows (group, value
+    and unique columns at least) for counting.
     """
     # Codes in order where positions need them: parts are first characters, then cells follow the codes.
     code = F.col(unique_cols[0])
     part = F.coalesce(F.substring(code.cast("string"), 1, 4), F.lit("")) if quantile else F.pmod(F.xxhash64(code), F.lit(TIE_PARTS))
-    keyed = df.withColumns({"_none": F.col(value).isNull(), "_value": F.coalesce(F.col(value), F.lit(0.0)), "_bucket": order_bucket(F.col(value)), "_cell": part})
-    cell_keys = [*group_cols, "_none", "_value", "_cell"]
-    cells = keyed.groupBy(*cell_keys, "_bucket").agg(F.count(F.lit(1)).alias("_rows"))
+    keys = {"_none": F.col(value).isNull(), "_value": F.coalesce(F.col(value), F.lit(0.0)), "_cell": part}
+    cell_keys = [*group_cols, *keys]
+    keyed = df.withColumns(keys)
+    counted = (df if stored is None else stored).select(*group_cols, *[c.alias(k) for k, c in keys.items()], order_bucket(F.col(value)).alias("_bucket"))
+    cells = counted.groupBy(*cell_keys, "_bucket").agg(F.count(F.lit(1)).alias("_rows"))
 
     in_group = Window.partitionBy(*group_cols)
     upward = in_group.orderBy(F.col("_none").desc(), "_bucket")
@@ -118,7 +121,7 @@ def ranks_in_group(df: DataFrame, group_cols: Sequence[str], value: str, unique_
     )
     in_bucket = Window.partitionBy(*group_cols, "_none", "_bucket")
     run = Window.partitionBy(*group_cols, "_none", "_bucket", "_value")
-    inner = cells.select("*", F.coalesce(F.sum("_rows").over(in_bucket.orderBy("_value", "_cell").rowsBetween(*before)), F.lit(0)).alias("_first"))
+    inner = cells.withColumn("_first", F.coalesce(F.sum("_rows").over(in_bucket.orderBy("_value", "_cell").rowsBetween(*before)), F.lit(0)))
     inner = inner.select("*", F.min("_first").over(run).alias("_run_first"), F.sum("_rows").over(run).alias("_run"))
     same = [F.col(c) == F.col(f"_b_{c}") for c in group_cols] + [F.col("_none") == F.col("_b_none"), F.col("_bucket").eqNullSafe(F.col("_b_bucket"))]
     places = inner.join(buckets, same).select(

@@ -195,7 +195,7 @@ def ranked_pairs(pairs: DataFrame) -> DataFrame:
     rank within a date doesn't depend on other dates, so the dates are chosen at the end."""
     pairs = _materialize(pairs.select(*KEY, "_fv", "_fr"))
     by_factor = ranks_in_group(pairs, ["trade_date"], "_fv", ["ts_code"], avg_rank="_rf", quantile="_q", n_groups=QUANTILE_COUNT)
-    ranked = ranks_in_group(by_factor, ["trade_date"], "_fr", ["ts_code"], avg_rank="_rr")
+    ranked = ranks_in_group(by_factor, ["trade_date"], "_fr", ["ts_code"], avg_rank="_rr", stored=pairs)
     dates = pairs.groupBy("trade_date").agg(
         F.count(F.lit(1)).alias("_n"), F.min("_fv").alias("_f_lo"), F.max("_fv").alias("_f_hi"),
         F.min("_fr").alias("_r_lo"), F.max("_fr").alias("_r_hi"),
@@ -330,10 +330,9 @@ def validate_factor(factors: DataFrame, labels: DataFrame, universe: DataFrame,
         # The factor panel feeds four branches (pairs, distribution, autocorrelation,
         # coverage): compute it once into the shared checkpoint folder.
         factors = _materialize(clean_factors(factors).select(*FACTOR_COLUMNS, "_fv"))
-    pairs = evaluation_pairs(factors, labels)
-    ranked = ranked_pairs(pairs)
-    # One row per eligible date, read by the summary and the turnover.
-    daily = _materialize(daily_metrics(ranked, metadata.higher_is_better))
+    # Read by the daily metrics and the turnover.
+    ranked = _materialize(ranked_pairs(evaluation_pairs(factors, labels)))
+    daily = daily_metrics(ranked, metadata.higher_is_better)
     summary = ic_summary(daily)
     turnover = turnover_by_date(ranked, daily, metadata.higher_is_better).agg(F.avg("turnover").alias("turnover"))
     autocorr = autocorr_by_date(factors).agg(F.avg("autocorr").alias("factor_autocorr_1d"))
