@@ -39,9 +39,9 @@ from eqlake.llm.common import fix, on_equal, register, shuffle_partitions, table
 
 LONGEST = 5
 #: Bytes of text looked at together.
-SLICE = 8_000_000
+SLICE = 4_000_000
 #: Hashes that a task gathers before it sends them on; phrases or words that it counts before that.
-GATHERED, COUNTED = 4_000_000, 300_000
+GATHERED, COUNTED = 2_000_000, 200_000
 #: Phrases of one hash partition, about.
 MASS = 16_000_000
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
