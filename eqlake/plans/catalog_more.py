@@ -232,7 +232,7 @@ def q_clean_exchange(spark, sf_dir):
     "SELECT 'SSE' AS exchange, d AS cal_date, isodow(d) < 6 AS is_open, CAST(NULL AS DATE) AS pretrade_date FROM (SELECT DISTINCT CAST(ts AS DATE) AS d FROM events)",
 )
 def q_normalize_calendar(spark, sf_dir):
-    return N.normalize_trade_calendar(TD.raw_trade_calendar(spark, sf_dir), validate=False)
+    return N.normalize_trade_calendar(TD.raw_trade_calendar(spark, sf_dir))
 
 
 _BARS_BODY = """
@@ -249,7 +249,6 @@ def _norm_bars(spark, sf_dir):
         TD.raw_daily_ohlcv(spark, sf_dir),
         stock_st=TD.raw_stock_st(spark, sf_dir),
         stk_limit=TD.raw_stk_limit(spark, sf_dir),
-        validate=False,
     )
 
 
@@ -276,7 +275,7 @@ def q_universe_filter(spark, sf_dir):
 
 @register("normalize_adj", O.with_raw("SELECT ts_code, d AS trade_date, CAST(n_signup + 10 AS DOUBLE) / CAST(10 AS DOUBLE) AS cumulative_factor FROM kept"))
 def q_normalize_adj(spark, sf_dir):
-    return N.normalize_adj_factor(TD.raw_adj_factor(spark, sf_dir), validate=False)
+    return N.normalize_adj_factor(TD.raw_adj_factor(spark, sf_dir))
 
 
 _BASIC_BODY = """
@@ -297,7 +296,7 @@ FROM kept"""
 
 @register("normalize_basic", O.with_raw(_BASIC_BODY))
 def q_normalize_basic(spark, sf_dir):
-    return N.normalize_daily_basic(TD.raw_daily_basic(spark, sf_dir), validate=False)
+    return N.normalize_daily_basic(TD.raw_daily_basic(spark, sf_dir))
 
 
 @register(

@@ -10,7 +10,8 @@ from __future__ import annotations
 
 import hashlib
 import uuid
-from functools import cached_property
+from functools import cache, cached_property
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,9 +25,15 @@ from eqlake.sources import testdata as TD
 from eqlake.sources.store import fs_delete, fs_exists, fs_rename, has_parquet
 
 
+@cache
+def _code_version() -> str:
+    """Digest of the code that derives the panels: a panel that other code wrote is not taken."""
+    return hashlib.sha1(Path(TD.__file__).read_bytes()).hexdigest()[:16]
+
+
 def _source_key(spark: SparkSession, sf_dir: str, panel: str) -> str:
-    """Identity of a derived panel: source folder, panel and the source file's
-    length/modification time (Hadoop FileSystem, so any shared file system works)."""
+    """Identity of a derived panel: source folder, panel, the code that derives it and the source
+    file's length/modification time (Hadoop FileSystem, so any shared file system works)."""
     src = "lineitem" if panel == "lineitem" else "events"
     path = f"{sf_dir.rstrip('/')}/{src}.parquet"
     try:
@@ -36,7 +43,7 @@ def _source_key(spark: SparkSession, sf_dir: str, panel: str) -> str:
         stamp = f"{summary.getLength()}:{fs.getFileStatus(jp).getModificationTime()}"
     except Exception:  # noqa: BLE001 - missing source: the build itself reports it
         stamp = "na"
-    return hashlib.sha1(f"{path}|{panel}|{stamp}".encode()).hexdigest()[:16]
+    return hashlib.sha1(f"{path}|{panel}|{stamp}|{_code_version()}".encode()).hexdigest()[:16]
 
 
 def materialized(spark: SparkSession, sf_dir: str, panel: str, name: str, build) -> DataFrame:
@@ -61,8 +68,8 @@ def materialized(spark: SparkSession, sf_dir: str, panel: str, name: str, build)
     return spark.read.parquet(target)
 
 
-# Read handles of the written panel tables, per (session, folder, panel, table): the
-# tables stay in place for the session, so later queries skip the listing and footer reads.
+# Read handles of the written panel tables, per (application, source identity, table): the tables
+# stay in place for the session, so later queries skip the listing and footer reads.
 _TABLES: dict = {}
 
 
@@ -76,7 +83,7 @@ class Research:
     def _table(self, name: str, build) -> DataFrame:
         if not self.materialize:
             return build()
-        key = (id(self.spark._jsparkSession), self.sf_dir.rstrip("/"), self.panel_name, name)
+        key = (self.spark.sparkContext.applicationId, _source_key(self.spark, self.sf_dir, self.panel_name), name)
         df = _TABLES.get(key)
         if df is None:
             df = materialized(self.spark, self.sf_dir, self.panel_name, name, build)
