@@ -74,14 +74,16 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
-def on_equal(rows: DataFrame, values: DataFrame, keys: list[str], *, how: str = "left", share: int = 1000) -> DataFrame:
+def on_equal(rows: DataFrame, values: DataFrame, keys: list[str], *, how: str = "left", share: int = 1000, counts: DataFrame | None = None) -> DataFrame:
     """``rows`` joined with ``values`` (at most one row per key) on ``keys``, nulls equal to nulls.
 
     Keys that more than one in ``share`` rows have are at most ``share`` keys: their values are
     broadcast, so their rows stay where they are. The other keys' rows are shuffled, and no task
-    gets more than that share of one key. ``rows`` is read twice: give it fixed."""
+    gets more than that share of one key. ``rows`` is read twice: give it fixed. ``counts``: the
+    keys with their number of rows ``n``, where these are known."""
     total = rows.count()
-    hot = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") * share > total)
+    counted = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")) if counts is None else counts
+    hot = counted.where(F.col("n") * share > total)
     hot = fix(hot.select(*[F.col(f"`{k}`").alias(f"__{i}") for i, k in enumerate(keys)]))
     others = [F.col(f"`{c}`") for c in values.columns if c not in keys]
     right = values.select(*[F.col(f"`{k}`").alias(f"__{i}") for i, k in enumerate(keys)], *others)

@@ -371,7 +371,7 @@ def spans_of(docs: DataFrame, *, id_col: str = "doc_id", text: str = "text", len
     whole = windows.where("n > 1").select("wid", F.lit(0).alias("lo"), F.col("size").alias("hi"))
     runs = whole.unionByName(repeated_runs(windows_at(texts, grams, places, length), length))
     runs = fix(runs.groupBy("wid").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")))
-    met = on_equal(members.select("row", "start", "wid"), runs, ["wid"], how="inner")
+    met = on_equal(members.select("row", "start", "wid"), runs, ["wid"], how="inner", counts=windows.select("wid", "n"))
     span = F.struct((F.col("start") + F.col("lo")).alias("start"), (F.col("start") + F.col("hi")).alias("end"))
     return met.groupBy("row").agg(F.collect_set(span).alias("spans"))
 
