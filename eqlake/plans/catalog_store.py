@@ -25,6 +25,7 @@ from eqlake.plans import jobs as J
 from eqlake.plans import oracle as O
 from eqlake.plans.catalog import _eval_inputs, _eval_sql, _r, _REPORT_SQL, register
 from eqlake.plans.catalog_more import _BARS_BODY, _proc_sql, MID, pipeline_frame, _PIPE_CTES
+from eqlake.plans.incremental import advance_factors, start_state
 from eqlake.plans.research import Research
 from eqlake.session import checkpoint_dir
 from eqlake.sources import raw as R
@@ -396,3 +397,27 @@ def q_factor_report_checked(spark, sf_dir):
     r, factors = _eval_inputs(spark, sf_dir)
     report = EV.validate_factor(factors, r.labels, r.universe, FX.RETURN_5D)
     return _r(report.select(*EV.REPORT_COLUMNS, F.explode("coverage_by_date").alias("x")).select(*EV.REPORT_COLUMNS, "x.*"))
+
+
+# ---------------------------------------------------------------------------
+# PL1 day by day
+# ---------------------------------------------------------------------------
+
+
+@register(
+    "incremental_factors",
+    _proc_sql("""
+SELECT ts_code, trade_date, factor_name, round(pct, 9) AS factor_value, factor_version, round(raw_value, 9) AS raw_value, round(pct, 9) AS processed_value, quality_status
+FROM ranked WHERE trade_date > (SELECT max(trade_date) - 3 FROM ohlcv)"""),
+)
+def q_incremental_factors(spark, sf_dir):
+    """The panel's last three days, each from the day's rows and the carried state."""
+    store, r = Store(spark, _folder(spark)), Research(spark, sf_dir)
+    _write_bars(store, r.bars)
+    store.write_daily("adj_factor", r.adj, date_column="trade_date", key_columns=S.DAILY_KEY, columns=S.ADJ_FACTOR_COLUMNS)
+    store.replace_dimension("dim_trade_calendar", r.calendar, None, S.TRADE_CALENDAR_COLUMNS)
+    last = store.dates("ohlcv")[-1]
+    start_state(spark, store, ["return_5d"], last - _dt.timedelta(days=3))
+    for back in (2, 1, 0):
+        advance_factors(spark, store, ["return_5d"], last - _dt.timedelta(days=back), processor="rank_pct")
+    return _r(store.read("factors").select(*S.PROCESSED_FACTOR_COLUMNS))

@@ -74,7 +74,8 @@ def _validate_task(factor_names, start_date, end_date, processor) -> tuple[str,
     return names
 
 
-def _views(store: Store):
+def stored_inputs(store: Store):
+    """Bars, adjustment factors and calendar; each must have been loaded."""
     bars, adj, cal = store.read("ohlcv"), store.read("adj_factor"), store.read_dim("dim_trade_calendar")
     if bars is None or adj is None:
         raise ValueError("bars and adjustment factors must be loaded first")
@@ -105,7 +106,7 @@ def run_factor_pipeline(spark: SparkSession, store: Store, factor_names: Sequenc
         m = registry.get(n, factor_version)
         registry.calculator(m)
         metas.append(m)
-    bars, adj, cal = _views(store)
+    bars, adj, cal = stored_inputs(store)
     open_days = cal.filter((F.col("exchange") == "SSE") & F.col("is_open"))
     warm = LB.warmup_start_date(open_days, start_date, max(m.lookback_days for m in metas))
     input_rows = prune_months(bars, warm, end_date).filter(F.col("trade_date").between(F.lit(warm), F.lit(end_date))).count()
@@ -141,7 +142,7 @@ def run_factor_validation(spark: SparkSession, store: Store, factor_name: str, s
     factors = Q.factor_panel(prune_months(stored, start_date, end_date), start_date, end_date, factor_name, factor_version=factor_version)
     if not factors.limit(1).count():
         raise ValueError(f"empty factor input: name={factor_name}, version={factor_version}")
-    bars, adj, cal = _views(store)
+    bars, adj, cal = stored_inputs(store)
     open_days = cal.filter((F.col("exchange") == "SSE") & F.col("is_open") & (F.col("cal_date") >= F.lit(start_date)))
     # Calendar rows: ~250 a year, so the date list is bounded by the range.
     dates = [r[0] for r in open_days.select("cal_date").orderBy("cal_date").collect()]
