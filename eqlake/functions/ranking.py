@@ -76,8 +76,8 @@ def order_bucket(value: Column) -> Column:
     and sign, so buckets are narrow wherever values lie; null for null."""
     size = F.abs(value)
     octave = F.floor(F.log2(size))
-    step = F.floor((size / F.pow(F.lit(2.0), octave) - 1.0) * OCTAVE_STEPS)
-    step = F.greatest(F.least(step, F.lit(OCTAVE_STEPS - 1)), F.lit(0))  # where log2 was rounded up
+    step = F.floor((F.try_divide(size, F.pow(F.lit(2.0), octave)) - 1.0) * OCTAVE_STEPS)
+    step = F.greatest(F.least(step, F.lit(OCTAVE_STEPS - 1)), F.lit(0))  # where log2 was rounded
     place = (octave + 1_100) * OCTAVE_STEPS + step
     return F.when(size == 0, F.lit(0).cast("bigint")).when(value > 0, place).when(value < 0, -place)
 

@@ -75,3 +75,34 @@ def test_ranked_pairs_match_windows_on_panel(spark):
     cols = ["ts_code", "trade_date", "_rf", "_rr", "_q"]
     a = sorted(tuple(x) for x in got.select(*cols).collect())
     assert a and a == sorted(tuple(x) for x in want.select(*cols).collect())
+
+
+def test_order_buckets_never_fall(spark):
+    import math
+    import random
+
+    from eqlake.functions.ranking import order_bucket
+
+    rng = random.Random(8)
+    values = [0.0, -0.0, 5e-324, -5e-324, 1e-310, 2.0**-1074 * 3, 1.7e308, -1.7e308]
+    values += [s * math.nextafter(2.0**k, up) for k in range(-60, 61, 7) for up in (0.0, math.inf) for s in (1, -1)] + [2.0**k for k in range(-1074, 1024, 31)]
+    values += [rng.gauss(0, 10 ** rng.randint(-6, 6)) for _ in range(2_000)]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    got = sorted((r[0], r[1]) for r in df.select("v", order_bucket(F.col("v"))).collect())
+    assert all(a[1] <= b[1] for a, b in zip(got, got[1:]))
+    assert len({b for _, b in got}) > 1_000
+
+
+def test_selected_quantiles_are_exact(spark, monkeypatch):
+    import random
+
+    rng = random.Random(9)
+    values = [rng.choice([1.5, 2.5, rng.gauss(0, 1), rng.gauss(0, 1e-9) + 3, rng.expovariate(1) * 1e6]) for _ in range(5_001)]
+    df = spark.createDataFrame([(v,) for v in values] + [(None,)], "v double").cache()
+    ranks = [0, 1, 1_250, 2_500, 3_333, 5_000]
+    want = {r: sorted(values)[r] for r in ranks}
+    for few in (0, 3, 10_000):
+        monkeypatch.setattr(EV, "SELECTED_VALUES", few)
+        assert EV.order_statistics(df, "v", len(values), ranks) == want
+    assert EV.order_statistics(df.where("v > 1e12"), "v", 0, [0, -1]) == {}
+    assert tuple(EV.exact_quantiles(df.where("v IS NULL"), "v", {"p": 0.5}).first()) == (None,)
