@@ -61,7 +61,8 @@ def test_oracles_on_the_given_tables(spark):
     import duckdb
 
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{SMALL}/documents.parquet')")
+    for table in ("documents", "embeddings"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{SMALL}/{table}.parquet')")
     for name, sql in ORACLE.items():
         got = QUERIES[name](spark, SMALL).toPandas()
         want = con.execute(sql).df()
