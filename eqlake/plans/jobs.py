@@ -205,15 +205,16 @@ def load_checked(spark: SparkSession, store: Store, raw_root: str, task: R.ETLTa
     ``days`` restricts a daily load to the files of some days; ``need_st`` says whether the ST list
     must be there (default: from the day on that such lists exist)."""
     if task.dataset == "trade-calendar":
-        raw = R.read_raw(spark, raw_root, task)
-        cal = N.clip_calendar(N.normalize_trade_calendar(raw, task), task)
+        raw = R.read_raw(spark, raw_root, task, ["cal_date", "is_open"])
         if task.dry_run:
-            return LoadResult(task.dataset, cal.count())
+            return LoadResult(task.dataset, N.clip_calendar(N.normalize_trade_calendar(raw), task).count())
         # The task's exchange in the task's range, also when no row came.
         pred = (F.col("exchange") == task.exchange) & F.col("cal_date").between(F.lit(task.start_date), F.lit(task.end_date))
-        return LoadResult(task.dataset, store.replace_dimension("dim_trade_calendar", cal, pred, S.TRADE_CALENDAR_COLUMNS))
+        with store.staged(N.checked_trade_calendar(raw)) as staged:
+            cal = N.clip_calendar(N.normalised(staged, True), task)
+            return LoadResult(task.dataset, store.replace_dimension("dim_trade_calendar", cal, pred, S.TRADE_CALENDAR_COLUMNS))
     if task.dataset == "stock-basic":
-        sec = N.normalize_stock_basic(R.read_raw(spark, raw_root, task))
+        sec = N.normalize_stock_basic(R.read_raw(spark, raw_root, task, S.SECURITY_COLUMNS))
         if task.dry_run:
             return LoadResult(task.dataset, sec.count())
         return LoadResult(task.dataset, store.replace_dimension("dim_security", sec, None, S.SECURITY_COLUMNS))
