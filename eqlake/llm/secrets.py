@@ -40,7 +40,7 @@ KINDS: dict[str, tuple[str, int, int, str]] = {
     # A run of 32 or more is its own leftmost match, so the bound may stand in the pattern.
     "hex": (r"[0-9a-f]{32,}", 0, 32, r"[0-9a-f]{32}"),
     "ident": (r"(?i)\b(?:user(?:name|_?id)?|login|account|client_?id|key_?id)[\"']?\x20*[:=]\x20*[\"']?[A-Za-z0-9@._-]{3,}", 0, 3, r"(?i)\b(?:user|login|account|client_?id|key_?id)[a-z_]{0,4}[\"']?\x20*[:=]"),
-    "token": (r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]{0,63}[0-9])[A-Za-z0-9+/_-]{40,}", 0, 40, r"[A-Za-z0-9+/_-]{40}"),
+    "token": (r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*+[0-9])[A-Za-z0-9+/_-]{40,}", 0, 40, r"[A-Za-z0-9+/_-]{40}"),
     "endpoint": (r"(?i)\b(?:https?|jdbc:[a-z0-9]+|[a-z]+sql|mongodb|redis|amqp|s3)://[^\s\"'<>]+", 0, 8, r"://"),
 }
 BLANK = r"\n[\x20\t\r]*\n"
