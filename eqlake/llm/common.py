@@ -70,6 +70,15 @@ def written(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
+def numbered(docs: DataFrame) -> DataFrame:
+    """``docs`` as a written table of ``row`` (a number of its own for every row) and ``doc`` (a struct of
+    all columns, so that no name clashes). Joins on ``row`` do not depend on ids being there or unique."""
+    folder = f"{checkpoint_dir(docs.sparkSession).rstrip('/')}/rows-{uuid.uuid4().hex}"
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
+    rows.write.option("compression", "zstd").parquet(folder)
+    return docs.sparkSession.read.schema(rows.schema).parquet(folder)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eqlake.llm.common import ascii_lower, fix, register, shuffle_partitions, table, text_of
+from eqlake.llm.common import ascii_lower, fix, numbered, register, shuffle_partitions, table, text_of
 
 _RUN = "digest binary, n_bytes bigint, check bigint, best bigint, best_row bigint, n bigint"
 _NAMES = [c.split()[0] for c in _RUN.split(", ")]
@@ -111,13 +111,12 @@ def exact_groups(docs: DataFrame, *, text: str = "text", keep: str = "max", roun
 
 
 def exact_dedup(docs: DataFrame, *, text: str = "text", keep: str = "max") -> DataFrame:
-    """``docs`` with one row per distinct normalised text, every column kept."""
-    kept = exact_groups(docs, text=text, keep=keep).where("kept").select(F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__sha"))
-    own = F.sha2(ascii_lower(text_of(text)), 256)
-    # The digest as a prefix test: as a join key every row would compute it several times.
-    out = docs.join(kept, docs["doc_id"].eqNullSafe(kept["__id"]) & F.startswith(own, F.col("__sha")))
-    # Rows that share id and text survive the join together; one of them stays.
-    return out.dropDuplicates(["__id", "__sha"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    """``docs`` with one row per distinct normalised text, every column kept. Rows are met by their
+    numbers, so null and repeated ids cost no more than others."""
+    rows = numbered(docs)
+    digests = rows.select(F.col("doc.doc_id").alias("doc_id"), *_digests(rows, f"doc.`{text}`"), "row")
+    stays = tree_merge(digests, keep).select(F.col("best_row").alias("row"))
+    return rows.join(stays, "row", "left_semi").select("doc.*")
 
 
 ORACLE_SQL = """

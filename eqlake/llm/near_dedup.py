@@ -31,16 +31,18 @@ repeated rows get equal results; an empty table gives no rows; extra columns are
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eqlake.llm.chunks import release_caches
-from eqlake.llm.common import ascii_lower, fix, register, table, text_of, words_of
+from eqlake.llm.chunks import groups_by_size, release_caches
+from eqlake.llm.common import fix, numbered, register, table, text_of
 
 BANDS, ROWS = 30, 5
 REGISTERS = BANDS * ROWS
@@ -48,6 +50,8 @@ BASE, RATE, TOP = 1.001, 20.0, 65_534
 #: Estimates this far below the threshold are not verified: over 5 standard deviations at 150 registers.
 MARGIN = 0.17
 BITS = 2_048
+#: Odd multiplier that mixes hashes (2^64 by the golden ratio).
+_MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
 class SetSketch:
@@ -104,40 +108,46 @@ def estimate(greater: np.ndarray, less: np.ndarray, registers: int, n_a: np.ndar
     return (lo + hi) / 2
 
 
-def shingles(words: Column, k: int) -> Column:
-    """Distinct hashes of the k-word shingles of an array of words; of the whole sequence if it is shorter."""
-    n = F.size(words)
-    shifted = [F.slice(words, i + 1, F.greatest(n - (k - 1), F.lit(0))).alias(f"w{i}") for i in range(k)]
-    each = F.transform(F.arrays_zip(*shifted), lambda x: F.xxhash64(*[x[f"w{i}"] for i in range(k)]))
-    none = F.expr("cast(array() as array<bigint>)")
-    return F.when(n >= k, F.array_distinct(each)).when(n > 0, F.array(F.xxhash64(F.lit(k), n, F.array_join(words, " ")))).otherwise(none)
+def words_in(text: bytes) -> list[bytes]:
+    """Words of a UTF-8 text, A-Z lower-cased (bytes know no other letters and no other white space)."""
+    return text.lower().split()
 
 
-def _prepared(docs: DataFrame, text: str, k: int) -> DataFrame:
-    """doc_id, digest of the words, shingles."""
-    w = docs.select("doc_id", words_of(ascii_lower(text_of(text))).alias("w"))
-    return w.select("doc_id", F.unhex(F.sha2(F.array_join("w", " "), 256)).alias("digest"), shingles(F.col("w"), k).alias("shingles"))
+def shingle_set(words: list[bytes], k: int) -> np.ndarray:
+    """Distinct hashes of the k-word shingles, ascending; of the whole sequence if it is shorter."""
+    n = len(words)
+    if n < k:
+        return np.array([xxhash.xxh64_intdigest(b" ".join(words), n)] if n else [], np.uint64)
+    each = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, n)
+    mixed = each[: n - k + 1].copy()
+    for i in range(1, k):
+        mixed *= _MIX
+        mixed += each[i : n - k + 1 + i]
+    mixed ^= mixed >> np.uint64(32)
+    mixed *= _MIX
+    return np.unique(mixed ^ (mixed >> np.uint64(29)))
 
 
-def sketch_documents(docs: DataFrame, *, text: str = "text", k: int = 4) -> DataFrame:
-    """doc_id, digest, n_shingles, sketch (little-endian 16-bit registers) of every document."""
+def sketch_documents(rows: DataFrame, k: int = 4) -> DataFrame:
+    """row, doc_id, digest of the words, n_shingles, sketch (little-endian 16-bit registers) of every
+    (row, doc_id, t). Words, shingles and registers are made in one place: only texts cross to Python."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         release_caches()
         sketcher = SetSketch()
         for b in batches:
-            sets = b.column(2)
-            at, values = sets.offsets.to_numpy(), sets.values.to_numpy(zero_copy_only=False).view(np.uint64)
-            digests = b.column(1).to_pylist()
-            made: dict[bytes, bytes] = {}  # copies within the batch
-            out = []
-            for i, d in enumerate(digests):
-                if d not in made:
-                    made[d] = sketcher.registers(values[at[i] : at[i + 1]]).astype("<u2").tobytes()
-                out.append(made[d])
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(np.diff(at), pa.int64()), pa.array(out, pa.binary())], names=["doc_id", "digest", "n_shingles", "sketch"])
+            made: dict[bytes, tuple[int, bytes]] = {}  # copies within the batch
+            digests = []
+            for t in b.column(2).cast(pa.binary()):
+                words = words_in(t.as_py())
+                digests.append(hashlib.sha256(b" ".join(words)).digest())
+                if digests[-1] not in made:
+                    found = shingle_set(words, k)
+                    made[digests[-1]] = len(found), sketcher.registers(found).astype("<u2").tobytes()
+            sizes, sketches = pa.array([made[d][0] for d in digests], pa.int64()), pa.array([made[d][1] for d in digests], pa.binary())
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(digests, pa.binary()), sizes, sketches], names=["row", "doc_id", "digest", "n_shingles", "sketch"])
 
-    return _prepared(docs, text, k).mapInArrow(run, "doc_id bigint, digest binary, n_shingles bigint, sketch binary")
+    return rows.select("row", "doc_id", "t").mapInArrow(run, "row bigint, doc_id bigint, digest binary, n_shingles bigint, sketch binary")
 
 
 def band_keys(sketch: str = "sketch") -> Column:
@@ -194,19 +204,25 @@ def _ordered(x: str, y: str) -> list[Column]:
 
 def near_groups(docs: DataFrame, *, text: str = "text", k: int = 4, percent: int = 80) -> DataFrame:
     """Per row of ``docs``: doc_id, digest, n_shingles, component_id, kept."""
-    sketched = fix(sketch_documents(docs, text=text, k=k))
+    return _groups(numbered(docs.select("doc_id", F.col(f"`{text}`").alias("t"))), "t", k, percent).drop("row")
+
+
+def _groups(rows: DataFrame, text: str, k: int, percent: int) -> DataFrame:
+    """``near_groups`` of numbered rows, with their numbers."""
+    rows = rows.select("row", F.col("doc.doc_id").cast("bigint").alias("doc_id"), text_of(f"doc.`{text}`").alias("t"))
+    sketched = fix(sketch_documents(rows, k))
     classes = sketched.where("n_shingles > 0").groupBy("digest").agg(
-        F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch")
+        F.min("doc_id").alias("doc_id"), F.min("row").alias("row"), F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch")
     )
     classes = fix(classes.withColumn("node", F.monotonically_increasing_id()))
 
-    rows = classes.select("node", F.explode(band_keys()).alias("key"))
-    shared = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    met = rows.join(shared, "key")
+    banded = classes.select("node", F.explode(band_keys()).alias("key"))
+    shared = banded.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    met = banded.join(shared, "key")
     members = fix(met.join(met.groupBy("node").agg(F.sum("n").alias("meets")), "node").select("key", "node", "meets"))
     heads = members.groupBy("key").agg(F.max(F.struct("meets", "node"))["node"].alias("rep"))
     stars = fix(members.join(heads, "key").where("node <> rep").select(*_ordered("node", "rep")).distinct())
-    sets = fix(_sets(docs, members, classes, text, k))
+    sets = fix(_sets(rows, members, classes, k))
     first = fix(verified(_might_link(stars, classes, percent), sets, percent))
     found = components(first)
 
@@ -225,26 +241,25 @@ def near_groups(docs: DataFrame, *, text: str = "text", k: int = 4, percent: int
     # Of a component without any id, the head's rows are kept.
     named_or_head = F.col("component_id").isNotNull() | (F.col("digest") == F.col("head"))
     return out.select(
-        "doc_id", "digest", "n_shingles",
+        "row", "doc_id", "digest", "n_shingles",
         F.when(alone, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
         F.coalesce(alone | (F.col("doc_id").eqNullSafe(F.col("component_id")) & named_or_head), F.lit(False)).alias("kept"),
         (alone | (F.col("digest") == F.col("head"))).alias("is_head"),
     )
 
 
-def _sets(docs: DataFrame, members: DataFrame, classes: DataFrame, text: str, k: int) -> DataFrame:
+def _sets(rows: DataFrame, members: DataFrame, classes: DataFrame, k: int) -> DataFrame:
     """(node, shingles) of the classes that share a band, from the whole text of one of their rows."""
-    wanted = members.select("node").distinct().join(classes.select("node", "doc_id", F.hex("digest").alias("want")), "node")
-    rows = docs.select("doc_id", text_of(text).alias("t")).join(wanted, "doc_id").select("node", "want", "t")
-    # Rows without an id are known by their words: one row of each class, met on its digest.
-    own = F.sha2(F.array_join(words_of(ascii_lower(F.col("t"))), " "), 256)
-    nameless = docs.where(F.col("doc_id").isNull()).select(text_of(text).alias("t")).select(F.upper(own).alias("want"), "t").dropDuplicates(["want"])
-    rows = rows.unionByName(nameless.join(wanted.where(F.col("doc_id").isNull()), "want").select("node", "want", "t"))
-    again = _prepared(rows.select(F.struct("node", "want").alias("doc_id"), "t"), "t", k)
-    # Rows may share a doc_id and differ in text: the digest tells which one the class stands for.
-    # (As a prefix test, so that it is no join key that all rows would have to compute.)
-    own = again.where(F.startswith(F.hex("digest"), F.col("doc_id.want")))
-    return own.select("doc_id.node", "shingles").dropDuplicates(["node"])
+    wanted = members.select("node").distinct().join(classes.select("node", "row"), "node")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            texts = b.column(1).cast(pa.binary()).to_pylist()
+            for some in groups_by_size(texts):
+                sets = [shingle_set(words_in(texts[i]), k).view(np.int64) for i in some]
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(some[0], len(some)), pa.array(sets, pa.list_(pa.int64()))], names=["node", "shingles"])
+
+    return rows.join(wanted, "row").select("node", "t").mapInArrow(run, "node bigint, shingles array<bigint>")
 
 
 def _open(members: DataFrame, found: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -291,15 +306,13 @@ def _across(rest: DataFrame, percent: int) -> DataFrame:
 
 def near_dedup(docs: DataFrame, *, text: str = "text", k: int = 5, percent: int = 80) -> DataFrame:
     """``docs`` with one document of each near-duplicate group; all columns stay. Of rows that repeat
-    the group's id and text one stays; documents without words all stay."""
-    groups = near_groups(docs, text=text, k=k, percent=percent).where(F.col("kept") & F.col("is_head"))
-    kept = groups.select(F.col("doc_id").alias("__id"), F.col("digest").alias("__digest"), (F.col("n_shingles") == 0).alias("__empty")).distinct()
-    own = F.sha2(F.array_join(words_of(ascii_lower(text_of(text))), " "), 256)
-    # The digest as a prefix test: as a join key every row would compute it several times.
-    out = docs.join(kept, docs["doc_id"].eqNullSafe(kept["__id"]) & F.startswith(own, F.lower(F.hex("__digest"))))
-    # Rows that share id and words: one of a group stays.
-    unique = F.when(F.col("__empty"), F.monotonically_increasing_id()).otherwise(F.lit(-1))
-    return out.withColumn("__row", unique).dropDuplicates(["__id", "__digest", "__row"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    the group's id and text one stays; documents without words all stay. Rows are met by their
+    numbers, so null and repeated ids cost no more than others."""
+    rows = numbered(docs)
+    groups = _groups(rows, text, k, percent).where(F.col("kept") & F.col("is_head"))
+    heads = groups.where("n_shingles > 0").groupBy("digest").agg(F.min("row").alias("row")).select("row")
+    stays = heads.unionByName(groups.where("n_shingles = 0").select("row"))
+    return rows.join(stays, "row", "left_semi").select("doc.*")
 
 
 ORACLE_SQL = r"""
