@@ -14,6 +14,7 @@ from collections.abc import Callable, Iterable
 from weakref import WeakSet
 
 import pyarrow as pa
+import pyarrow.compute as pc
 
 _CUT = re.compile(r" (?=\S)")
 _NO_CUT = re.compile(r" (?!\S)")
@@ -31,6 +32,14 @@ def cut(text: str) -> list[str]:
     return chunks if chunks[0] else chunks[1:]
 
 
+def cut_all(texts: list[str]) -> pa.ListArray:
+    """``cut`` of every text as one Arrow array (a text that begins with a cut has an empty first chunk)."""
+    if any("\0" in t for t in texts):  # the mark stands in a text
+        return pa.array([cut(t) for t in texts], pa.list_(pa.large_string()))
+    marked = ["\0".join(cut(t)) if _NO_CUT.search(t) else t.replace(" ", "\0 ") for t in texts]
+    return pc.split_pattern(pa.array(marked, pa.large_string()), "\0")
+
+
 def may_split(chunk: str) -> bool:
     """False where ``parts`` would return the chunk as it is."""
     return "\n" in chunk or chunk[-1:] not in _LETTERS
@@ -90,6 +99,27 @@ class ChunkCache:
         return self.known
 
 
+class AgedChunkCache(ChunkCache):
+    """A cache of two generations of at most ``limit`` chunks and ``limit_chars`` characters each: a
+    full one becomes the old one, and what is asked for again moves back, so frequent chunks stay known."""
+
+    def clear(self) -> None:
+        super().clear()
+        self.old: dict[str, object] = {}
+
+    def learn(self, docs: list[list[str]]) -> dict[str, object]:
+        """Make every chunk of ``docs`` known and return the mapping."""
+        if len(self.known) > self.limit or self.chars > self.limit_chars:
+            self.old, self.known, self.chars = self.known, {}, 0
+        unmet = set().union(*docs).difference(self.known)
+        again = [c for c in unmet if c in self.old]
+        missing = list(unmet.difference(again))
+        self.known.update(zip(again, map(self.old.__getitem__, again)))
+        self.known.update(zip(missing, self.encode(missing)))
+        self.chars += sum(map(len, unmet))
+        return self.known
+
+
 def groups_by_size(texts: list[str], limit: int = 4_000_000) -> Iterable[list[int]]:
     """Consecutive row numbers whose texts hold about ``limit`` characters (one long text stands alone)."""
     rows: list[int] = []

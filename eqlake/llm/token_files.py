@@ -41,7 +41,7 @@ from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from eqlake.llm.chunks import ChunkCache, cut, groups_by_size, may_split, parts
+from eqlake.llm.chunks import AgedChunkCache, ChunkCache, cut_all, groups_by_size, may_split, parts
 from eqlake.llm.common import fix, register, shuffle_partitions, table, text_of
 from eqlake.session import checkpoint_dir
 
@@ -192,14 +192,27 @@ def encode_ids(chunks: list[str], path: str, join: int = 400) -> Iterator[bytes]
 def _chunks(path: str) -> ChunkCache:
     """One cache per worker process, so that its tasks share what they learn. The pieces of
     unknown chunks have a cache of their own: words come with many signs behind them."""
-    pieces = ChunkCache(lambda new: encode_ids(new, path))
+    pieces = AgedChunkCache(lambda new: encode_ids(new, path), limit=400_000, limit_chars=11_000_000)
 
     def encode(chunks: list[str]) -> list[bytes]:
-        split = {c: parts(c) for c in chunks if may_split(c)}
-        known = pieces.learn([[c for c in chunks if c not in split], *split.values()])
-        return [b"".join(map(known.__getitem__, split[c])) if c in split else known[c] for c in chunks]
+        split = [parts(c) if may_split(c) else None for c in chunks]
+        known = pieces.learn([[c for c, p in zip(chunks, split) if p is None], *filter(None, split)])
+        return [known[c] if p is None else b"".join(map(known.__getitem__, p)) for c, p in zip(chunks, split)]
 
-    return ChunkCache(encode)
+    return AgedChunkCache(encode, limit=400_000, limit_chars=11_000_000)
+
+
+def encode_documents(texts: list[str], cache: ChunkCache) -> list[bytes]:
+    """Ids of each text, as bytes. Arrow cuts the texts, tells equal chunks and deals their ids out
+    again; Python meets each distinct chunk once."""
+    chunks = cut_all(texts)
+    coded = chunks.values.dictionary_encode()
+    distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+    known = cache.learn([distinct])
+    dealt = pa.array([known[c] for c in distinct], pa.large_binary()).take(coded.indices)
+    starts = np.frombuffer(dealt.buffers()[1], np.int64)[chunks.offsets.to_numpy()].tolist()
+    data = memoryview(dealt.buffers()[2] or b"")
+    return [bytes(data[a:b]) for a, b in zip(starts, starts[1:])]
 
 
 _MANIFEST = "file int, path string, n_docs bigint, n_tokens bigint, n_bytes bigint"
@@ -229,11 +242,9 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer_path: str, *, end_
                 partial, path = f"{root}/.{file:06d}-{uuid.uuid4().hex}", f"{root}/ids-{file:06d}.zst"
                 sink = store.open_output_stream(partial)
                 writer = FrameWriter(sink, frame_ids)
-            for rows in groups_by_size(texts):
-                docs_ = [cut(texts[i]) for i in rows]
-                known = cache.learn(docs_)
-                for i, chunks in zip(rows, docs_):
-                    writer.add(ids[i], b"".join(map(known.__getitem__, chunks)) + end)
+            for rows in groups_by_size(texts, 8_000_000):
+                for i, encoded in zip(rows, encode_documents([texts[i] for i in rows], cache)):
+                    writer.add(ids[i], encoded + end)
                     done += 1
         if writer is not None:
             writer.close()

@@ -13,7 +13,7 @@ import pytest
 
 from conftest import SMALL
 from eqlake.llm import bpe, exact_dedup, language_id, mixing, near_dedup, quality, secrets, token_files, toxicity, warc
-from eqlake.llm.chunks import ChunkCache, cut, release_caches
+from eqlake.llm.chunks import AgedChunkCache, ChunkCache, cut, release_caches
 from eqlake.llm.queries import ORACLE, QUERIES
 
 P = pytest.importorskip("public_tokenizers")
@@ -135,9 +135,25 @@ def test_cached_pieces_give_the_library_ids():
         for c in chunks:
             assert "".join(parts(c)) == c and (may_split(c) or parts(c) == [c])
     known = cache.learn([cut(t) for t in texts])
-    for t in texts:
-        want = np.array(library.encode(t, add_special_tokens=False).ids, dtype="<u4").tobytes()
-        assert b"".join(known[c] for c in cut(t)) == want, repr(t)
+    want = [np.array(library.encode(t, add_special_tokens=False).ids, dtype="<u4").tobytes() for t in texts]
+    for t, w in zip(texts, want):
+        assert b"".join(known[c] for c in cut(t)) == w, repr(t)
+    assert token_files.encode_documents(texts, cache) == want
+    plain = [(t, w) for t, w in zip(texts, want) if "\0" not in t]
+    assert token_files.encode_documents([t for t, _ in plain], cache) == [w for _, w in plain]
+
+
+def test_frequent_chunks_outlive_a_full_cache():
+    asked: list[str] = []
+    cache = AgedChunkCache(lambda new: asked.extend(new) or [c.upper() for c in new], limit=3)
+    for k in range(20):
+        batch = [["the", f"w{k}"], [f"v{k}"]]
+        known = cache.learn(batch)
+        assert all(known[c] == c.upper() for d in batch for c in d)
+        assert len(cache.known) + len(cache.old) <= 2 * (3 + 3)
+    assert asked.count("the") == 1 and len(asked) == 41
+    cache.learn([["w0"]])
+    assert asked.count("w0") == 2
 
 
 def test_token_files(spark, docs, empty, tmp_path):
@@ -273,6 +289,38 @@ def test_near_copies_without_ids(spark):
     assert len({r["text"] for r in kept if r["doc_id"] is None} & {t for d, t in rows[:3]}) == 1
 
 
+CLASHING = "doc_id long, text string, row string, doc string, t string, __id string, `a.b` string, digest string"
+
+
+def _copies(ids):
+    """Texts, two thirds of them copies of one, with the given ids and columns whose names clash."""
+    rng = random.Random(3)
+    body = " ".join(rng.choice(FILLER) + str(rng.randint(0, 999)) for _ in range(60))
+    texts = [body if i % 3 else f"{body} {' '.join(f'z{rng.randint(0, 10**9)}' for _ in range(60))}" for i in range(len(ids))]
+    return [(d, t, f"r{i}", "d", "t", "i", "a", "g") for i, (d, t) in enumerate(zip(ids, texts))]
+
+
+@pytest.mark.parametrize("ids", [[None] * 600, [7] * 600, list(range(600))], ids=["null", "equal", "unique"])
+def test_dedup_whatever_the_ids(spark, ids):
+    rows = _copies(ids)
+    frame = spark.createDataFrame(rows, CLASHING).repartition(4)
+    for got in (exact_dedup.exact_dedup(frame), near_dedup.near_dedup(frame)):
+        assert got.columns == frame.columns
+        found = [tuple(r) for r in got.collect()]
+        assert set(found) <= set(rows) and sorted(r[1] for r in found) == sorted({r[1] for r in rows})
+    labels = near_dedup.near_groups(frame).collect()
+    assert len(labels) == len(rows)
+
+
+def test_shingles_of_bytes():
+    for text in [*filter(None, _texts()), "A b\x0bC\x0cd\x1ce \x85f", "É é É é", "a b c d a b c d a b c d"]:
+        words = near_dedup.words_in(text.encode())
+        assert [w.decode() for w in words] == WORDS.findall(_ascii_lower(text))
+        assert len(near_dedup.shingle_set(words, 4)) == len(_set(text, 4))
+    same = [near_dedup.shingle_set(w.split(), 2).tolist() for w in (b"a b c", b"b c a", b"a b", b"a", b"b")]
+    assert len(set(same[0]) & set(same[1])) == 1 and same[2][0] in same[0] and same[3] != same[4]
+
+
 def test_setsketch_merges_and_estimates():
     rng = np.random.default_rng(0)
     pool = rng.integers(0, 1 << 63, 1300, dtype=np.uint64)
@@ -444,6 +492,15 @@ def test_reach_is_the_gap_between_parts(spark):
     assert all("ident" in got[i] for i in (0, 1, 2, 4, 5)) and "ident" not in got[3] + got[6]
 
 
+def test_tokens_of_any_letters_before_the_first_digit(spark):
+    texts = [f"user: alice {'aB+/' * 40}"[:n] + digit + "c" * tail for n in (52, 75, 76, 83, 150, 172) for digit in ("7", "x") for tail in (0, 9, 60)]
+    texts.append("user: alice " + "x" * 200_000 + "1")
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["spans"] for r in secrets.scan(frame).collect()}
+    assert got == {i: _linked(t, secrets.REACH) for i, t in enumerate(texts)}
+    assert all(("token" in got[i]) == any(c.isdigit() for c in t) for i, t in enumerate(texts))
+
+
 # --- 4 ------------------------------------------------------------------------------------
 
 
