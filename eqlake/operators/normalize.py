@@ -14,6 +14,7 @@ of what it staged, and publishes nothing if there are any. ``normalize_*`` with
 from __future__ import annotations
 
 import datetime as _dt
+import logging
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -36,6 +37,8 @@ from eqlake.functions.parsing import (
 from eqlake.operators.contracts import RULES, require_columns
 from eqlake.sources.raw import ETLTask
 
+log = logging.getLogger("eqlake.normalize")
+
 # First trading day of the Beijing exchange; B-share code prefixes.
 BJ_EXCHANGE_OPEN_DATE = _dt.date(2021, 11, 15)
 B_SHARE_PREFIXES = (("900", ".SH"), ("200", ".SZ"))
@@ -113,10 +116,16 @@ def check_report(checked: DataFrame) -> CheckReport:
     return CheckReport(sum(r["n"] for r in found if r["kind"] == "kept"), named("failed"), named("anomaly"))
 
 
-def normalised(checked: DataFrame, validate: bool) -> DataFrame:
-    """The kept rows of a checked frame; with ``validate`` any failure is an error."""
+def normalised(checked: DataFrame, validate: bool | str) -> DataFrame:
+    """The kept rows of a checked frame; with ``validate`` any failure is an error, with
+    ``"report"`` it is logged and the rows stay."""
     if validate:
-        check_report(checked).raise_failures()
+        report = check_report(checked)
+        if validate == "report":
+            for message, n, samples in report.failures:
+                log.error("%s: %s (%d rows)", message, list(samples), n)
+        else:
+            report.raise_failures()
     return checked.where("_kept").drop(*CHECK_COLUMNS)
 
 
@@ -296,7 +305,7 @@ def _with_contract(df: DataFrame, kind: str, label: str, first: int, anomalies:
 
 
 def normalize_daily_ohlcv(raw: DataFrame, task: ETLTask | None = None, *, stock_st: DataFrame | None = None,
-                          stk_limit: DataFrame | None = None, validate: bool = True) -> DataFrame:
+                          stk_limit: DataFrame | None = None, validate: bool | str = True) -> DataFrame:
     """N2."""
     return normalised(checked_daily_ohlcv(raw, task, stock_st=stock_st, stk_limit=stk_limit), validate)
 

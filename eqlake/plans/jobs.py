@@ -181,13 +181,14 @@ OPTIONAL_RAW = {
 
 @dataclass(frozen=True)
 class LoadResult:
-    """What a load did: kept raw rows, the months they went to, and the anomalies of valuations as
-    (field, rows, up to three codes)."""
+    """What a load did: kept raw rows, the months they went to, the anomalies of valuations as
+    (field, rows, up to three codes), and the failed checks of rows that were set aside."""
 
     dataset: str
     rows: int
     months: tuple[tuple[int, int], ...] = ()
     anomalies: tuple[tuple[str, int, tuple[str, ...]], ...] = ()
+    failures: tuple[tuple[str, int, tuple[str, ...]], ...] = ()
 
 
 def load(spark: SparkSession, store: Store, raw_root: str, task: R.ETLTask) -> int:
@@ -196,12 +197,13 @@ def load(spark: SparkSession, store: Store, raw_root: str, task: R.ETLTask) -> i
 
 
 def load_checked(spark: SparkSession, store: Store, raw_root: str, task: R.ETLTask, *, days: Sequence[_dt.date] | None = None,
-                 need_st: bool | None = None) -> LoadResult:
+                 need_st: bool | None = None, set_aside: bool = False) -> LoadResult:
     """O2 / N8 with its report.
 
     The raw rows are read and parsed once, into a staged copy that holds every row with its failed
     checks. If any check failed, the failing rows go to the quarantine folder, nothing is published
-    and the first failure is raised. Rows of a key keep the order of the files and of their lines.
+    and the first failure is raised; with ``set_aside`` (daily loads) the other rows are published
+    and the failures are logged and reported instead. Rows of a key keep the order of the files and of their lines.
     ``days`` restricts a daily load to the files of some days; ``need_st`` says whether the ST list
     must be there (default: from the day on that such lists exist)."""
     if task.dataset == "trade-calendar":
@@ -247,12 +249,13 @@ def load_checked(spark: SparkSession, store: Store, raw_root: str, task: R.ETLTa
         if report.failures:
             where = store.quarantine(target, staged.where(F.size("_failed") > 0))
             log.error("%s: %d checks failed, rows in %s", task.dataset, len(report.failures), where)
-            report.raise_failures()
+            if not set_aside:
+                report.raise_failures()
         for field, n, codes in report.anomalies:
             log.error("%s: %s missing or not above zero in %d rows, e.g. %s", task.dataset, field, n, ", ".join(codes))
-        batch = staged.where("_kept").drop(*N.CHECK_COLUMNS).withColumnRenamed("_position", "_seq")
+        batch = staged.where(F.col("_kept") & (F.size("_failed") == 0)).drop(*N.CHECK_COLUMNS).withColumnRenamed("_position", "_seq")
         counts = store.upsert_staged(target, batch, date_column="trade_date", key_columns=S.DAILY_KEY, columns=columns)
-    return LoadResult(task.dataset, report.rows, tuple(sorted(counts)), report.anomalies)
+    return LoadResult(task.dataset, sum(counts.values()), tuple(sorted(counts)), report.anomalies, report.failures)
 
 
 def backfill(spark: SparkSession, store: Store, raw_root: str, task: R.ETLTask, frame: DataFrame) -> int:

@@ -332,6 +332,11 @@ class Store:
         rows.write.parquet(folder)
         return folder
 
+    def quarantined(self, dataset: str) -> DataFrame | None:
+        """All rows that loads refused so far; ``None`` where there are none."""
+        folder = f"{self.root}/quarantine/{validate_identifier(dataset)}"
+        return self.spark.read.parquet(folder).drop("run") if has_parquet(self.spark, folder) else None
+
     def upsert_staged(self, dataset: str, batch: DataFrame, *, date_column: str, key_columns: Sequence[str],
                       columns: Sequence[str]) -> dict[tuple[int, int], int]:
         """Upsert rows that are written already, with their ``_seq``, ``year`` and ``month``."""

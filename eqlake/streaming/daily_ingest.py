@@ -61,22 +61,24 @@ def complete_days(touched: DataFrame, dataset: str, wait_for: Sequence[str]) ->
     return sorted(_dt.datetime.strptime(r["file_date"], "%Y%m%d").date() for r in ready.select("file_date").collect())
 
 
-def load_days(spark: SparkSession, store: Store, raw_root: str, source: str, dataset: str, days: Sequence[_dt.date], *, need_st: bool = False) -> int:
+def load_days(spark: SparkSession, store: Store, raw_root: str, source: str, dataset: str, days: Sequence[_dt.date], *, need_st: bool = False,
+              set_aside: bool = False) -> int:
     """Load the files of some days; returns the number of loaded rows."""
     if not days:
         return 0
     task = R.ETLTask(dataset, source, days[0], days[-1])
-    return J.load_checked(spark, store, raw_root, task, days=days, need_st=need_st).rows
+    return J.load_checked(spark, store, raw_root, task, days=days, need_st=need_st, set_aside=set_aside).rows
 
 
 def start_daily_ingest(spark: SparkSession, store: Store, raw_root: str, source: str, dataset: str, checkpoint: str, *,
                        wait_for: Sequence[str] | None = None, available_now: bool = False, processing_time: str | None = None,
-                       max_files_per_trigger: int | None = None):
+                       max_files_per_trigger: int | None = None, set_aside: bool = False):
     """Start the ingest stream for one daily dataset; returns the ``StreamingQuery``.
 
     ``wait_for``: datasets that a date needs before it loads; for prices the limit list unless given
     (an ST list that lands later loads the date again; name it here to wait for it as well).
-    ``checkpoint`` must be a shared folder (offsets and state).
+    ``checkpoint`` must be a shared folder (offsets and state). ``set_aside``: a row that fails a check
+    goes to quarantine and the day's other rows load; without it the stream stops there.
     """
     if dataset not in J.DATASET_COLUMNS:
         raise ValueError(f"no streaming ingest for dataset={dataset}")
@@ -88,7 +90,7 @@ def start_daily_ingest(spark: SparkSession, store: Store, raw_root: str, source:
 
     def handle(touched: DataFrame, _epoch: int) -> None:
         days = complete_days(touched, dataset, waiting)
-        load_days(touched.sparkSession, store, raw_root, source, dataset, days, need_st="stock-st" in waiting)
+        load_days(touched.sparkSession, store, raw_root, source, dataset, days, need_st="stock-st" in waiting, set_aside=set_aside)
 
     writer = landed_by_date(files).writeStream.outputMode("update").foreachBatch(handle).option("checkpointLocation", checkpoint)
     if available_now:
