@@ -28,7 +28,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from eqlake.session import checkpoint_dir
+from eqlake.session import checkpoint_dir, shuffle_partitions
 
 _LOCAL_MASK = (1 << 33) - 1
 
@@ -44,7 +44,7 @@ def group_positions(df: DataFrame, group_cols: Sequence[str], order_cols: Sequen
     """Add ``pos`` (0-based position in ``order_cols`` order within the group), ``size``
     (group row count) and, if named, ``pid`` (number of the row's range partition)."""
     spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    n = num_partitions or shuffle_partitions(spark)
     keys = [*group_cols, *order_cols]
     cols = df.columns
     ordered = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
@@ -65,6 +65,29 @@ def group_positions(df: DataFrame, group_cols: Sequence[str], order_cols: Sequen
     return j.select(*cols, (F.col("_off") + F.col("_local") - F.col("_first")).alias(pos), size, *extra)
 
 
+#: Rows of a group that one task may sort, at most.
+GROUP_ROWS = 2_000_000
+
+
+def largest_group(df: DataFrame, group_cols: Sequence[str]) -> int:
+    """Rows of the largest group (a job of its own; one number reaches the driver)."""
+    return df.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+
+
+def average_rank(group_cols: Sequence[str], value: str) -> tuple[Column, Column]:
+    """Average-tie rank of ``value`` and number of values, among a group's rows that have a value, as
+    windows: one sort of each group, so for groups up to ``GROUP_ROWS``. Null for rows without one,
+    and where a group column is null, as in ``ranks_in_group``."""
+    known = F.col(value).isNotNull()
+    some = Window.partitionBy(*group_cols, known)
+    first = F.rank().over(some.orderBy(value)) - 1
+    run = F.count(F.lit(1)).over(Window.partitionBy(*group_cols, known, value))
+    for c in group_cols:
+        known = known & F.col(c).isNotNull()
+    rank = first.cast("double") + (run.cast("double") + F.lit(1.0)) / F.lit(2.0)
+    return F.when(known, rank), F.when(known, F.count(F.lit(1)).over(some))
+
+
 #: Steps of one octave in ``order_bucket``.
 OCTAVE_STEPS = 256
 #: Parts into which equal values are dealt by their codes, where the order of codes doesn't matter.
@@ -113,7 +136,7 @@ def ranks_in_group(df: DataFrame, group_cols: Sequence[str], value: str, unique_
     in_group = Window.partitionBy(*group_cols)
     upward = in_group.orderBy(F.col("_none").desc(), "_bucket")
     before = Window.unboundedPreceding, -1
-    buckets = cells.groupBy(*group_cols, "_none", "_bucket").agg(F.sum("_rows").alias("_in_bucket"))
+    buckets = counted.groupBy(*group_cols, "_none", "_bucket").agg(F.count(F.lit(1)).alias("_in_bucket"))
     buckets = buckets.select(
         *[F.col(c).alias(f"_b_{c}") for c in group_cols], F.col("_none").alias("_b_none"), F.col("_bucket").alias("_b_bucket"),
         F.coalesce(F.sum("_in_bucket").over(upward.rowsBetween(*before)), F.lit(0)).alias("_offset"),

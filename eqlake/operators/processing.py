@@ -14,10 +14,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from eqlake import schemas as S
-from eqlake.functions.ranking import ranks_in_group
+from eqlake.functions.ranking import GROUP_ROWS, average_rank, ranks_in_group
 from eqlake.functions.stats import is_finite
 from eqlake.operators.contracts import identity_check, require_columns
-from eqlake.operators.factors import FactorMetadata
+from eqlake.operators.factors import FactorMetadata, wide_to_long
 
 PROCESSORS = ("raw", "rank_pct")
 
@@ -64,6 +64,28 @@ def process_factor_result(result: DataFrame, metadata: FactorMetadata, processor
     return _apply_processor(prepared, processor, ["trade_date"])
 
 
+def process_wide(wide: DataFrame, metadatas, processor: str, largest_date: int, tasks: int | None = None) -> DataFrame:
+    """P1-P3 for the wide raw values of several factors with their ``_obs``; ``largest_date``: rows of the
+    largest date, or more; ``tasks``: over how many the dates are dealt. Dates that a task can sort are shuffled once, as wide rows, and ranked factor
+    by factor there; larger ones go through ``process_long``, which splits a date."""
+    metadatas = list(metadatas)
+    if processor != "rank_pct" or largest_date > GROUP_ROWS:
+        return process_long(wide_to_long(wide, metadatas), metadatas, processor)
+    names = [f"{m.name}@{m.version}" for m in metadatas]
+    valid = {f"_valid_{i}": F.when(is_finite(F.col(f"`{n}`")), F.col(f"`{n}`")) for i, n in enumerate(names)}
+    by_date = wide.repartition(*([tasks] if tasks else []), "trade_date").withColumns(valid)
+    rows = []
+    for i, (m, n) in enumerate(zip(metadatas, names)):
+        rank, size = average_rank(["trade_date"], f"_valid_{i}")
+        by_date = by_date.withColumn(f"_pct_{i}", rank / size.cast("double"))
+        rows.append(F.struct(
+            F.lit(m.name).alias("factor_name"), F.lit(m.version).alias("factor_version"), F.col(f"`{n}`").alias("raw_value"),
+            F.col(f"_pct_{i}").alias("processed_value"), quality_status(f"`{n}`", "_obs", m.min_periods).alias("quality_status"),
+        ))
+    long = by_date.select("ts_code", "trade_date", F.explode(F.array(*rows)).alias("_f")).select("ts_code", "trade_date", "_f.*")
+    return long.withColumn("factor_value", F.col("processed_value")).select(*S.PROCESSED_FACTOR_COLUMNS)
+
+
 def process_long(long: DataFrame, metadatas, processor: str) -> DataFrame:
     """P1-P3 for a stacked multi-factor result that already carries ``_obs``."""
     if processor not in PROCESSORS:

@@ -503,9 +503,9 @@ ALL_FACTORS = (FX.RETURN_5D, FX.MOMENTUM_20D, FX.VOLATILITY_20D, FX.LOG_AMOUNT_M
 
 def pipeline_frame(spark, sf_dir, panel="lineitem", processor="rank_pct"):
     """PL1 core without IO: one wide window pass for every factor, stacked, processed."""
-    hfq = Research(spark, sf_dir, panel).hfq
-    wide = PR.observation_count(FX.compute_wide(hfq.select("ts_code", "trade_date", "hfq_close", "amount"), ALL_FACTORS))
-    return PR.process_long(FX.wide_to_long(wide, ALL_FACTORS), ALL_FACTORS, processor)
+    r = Research(spark, sf_dir, panel)
+    wide = PR.observation_count(FX.compute_wide(r.hfq.select("ts_code", "trade_date", "hfq_close", "amount"), ALL_FACTORS))
+    return PR.process_wide(wide, ALL_FACTORS, processor, r.largest_date, r.date_tasks)
 
 
 _PIPE_CTES = O.lineitem_factor_ctes() + "," + O.processed_cte(min_periods="mp")

@@ -16,11 +16,12 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from eqlake.functions.ranking import largest_group
 from eqlake.operators import factors as FX
 from eqlake.operators import labels as LB
 from eqlake.operators import processing as PR
 from eqlake.operators import views as V
-from eqlake.session import checkpoint_dir
+from eqlake.session import checkpoint_dir, size_shuffles, tasks_for
 from eqlake.sources import testdata as TD
 from eqlake.sources.store import fs_delete, fs_exists, fs_rename, has_parquet
 
@@ -58,7 +59,7 @@ def materialized(spark: SparkSession, sf_dir: str, panel: str, name: str, build)
     target = f"{root}/{name}"
     if not has_parquet(spark, target):
         staging = f"{root}/_tmp-{name}-{uuid.uuid4().hex}"
-        build().write.mode("overwrite").parquet(staging)
+        build().write.mode("overwrite").option("compression", "zstd").parquet(staging)
         if not has_parquet(spark, target):
             if fs_exists(spark, target):
                 fs_delete(spark, target)
@@ -79,6 +80,7 @@ class Research:
         self.sf_dir = sf_dir
         self.panel_name = panel
         self.materialize = materialize
+        size_shuffles(spark, TD.table_bytes(spark, sf_dir, panel))
 
     def _table(self, name: str, build) -> DataFrame:
         if not self.materialize:
@@ -98,6 +100,16 @@ class Research:
     def adj(self) -> DataFrame:
         return self._table("adj_factor", lambda: TD.adj_factor(self.spark, self.sf_dir, self.panel_name))
 
+    @property
+    def date_tasks(self) -> int:
+        """Tasks over which whole dates are dealt: twice as many as the source's size asks for, as some get several."""
+        return 2 * tasks_for(self.spark, TD.table_bytes(self.spark, self.sf_dir, self.panel_name))
+
+    @cached_property
+    def largest_date(self) -> int:
+        """Rows of the date with most bars (reads one column)."""
+        return largest_group(self.bars, ["trade_date"])
+
     @cached_property
     def calendar(self) -> DataFrame:
         return TD.calendar_between(self.bars)

@@ -6,6 +6,7 @@ Library code never creates its own session on a cluster: it takes the caller's
 
 from __future__ import annotations
 
+import math
 import os
 import tempfile
 
@@ -47,6 +48,29 @@ def apply_required_conf(spark: SparkSession) -> None:
         spark.conf.set(key, value)
 
 
+#: Bytes of a source's files whose rows one task aggregates or sorts, about.
+SOURCE_BYTES_PER_TASK = 4 << 20
+_INITIAL = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+
+
+def tasks_for(spark: SparkSession, n_bytes: int) -> int:
+    """Partitions for rows that come from ``n_bytes`` of files: in proportion to them, so a task's share
+    stays the same whatever the size; small sources keep the cores busy."""
+    least = min(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    return max(least, math.ceil(n_bytes / SOURCE_BYTES_PER_TASK))
+
+
+def size_shuffles(spark: SparkSession, n_bytes: int) -> None:
+    """Shuffles of what follows start with partitions in proportion to the source (never fewer than
+    ``spark.sql.shuffle.partitions``); AQE joins those that turn out small."""
+    spark.conf.set(_INITIAL, str(max(int(spark.conf.get("spark.sql.shuffle.partitions")), tasks_for(spark, n_bytes))))
+
+
+def shuffle_partitions(spark: SparkSession) -> int:
+    """Partitions that shuffles start with now."""
+    return max(int(spark.conf.get(_INITIAL, "0")), int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 

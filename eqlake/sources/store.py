@@ -320,7 +320,7 @@ class Store:
         """``df`` written to a folder of its own, which goes at the end whatever happens."""
         staging = self._staging()
         try:
-            df.write.mode("overwrite").parquet(f"{staging}/batch")
+            df.write.mode("overwrite").option("compression", "zstd").parquet(f"{staging}/batch")
             self._reached("staged")
             yield self.spark.read.schema(df.schema).parquet(f"{staging}/batch")
         finally:
@@ -348,7 +348,9 @@ class Store:
             return {}
         if any(y is None for y, _ in counts):
             raise ValueError(f"{counts[(None, None)]} rows have no {date_column}")
-        new = keep_last(batch, list(key_columns), "_seq").drop("_seq")
+        # Most batches hold a key once; only others are shuffled whole to find the last row of a key.
+        repeated = batch.groupBy(*key_columns).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
+        new = (keep_last(batch, list(key_columns), "_seq") if repeated.limit(1).count() else batch).drop("_seq")
         months = {_month_key(y, m): n for (y, m), n in counts.items()}
         years = sorted({str(y) for y, _ in counts})
 

@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from eqlake import schemas as S
+from eqlake.session import tasks_for
 
 PANELS = ("events", "lineitem")
 
@@ -33,6 +34,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def table_bytes(spark: SparkSession, sf_dir: str, name: str) -> int:
+    """Bytes of a table's files (a listing of them; 0 where there is no such table)."""
+    jp = spark._jvm.org.apache.hadoop.fs.Path(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    fs = jp.getFileSystem(spark._jsc.hadoopConfiguration())
+    return fs.getContentSummary(jp).getLength() if fs.exists(jp) else 0
+
+
 def _digits(col: str, width: int):
     """The id as text, padded to at least ``width`` digits; longer ids stay whole."""
     text = F.col(col).cast("string")
@@ -54,11 +62,11 @@ def _first_last(df: DataFrame, keys, order_cols, value: str, tie_lo, tie_hi, cou
     ``keys + order_cols`` and resolves the tie-breaker (``tie_lo``/``tie_hi``); each level
     above takes ``min_by``/``max_by`` over the column that the level below made unique.
     Buffers are single numbers, so every level is a HashAggregate and the columns may
-    hold any number. Rows are dealt by ``keys`` and the first ordering column, which all
-    levels but the last share: a busy security-day stays spread over many tasks.
+    hold any number. With several ordering columns ``df`` is dealt by ``keys`` and the first
+    of them, which all levels but the last share: a busy security-day stays spread over many
+    tasks, and their number (by the source's size) bounds the groups that one holds.
     """
-    rows = df.repartition(*keys, order_cols[0]) if len(order_cols) > 1 else df
-    lvl = rows.groupBy(*keys, *order_cols).agg(tie_lo.alias("_lo"), tie_hi.alias("_hi"), *[c.alias(n) for n, c in counters.items()])
+    lvl = df.groupBy(*keys, *order_cols).agg(tie_lo.alias("_lo"), tie_hi.alias("_hi"), *[c.alias(n) for n, c in counters.items()])
     for i in range(len(order_cols) - 1, 0, -1):
         merged = [_MERGE.get(c, F.sum)(c).alias(c) for c in counters]
         last = order_cols[i]
@@ -95,20 +103,22 @@ def _daily(spark: SparkSession, sf_dir: str, panel: str) -> DataFrame:
     if panel == "lineitem":
         # Ordering tuple (l_orderkey, l_linenumber, l_partkey), tie-breaker price.
         order = ["l_orderkey", "l_linenumber", "l_partkey"]
-        li = table(spark, sf_dir, "lineitem")
-        li = li.select(
-            "l_suppkey", F.to_date("l_shipdate").alias("trade_date"), *order,
-            F.try_divide(F.col("l_extendedprice"), F.col("l_quantity")).alias("price"),
-            "l_quantity", "l_extendedprice", "l_returnflag", "l_linestatus",
+        li = table(spark, sf_dir, "lineitem").select(
+            "l_suppkey", F.to_date("l_shipdate").alias("trade_date"), *order, "l_quantity", "l_extendedprice",
+            (F.col("l_returnflag") == "A").alias("_a"), (F.col("l_returnflag") == "R").alias("_r"),
+            (~((F.col("l_returnflag") == "N") & (F.col("l_linestatus") == "O"))).alias("_f"),
         )
+        # The price is made from what is shuffled anyway.
+        li = li.repartition(tasks_for(spark, table_bytes(spark, sf_dir, "lineitem")), "l_suppkey", "trade_date", order[0])
+        li = li.withColumn("price", F.try_divide(F.col("l_extendedprice"), F.col("l_quantity")))
         d = _first_last(
             li, ["l_suppkey", "trade_date"], order, "price", F.min("price"), F.max("price"),
             {
                 "_high": F.max("price"), "_low": F.min("price"), "_qty": F.sum("l_quantity"),
                 "_amt": F.sum("l_extendedprice"),
-                "_flag": F.count_if(F.col("l_returnflag") == "A"),
-                "_action": F.count_if(F.col("l_returnflag") == "R"),
-                "_hasf": F.max(~((F.col("l_returnflag") == "N") & (F.col("l_linestatus") == "O"))),
+                "_flag": F.count_if("_a"),
+                "_action": F.count_if("_r"),
+                "_hasf": F.max("_f"),
             },
             [
                 F.max("_high").alias("high"), F.min("_low").alias("low"), F.sum("_qty").alias("volume"),
@@ -120,6 +130,20 @@ def _daily(spark: SparkSession, sf_dir: str, panel: str) -> DataFrame:
     raise ValueError(f"unknown panel: {panel}")
 
 
+def _daily_actions(spark: SparkSession, sf_dir: str, panel: str) -> DataFrame:
+    """The factor columns of ``_daily``: counters only, so rows add up before they are shuffled."""
+    if panel == "events":
+        security, action = _code("user_id", ".SZ"), F.col("event_type") == "signup"
+        key, day, priced = "user_id", "ts", F.col("event_type") != "error"
+    else:
+        security, action = _code("l_suppkey", ".SH"), F.col("l_returnflag") == "R"
+        key, day, priced = "l_suppkey", "l_shipdate", ~((F.col("l_returnflag") == "N") & (F.col("l_linestatus") == "O"))
+    counted = table(spark, sf_dir, panel).groupBy(key, F.to_date(day).alias("trade_date")).agg(
+        F.count_if(action).alias("n_action"), F.max(priced).alias("has_factor")
+    )
+    return counted.select(security.alias("ts_code"), "trade_date", "n_action", "has_factor")
+
+
 def ohlcv(spark: SparkSession, sf_dir: str, panel: str = "events") -> DataFrame:
     """Processed daily bars (``ohlcv`` schema) of a panel.
 
@@ -153,7 +177,7 @@ def ohlcv(spark: SparkSession, sf_dir: str, panel: str = "events") -> DataFrame:
 
 def adj_factor(spark: SparkSession, sf_dir: str, panel: str = "events") -> DataFrame:
     """Cumulative adjustment factors: ``(10 + running action count) / 10``."""
-    d = _daily(spark, sf_dir, panel).select("ts_code", "trade_date", "n_action", "has_factor")
+    d = _daily_actions(spark, sf_dir, panel)
     w = Window.partitionBy("ts_code").orderBy("trade_date").rowsBetween(Window.unboundedPreceding, 0)
     return (
         d.withColumn("cum_action", F.sum("n_action").over(w))

@@ -5,7 +5,12 @@ import datetime as dt
 import pytest
 
 import __spark_entry__ as entry
+from eqlake import schemas as S
+from eqlake import session
+from eqlake.operators import factors as FX
+from eqlake.operators import processing as PR
 from eqlake.plans import jobs as J
+from eqlake.plans import catalog_store as CS
 from eqlake.sources import raw as R
 from eqlake.sources import testdata as TD
 from eqlake.sources.store import Store
@@ -50,3 +55,76 @@ def test_rows_set_aside_stay_out_of_the_store(spark, tmp_root):
     done = J.load_checked(spark, Store(spark, f"{tmp_root}/other"), raw, task, set_aside=True)
     assert done.rows == 3 and [(m, n) for m, n, _ in done.failures] == [("daily bar contract check failed: price_not_positive", 1)]
     assert Store(spark, f"{tmp_root}/other").read("ohlcv").where("close <= 0").count() == 0
+
+
+def test_tasks_grow_with_the_source(spark):
+    try:
+        few, many = session.tasks_for(spark, 1 << 20), session.tasks_for(spark, 4 << 30)
+        assert many == 1024 and few <= int(spark.conf.get("spark.sql.shuffle.partitions"))
+        session.size_shuffles(spark, 4 << 30)
+        assert session.shuffle_partitions(spark) == 1024
+    finally:
+        session.size_shuffles(spark, 0)
+    assert session.shuffle_partitions(spark) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def _lineitem(spark, folder, sizes):
+    """Row i: supplier i % 3, one of two days; the price is extended price over quantity."""
+    rows = [(i, i % 5, i % 3, 1, float(1 + i % 2), 10.0 + i, ("A", "N", "R")[i % 3 - i % 2], "OF"[i % 2], dt.datetime(1995, 1, 1 + i % 2)) for i in range(sizes)]
+    schema = "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_returnflag string, l_linestatus string, l_shipdate timestamp"
+    spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{folder}/lineitem.parquet")
+    return folder
+
+
+def test_lineitem_bars_are_dealt_by_the_size_of_the_source(spark, tmp_root, monkeypatch):
+    sf = _lineitem(spark, tmp_root, 60)
+    before = sorted(map(tuple, TD.ohlcv(spark, sf, "lineitem").collect()))
+    monkeypatch.setattr(session, "SOURCE_BYTES_PER_TASK", 100)
+    n = session.tasks_for(spark, TD.table_bytes(spark, sf, "lineitem"))
+    bars = TD.ohlcv(spark, sf, "lineitem")
+    assert n > 20 and f", {n})" in bars._jdf.queryExecution().toString() or f", {n}," in bars._jdf.queryExecution().toString()
+    assert sorted(map(tuple, bars.collect())) == before and len(before) == 6
+
+
+def test_factors_count_actions_without_the_prices(spark, tmp_root):
+    sf = _lineitem(spark, tmp_root, 60)
+    daily = {(r.ts_code, r.trade_date): (r.n_action, r.has_factor) for r in TD._daily(spark, sf, "lineitem").collect()}
+    counted = {(r.ts_code, r.trade_date): (r.n_action, r.has_factor) for r in TD._daily_actions(spark, sf, "lineitem").collect()}
+    assert counted == daily
+    assert "min_by" not in TD.adj_factor(spark, sf, "lineitem")._jdf.queryExecution().toString()
+
+
+@pytest.mark.parametrize("largest", [1, PR.GROUP_ROWS + 1])
+def test_wide_factors_rank_as_long_ones(spark, largest):
+    metas = [FX.RETURN_5D, FX.MOMENTUM_20D]
+    rows = [(f"{i:06d}.SZ", None if i == 6 else D(2024, 1, 2 + i % 2), 1 + i, v, None if v is None else -v)
+            for i, v in enumerate([1.0, 2.0, 1.0, None, -0.0, 0.0, 5.0, float("nan"), 3.0, float("inf"), 1.0, 2.0])]
+    wide = spark.createDataFrame(rows, "ts_code string, trade_date date, _obs long, `return_5d@v1` double, `momentum_20d@v1` double")
+    found = PR.process_wide(wide, metas, "rank_pct", largest)
+    key = lambda r: (r.ts_code, r.factor_name)
+    expected = PR.process_long(FX.wide_to_long(wide, metas), metas, "rank_pct")
+    assert [str(r) for r in sorted(found.collect(), key=key)] == [str(r) for r in sorted(expected.collect(), key=key)]
+    assert found.columns == expected.columns == list(S.PROCESSED_FACTOR_COLUMNS)
+    exchanges = PR.process_wide(wide, metas, "rank_pct", largest)._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+    assert exchanges == 1 if largest == 1 else exchanges > 3, exchanges
+
+
+def test_upsert_of_single_keys_is_not_shuffled_to_find_last_rows(spark, tmp_root, monkeypatch):
+    calls = []
+    from eqlake.sources import store as SK
+
+    last = SK.keep_last
+    monkeypatch.setattr(SK, "keep_last", lambda *a: calls.append(1) or last(*a))
+    store = Store(spark, tmp_root)
+    put = lambda rows: store.write_daily("adj_factor", spark.createDataFrame(rows, S.ADJ_FACTOR_SCHEMA), date_column="trade_date",
+                                         key_columns=S.DAILY_KEY, columns=S.ADJ_FACTOR_COLUMNS)
+    put([("000001.SZ", D(2024, 1, 2), 1.0), (None, D(2024, 1, 2), 2.0)])
+    assert not calls
+    put([(None, D(2024, 1, 2), 3.0), (None, D(2024, 1, 2), 4.0)])
+    assert calls and sorted(r.cumulative_factor for r in store.read("adj_factor").collect()) == [1.0, 4.0]
+
+
+def test_numbered_bars_carry_only_what_the_rules_read(spark, tmp_root):
+    rows = CS._numbered(spark, _lineitem(spark, tmp_root, 60), 4, "is_suspended")
+    assert rows.columns == ["ts_code", "trade_date", "is_suspended", "i"]
+    assert [r.i for r in rows.orderBy("ts_code", "trade_date").collect()] == [0, 1, 2, 3, 0, 1]
