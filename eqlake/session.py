@@ -67,8 +67,8 @@ def size_shuffles(spark: SparkSession, n_bytes: int) -> None:
 
 
 def shuffle_partitions(spark: SparkSession) -> int:
-    """Partitions that shuffles start with now."""
-    return max(int(spark.conf.get(_INITIAL, "0")), int(spark.conf.get("spark.sql.shuffle.partitions")))
+    """Partitions that shuffles start with now (Spark checks the default of an unset number as well, so there is none)."""
+    return max(int(spark.conf.get(_INITIAL, None) or 0), int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
 def checkpoint_dir(spark: SparkSession) -> str:

@@ -128,3 +128,12 @@ def test_numbered_bars_carry_only_what_the_rules_read(spark, tmp_root):
     rows = CS._numbered(spark, _lineitem(spark, tmp_root, 60), 4, "is_suspended")
     assert rows.columns == ["ts_code", "trade_date", "is_suspended", "i"]
     assert [r.i for r in rows.orderBy("ts_code", "trade_date").collect()] == [0, 1, 2, 3, 0, 1]
+
+
+def test_partitions_of_a_session_that_set_no_number(spark, tmp_root):
+    """No panel was read in such a session; the mix asks for the number."""
+    new = spark.newSession()
+    assert new.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None) is None
+    assert session.shuffle_partitions(new) == int(new.conf.get("spark.sql.shuffle.partitions"))
+    new.createDataFrame([(1, "a b", "x"), (2, "c", None)], "doc_id long, text string, source string").coalesce(1).write.parquet(f"{tmp_root}/documents.parquet")
+    assert sorted((r.doc_id, r.size) for r in entry.queries()["op1_mixing"](new, tmp_root).collect()) == [(1, 2), (2, 1)]
