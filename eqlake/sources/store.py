@@ -25,6 +25,7 @@ import uuid
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 from functools import reduce
+from itertools import accumulate
 from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -100,7 +101,7 @@ class Store:
     #: Versions whose folders are kept, for readers that resolved one before the last commits.
     keep_versions = 8
     #: Rows of one file of a month, about.
-    rows_per_file = 4_000_000
+    rows_per_file = 1_000_000
     #: Times that a commit starts again because another writer was first.
     attempts = 20
 
@@ -378,16 +379,19 @@ class Store:
 
     def _write_parts(self, dataset: str, df: DataFrame, rows: dict[str, int], date_column: str, key_columns: Sequence[str]) -> dict[str, Part]:
         """Write the months (or years) of ``df`` as new folders, about ``rows_per_file`` rows a file,
-        and say what is in them. ``rows``: about how many rows each one has."""
+        and say what is in them. ``rows``: about how many rows each one has. Every file is a task of its
+        own, so none sorts several files' rows."""
         monthly = "month" in df.columns
         root = self.path(dataset) if monthly else self.archive_path(dataset)
         by = ["year", "month"] if monthly else ["year"]
         commit = f"c{uuid.uuid4().hex}"
         files = {k: -(-max(n, 1) // self.rows_per_file) for k, n in rows.items()}
         key = F.format_string("%04d-%02d", "year", "month") if monthly else F.col("year").cast("string")
-        per = F.element_at(F.create_map(*[F.lit(x) for kv in files.items() for x in kv]), key)
-        spread = F.pmod(F.xxhash64(*key_columns), per.cast("bigint"))
-        dealt = df.withColumn("commit", F.lit(commit)).repartition(sum(files.values()), *by, spread)
+        # Number of files and first task of each folder.
+        firsts = accumulate(files.values(), initial=0)
+        per = F.element_at(F.create_map(*[x for (k, n), first in zip(files.items(), firsts) for x in (F.lit(k), F.struct(F.lit(n).alias("n"), F.lit(first).alias("first")))]), key)
+        task = per["first"] + F.pmod(F.xxhash64(*key_columns), per["n"].cast("bigint")).cast("int")
+        dealt = df.withColumn("commit", F.lit(commit)).repartitionById(sum(files.values()), task)
         order = [date_column, *[k for k in key_columns if k != date_column]]
         dealt.sortWithinPartitions(*by, *order).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by, "commit").parquet(root)
         self._reached("files")

@@ -137,3 +137,29 @@ def test_partitions_of_a_session_that_set_no_number(spark, tmp_root):
     assert session.shuffle_partitions(new) == int(new.conf.get("spark.sql.shuffle.partitions"))
     new.createDataFrame([(1, "a b", "x"), (2, "c", None)], "doc_id long, text string, source string").coalesce(1).write.parquet(f"{tmp_root}/documents.parquet")
     assert sorted((r.doc_id, r.size) for r in entry.queries()["op1_mixing"](new, tmp_root).collect()) == [(1, 2), (2, 1)]
+
+
+def test_every_stored_file_is_sorted_by_a_task_of_its_own(spark, tmp_root, monkeypatch):
+    """Hashing the folders into as many tasks as there are files put several of them into one."""
+    from pyspark.sql import functions as F
+
+    seen, frame = [], type(spark.range(1))
+    plain = frame.sortWithinPartitions
+
+    def spy(df, *columns):
+        seen.append([(r.p, r.year, r["month"] if "month" in df.columns else None, r.n) for r in
+                     df.groupBy(F.spark_partition_id().alias("p"), *[c for c in ("year", "month") if c in df.columns]).agg(F.count(F.lit(1)).alias("n")).collect()])
+        return plain(df, *columns)
+
+    monkeypatch.setattr(frame, "sortWithinPartitions", spy)
+    store = Store(spark, tmp_root)
+    store.rows_per_file = 40
+    rows = [(f"{i:06d}.SZ", D(2019, 1 + i % 12, 1 + i % 28), float(i)) for i in range(960)]
+    kw = dict(key_columns=S.DAILY_KEY, columns=S.ADJ_FACTOR_COLUMNS)
+    store.write_daily("adj_factor", spark.createDataFrame(rows, S.ADJ_FACTOR_SCHEMA), date_column="trade_date", **kw)
+    store.archive_year("adj_factor", 2019, **kw)
+    assert [len(x) for x in seen] == [24, 24]
+    for parts, n in zip(seen, (24, 24)):
+        assert len({p for p, *_ in parts}) == len(parts) == n, parts  # a task has rows of one folder only
+        assert max(n for *_, n in parts) <= 80
+    assert sorted(map(tuple, store.read("adj_factor").select(*S.ADJ_FACTOR_COLUMNS).collect())) == sorted(rows)
