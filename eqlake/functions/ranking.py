@@ -76,16 +76,16 @@ def largest_group(df: DataFrame, group_cols: Sequence[str]) -> int:
 
 def average_rank(group_cols: Sequence[str], value: str) -> tuple[Column, Column]:
     """Average-tie rank of ``value`` and number of values, among a group's rows that have a value, as
-    windows: one sort of each group, so for groups up to ``GROUP_ROWS``. Null for rows without one,
-    and where a group column is null, as in ``ranks_in_group``."""
+    windows of one order: one sort and one buffer of a group, so for groups up to ``GROUP_ROWS``. Null
+    for rows without one, and where a group column is null, as in ``ranks_in_group``."""
     known = F.col(value).isNotNull()
-    some = Window.partitionBy(*group_cols, known)
-    first = F.rank().over(some.orderBy(value)) - 1
-    run = F.count(F.lit(1)).over(Window.partitionBy(*group_cols, known, value))
+    upward = Window.partitionBy(*group_cols, known).orderBy(value)
+    # Of a tied run: the first row's place and the last one's (the frame ends with the row's equals).
+    first, last = F.rank().over(upward), F.count(F.lit(1)).over(upward)
+    size = F.count(F.lit(1)).over(upward.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
     for c in group_cols:
         known = known & F.col(c).isNotNull()
-    rank = first.cast("double") + (run.cast("double") + F.lit(1.0)) / F.lit(2.0)
-    return F.when(known, rank), F.when(known, F.count(F.lit(1)).over(some))
+    return F.when(known, (first.cast("double") + last.cast("double")) / F.lit(2.0)), F.when(known, size)
 
 
 #: Steps of one octave in ``order_bucket``.

@@ -66,24 +66,23 @@ def process_factor_result(result: DataFrame, metadata: FactorMetadata, processor
 
 def process_wide(wide: DataFrame, metadatas, processor: str, largest_date: int, tasks: int | None = None) -> DataFrame:
     """P1-P3 for the wide raw values of several factors with their ``_obs``; ``largest_date``: rows of the
-    largest date, or more; ``tasks``: over how many the dates are dealt. Dates that a task can sort are shuffled once, as wide rows, and ranked factor
-    by factor there; larger ones go through ``process_long``, which splits a date."""
+    largest date, or more; ``tasks``: over how many the dates are dealt. Dates that a task can sort are
+    shuffled once, as wide rows, and stacked there into slim rows, which one sort ranks by date and
+    factor; larger ones go through ``process_long``, which splits a date."""
     metadatas = list(metadatas)
-    if processor != "rank_pct" or largest_date > GROUP_ROWS:
+    if processor != "rank_pct" or largest_date * len(metadatas) > GROUP_ROWS:
         return process_long(wide_to_long(wide, metadatas), metadatas, processor)
-    names = [f"{m.name}@{m.version}" for m in metadatas]
-    valid = {f"_valid_{i}": F.when(is_finite(F.col(f"`{n}`")), F.col(f"`{n}`")) for i, n in enumerate(names)}
-    by_date = wide.repartition(*([tasks] if tasks else []), "trade_date").withColumns(valid)
-    rows = []
-    for i, (m, n) in enumerate(zip(metadatas, names)):
-        rank, size = average_rank(["trade_date"], f"_valid_{i}")
-        by_date = by_date.withColumn(f"_pct_{i}", rank / size.cast("double"))
-        rows.append(F.struct(
-            F.lit(m.name).alias("factor_name"), F.lit(m.version).alias("factor_version"), F.col(f"`{n}`").alias("raw_value"),
-            F.col(f"_pct_{i}").alias("processed_value"), quality_status(f"`{n}`", "_obs", m.min_periods).alias("quality_status"),
-        ))
-    long = by_date.select("ts_code", "trade_date", F.explode(F.array(*rows)).alias("_f")).select("ts_code", "trade_date", "_f.*")
-    return long.withColumn("factor_value", F.col("processed_value")).select(*S.PROCESSED_FACTOR_COLUMNS)
+    by_date = wide.repartition(*([tasks] if tasks else []), "trade_date")
+    stacked = F.posexplode(F.array(*[F.col(f"`{m.name}@{m.version}`") for m in metadatas])).alias("_no", "raw_value")
+    long = by_date.select("ts_code", "trade_date", "_obs", stacked)
+    long = long.withColumn("_valid", F.when(is_finite(F.col("raw_value")), F.col("raw_value")))
+    rank, size = average_rank(["trade_date", "_no"], "_valid")
+    long = long.withColumn("processed_value", rank / size.cast("double"))
+    of = lambda values: F.get(F.array(*map(F.lit, values)), F.col("_no"))
+    return long.select(
+        "*", of([m.name for m in metadatas]).alias("factor_name"), of([m.version for m in metadatas]).alias("factor_version"),
+        quality_status(min_periods=of([m.min_periods for m in metadatas])).alias("quality_status"), F.col("processed_value").alias("factor_value"),
+    ).select(*S.PROCESSED_FACTOR_COLUMNS)
 
 
 def process_long(long: DataFrame, metadatas, processor: str) -> DataFrame:
