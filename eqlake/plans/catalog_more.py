@@ -504,7 +504,7 @@ ALL_FACTORS = (FX.RETURN_5D, FX.MOMENTUM_20D, FX.VOLATILITY_20D, FX.LOG_AMOUNT_M
 def pipeline_frame(spark, sf_dir, panel="lineitem", processor="rank_pct"):
     """PL1 core without IO: one wide window pass for every factor, stacked, processed."""
     r = Research(spark, sf_dir, panel)
-    wide = PR.observation_count(FX.compute_wide(r.hfq.select("ts_code", "trade_date", "hfq_close", "amount"), ALL_FACTORS))
+    wide = PR.observation_count(FX.compute_wide(r.hfq_by_security.select("ts_code", "trade_date", "hfq_close", "amount"), ALL_FACTORS))
     return PR.process_wide(wide, ALL_FACTORS, processor, r.largest_date, r.date_tasks)
 
 

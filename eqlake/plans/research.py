@@ -122,19 +122,25 @@ class Research:
     def hfq(self) -> DataFrame:
         return V.hfq_view(self.bars, self.adj)
 
+    @cached_property
+    def hfq_by_security(self) -> DataFrame:
+        """``hfq`` for windows over a security's rows, dealt by security into tasks by the source's size: the
+        windows' own shuffle is joined into few large tasks."""
+        return self.hfq.repartition(tasks_for(self.spark, TD.table_bytes(self.spark, self.sf_dir, self.panel_name)), "ts_code")
+
     @cached_property
     def open_dates(self) -> DataFrame:
         return self.calendar.filter("is_open").select(F.col("cal_date").alias("trade_date"))
 
     def calc(self, metadata=FX.RETURN_5D) -> DataFrame:
-        return FX.compute_factor(self.hfq, metadata)
+        return FX.compute_factor(self.hfq_by_security, metadata)
 
     def processed(self, metadata=FX.RETURN_5D, processor: str = "raw") -> DataFrame:
         return PR.process_factor_result(self.calc(metadata), metadata, processor, check_identity=False)
 
     @cached_property
     def labels(self) -> DataFrame:
-        return LB.forward_return_5d(self.hfq, self.open_dates, validate=False)
+        return LB.forward_return_5d(self.hfq_by_security, self.open_dates, validate=False)
 
     @cached_property
     def universe(self) -> DataFrame:

@@ -163,3 +163,41 @@ def test_every_stored_file_is_sorted_by_a_task_of_its_own(spark, tmp_root, monke
         assert len({p for p, *_ in parts}) == len(parts) == n, parts  # a task has rows of one folder only
         assert max(n for *_, n in parts) <= 80
     assert sorted(map(tuple, store.read("adj_factor").select(*S.ADJ_FACTOR_COLUMNS).collect())) == sorted(rows)
+
+
+def _nodes(df, name):
+    """How often a node stands in a query's plan."""
+    return df._jdf.queryExecution().executedPlan().toString().count(name)
+
+
+def test_factors_of_a_date_are_ranked_by_one_sort(spark):
+    """A sort and three windows for every factor each took memory of their own in one task."""
+    metas = [FX.RETURN_5D, FX.MOMENTUM_20D, FX.AMIHUD_20D]
+    rows = [(f"{i:06d}.SZ", D(2024, 1, 2), 30, float(i // 2), None if i % 3 else -float(i), float("nan")) for i in range(12)]
+    wide = spark.createDataFrame(rows, "ts_code string, trade_date date, _obs long, `return_5d@v1` double, `momentum_20d@v1` double, `amihud_20d@v1` double")
+    found = PR.process_wide(wide, metas, "rank_pct", 12)
+    assert (_nodes(found, " Sort "), _nodes(found, " Window ")) == (1, 1)
+    by = {(r.ts_code, r.factor_name): (r.processed_value, r.quality_status) for r in found.collect()}
+    assert len(by) == 36 and by["000003.SZ", "return_5d"] == (3.5 / 12, "valid") and by["000003.SZ", "momentum_20d"] == (3 / 4, "valid")
+    assert by["000001.SZ", "momentum_20d"] == (None, "missing_input") and by["000001.SZ", "amihud_20d"] == (None, "invalid_value")
+
+
+def test_windows_of_securities_are_dealt_by_the_size_of_the_source(spark, tmp_root, monkeypatch):
+    from eqlake.plans.research import Research
+
+    r = Research(spark, _lineitem(spark, tmp_root, 60), "lineitem")
+    monkeypatch.setattr(session, "SOURCE_BYTES_PER_TASK", 100)
+    n = session.tasks_for(spark, TD.table_bytes(spark, r.sf_dir, "lineitem"))
+    for frame in (r.calc(), r.labels, PR.observation_count(FX.compute_wide(r.hfq_by_security, [FX.RETURN_5D, FX.VOLATILITY_20D]))):
+        text = frame._jdf.queryExecution().executedPlan().toString()
+        assert n > 20 and f", {n}), REPARTITION_BY_NUM" in text and text.count("Exchange hashpartitioning(ts_code") == 1, text
+    key = lambda x: (x.ts_code, x.trade_date)
+    assert sorted(r.hfq_by_security.collect(), key=key) == sorted(r.hfq.collect(), key=key)
+
+
+def test_line_items_are_dealt_before_their_actions_are_counted(spark, tmp_root):
+    sf = _lineitem(spark, tmp_root, 60)
+    plan = TD._daily_actions(spark, sf, "lineitem")
+    assert _nodes(plan, "Exchange hashpartitioning") == 1
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert text.rindex("HashAggregate") < text.index("Exchange hashpartitioning")  # no partial aggregate below it
