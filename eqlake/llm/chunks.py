@@ -107,10 +107,13 @@ class AgedChunkCache(ChunkCache):
         super().clear()
         self.old: dict[str, object] = {}
 
-    def learn(self, docs: list[list[str]]) -> dict[str, object]:
-        """Make every chunk of ``docs`` known and return the mapping."""
+    def _age(self) -> None:
         if len(self.known) > self.limit or self.chars > self.limit_chars:
             self.old, self.known, self.chars = self.known, {}, 0
+
+    def learn(self, docs: list[list[str]]) -> dict[str, object]:
+        """Make every chunk of ``docs`` known and return the mapping."""
+        self._age()
         unmet = set().union(*docs).difference(self.known)
         again = [c for c in unmet if c in self.old]
         missing = list(unmet.difference(again))
@@ -119,6 +122,24 @@ class AgedChunkCache(ChunkCache):
         self.chars += sum(map(len, unmet))
         return self.known
 
+    def values(self, chunks: list[str]) -> list:
+        """What ``encode`` makes of each of some distinct chunks, in their order; a known one is looked up once."""
+        self._age()
+        known, old = self.known, self.old
+        out = list(map(known.get, chunks))
+        missing = []
+        for i in [i for i, v in enumerate(out) if v is None]:
+            c = chunks[i]
+            self.chars += len(c)
+            if (v := old.get(c)) is None:
+                missing.append(i)
+            else:
+                out[i] = known[c] = v
+        new = [chunks[i] for i in missing]
+        for i, c, v in zip(missing, new, self.encode(new)):
+            out[i] = known[c] = v
+        return out
+
 
 def groups_by_size(texts: list[str], limit: int = 4_000_000) -> Iterable[list[int]]:
     """Consecutive row numbers whose texts hold about ``limit`` characters (one long text stands alone)."""

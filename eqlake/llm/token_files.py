@@ -41,7 +41,7 @@ from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from eqlake.llm.chunks import AgedChunkCache, ChunkCache, cut_all, groups_by_size, may_split, parts
+from eqlake.llm.chunks import AgedChunkCache, cut_all, groups_by_size, may_split, parts
 from eqlake.llm.common import fix, register, shuffle_partitions, table, text_of
 from eqlake.session import checkpoint_dir
 
@@ -189,7 +189,7 @@ def encode_ids(chunks: list[str], path: str, join: int = 400) -> Iterator[bytes]
 
 
 @lru_cache(maxsize=2)
-def _chunks(path: str) -> ChunkCache:
+def _chunks(path: str) -> AgedChunkCache:
     """One cache per worker process, so that its tasks share what they learn. The pieces of
     unknown chunks have a cache of their own: words come with many signs behind them."""
     pieces = AgedChunkCache(lambda new: encode_ids(new, path), limit=400_000, limit_chars=11_000_000)
@@ -202,14 +202,13 @@ def _chunks(path: str) -> ChunkCache:
     return AgedChunkCache(encode, limit=400_000, limit_chars=11_000_000)
 
 
-def encode_documents(texts: list[str], cache: ChunkCache) -> list[bytes]:
+def encode_documents(texts: list[str], cache: AgedChunkCache) -> list[bytes]:
     """Ids of each text, as bytes. Arrow cuts the texts, tells equal chunks and deals their ids out
     again; Python meets each distinct chunk once."""
     chunks = cut_all(texts)
     coded = chunks.values.dictionary_encode()
     distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
-    known = cache.learn([distinct])
-    dealt = pa.array([known[c] for c in distinct], pa.large_binary()).take(coded.indices)
+    dealt = pa.array(cache.values(distinct), pa.large_binary()).take(coded.indices)
     starts = np.frombuffer(dealt.buffers()[1], np.int64)[chunks.offsets.to_numpy()].tolist()
     data = memoryview(dealt.buffers()[2] or b"")
     return [bytes(data[a:b]) for a, b in zip(starts, starts[1:])]

@@ -201,3 +201,17 @@ def test_line_items_are_dealt_before_their_actions_are_counted(spark, tmp_root):
     assert _nodes(plan, "Exchange hashpartitioning") == 1
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert text.rindex("HashAggregate") < text.index("Exchange hashpartitioning")  # no partial aggregate below it
+
+
+def test_known_chunks_are_looked_up_once(monkeypatch):
+    """The token files' distinct chunks went through two sets and a second look-up."""
+    from eqlake.llm import chunks, token_files
+
+    asked = []
+    cache = chunks.AgedChunkCache(lambda new: [asked.append(c) or c.encode() for c in new], limit=3, limit_chars=1_000)
+    for some in (["a", "b"], ["b", "", "c"], ["d", "a"], ["a", "e", "b"], []):
+        assert cache.values(some) == [c.encode() for c in some]
+    assert asked == ["a", "b", "", "c", "d", "e"] and set(cache.known) == {"d", "a", "e", "b"} and cache.chars == 4
+    assert cache.learn([["a", "f"]])["f"] == b"f" and asked[-1] == "f"
+    monkeypatch.setattr(cache, "learn", None)
+    assert token_files.encode_documents(["x y x", "", " y"], cache) == [b"x y x", b"", b" y"]
