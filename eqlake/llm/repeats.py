@@ -7,12 +7,15 @@ Every byte goes that is covered by a string of ``length`` bytes which also start
    strings of one anchor are consecutive and make a window of at most 2 * length - 64 bytes.
    Anchors whose gram occurs once in the collection are done.
 2. Windows. The digests of the others are counted. All strings of a window that occurs twice are
-   repeated. Where a gram has several different windows, one of each is sent to the gram's
-   partition, aligned at its anchor, so equal strings stand in equal columns. The collection's
-   transform is built column by column: a round inserts one symbol of every window, sorts the
-   windows stably by it and updates the common prefixes: ``order`` is the order by the text read
-   backwards from the column, and ``since`` the column since which two neighbours agree. A string
-   is repeated if a neighbour agrees with it for ``length`` columns.
+   repeated. A task sees at once which windows a text holds twice: it sends each of them on once,
+   with their number, and the runs that they cover merged, so a text that repeats a short passage
+   over and over (an anchor in every period) gives few rows. Where a gram has several different
+   windows, one of each is sent to the gram's partition, aligned at its anchor, so equal strings
+   stand in equal columns. The collection's transform is built column by column: a round inserts
+   one symbol of every window, sorts the windows stably by it and updates the common prefixes:
+   ``order`` is the order by the text read backwards from the column, and ``since`` the column
+   since which two neighbours agree. A string is repeated if a neighbour agrees with it for
+   ``length`` columns.
 3. Documents. Each window's repeated strings are one run, as all of them hold the anchor. The
    runs go back to the documents and are removed.
 
@@ -34,7 +37,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from itertools import islice
+from itertools import groupby, islice
 
 import numpy as np
 import pyarrow as pa
@@ -175,8 +178,8 @@ def _digest(window: bytes) -> bytes:
 
 _WINDOW = "wid binary, grp binary, low int, high int, place int, bytes binary, n bigint"
 _WINDOW_TYPES = [pa.binary(), pa.binary(), pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.int64()]
-_MEMBER = "row binary, start bigint, size int, h bigint, place bigint, wid binary"
-_MEMBER_TYPES = [pa.binary(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary()]
+_MEMBER = "row binary, start bigint, size int, h bigint, place bigint, wid binary, n bigint"
+_MEMBER_TYPES = [pa.binary(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.int64()]
 
 
 def _rows(columns, types: list[pa.DataType], names: str) -> pa.RecordBatch:
@@ -188,14 +191,37 @@ def _batches(rows: Iterator[tuple], types: list[pa.DataType], names: str, limit:
         yield _rows(zip(*some), types, names)
 
 
+def _members(wanted: Iterator[tuple[bytes, int, int, int, bytes]]) -> Iterator[tuple]:
+    """The different windows of a text's slice, each where it first stands, and the merged runs of those it holds twice."""
+    for (row, _), own in groupby(wanted, key=lambda x: (x[0], x[1] // SLICE)):
+        first: dict[bytes, tuple[int, int, int]] = {}
+        n: dict[bytes, int] = {}
+        runs: list[tuple[int, int]] = []
+        for _, start, h, _, w in own:
+            wid = _digest(w)
+            n[wid] = n.get(wid, 0) + 1
+            if n[wid] == 1:
+                first[wid] = start, len(w), h
+            elif runs and runs[-1][0] <= start <= runs[-1][1]:
+                runs[-1] = runs[-1][0], max(start + len(w), runs[-1][1])
+            else:
+                runs.append((start, start + len(w)))
+        for wid, (start, size, h) in first.items():
+            if n[wid] > 1:
+                runs.append((start, start + size))
+            yield row, start, size, _signed(h), _signed(_occurrence(row, start)), wid, n[wid]
+        for start, end in merged(runs):
+            yield row, start, end - start, None, None, None, None
+
+
 def members_of(texts: DataFrame, grams, length: int) -> DataFrame:
-    """row (key), start, size, h (gram), place (hash of row and start) and wid (digest) of every window."""
+    """row (key), start, size, h (gram), place (hash of row and start), wid (digest) and n (how often the text's
+    slice holds it) of every different window of a slice; rows without wid are runs that are known to repeat."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Bitmap(*grams.value)
         for b in batches:
-            found = ((key, start, len(w), _signed(h), _signed(_occurrence(key, start)), _digest(w)) for key, start, h, _, w in _wanted(b, length, known))
-            yield from _batches(found, _MEMBER_TYPES, _MEMBER)
+            yield from _batches(_members(_wanted(b, length, known)), _MEMBER_TYPES, _MEMBER)
 
     return texts.mapInArrow(run, _MEMBER)
 
@@ -365,13 +391,16 @@ def spans_of(docs: DataFrame, *, id_col: str = "doc_id", text: str = "text", len
     send = docs.sparkSession.sparkContext.broadcast
     grams = send(bitmap_of(fix(repeated_grams(texts, length))))
     members = written(members_of(texts, grams, length))
-    windows = written(members.groupBy("wid").agg(F.count(F.lit(1)).alias("n"), F.any_value("h").alias("h"), F.any_value("size").alias("size"), F.min("place").alias("place")))
+    same = [F.any_value("h").alias("h"), F.any_value("size").alias("size"), F.min("place").alias("place")]
+    windows = written(members.where("wid is not null").groupBy("wid").agg(F.sum("n").alias("n"), F.count_if(F.col("n") == 1).alias("single"), *same))
     mixed = windows.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h")
     places = send(bitmap_of(fix(on_equal(windows, mixed, ["h"], how="left_semi").select(F.col("place").alias("h")))))
     whole = windows.where("n > 1").select("wid", F.lit(0).alias("lo"), F.col("size").alias("hi"))
     runs = whole.unionByName(repeated_runs(windows_at(texts, grams, places, length), length))
     runs = fix(runs.groupBy("wid").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")))
-    met = on_equal(members.select("row", "start", "wid"), runs, ["wid"], how="inner", counts=windows.select("wid", "n"))
+    once = members.where("n = 1").select("row", "start", "wid")
+    met = on_equal(once, runs, ["wid"], how="inner", counts=windows.select("wid", F.col("single").alias("n")))
+    met = met.unionByName(members.where("wid is null").select("row", "start", "wid", F.lit(0).alias("lo"), F.col("size").alias("hi")))
     span = F.struct((F.col("start") + F.col("lo")).alias("start"), (F.col("start") + F.col("hi")).alias("end"))
     return met.groupBy("row").agg(F.collect_set(span).alias("spans"))
 

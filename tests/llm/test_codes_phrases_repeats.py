@@ -277,6 +277,30 @@ def test_repeats_in_a_text_longer_than_a_slice(spark):
     assert _removed(spark, rows) == _want(rows)
 
 
+def test_a_passage_repeated_within_a_text_gives_few_rows(spark):
+    rng = random.Random(17)
+    part = "".join(rng.choices("abcdefgh", k=9))
+    noise = lambda n: "".join(rng.choices("ijklmnop ", k=n))
+
+    def members(times):
+        texts = [part * times, noise(150) + part * times + noise(150) + part * times, None]
+        df = spark.createDataFrame([(bytes([i]) * 16, (t or "").encode()) for i, t in enumerate(texts)], "row binary, body binary")
+        grams = spark.sparkContext.broadcast(bitmap_of(repeats.repeated_grams(df, 200)))
+        return repeats.members_of(df, grams, 200).collect()
+
+    few, many = members(60), members(600)
+    assert len(few) < 30 and len(many) < 30
+    assert sum(r.n for r in many if r.wid is not None) > 1_500
+
+    # In one text and in others, in rows that come twice, across slices, and next to what does not repeat.
+    long = part * (repeats.SLICE // 9 + 200)
+    texts = [part * 60, noise(150) + part * 60 + noise(150) + part * 60, noise(300) + (part * 23)[:205], noise(250), long[:1_500] + noise(210)]
+    rows = [*enumerate(texts), (0, texts[0]), (1, texts[1]), (1, texts[1]), (None, texts[3] + "!")]
+    assert _removed(spark, rows) == _want(rows)
+    (got,) = repeats.remove_repeats(_docs(spark, [(1, noise(100) + "|" + long + "|" + noise(100), "en")])).collect()
+    assert [(s.start, s.end) for s in got.spans] == [(101, 101 + len(long))] and len(got.kept) == 202
+
+
 def test_no_repeats_and_empty_tables(spark):
     assert _removed(spark, []) == Counter()
     rows = [(1, "x" * 199), (2, "x" * 199), (3, None)]
